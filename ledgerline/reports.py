@@ -11,6 +11,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .operators import cohort as coh
+from .operators import insight as ins
+from .operators import kpi
 from .operators import trend as trd
 from .plans import sales as model
 from .sources import load
@@ -18,6 +21,15 @@ from .sources import load
 Report = Callable[[SparkSession, str], DataFrame]
 REPORTS: dict[str, Report] = {}
 
+# Fixed report parameters (the SQL in sql_checks uses the same values).
+KPI_SLICE = {"start": "1998-01-01", "end": "1999-01-01",
+             "categories": ["PROMO"], "regions": ["ASIA"]}
+MATRIX_INDEXES = (0, 1, 2, 3, 6, 12)
+TOP_K = 3
+PARETO_CUTOFF = 0.8
+SPIKE_RATIO = 1.1
+MOVING_WINDOW = 3
+
 
 def report(name: str):
     def deco(fn: Report) -> Report:
@@ -30,6 +42,170 @@ def _sales(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
     return model.sales(load(spark, sf_dir), **kw)
 
 
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return model.orders(load(spark, sf_dir))
+
+
+# -- fact ----------------------------------------------------------------------
+
+@report("sales_fact")
+def sales_fact(spark, sf_dir):
+    return _sales(spark, sf_dir)
+
+
+# -- KPIs ----------------------------------------------------------------------
+
+@report("kpi_totals")
+def kpi_totals(spark, sf_dir):
+    return kpi.kpis(_sales(spark, sf_dir))
+
+
+@report("kpi_sliced")
+def kpi_sliced(spark, sf_dir):
+    s = KPI_SLICE
+    # The date bound goes into the fact too, so it reaches the orders scan.
+    fact = _sales(spark, sf_dir, start=s["start"], end=s["end"])
+    return kpi.kpis(fact, **s)
+
+
+# -- trends --------------------------------------------------------------------
+
+@report("trend_daily")
+def trend_daily(spark, sf_dir):
+    return trd.trend(_sales(spark, sf_dir), "day")
+
+
 @report("trend_monthly")
 def trend_monthly(spark, sf_dir):
     return trd.trend(_sales(spark, sf_dir), "month")
+
+
+@report("trend_category_monthly")
+def trend_category_monthly(spark, sf_dir):
+    return trd.trend(_sales(spark, sf_dir), "month", by="category")
+
+
+@report("trend_daily_filled")
+def trend_daily_filled(spark, sf_dir):
+    return trd.fill_calendar(trd.trend(_sales(spark, sf_dir), "day"), "day")
+
+
+@report("trend_category_filled")
+def trend_category_filled(spark, sf_dir):
+    t = trd.trend(_sales(spark, sf_dir), "month", by="category")
+    return trd.fill_calendar(t, "month", by="category")
+
+
+@report("trend_growth")
+def trend_growth(spark, sf_dir):
+    t = trd.fill_calendar(trd.trend(_sales(spark, sf_dir), "month"), "month")
+    return trd.growth(t)
+
+
+@report("trend_ytd")
+def trend_ytd(spark, sf_dir):
+    return trd.ytd(trd.trend(_sales(spark, sf_dir), "month"))
+
+
+@report("trend_moving_avg")
+def trend_moving_avg(spark, sf_dir):
+    t = trd.fill_calendar(trd.trend(_sales(spark, sf_dir), "month"), "month")
+    return trd.moving_avg(t, MOVING_WINDOW)
+
+
+# -- breakdowns ------------------------------------------------------------------
+
+@report("breakdown_category")
+def breakdown_category(spark, sf_dir):
+    return kpi.breakdown(_sales(spark, sf_dir), ["category"])
+
+
+@report("breakdown_region")
+def breakdown_region(spark, sf_dir):
+    return kpi.breakdown(_sales(spark, sf_dir), ["region"])
+
+
+@report("breakdown_rollup")
+def breakdown_rollup(spark, sf_dir):
+    return kpi.breakdown(_sales(spark, sf_dir), ["category", "region"], totals=True)
+
+
+@report("breakdown_top_categories")
+def breakdown_top_categories(spark, sf_dir):
+    cells = kpi.breakdown(_sales(spark, sf_dir), ["region", "category"])
+    return kpi.top_k(cells.select("region", "category", "revenue"), TOP_K, within="region",
+                     tie_cols=["category"])
+
+
+# -- cohorts -------------------------------------------------------------------
+
+@report("cohort_sizes")
+def cohort_sizes(spark, sf_dir):
+    return coh.cohort_size(_orders(spark, sf_dir))
+
+
+@report("cohort_long")
+def cohort_long(spark, sf_dir):
+    return coh.cohort_long(_orders(spark, sf_dir))
+
+
+@report("cohort_dense")
+def cohort_dense(spark, sf_dir):
+    return coh.cohort_long(_orders(spark, sf_dir), dense=True)
+
+
+@report("cohort_matrix")
+def cohort_matrix(spark, sf_dir):
+    return coh.cohort_matrix(_orders(spark, sf_dir), indexes=MATRIX_INDEXES)
+
+
+@report("retention_curve")
+def retention_curve(spark, sf_dir):
+    return coh.retention_curve(_orders(spark, sf_dir))
+
+
+@report("repeat_rate")
+def repeat_rate(spark, sf_dir):
+    return coh.repeat_rate(_orders(spark, sf_dir))
+
+
+@report("order_seq")
+def order_seq(spark, sf_dir):
+    return coh.order_seq(_orders(spark, sf_dir))
+
+
+@report("new_vs_returning")
+def new_vs_returning(spark, sf_dir):
+    return coh.new_vs_returning(_orders(spark, sf_dir))
+
+
+@report("order_gaps")
+def order_gaps(spark, sf_dir):
+    return coh.order_gaps(_orders(spark, sf_dir))
+
+
+# -- insights --------------------------------------------------------------------
+
+@report("category_rank")
+def category_rank(spark, sf_dir):
+    return ins.rank_categories(_sales(spark, sf_dir), "category")
+
+
+@report("pareto_category")
+def pareto_category(spark, sf_dir):
+    return ins.pareto(_sales(spark, sf_dir), "category", PARETO_CUTOFF)
+
+
+@report("pareto_brand")
+def pareto_brand(spark, sf_dir):
+    return ins.pareto(_sales(spark, sf_dir), "subcategory", PARETO_CUTOFF)
+
+
+@report("seasonality")
+def seasonality(spark, sf_dir):
+    return ins.seasonality(trd.trend(_sales(spark, sf_dir), "month"))
+
+
+@report("sales_spikes")
+def sales_spikes(spark, sf_dir):
+    return ins.spikes(trd.trend(_sales(spark, sf_dir), "month"), SPIKE_RATIO)

@@ -2,14 +2,14 @@
 
 Tables ``orders lineitem part customer nation region`` are views over the
 same Parquet files.  Type alignment rules (see SURVEY 7.3): money is
-DECIMAL(18,4) per line and DECIMAL(28,4) per sum; dates are DATE; ratios are
-one double division of exact inputs.
+DECIMAL(18,4) per line and DECIMAL(28,4) per sum; dates are DATE; counts are
+BIGINT; ratios are one double division of exact inputs.
 """
 
 from __future__ import annotations
 
-# The sales fact as a CTE.
-SALES_CTE = """
+# The sales fact.
+SALES = """
 sales AS (
   SELECT o.o_orderkey AS order_id,
          o.o_custkey AS customer_id,
@@ -27,15 +27,321 @@ sales AS (
   JOIN region r ON r.r_regionkey = n.n_regionkey
 )"""
 
+# All orders, as the cohort operators see them.
+ORDERS = """
+ords AS (
+  SELECT o_orderkey AS order_id, o_custkey AS customer_id,
+         CAST(o_orderdate AS DATE) AS order_date
+  FROM orders
+)"""
+
+
+def _month(col: str) -> str:
+    return f"CAST(date_trunc('month', {col}) AS DATE)"
+
+
+def _ratio(num: str, den: str) -> str:
+    return f"CAST({num} AS DOUBLE) / NULLIF(CAST({den} AS DOUBLE), 0)"
+
+
+def _month_index(start: str, end: str) -> str:
+    return (f"CAST((year({end}) - year({start})) * 12 + (month({end}) - month({start})) "
+            f"AS INTEGER)")
+
+
+def _trend(period_expr: str, by: str = "", where: str = "") -> str:
+    """CTEs ``per_order`` and ``trend``: revenue and orders per period (and group)."""
+    by_sel = f"{by}, " if by else ""
+    return f"""
+per_order AS (
+  SELECT {period_expr} AS period, {by_sel}order_id, sum(revenue) AS amount
+  FROM sales {where} GROUP BY ALL
+),
+trend AS (
+  SELECT period, {by_sel}CAST(sum(amount) AS DECIMAL(28,4)) AS revenue,
+         count(order_id) AS orders
+  FROM per_order GROUP BY ALL
+)"""
+
+
+def _filled(by: str = "", step: str = "DAY") -> str:
+    """CTE ``filled``: the ``trend`` CTE with missing periods as zero rows."""
+    if by:
+        grid = f"""
+grid AS (
+  SELECT gr.{by}, CAST(g.ts AS DATE) AS period
+  FROM (SELECT DISTINCT {by} FROM trend) gr,
+       (SELECT min(period) AS lo, max(period) AS hi FROM trend) b,
+       generate_series(CAST(b.lo AS TIMESTAMP), CAST(b.hi AS TIMESTAMP), INTERVAL 1 {step}) g(ts)
+)"""
+        on = f"t.{by} IS NOT DISTINCT FROM grid.{by} AND t.period = grid.period"
+        sel = f"grid.{by}, "
+    else:
+        grid = f"""
+grid AS (
+  SELECT CAST(g.ts AS DATE) AS period
+  FROM (SELECT min(period) AS lo, max(period) AS hi FROM trend) b,
+       generate_series(CAST(b.lo AS TIMESTAMP), CAST(b.hi AS TIMESTAMP), INTERVAL 1 {step}) g(ts)
+)"""
+        on = "t.period = grid.period"
+        sel = ""
+    return f"""{grid},
+filled AS (
+  SELECT grid.period, {sel}COALESCE(t.revenue, CAST(0 AS DECIMAL(28,4))) AS revenue,
+         COALESCE(t.orders, 0) AS orders
+  FROM grid LEFT JOIN trend t ON {on}
+)"""
+
+
+def _breakdown(by: str, where: str = "") -> str:
+    """CTE ``bd``: revenue, orders per group."""
+    return f"""
+bd_order AS (SELECT {by}, order_id, sum(revenue) AS amount FROM sales {where} GROUP BY ALL),
+bd AS (
+  SELECT {by}, CAST(sum(amount) AS DECIMAL(28,4)) AS revenue, count(order_id) AS orders
+  FROM bd_order GROUP BY ALL
+)"""
+
+
+_COHORT_CELLS = f"""
+act AS (SELECT DISTINCT customer_id, {_month('order_date')} AS m FROM ords),
+coh AS (SELECT customer_id, min(m) AS cohort FROM act GROUP BY customer_id),
+cells AS (
+  SELECT cohort, {_month_index('cohort', 'm')} AS month_index, count(*) AS customers
+  FROM act JOIN coh USING (customer_id) GROUP BY ALL
+),
+sized AS (
+  SELECT cohort, month_index, customers,
+         max(CASE WHEN month_index = 0 THEN customers END) OVER (PARTITION BY cohort) AS cohort_size
+  FROM cells
+),
+dense AS (
+  SELECT s.cohort, CAST(g.i AS INTEGER) AS month_index,
+         COALESCE(c.customers, 0) AS customers, s.cohort_size
+  FROM (SELECT cohort, cohort_size FROM sized WHERE month_index = 0) s,
+       (SELECT {_month('max(order_date)')} AS last FROM ords) lm,
+       generate_series(0, {_month_index('s.cohort', 'lm.last')}) g(i)
+  LEFT JOIN cells c ON c.cohort = s.cohort AND c.month_index = g.i
+)"""
+
 SQL: dict[str, str] = {}
 
-SQL["trend_monthly"] = f"""
-WITH {SALES_CTE},
+SQL["sales_fact"] = f"WITH {SALES} SELECT * FROM sales"
+
+SQL["kpi_totals"] = f"""
+WITH {SALES},
+per_order AS (SELECT order_id, sum(revenue) AS amount FROM sales GROUP BY order_id),
+k AS (SELECT CAST(sum(amount) AS DECIMAL(28,4)) AS revenue, count(order_id) AS orders FROM per_order)
+SELECT revenue, orders, {_ratio('revenue', 'orders')} AS aov FROM k
+"""
+
+SQL["kpi_sliced"] = f"""
+WITH {SALES},
 per_order AS (
-  SELECT CAST(date_trunc('month', order_date) AS DATE) AS period, order_id,
-         sum(revenue) AS amount
-  FROM sales GROUP BY 1, 2
+  SELECT order_id, sum(revenue) AS amount FROM sales
+  WHERE order_date >= DATE '1998-01-01' AND order_date < DATE '1999-01-01'
+    AND category IN ('PROMO') AND region IN ('ASIA')
+  GROUP BY order_id
+),
+k AS (SELECT CAST(sum(amount) AS DECIMAL(28,4)) AS revenue, count(order_id) AS orders FROM per_order)
+SELECT revenue, orders, {_ratio('revenue', 'orders')} AS aov FROM k
+"""
+
+SQL["trend_daily"] = f"WITH {SALES}, {_trend('order_date')} SELECT * FROM trend"
+SQL["trend_monthly"] = f"WITH {SALES}, {_trend(_month('order_date'))} SELECT * FROM trend"
+SQL["trend_category_monthly"] = (
+    f"WITH {SALES}, {_trend(_month('order_date'), 'category')} SELECT * FROM trend")
+SQL["trend_daily_filled"] = (
+    f"WITH {SALES}, {_trend('order_date')}, {_filled()} SELECT * FROM filled")
+SQL["trend_category_filled"] = (
+    f"WITH {SALES}, {_trend(_month('order_date'), 'category')}, {_filled('category', 'MONTH')} "
+    f"SELECT * FROM filled")
+
+SQL["trend_growth"] = f"""
+WITH {SALES}, {_trend(_month('order_date'))}, {_filled(step='MONTH')},
+g AS (SELECT *, lag(revenue) OVER (ORDER BY period) AS prev_revenue FROM filled)
+SELECT period, revenue, orders, prev_revenue,
+       {_ratio('revenue - prev_revenue', 'prev_revenue')} AS growth
+FROM g
+"""
+
+SQL["trend_ytd"] = f"""
+WITH {SALES}, {_trend(_month('order_date'))}
+SELECT period, revenue, orders,
+       CAST(sum(revenue) OVER (PARTITION BY year(period) ORDER BY period
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(28,4)) AS ytd_revenue
+FROM trend
+"""
+
+SQL["trend_moving_avg"] = f"""
+WITH {SALES}, {_trend(_month('order_date'))}, {_filled(step='MONTH')}
+SELECT period, revenue, orders,
+       {_ratio('sum(revenue) OVER w', 'count(revenue) OVER w')} AS moving_avg
+FROM filled
+WINDOW w AS (ORDER BY period ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)
+"""
+
+SQL["breakdown_category"] = f"""
+WITH {SALES}, {_breakdown('category')}
+SELECT category, revenue, orders, {_ratio('revenue', 'orders')} AS aov FROM bd
+"""
+
+SQL["breakdown_region"] = f"""
+WITH {SALES}, {_breakdown('region')}
+SELECT region, revenue, orders, {_ratio('revenue', 'orders')} AS aov FROM bd
+"""
+
+SQL["breakdown_rollup"] = f"""
+WITH {SALES},
+po AS (SELECT category, region, order_id, sum(revenue) AS amount FROM sales GROUP BY ALL),
+r AS (
+  SELECT category, region, CAST(sum(amount) AS DECIMAL(28,4)) AS revenue,
+         count(DISTINCT order_id) AS orders,
+         CAST(GROUPING(category, region) AS INTEGER) AS level
+  FROM po GROUP BY ROLLUP (category, region)
+)
+SELECT category, region, revenue, orders, level, {_ratio('revenue', 'orders')} AS aov FROM r
+"""
+
+SQL["breakdown_top_categories"] = f"""
+WITH {SALES}, {_breakdown('region, category')},
+r AS (
+  SELECT region, category, revenue,
+         CAST(row_number() OVER (PARTITION BY region ORDER BY revenue DESC, category ASC)
+              AS INTEGER) AS rank
+  FROM bd
+)
+SELECT * FROM r WHERE rank <= 3
+"""
+
+SQL["cohort_sizes"] = f"""
+WITH {ORDERS},
+fo AS (SELECT customer_id, {_month('min(order_date)')} AS cohort FROM ords GROUP BY customer_id)
+SELECT cohort, count(*) AS customers FROM fo GROUP BY cohort
+"""
+
+SQL["cohort_long"] = f"""
+WITH {ORDERS}, {_COHORT_CELLS}
+SELECT cohort, month_index, customers, cohort_size,
+       {_ratio('customers', 'cohort_size')} AS retention
+FROM sized
+"""
+
+SQL["cohort_dense"] = f"""
+WITH {ORDERS}, {_COHORT_CELLS}
+SELECT cohort, month_index, customers, cohort_size,
+       {_ratio('customers', 'cohort_size')} AS retention
+FROM dense
+"""
+
+_MATRIX_COLS = ",\n       ".join(
+    f"max(CASE WHEN month_index = {i} THEN {_ratio('customers', 'cohort_size')} END) AS m{i}"
+    for i in (0, 1, 2, 3, 6, 12))
+SQL["cohort_matrix"] = f"""
+WITH {ORDERS}, {_COHORT_CELLS}
+SELECT cohort, cohort_size,
+       {_MATRIX_COLS}
+FROM dense GROUP BY cohort, cohort_size
+"""
+
+SQL["retention_curve"] = f"""
+WITH {ORDERS}, {_COHORT_CELLS},
+c AS (
+  SELECT month_index, CAST(sum(customers) AS BIGINT) AS retained,
+         CAST(sum(cohort_size) AS BIGINT) AS eligible, count(*) AS cohorts
+  FROM dense GROUP BY month_index
+)
+SELECT month_index, retained, eligible, cohorts, {_ratio('retained', 'eligible')} AS retention
+FROM c
+"""
+
+SQL["repeat_rate"] = f"""
+WITH {ORDERS},
+pc AS (SELECT customer_id, count(DISTINCT order_id) AS n FROM ords GROUP BY customer_id),
+r AS (SELECT count(*) AS customers, count(CASE WHEN n >= 2 THEN 1 END) AS repeat_customers FROM pc)
+SELECT customers, repeat_customers, {_ratio('repeat_customers', 'customers')} AS repeat_rate FROM r
+"""
+
+SQL["order_seq"] = f"""
+WITH {ORDERS}
+SELECT order_id, customer_id, order_date,
+       CAST(row_number() OVER (PARTITION BY customer_id ORDER BY order_date, order_id) AS BIGINT)
+         AS order_seq
+FROM ords
+"""
+
+SQL["new_vs_returning"] = f"""
+WITH {ORDERS},
+pm AS (SELECT {_month('order_date')} AS period, count(*) AS orders FROM ords GROUP BY 1),
+fo AS (SELECT customer_id, {_month('min(order_date)')} AS cohort FROM ords GROUP BY customer_id),
+nw AS (SELECT cohort AS period, count(*) AS new_orders FROM fo GROUP BY cohort)
+SELECT pm.period, pm.orders, COALESCE(nw.new_orders, 0) AS new_orders,
+       pm.orders - COALESCE(nw.new_orders, 0) AS returning_orders
+FROM pm LEFT JOIN nw USING (period)
+"""
+
+SQL["order_gaps"] = f"""
+WITH {ORDERS},
+pd AS (SELECT customer_id, order_date, count(*) AS n FROM ords GROUP BY ALL),
+g AS (
+  SELECT n, date_diff('day', lag(order_date) OVER (PARTITION BY customer_id ORDER BY order_date),
+                      order_date) AS gap
+  FROM pd
+),
+ev AS (
+  SELECT gap AS gap_days, 1 AS w FROM g WHERE gap IS NOT NULL
+  UNION ALL
+  SELECT 0 AS gap_days, n - 1 AS w FROM g WHERE n > 1
+)
+SELECT CAST(gap_days AS INTEGER) AS gap_days, CAST(sum(w) AS BIGINT) AS occurrences
+FROM ev GROUP BY 1
+"""
+
+SQL["category_rank"] = f"""
+WITH {SALES}, {_breakdown('category')}
+SELECT category, revenue, CAST(rank() OVER (ORDER BY revenue DESC) AS INTEGER) AS rank FROM bd
+"""
+
+
+def _pareto(by: str) -> str:
+    return f"""
+WITH {SALES}, {_breakdown(by)},
+w AS (
+  SELECT {by}, revenue, sum(revenue) OVER () AS tot,
+         sum(revenue) OVER (ORDER BY revenue DESC, {by} ASC
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run
+  FROM bd
+)
+SELECT {by}, revenue, {_ratio('revenue', 'tot')} AS share, {_ratio('run', 'tot')} AS cum_share,
+       (run - revenue) < tot * 0.8 AS is_core
+FROM w
+"""
+
+
+SQL["pareto_category"] = _pareto("category")
+SQL["pareto_brand"] = _pareto("subcategory")
+
+SQL["seasonality"] = f"""
+WITH {SALES}, {_trend(_month('order_date'))},
+m AS (SELECT year(period) AS y, month(period) AS moy, revenue FROM trend),
+full_years AS (SELECT y FROM m GROUP BY y HAVING count(DISTINCT moy) = 12),
+per AS (
+  SELECT CAST(moy AS INTEGER) AS month_of_year, CAST(sum(revenue) AS DECIMAL(28,4)) AS revenue,
+         count(*) AS years
+  FROM m WHERE y IN (SELECT y FROM full_years) GROUP BY 1
+)
+SELECT month_of_year, revenue, years,
+       {_ratio('revenue * 12', 'sum(revenue) OVER ()')} AS seasonality_index
+FROM per
+"""
+
+SQL["sales_spikes"] = f"""
+WITH {SALES}, {_trend(_month('order_date'))},
+w AS (
+  SELECT period, revenue, sum(revenue) OVER t AS s, count(revenue) OVER t AS n FROM trend
+  WINDOW t AS (ORDER BY period ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING)
 )
-SELECT period, CAST(sum(amount) AS DECIMAL(28,4)) AS revenue, count(order_id) AS orders
-FROM per_order GROUP BY period
+SELECT period, revenue, {_ratio('s', 'n')} AS trailing_avg,
+       (n = 12 AND revenue * n > s * 1.1) AS is_spike
+FROM w
 """
