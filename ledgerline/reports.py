@@ -11,10 +11,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .operators import clean as cln
 from .operators import cohort as coh
 from .operators import insight as ins
 from .operators import kpi
 from .operators import trend as trd
+from .plans import dirty
 from .plans import sales as model
 from .sources import load
 
@@ -29,6 +31,16 @@ TOP_K = 3
 PARETO_CUTOFF = 0.8
 SPIKE_RATIO = 1.1
 MOVING_WINDOW = 3
+RAW_ORDER_RULES = cln.CleanRules(
+    text=("prio",),
+    casts={"amt": "decimal(12,2)", "dt": "date"},
+    checks=(("missing_customer", "cid IS NULL"), ("bad_date", "dt IS NULL"),
+            ("bad_amount", "amt IS NULL"), ("blank_priority", "prio IS NULL")),
+)
+LINE_KEYS = ("l_orderkey", "l_linenumber")
+ORDER_DOMAIN = (cln.DomainRule("min_total", "o_totalprice", lo=5000),
+                cln.DomainRule("status", "o_orderstatus", allowed=("F", "O")))
+PROFILE_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
 
 
 def report(name: str):
@@ -209,3 +221,85 @@ def seasonality(spark, sf_dir):
 @report("sales_spikes")
 def sales_spikes(spark, sf_dir):
     return ins.spikes(trd.trend(_sales(spark, sf_dir), "month"), SPIKE_RATIO)
+
+
+# -- cleaning and validation ------------------------------------------------------
+
+def _raw(spark, sf_dir):
+    return dirty.raw_orders(load(spark, sf_dir)["orders"])
+
+
+@report("raw_orders")
+def raw_orders(spark, sf_dir):
+    return _raw(spark, sf_dir)
+
+
+@report("clean_accepted")
+def clean_accepted(spark, sf_dir):
+    return cln.clean(_raw(spark, sf_dir), RAW_ORDER_RULES)[0]
+
+
+@report("clean_rejected")
+def clean_rejected(spark, sf_dir):
+    return cln.clean(_raw(spark, sf_dir), RAW_ORDER_RULES)[1]
+
+
+@report("clean_reject_reasons")
+def clean_reject_reasons(spark, sf_dir):
+    return cln.reject_counts(cln.clean(_raw(spark, sf_dir), RAW_ORDER_RULES)[1])
+
+
+@report("dedup_exact")
+def dedup_exact(spark, sf_dir):
+    return cln.drop_exact_dups(_raw(spark, sf_dir))
+
+
+@report("dedup_lines")
+def dedup_lines(spark, sf_dir):
+    li = load(spark, sf_dir)["lineitem"]
+    return cln.dedup_by_key(li, list(LINE_KEYS), [("l_shipdate", "desc")])
+
+
+@report("standardise_text")
+def standardise_text(spark, sf_dir):
+    return cln.standardise_text(_raw(spark, sf_dir), ["prio"])
+
+
+@report("cast_safe")
+def cast_safe(spark, sf_dir):
+    return cln.cast_safe(_raw(spark, sf_dir), RAW_ORDER_RULES.casts)
+
+
+@report("fill_nulls")
+def fill_nulls(spark, sf_dir):
+    std = cln.standardised(_raw(spark, sf_dir), RAW_ORDER_RULES)
+    return cln.handle_nulls(std, fill={"prio": "UNSPECIFIED"})
+
+
+@report("require_customer")
+def require_customer(spark, sf_dir):
+    std = cln.standardised(_raw(spark, sf_dir), RAW_ORDER_RULES)
+    return cln.handle_nulls(std, require=["cid"])
+
+
+@report("domain_violations")
+def domain_violations(spark, sf_dir):
+    return cln.check_domain(load(spark, sf_dir)["orders"], ORDER_DOMAIN)
+
+
+@report("orders_without_lines")
+def orders_without_lines(spark, sf_dir):
+    t = load(spark, sf_dir)
+    return cln.orphans(t["orders"], t["lineitem"], [("o_orderkey", "l_orderkey")])
+
+
+@report("ship_before_order")
+def ship_before_order(spark, sf_dir):
+    t = load(spark, sf_dir)
+    return cln.check_dates(t["lineitem"], t["orders"], [("l_orderkey", "o_orderkey")],
+                           "l_shipdate", "o_orderdate")
+
+
+@report("profile_orders")
+def profile_orders(spark, sf_dir):
+    return cln.profile(load(spark, sf_dir)["orders"], list(PROFILE_COLUMNS))

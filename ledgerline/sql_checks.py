@@ -345,3 +345,104 @@ SELECT period, revenue, {_ratio('s', 'n')} AS trailing_avg,
        (n = 12 AND revenue * n > s * 1.1) AS is_spike
 FROM w
 """
+
+
+# -- cleaning ---------------------------------------------------------------------
+
+RAW = """
+raw AS (
+  SELECT o_orderkey AS oid,
+         CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE o_custkey END AS cid,
+         CASE WHEN o_orderkey % 89 = 0 THEN '  ' || lower(o_orderpriority) || ' '
+              WHEN o_orderkey % 83 = 0 THEN ''
+              ELSE o_orderpriority END AS prio,
+         CASE WHEN o_orderkey % 79 = 0 THEN 'n/a'
+              ELSE CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) END AS amt,
+         CASE WHEN o_orderkey % 73 = 0 THEN '2001-13-40'
+              ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS dt
+  FROM orders, generate_series(1, CASE WHEN o_orderkey % 50 = 0 THEN 2 ELSE 1 END) g(copy)
+)"""
+
+STD = """
+std AS (
+  SELECT DISTINCT oid, cid, NULLIF(upper(trim(prio)), '') AS prio,
+         TRY_CAST(trim(amt) AS DECIMAL(12,2)) AS amt, TRY_CAST(trim(dt) AS DATE) AS dt
+  FROM raw
+),
+labelled AS (
+  SELECT *, CASE WHEN cid IS NULL THEN 'missing_customer'
+                 WHEN dt IS NULL THEN 'bad_date'
+                 WHEN amt IS NULL THEN 'bad_amount'
+                 WHEN prio IS NULL THEN 'blank_priority' END AS reject_reason
+  FROM std
+)"""
+
+SQL["raw_orders"] = f"WITH {RAW} SELECT * FROM raw"
+SQL["clean_accepted"] = (f"WITH {RAW}, {STD} SELECT oid, cid, prio, amt, dt FROM labelled "
+                         f"WHERE reject_reason IS NULL")
+SQL["clean_rejected"] = f"WITH {RAW}, {STD} SELECT * FROM labelled WHERE reject_reason IS NOT NULL"
+SQL["clean_reject_reasons"] = (f"WITH {RAW}, {STD} SELECT reject_reason AS reason, count(*) AS rows "
+                               f"FROM labelled WHERE reject_reason IS NOT NULL GROUP BY 1")
+SQL["dedup_exact"] = f"WITH {RAW} SELECT DISTINCT * FROM raw"
+
+SQL["dedup_lines"] = """
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount,
+       l_tax, l_returnflag, l_linestatus, l_shipdate
+FROM (
+  SELECT *, row_number() OVER (
+           PARTITION BY l_orderkey, l_linenumber
+           ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC,
+                    l_extendedprice DESC, l_discount DESC, l_tax DESC, l_returnflag DESC,
+                    l_linestatus DESC) AS rn
+  FROM lineitem
+) WHERE rn = 1
+"""
+
+SQL["standardise_text"] = f"""
+WITH {RAW} SELECT oid, cid, NULLIF(upper(trim(prio)), '') AS prio, amt, dt FROM raw
+"""
+
+SQL["cast_safe"] = f"""
+WITH {RAW}
+SELECT oid, cid, prio, TRY_CAST(trim(amt) AS DECIMAL(12,2)) AS amt,
+       TRY_CAST(trim(dt) AS DATE) AS dt
+FROM raw
+"""
+
+SQL["fill_nulls"] = f"""
+WITH {RAW}, {STD} SELECT oid, cid, COALESCE(prio, 'UNSPECIFIED') AS prio, amt, dt FROM std
+"""
+
+SQL["require_customer"] = f"WITH {RAW}, {STD} SELECT * FROM std WHERE cid IS NOT NULL"
+
+SQL["domain_violations"] = """
+SELECT *, CASE WHEN NOT (o_totalprice IS NOT NULL AND o_totalprice >= 5000) THEN 'min_total'
+               WHEN NOT (o_orderstatus IS NOT NULL AND o_orderstatus IN ('F', 'O')) THEN 'status'
+          END AS violation
+FROM orders
+WHERE NOT (o_totalprice IS NOT NULL AND o_totalprice >= 5000)
+   OR NOT (o_orderstatus IS NOT NULL AND o_orderstatus IN ('F', 'O'))
+"""
+
+SQL["orders_without_lines"] = """
+SELECT * FROM orders o WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)
+"""
+
+SQL["ship_before_order"] = """
+SELECT count(*) AS rows_checked, count(CASE WHEN l.l_shipdate < o.o_orderdate THEN 1 END) AS rows_failed
+FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+"""
+
+
+def _profile(cols) -> str:
+    parts = []
+    for c in cols:
+        parts.append(f"""
+SELECT '{c}' AS column, count(*) AS rows, count(*) - count({c}) AS nulls,
+       count(DISTINCT {c}) AS distinct_values, CAST(min({c}) AS VARCHAR) AS min_value,
+       CAST(max({c}) AS VARCHAR) AS max_value
+FROM orders""")
+    return "\nUNION ALL".join(parts)
+
+
+SQL["profile_orders"] = _profile(("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"))
