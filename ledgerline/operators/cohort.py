@@ -19,10 +19,15 @@ from ..functions import month_index, period_start, ratio
 from ..plans.ranking import group_row_number
 
 
+def _known(orders: DataFrame, customer_col: str) -> DataFrame:
+    """Orders with a customer; an order without one belongs to no cohort."""
+    return orders.filter(F.col(customer_col).isNotNull())
+
+
 def assign_cohort(orders: DataFrame, customer_col: str = "customer_id",
                   date_col: str = "order_date") -> DataFrame:
     """COH-1: one row per customer: ``cohort`` = month of the first order."""
-    return (orders.groupBy(customer_col)
+    return (_known(orders, customer_col).groupBy(customer_col)
             .agg(period_start(F.min(date_col), "month").alias("cohort")))
 
 
@@ -33,17 +38,31 @@ def cohort_size(orders: DataFrame, customer_col: str = "customer_id",
             .groupBy("cohort").agg(F.count(F.lit(1)).alias("customers")))
 
 
-def _active_cells(orders, customer_col, date_col):
-    """(cohort, month_index) for every customer and month with an order.
+def _cohorts(orders, customer_col, date_col) -> DataFrame:
+    """One row per cohort: ``cohort``, ``_cells`` (month index -> active
+    customers), ``cohort_size``, ``_last`` (last month with an order).
 
-    One hash aggregate per customer collects the distinct active months
-    (at most one per calendar month), then ``explode`` fans them out.
+    Plan: (1) per customer, the set of active months (hash aggregate; the
+    set holds at most one entry per calendar month); (2) explode to
+    (cohort, month index) and count (partial aggregation leaves one row per
+    cell per task before the shuffle); (3) per cohort, a map of its cells.
+    The table is one row per cohort month, so the global last month is a
+    window over it, not a second scan of the orders.
     """
-    months = (orders.groupBy(customer_col)
+    months = (_known(orders, customer_col).groupBy(customer_col)
               .agg(F.collect_set(period_start(date_col, "month")).alias("_months")))
-    return (months.select(F.array_min("_months").alias("cohort"),
-                          F.explode("_months").alias("_month"))
-            .select("cohort", month_index("cohort", "_month").alias("month_index")))
+    cells = (months.select(F.array_min("_months").alias("cohort"),
+                           F.explode("_months").alias("_month"))
+             .groupBy("cohort", month_index("cohort", "_month").alias("month_index"))
+             .agg(F.count(F.lit(1)).alias("customers")))
+    per = (cells.groupBy("cohort")
+           .agg(F.map_from_entries(F.collect_list(F.struct("month_index", "customers")))
+                .alias("_cells"),
+                F.max("month_index").alias("_top")))
+    everything = Window.partitionBy()
+    return (per.withColumn("cohort_size", F.try_element_at("_cells", F.lit(0)))
+            .withColumn("_last", F.max(F.add_months("cohort", F.col("_top"))).over(everything))
+            .drop("_top"))
 
 
 def cohort_long(orders: DataFrame, dense: bool = False, customer_col: str = "customer_id",
@@ -59,20 +78,16 @@ def cohort_long(orders: DataFrame, dense: bool = False, customer_col: str = "cus
     observation window with no active customer); cells after the last month
     are unknown and have no row.
     """
-    cells = (_active_cells(orders, customer_col, date_col)
-             .groupBy("cohort", "month_index").agg(F.count(F.lit(1)).alias("customers")))
-    w = Window.partitionBy("cohort")
-    cells = cells.withColumn(
-        "cohort_size", F.max(F.when(F.col("month_index") == 0, F.col("customers"))).over(w))
+    per = _cohorts(orders, customer_col, date_col)
     if dense:
-        last = orders.select(period_start(F.max(date_col), "month")).scalar()
-        grid = (cells.filter(F.col("month_index") == 0)
-                .select("cohort", "cohort_size",
-                        F.explode(F.sequence(F.lit(0), month_index(F.col("cohort"), last)))
-                        .alias("month_index")))
-        cells = (grid.join(cells.drop("cohort_size"), ["cohort", "month_index"], "left")
-                 .withColumn("customers", F.coalesce("customers", F.lit(0).cast("bigint"))))
-    return (cells.withColumn("retention", ratio("customers", "cohort_size"))
+        idx = F.sequence(F.lit(0), month_index("cohort", "_last"))
+    else:
+        idx = F.array_sort(F.map_keys("_cells"))
+    out = per.select("cohort", "cohort_size", "_cells", F.explode(idx).alias("month_index"))
+    customers = F.coalesce(F.try_element_at("_cells", F.col("month_index")),
+                           F.lit(0).cast("bigint"))
+    return (out.withColumn("customers", customers)
+            .withColumn("retention", ratio("customers", "cohort_size"))
             .select("cohort", "month_index", "customers", "cohort_size", "retention"))
 
 
@@ -80,22 +95,26 @@ def cohort_matrix(orders: DataFrame, max_idx: int | None = None, indexes=None,
                   customer_col: str = "customer_id", date_col: str = "order_date") -> DataFrame:
     """COH-5: retention matrix, one row per cohort, one column per index.
 
-    Columns ``m<i>`` for each index in ``indexes`` (or 0..``max_idx``); the
-    list is fixed by the caller so the pivot needs no extra job to find its
-    values.  Cells inside the observation window with no activity are 0.0,
-    cells after the last data month are null.
+    Columns ``cohort``, ``cohort_size`` and ``m<i>`` for each index in
+    ``indexes`` (or 0..``max_idx``), fixed by the caller so the width does
+    not depend on the data.  A cell inside the observation window with no
+    activity is 0.0; a cell after the last data month is null (unknown).
+    Each cohort row already holds its cells as a map, so the wide form is a
+    projection: no pivot shuffle.
     """
     if indexes is None:
         if max_idx is None:
             raise ValueError("give max_idx or indexes")
         indexes = range(max_idx + 1)
     indexes = [int(i) for i in indexes]
-    long = cohort_long(orders, dense=True, customer_col=customer_col, date_col=date_col)
-    wide = (long.filter(F.col("month_index").isin(indexes))
-            .groupBy("cohort", "cohort_size").pivot("month_index", indexes)
-            .agg(F.max("retention")))
-    return wide.select("cohort", "cohort_size",
-                       *[F.col(str(i)).alias(f"m{i}") for i in indexes])
+    per = _cohorts(orders, customer_col, date_col)
+    horizon = month_index("cohort", "_last")
+
+    def cell(i: int):
+        n = F.coalesce(F.try_element_at("_cells", F.lit(i)), F.lit(0).cast("bigint"))
+        return F.when(F.lit(i) <= horizon, ratio(n, "cohort_size")).alias(f"m{i}")
+
+    return per.select("cohort", "cohort_size", *[cell(i) for i in indexes])
 
 
 def retention_curve(orders: DataFrame, customer_col: str = "customer_id",
@@ -116,7 +135,7 @@ def retention_curve(orders: DataFrame, customer_col: str = "customer_id",
 def repeat_rate(orders: DataFrame, customer_col: str = "customer_id",
                 order_col: str = "order_id") -> DataFrame:
     """COH-7: share of ordering customers with two or more orders (one row)."""
-    per_customer = orders.groupBy(customer_col).agg(F.count_distinct(order_col).alias("_n"))
+    per_customer = _known(orders, customer_col).groupBy(customer_col).agg(F.count_distinct(order_col).alias("_n"))
     return (per_customer.agg(F.count(F.lit(1)).alias("customers"),
                              F.count(F.when(F.col("_n") >= 2, True)).alias("repeat_customers"))
             .withColumn("repeat_rate", ratio("repeat_customers", "customers")))
@@ -131,7 +150,7 @@ def order_seq(orders: DataFrame, customer_col: str = "customer_id",
     ``group_row_number``, so a customer with a huge share of all orders is
     numbered by several tasks.
     """
-    return group_row_number(orders, [customer_col], [F.col(date_col), F.col(order_col)],
+    return group_row_number(_known(orders, customer_col), [customer_col], [F.col(date_col), F.col(order_col)],
                             out="order_seq", num_partitions=num_partitions)
 
 
@@ -144,7 +163,8 @@ def new_vs_returning(orders: DataFrame, customer_col: str = "customer_id",
     ordering is needed.  Columns: ``period``, ``orders``, ``new_orders``,
     ``returning_orders``.
     """
-    per_month = (orders.groupBy(period_start(date_col, "month").alias("period"))
+    per_month = (_known(orders, customer_col)
+                 .groupBy(period_start(date_col, "month").alias("period"))
                  .agg(F.count(F.lit(1)).alias("orders")))
     new = (cohort_size(orders, customer_col, date_col)
            .select(F.col("cohort").alias("period"), F.col("customers").alias("new_orders")))
@@ -162,7 +182,7 @@ def order_gaps(orders: DataFrame, customer_col: str = "customer_id",
     comes from ``lag`` over that per-day table (at most one row per calendar
     day per customer).  Columns: ``gap_days`` (int), ``occurrences``.
     """
-    per_day = orders.groupBy(customer_col, date_col).agg(F.count(F.lit(1)).alias("_n"))
+    per_day = _known(orders, customer_col).groupBy(customer_col, date_col).agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(customer_col).orderBy(date_col)
     gaps = per_day.withColumn("_gap", F.datediff(F.col(date_col), F.lag(date_col).over(w)))
     events = gaps.select(F.explode(F.array(

@@ -32,7 +32,7 @@ ORDERS = """
 ords AS (
   SELECT o_orderkey AS order_id, o_custkey AS customer_id,
          CAST(o_orderdate AS DATE) AS order_date
-  FROM orders
+  FROM orders WHERE o_custkey IS NOT NULL
 )"""
 
 
@@ -119,7 +119,7 @@ dense AS (
   SELECT s.cohort, CAST(g.i AS INTEGER) AS month_index,
          COALESCE(c.customers, 0) AS customers, s.cohort_size
   FROM (SELECT cohort, cohort_size FROM sized WHERE month_index = 0) s,
-       (SELECT {_month('max(order_date)')} AS last FROM ords) lm,
+       (SELECT max(m) AS last FROM act) lm,
        generate_series(0, {_month_index('s.cohort', 'lm.last')}) g(i)
   LEFT JOIN cells c ON c.cohort = s.cohort AND c.month_index = g.i
 )"""
