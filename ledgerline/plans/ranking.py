@@ -45,7 +45,9 @@ def group_row_number(df: DataFrame, keys, order, out: str = "row_number",
               .withColumn("_slice", F.spark_partition_id()))
     local_w = Window.partitionBy(*keys, "_slice").orderBy(*order_cols)
     numbered = sliced.withColumn("_local", F.row_number().over(local_w))
-    counts = sliced.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    # Counted from the numbered rows, which are already hash-partitioned on
+    # (keys, slice): no second range shuffle, no second sampling job.
+    counts = numbered.groupBy(*keys, "_slice").agg(F.max("_local").alias("_n"))
     before_w = (Window.partitionBy(*keys).orderBy("_slice")
                 .rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select(*keys, "_slice",
