@@ -158,11 +158,15 @@ def orphans(child: DataFrame, parent: DataFrame, on) -> DataFrame:
     ``on``: column names shared by both, or ``(child_col, parent_col)`` pairs.
     """
     pairs = _pairs(on)
+    # The parent is cut to its distinct keys first: the map-side dedup
+    # collapses a hot key (AQE can split a skewed *left* side of an anti
+    # join, never the right one) and only key columns are shuffled.
+    keys = parent.select(*[F.col(b).alias(f"_p{i}") for i, (_, b) in enumerate(pairs)]).distinct()
     cond = None
-    for a, b in pairs:
-        c = child[a] == parent[b]
+    for i, (a, _) in enumerate(pairs):
+        c = child[a] == keys[f"_p{i}"]
         cond = c if cond is None else cond & c
-    return child.join(parent, cond, "left_anti")
+    return child.join(keys, cond, "left_anti")
 
 
 def check_dates(child: DataFrame, parent: DataFrame, on, child_date: str, parent_date: str,

@@ -18,7 +18,7 @@ from .operators import kpi
 from .operators import trend as trd
 from .plans import dirty
 from .plans import sales as model
-from .sources import load
+from .sources import load, register
 
 Report = Callable[[SparkSession, str], DataFrame]
 REPORTS: dict[str, Report] = {}
@@ -65,6 +65,23 @@ def sales_fact(spark, sf_dir):
     return _sales(spark, sf_dir)
 
 
+@report("sql_monthly_orders")
+def sql_monthly_orders(spark, sf_dir):
+    """SRC-2: the tables as named views, queried with Spark SQL text."""
+    t = load(spark, sf_dir)
+    register({"orders": t["orders"], "lineitem": t["lineitem"]})
+    return spark.sql("""
+        SELECT trunc(CAST(o.o_orderdate AS DATE), 'month') AS period,
+               count(*) AS orders,
+               count(CASE WHEN o.o_orderstatus = 'F' THEN 1 END) AS fulfilled_orders,
+               count(CASE WHEN NOT EXISTS (SELECT 1 FROM lineitem l
+                                           WHERE l.l_orderkey = o.o_orderkey)
+                          THEN 1 END) AS orders_without_lines
+        FROM orders o
+        GROUP BY 1
+    """)
+
+
 # -- KPIs ----------------------------------------------------------------------
 
 @report("kpi_totals")

@@ -128,6 +128,14 @@ SQL: dict[str, str] = {}
 
 SQL["sales_fact"] = f"WITH {SALES} SELECT * FROM sales"
 
+SQL["sql_monthly_orders"] = f"""
+SELECT {_month('o.o_orderdate')} AS period, count(*) AS orders,
+       count(CASE WHEN o.o_orderstatus = 'F' THEN 1 END) AS fulfilled_orders,
+       count(CASE WHEN NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)
+                  THEN 1 END) AS orders_without_lines
+FROM orders o GROUP BY 1
+"""
+
 SQL["kpi_totals"] = f"""
 WITH {SALES},
 per_order AS (SELECT order_id, sum(revenue) AS amount FROM sales GROUP BY order_id),

@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The analyses this library rebuilds are batch reports over tables (cleaning,
+KPIs, trends, breakdowns, cohorts, insights); none consumes a stream, keeps
+state between micro-batches or deals with late data, so there is no
+Structured Streaming operator to provide.  Every operator here is a plain
+DataFrame function, so a ``foreachBatch`` sink can apply any of them to a
+micro-batch if a feed is ever added.
+"""
