@@ -159,17 +159,21 @@ def new_vs_returning(orders: DataFrame, customer_col: str = "customer_id",
     """COH-9: per month, orders that are a customer's first vs the rest.
 
     A customer has exactly one first order, in the cohort month, so new
-    orders per month equal the cohort size of that month: no per-customer
-    ordering is needed.  Columns: ``period``, ``orders``, ``new_orders``,
+    orders per month equal the number of customers whose first active month
+    it is: no per-order ranking is needed.  One scan: orders are counted per
+    (customer, month) (map-side combined), the cohort month is a window over
+    that table (at most one row per calendar month per customer), then
+    summed per month.  Columns: ``period``, ``orders``, ``new_orders``,
     ``returning_orders``.
     """
-    per_month = (_known(orders, customer_col)
-                 .groupBy(period_start(date_col, "month").alias("period"))
-                 .agg(F.count(F.lit(1)).alias("orders")))
-    new = (cohort_size(orders, customer_col, date_col)
-           .select(F.col("cohort").alias("period"), F.col("customers").alias("new_orders")))
-    return (per_month.join(new, "period", "left")
-            .withColumn("new_orders", F.coalesce("new_orders", F.lit(0).cast("bigint")))
+    per = (_known(orders, customer_col)
+           .groupBy(customer_col, period_start(date_col, "month").alias("period"))
+           .agg(F.count(F.lit(1)).alias("_n")))
+    first = F.min("period").over(Window.partitionBy(customer_col))
+    return (per.withColumn("_first", first)
+            .groupBy("period")
+            .agg(F.sum("_n").alias("orders"),
+                 F.count(F.when(F.col("period") == F.col("_first"), True)).alias("new_orders"))
             .withColumn("returning_orders", F.col("orders") - F.col("new_orders")))
 
 

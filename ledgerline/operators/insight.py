@@ -59,8 +59,10 @@ def seasonality(monthly: DataFrame, period_col: str = "period", value_col: str =
     m = monthly.select(F.year(period_col).alias("_year"), F.month(period_col).alias("_moy"),
                        F.col(value_col).alias("_v"))
     if complete_only:
-        full = m.groupBy("_year").agg(F.count_distinct("_moy").alias("_k")).filter("_k = 12")
-        m = m.join(full.select("_year"), "_year", "left_semi")
+        # Months present per year, as a window over the monthly rows: no
+        # second pass over the (expensive) input.
+        k = F.size(F.collect_set("_moy").over(Window.partitionBy("_year")))
+        m = m.withColumn("_k", k).filter(F.col("_k") == 12).drop("_k")
     per = m.groupBy(F.col("_moy").cast("int").alias("month_of_year")).agg(
         F.sum("_v").cast(TOTAL).alias("revenue"), F.count(F.lit(1)).alias("years"))
     total = Window.partitionBy()

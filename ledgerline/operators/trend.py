@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import TOTAL, money_sum, period_start, period_step, ratio
-from ._util import as_list, join_null_safe
+from ._util import as_list
 
 
 def trend(sales: DataFrame, grain: str = "month", by=None, date_col: str = "order_date",
@@ -36,27 +36,33 @@ def fill_calendar(trend_df: DataFrame, grain: str = "month", by=None,
                   period_col: str = "period", zero_cols=("revenue", "orders")) -> DataFrame:
     """TRD-5: one row per period from the first to the last period, per group.
 
-    Periods without sales get 0 in ``zero_cols``.  The calendar is generated
-    per group with ``sequence`` + ``explode`` between the global first and
-    last period (scalar subqueries, evaluated once), then left-joined to the
-    trend; no cross join.
+    Periods without sales get 0 in ``zero_cols`` (other measures stay null).
+    Single pass over the input, no join and no cross join: each group's
+    rows are folded into one map (period -> measures; at most one entry per
+    calendar period), the global first and last period come from a window
+    over those per-group rows (one row per group, so small), and
+    ``sequence`` + ``explode`` lays the calendar out again.
     """
     by = as_list(by)
     step = period_step(grain)
-    if by:
-        lo = trend_df.select(F.min(period_col)).scalar()
-        hi = trend_df.select(F.max(period_col)).scalar()
-        base = trend_df.select(*by).distinct()
-        grid = base.select(*by, F.explode(F.sequence(lo, hi, step)).alias(period_col))
-    else:
-        grid = (trend_df.agg(F.min(period_col).alias("_lo"), F.max(period_col).alias("_hi"))
-                .select(F.explode(F.sequence("_lo", "_hi", step)).alias(period_col)))
-    out = join_null_safe(grid, trend_df, [*by, period_col], "left")
-    fills = {}
-    for c in zero_cols:
-        if c in out.columns:
-            fills[c] = F.coalesce(F.col(c), F.lit(0).cast(trend_df.schema[c].dataType))
-    return out.withColumns(fills).select(*trend_df.columns)
+    measures = [c for c in trend_df.columns if c not in by and c != period_col]
+    per_group = trend_df.groupBy(*by).agg(
+        F.map_from_entries(F.collect_list(
+            F.struct(F.col(period_col), F.struct(*measures)))).alias("_cells"),
+        F.min(period_col).alias("_lo"), F.max(period_col).alias("_hi"))
+    everything = Window.partitionBy()
+    per_group = (per_group.withColumn("_lo", F.min("_lo").over(everything))
+                 .withColumn("_hi", F.max("_hi").over(everything)))
+    grid = per_group.select(*by, "_cells",
+                            F.explode(F.sequence("_lo", "_hi", step)).alias(period_col))
+    cell = F.try_element_at("_cells", F.col(period_col))
+    out = []
+    for c in measures:
+        v = cell.getField(c)
+        if c in zero_cols:
+            v = F.coalesce(v, F.lit(0).cast(trend_df.schema[c].dataType))
+        out.append(v.alias(c))
+    return grid.select(*by, period_col, *out).select(*trend_df.columns)
 
 
 def _ordered(by, period_col):
