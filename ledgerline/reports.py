@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .operators import clean as cln
 from .operators import cohort as coh
@@ -18,7 +19,8 @@ from .operators import kpi
 from .operators import trend as trd
 from .plans import dirty
 from .plans import sales as model
-from .sources import load, register
+from .session import scratch_path
+from .sources import export_csv, load, load_csv, register, write_clean
 
 Report = Callable[[SparkSession, str], DataFrame]
 REPORTS: dict[str, Report] = {}
@@ -27,6 +29,7 @@ REPORTS: dict[str, Report] = {}
 KPI_SLICE = {"start": "1998-01-01", "end": "1999-01-01",
              "categories": ["PROMO"], "regions": ["ASIA"]}
 MATRIX_INDEXES = (0, 1, 2, 3, 6, 12)
+FACT_SLICE = ("1998-01-01", "1999-01-01")
 TOP_K = 3
 PARETO_CUTOFF = 0.8
 SPIKE_RATIO = 1.1
@@ -82,6 +85,33 @@ def sql_monthly_orders(spark, sf_dir):
     """)
 
 
+@report("csv_raw_orders")
+def csv_raw_orders(spark, sf_dir):
+    """SRC-3: the raw orders exported as CSV, read back with a fixed schema.
+
+    Values that do not parse become null and their line is kept in the
+    corrupt-record column; ``malformed`` flags those lines.
+    """
+    path = export_csv(_raw(spark, sf_dir), scratch_path(spark, "raw_orders_csv"))
+    df = load_csv(spark, path, "oid BIGINT, cid BIGINT, prio STRING, amt DECIMAL(12,2), dt DATE")
+    return df.select("oid", "cid", "prio", "amt", "dt",
+                     F.col("_corrupt_record").isNotNull().alias("malformed"))
+
+
+@report("fact_month_slice")
+def fact_month_slice(spark, sf_dir):
+    """SNK-1: the fact written partitioned by month, read back for one year.
+
+    The filter names the partition column, so only 12 month folders are
+    listed and read (``PartitionFilters`` in the plan).
+    """
+    path = scratch_path(spark, "sales_fact")
+    write_clean(_sales(spark, sf_dir), path)
+    back = spark.read.parquet(path)
+    return back.filter((F.col("order_month") >= F.lit(FACT_SLICE[0]).cast("date"))
+                       & (F.col("order_month") < F.lit(FACT_SLICE[1]).cast("date")))
+
+
 # -- KPIs ----------------------------------------------------------------------
 
 @report("kpi_totals")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -64,3 +65,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return tune(spark)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder for intermediate tables, under the reliable checkpoint
+    folder (a shared location on a cluster, never a machine-local one)."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/ledgerline/{name}-{uuid.uuid4().hex}"

@@ -42,3 +42,19 @@ def publish(results: Mapping[str, DataFrame], path: str, mode: str = "overwrite"
         df.write.mode(mode).parquet(target)
         written.append(target)
     return written
+
+
+def export_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",",
+               mode: str = "overwrite") -> str:
+    """Write a raw delimited export (values kept as they are, spaces included).
+
+    Spark's CSV writer trims leading and trailing spaces by default; a raw
+    export must not, or the cleaning step would never see them.  Nulls are
+    written as empty fields, empty strings as ``""``.
+    """
+    (df.write.mode(mode)
+       .option("header", header).option("sep", sep)
+       .option("ignoreLeadingWhiteSpace", False)
+       .option("ignoreTrailingWhiteSpace", False)
+       .csv(path))
+    return path

@@ -454,3 +454,19 @@ FROM orders""")
 
 
 SQL["profile_orders"] = _profile(("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"))
+
+
+SQL["csv_raw_orders"] = f"""
+WITH {RAW}
+SELECT oid, cid, NULLIF(prio, '') AS prio, TRY_CAST(amt AS DECIMAL(12,2)) AS amt,
+       TRY_CAST(dt AS DATE) AS dt,
+       (amt IS NOT NULL AND TRY_CAST(amt AS DECIMAL(12,2)) IS NULL)
+         OR (dt IS NOT NULL AND TRY_CAST(dt AS DATE) IS NULL) AS malformed
+FROM raw
+"""
+
+SQL["fact_month_slice"] = f"""
+WITH {SALES}
+SELECT *, {_month('order_date')} AS order_month FROM sales
+WHERE order_date >= DATE '1998-01-01' AND order_date < DATE '1999-01-01'
+"""
