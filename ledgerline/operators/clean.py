@@ -271,20 +271,22 @@ def reject_counts(rejected: DataFrame, reason_col: str = REASON) -> DataFrame:
 def profile(df: DataFrame, cols=None) -> DataFrame:
     """CLN-10: per column: rows, nulls, distinct values, min and max (as text).
 
-    One aggregate computes every statistic (a single scan; exact distinct
-    counts), then ``inline`` turns the one result row into one row per
-    column.  min/max are taken in the column's own type, then cast to text.
+    One small aggregate per column, combined with ``unionByName``.  Each
+    reads only its own column from a columnar source, and its exact
+    distinct count shuffles only that column's (map-side deduplicated)
+    values.  A single aggregate over all columns would instead make Spark
+    copy every row once per distinct count (``Expand``) before shuffling.
+    min / max are taken in the column's own type, then cast to text.
     """
     cols = as_list(cols) or df.columns
-    stats = []
-    for i, c in enumerate(cols):
-        stats += [F.count(F.col(c)).alias(f"_nn{i}"), F.count_distinct(F.col(c)).alias(f"_d{i}"),
-                  F.min(F.col(c)).cast("string").alias(f"_lo{i}"),
-                  F.max(F.col(c)).cast("string").alias(f"_hi{i}")]
-    one = df.agg(F.count(F.lit(1)).alias("_rows"), *stats)
-    rows = [F.struct(F.lit(c).alias("column"), F.col("_rows").alias("rows"),
-                     (F.col("_rows") - F.col(f"_nn{i}")).alias("nulls"),
-                     F.col(f"_d{i}").alias("distinct_values"),
-                     F.col(f"_lo{i}").alias("min_value"), F.col(f"_hi{i}").alias("max_value"))
-            for i, c in enumerate(cols)]
-    return one.select(F.inline(F.array(*rows)))
+    parts = [df.agg(F.lit(c).alias("column"),
+                    F.count(F.lit(1)).alias("rows"),
+                    (F.count(F.lit(1)) - F.count(F.col(c))).alias("nulls"),
+                    F.count_distinct(F.col(c)).alias("distinct_values"),
+                    F.min(F.col(c)).cast("string").alias("min_value"),
+                    F.max(F.col(c)).cast("string").alias("max_value"))
+             for c in cols]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
