@@ -57,7 +57,8 @@ def breakdown(sales: DataFrame, dims, totals: bool = False, order_col: str = "or
     order): subtotals carry null in the rolled-up columns and ``level`` is
     Spark's ``grouping_id`` (0 = finest cell, 2^n - 1 = grand total).  Lines
     are first reduced to one row per (dims, order) so the rollup's row copies
-    (one per level) apply to a smaller input.
+    (one per level) apply to a smaller input.  On empty input Spark returns
+    no rows at all, not even a grand-total row.
     """
     dims = as_list(dims)
     per_order = sales.groupBy(*dims, order_col).agg(F.sum(amount_col).alias("_amount"))
