@@ -44,3 +44,15 @@ def test_publish(spark, tmp_path):
                     str(tmp_path))
     assert spark.read.parquet(paths[0]).count() == 1
     assert spark.read.parquet(paths[1]).count() == 5
+
+
+def test_dashboard_materialized_equals_direct(spark, tmp_path):
+    from ledgerline.dashboard import dashboard
+    from conftest import rows
+    t = load(spark, SF_SMALL)
+    direct = dashboard(spark, t, materialize=False)
+    stored = dashboard(spark, t, materialize=True, out_path=str(tmp_path / "dash"))
+    assert set(direct) == set(stored)
+    for name in direct:
+        assert rows(direct[name]) == rows(stored[name]), name
+    assert spark.read.parquet(str(tmp_path / "dash" / "kpis")).count() == 1
