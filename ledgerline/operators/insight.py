@@ -1,7 +1,8 @@
 """Insights (INS-1 ... INS-4): category ranking, Pareto share, seasonality, spikes.
 
-All of these read an aggregated table (one row per category or per month),
-so their windows without a partition key move only that small table.
+Ranking and Pareto shares work for any number of groups (range slices plus
+per-slice offsets, never a single-partition window).  Seasonality and
+spikes work on one row per month, a table bounded by the calendar.
 """
 
 from __future__ import annotations
@@ -12,38 +13,60 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import TOTAL, ratio
+from ..plans.ranking import ordered_slices
 from ._util import as_list
 from .kpi import breakdown
 
 
-def rank_categories(sales: DataFrame, by="category") -> DataFrame:
-    """INS-1: ``by`` groups ranked by revenue (1 = highest; ties share a rank)."""
+def rank_categories(sales: DataFrame, by="category",
+                    num_partitions: int | None = None) -> DataFrame:
+    """INS-1: ``by`` groups ranked by revenue (1 = highest; ties share a rank).
+
+    rank = 1 + number of groups with more revenue.  The groups are
+    range-partitioned on revenue (equal revenues share a slice), ranked
+    inside each slice, and shifted by the row count of the earlier slices,
+    so no single task holds the whole table, however many groups there are.
+    """
     by = as_list(by)
     agg = breakdown(sales, by).select(*by, "revenue")
-    w = Window.orderBy(F.col("revenue").desc())
-    return agg.withColumn("rank", F.rank().over(w))
+    sliced, offsets = ordered_slices(agg, [F.col("revenue").desc()],
+                                     num_partitions=num_partitions)
+    local = F.rank().over(Window.partitionBy("_slice").orderBy(F.col("revenue").desc()))
+    return (sliced.withColumn("_local", local)
+            .join(F.broadcast(offsets.select("_slice", "_rows_before")), "_slice")
+            .select(*by, "revenue",
+                    (F.col("_rows_before") + F.col("_local")).cast("int").alias("rank")))
 
 
-def pareto(sales: DataFrame, by="category", cutoff: float = 0.8) -> DataFrame:
+def pareto(sales: DataFrame, by="category", cutoff: float = 0.8,
+           num_partitions: int | None = None) -> DataFrame:
     """INS-2: cumulative revenue share, largest first; flag the core groups.
 
     A group is *core* when the groups ranked above it hold less than
     ``cutoff`` of revenue, i.e. the core is the smallest top set reaching
     the cutoff.  The test is done on exact decimals; ``share`` and
     ``cum_share`` are reported as doubles.  Ties are ordered by name.
+
+    The running total is computed per range slice and shifted by the totals
+    of the earlier slices (``ordered_slices``), so it scales to any number
+    of groups; the slice table is bounded by the partition count, which is
+    what makes its broadcast safe.
     """
     by = as_list(by)
     agg = breakdown(sales, by).select(*by, "revenue")
     order = [F.col("revenue").desc(), *[F.col(c).asc() for c in by]]
-    run = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    everything = Window.partitionBy()
-    out = (agg.withColumn("_total", F.sum("revenue").over(everything))
-           .withColumn("_running", F.sum("revenue").over(run)))
+    sliced, offsets = ordered_slices(agg, order, "revenue", num_partitions)
+    run = (Window.partitionBy("_slice").orderBy(*order)
+           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    out = (sliced.withColumn("_local", F.sum("revenue").over(run))
+           .join(F.broadcast(offsets.select("_slice", "_sum_before", "_sum_all")), "_slice")
+           .withColumn("_running", F.col("_sum_before") + F.col("_local")))
     cut = F.lit(Decimal(str(cutoff)))
-    return (out.withColumn("share", ratio("revenue", "_total"))
-            .withColumn("cum_share", ratio("_running", "_total"))
-            .withColumn("is_core", (F.col("_running") - F.col("revenue")) < F.col("_total") * cut)
-            .drop("_total", "_running"))
+    return (out.withColumn("share", ratio("revenue", "_sum_all"))
+            .withColumn("cum_share", ratio("_running", "_sum_all"))
+            .withColumn("is_core",
+                        (F.col("_running") - F.col("revenue")) < F.col("_sum_all") * cut)
+            .select(*by, "revenue", "share", "cum_share", "is_core"))
 
 
 def seasonality(monthly: DataFrame, period_col: str = "period", value_col: str = "revenue",

@@ -74,15 +74,29 @@ def breakdown(sales: DataFrame, dims, totals: bool = False, order_col: str = "or
 
 
 def top_k(df: DataFrame, k: int, within=None, value_col: str = "revenue",
-          tie_cols=None) -> DataFrame:
+          tie_cols=None, buckets: int | None = None) -> DataFrame:
     """BRK-4: the ``k`` rows with the largest ``value_col`` within each group.
 
-    Meant for aggregated input (e.g. a ``breakdown``), whose groups are
-    small.  Ties are broken by ``tie_cols`` ascending so exactly ``k`` rows
-    per group come back; ``rank`` is 1-based.
+    Ties are broken by ``tie_cols`` ascending so exactly ``k`` rows per group
+    come back; ``rank`` is 1-based.
+
+    Two phases, so a group holding most of the rows never sits in one task:
+    rows are salted into ``buckets`` by a hash of the tie columns and the
+    top ``k`` is kept per (group, bucket); the final top ``k`` per group is
+    then taken from at most ``k * buckets`` candidates.  Every true top-k
+    row survives phase one (it is also top-k within its own bucket), so the
+    result is exact.
     """
     within = as_list(within)
     ties = as_list(tie_cols) or [c for c in df.columns if c not in within and c != value_col
                                  and df.schema[c].dataType.simpleString() == "string"]
-    w = Window.partitionBy(*within).orderBy(F.col(value_col).desc(), *[F.col(c).asc() for c in ties])
-    return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    order = [F.col(value_col).desc(), *[F.col(c).asc() for c in ties]]
+    b = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salt_cols = ties or [c for c in df.columns if c not in within]
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in salt_cols]), F.lit(b))
+    w1 = Window.partitionBy(*within, "_bucket").orderBy(*order)
+    candidates = (df.withColumn("_bucket", salt)
+                  .withColumn("_r", F.row_number().over(w1))
+                  .filter(F.col("_r") <= k).drop("_r", "_bucket"))
+    w2 = Window.partitionBy(*within).orderBy(*order)
+    return candidates.withColumn("rank", F.row_number().over(w2)).filter(F.col("rank") <= k)

@@ -55,3 +55,35 @@ def group_row_number(df: DataFrame, keys, order, out: str = "row_number",
     joined = join_null_safe(numbered, offsets, [*keys, "_slice"], "inner")
     return (joined.withColumn(out, (F.col("_before") + F.col("_local")).cast("bigint"))
             .drop("_slice", "_local", "_before"))
+
+
+def ordered_slices(df: DataFrame, order, value_col: str | None = None,
+                   num_partitions: int | None = None):
+    """Range-partition ``df`` on ``order`` and describe the slices.
+
+    Returns ``(sliced, offsets)``.  ``sliced`` is ``df`` plus ``_slice`` (the
+    range partition of each row; slices are contiguous in ``order``, and rows
+    with equal ``order`` values always share a slice).  ``offsets`` has one
+    row per non-empty slice - at most ``num_partitions`` rows, a bound fixed
+    by configuration, not by the data - with ``_rows_before`` / ``_sum_before``
+    (rows and ``value_col`` total of all earlier slices) and ``_rows_all`` /
+    ``_sum_all`` (whole table).  A window over ``_slice`` plus these offsets
+    gives global running counts and sums without a single-partition window.
+    """
+    order_cols = [_sort_col(c) for c in (as_list(order) if isinstance(order, str) else order)]
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sliced = df.repartitionByRange(n, *order_cols).withColumn("_slice", F.spark_partition_id())
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    if value_col:
+        aggs.append(F.sum(value_col).alias("_sum"))
+    per = sliced.groupBy("_slice").agg(*aggs)
+    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.partitionBy()
+    cols = [F.col("_slice"),
+            F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_rows_before"),
+            F.sum("_rows").over(everything).alias("_rows_all")]
+    if value_col:
+        zero = F.lit(0).cast(per.schema["_sum"].dataType)
+        cols += [F.coalesce(F.sum("_sum").over(before), zero).alias("_sum_before"),
+                 F.sum("_sum").over(everything).alias("_sum_all")]
+    return sliced, per.select(*cols)

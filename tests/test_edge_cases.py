@@ -64,3 +64,33 @@ def test_hot_key_dedup_and_ranking(spark):
     assert rows(cln.dedup_by_key(df, ["k"], [("v", "desc")]).filter("k = 1"), "v") == [(299,)]
     rn = group_row_number(df, ["k"], ["v"], num_partitions=8).filter("k = 1")
     assert sorted(r["row_number"] - r["v"] for r in rn.collect()) == [1] * 300
+
+
+def test_distributed_rank_pareto_topk_against_brute_force(spark, make_sales):
+    import random
+    rnd = random.Random(7)
+    data = []
+    for i in range(120):
+        cat = f"c{rnd.randint(0, 59):02d}"
+        data.append((i, 1, "2020-01-01", cat, cat, rnd.choice(["EU", "US", "EU", "EU"]),
+                     str(rnd.choice([5, 10, 10, 20, 35]))))
+    s = make_sales(data)
+    tot = {}
+    for *_, cat, _sub, _reg, rev in data:
+        tot[cat] = tot.get(cat, 0) + int(rev)
+    got = {r["category"]: r["rank"] for r in ins.rank_categories(s, num_partitions=6).collect()}
+    assert got == {c: 1 + sum(v > tot[c] for v in tot.values()) for c in tot}
+    order = sorted(tot, key=lambda c: (-tot[c], c))
+    running, want = 0, {}
+    for c in order:
+        want[c] = running < 0.8 * sum(tot.values())
+        running += tot[c]
+    p = {r["category"]: r["is_core"] for r in ins.pareto(s, num_partitions=6).collect()}
+    assert p == want
+    cells = kpi.breakdown(s, ["region", "category"]).select("region", "category", "revenue")
+    top = kpi.top_k(cells, 3, within="region", tie_cols=["category"], buckets=5)
+    by_region = {}
+    for r in cells.collect():
+        by_region.setdefault(r["region"], []).append((-r["revenue"], r["category"]))
+    want_top = sorted((reg, c) for reg, lst in by_region.items() for _, c in sorted(lst)[:3])
+    assert sorted((r["region"], r["category"]) for r in top.collect()) == want_top
