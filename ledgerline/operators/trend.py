@@ -37,11 +37,10 @@ def fill_calendar(trend_df: DataFrame, grain: str = "month", by=None,
     """TRD-5: one row per period from the first to the last period, per group.
 
     Periods without sales get 0 in ``zero_cols`` (other measures stay null).
-    Single pass over the input, no join and no cross join: each group's
-    rows are folded into one map (period -> measures; at most one entry per
-    calendar period), the global first and last period come from a window
-    over those per-group rows (one row per group, so small), and
-    ``sequence`` + ``explode`` lays the calendar out again.
+    No join and no cross join: each group's rows are folded into one map
+    (period -> measures; at most one entry per calendar period), the global
+    first and last period come from a scalar subquery over those per-group
+    rows, and ``sequence`` + ``explode`` lays the calendar out again.
     """
     by = as_list(by)
     step = period_step(grain)
@@ -50,11 +49,14 @@ def fill_calendar(trend_df: DataFrame, grain: str = "month", by=None,
         F.map_from_entries(F.collect_list(
             F.struct(F.col(period_col), F.struct(*measures)))).alias("_cells"),
         F.min(period_col).alias("_lo"), F.max(period_col).alias("_hi"))
-    everything = Window.partitionBy()
-    per_group = (per_group.withColumn("_lo", F.min("_lo").over(everything))
-                 .withColumn("_hi", F.max("_hi").over(everything)))
+    # Global first / last period: one scalar subquery (a global aggregate,
+    # partially aggregated per task) over the per-group table, so any
+    # number of groups works; Spark reuses the per-group shuffle for it.
+    bounds = per_group.select(F.struct(F.min("_lo").alias("lo"),
+                                       F.max("_hi").alias("hi"))).scalar()
     grid = per_group.select(*by, "_cells",
-                            F.explode(F.sequence("_lo", "_hi", step)).alias(period_col))
+                            F.explode(F.sequence(bounds.getField("lo"), bounds.getField("hi"),
+                                                 step)).alias(period_col))
     cell = F.try_element_at("_cells", F.col(period_col))
     out = []
     for c in measures:
