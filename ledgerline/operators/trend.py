@@ -16,7 +16,8 @@ from ._util import as_list
 
 
 def trend(sales: DataFrame, grain: str = "month", by=None, date_col: str = "order_date",
-          amount_col: str = "revenue", order_col: str = "order_id") -> DataFrame:
+          amount_col: str = "revenue", order_col: str = "order_id",
+          complete_only: bool = False) -> DataFrame:
     """TRD-1/2/3/4: revenue and distinct orders per period (and group).
 
     Output: ``period`` (date), the ``by`` columns, ``revenue`` (decimal),
@@ -24,12 +25,22 @@ def trend(sales: DataFrame, grain: str = "month", by=None, date_col: str = "orde
     aggregation: first to (period, group, order), then to (period, group).
     This is the plan Spark would pick for ``count(DISTINCT order_id)``,
     written out so the order-level step is explicit.
+
+    ``complete_only`` drops periods that end after the last day with data
+    (a partial last month would otherwise look like a collapse).  The last
+    day comes from the aggregated periods, through a scalar subquery.
     """
     by = as_list(by)
     per_order = (sales.groupBy(period_start(date_col, grain).alias("period"), *by, order_col)
-                 .agg(F.sum(amount_col).alias("_amount")))
-    return (per_order.groupBy("period", *by)
-            .agg(money_sum("_amount").alias("revenue"), F.count(order_col).alias("orders")))
+                 .agg(F.sum(amount_col).alias("_amount"), F.max(date_col).alias("_day")))
+    out = (per_order.groupBy("period", *by)
+           .agg(money_sum("_amount").alias("revenue"), F.count(order_col).alias("orders"),
+                F.max("_day").alias("_day")))
+    if complete_only:
+        last_day = out.select(F.max("_day")).scalar()
+        period_end = F.date_sub(F.col("period") + period_step(grain), 1)
+        out = out.filter(period_end <= last_day)
+    return out.drop("_day")
 
 
 def fill_calendar(trend_df: DataFrame, grain: str = "month", by=None,

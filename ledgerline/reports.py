@@ -139,6 +139,12 @@ def trend_monthly(spark, sf_dir):
     return trd.trend(_sales(spark, sf_dir), "month")
 
 
+@report("trend_monthly_complete")
+def trend_monthly_complete(spark, sf_dir):
+    t = trd.trend(_sales(spark, sf_dir), "month", complete_only=True)
+    return trd.growth(trd.fill_calendar(t, "month"))
+
+
 @report("trend_category_monthly")
 def trend_category_monthly(spark, sf_dir):
     return trd.trend(_sales(spark, sf_dir), "month", by="category")

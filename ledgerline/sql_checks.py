@@ -173,6 +173,27 @@ SELECT period, revenue, orders, prev_revenue,
 FROM g
 """
 
+SQL["trend_monthly_complete"] = f"""
+WITH {SALES},
+per_order0 AS (
+  SELECT {_month('order_date')} AS period, order_id, sum(revenue) AS amount
+  FROM sales GROUP BY ALL
+),
+trend0 AS (
+  SELECT period, CAST(sum(amount) AS DECIMAL(28,4)) AS revenue, count(order_id) AS orders
+  FROM per_order0 GROUP BY ALL
+),
+trend AS (
+  SELECT * FROM trend0
+  WHERE CAST(period + INTERVAL 1 MONTH - INTERVAL 1 DAY AS DATE)
+        <= (SELECT max(order_date) FROM sales)
+), {_filled(step='MONTH')},
+g AS (SELECT *, lag(revenue) OVER (ORDER BY period) AS prev_revenue FROM filled)
+SELECT period, revenue, orders, prev_revenue,
+       {_ratio('revenue - prev_revenue', 'prev_revenue')} AS growth
+FROM g
+"""
+
 SQL["trend_ytd"] = f"""
 WITH {SALES}, {_trend(_month('order_date'))}
 SELECT period, revenue, orders,

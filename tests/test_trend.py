@@ -62,3 +62,11 @@ def test_empty_input(make_sales):
     s = make_sales([])
     assert trd.trend(s, "month").count() == 0
     assert trd.fill_calendar(trd.trend(s, "day"), "day").count() == 0
+
+
+def test_complete_only_drops_partial_last_period(make_sales):
+    s = make_sales(SALES)           # last data day 2021-01-10: January 2021 is partial
+    got = [r["period"] for r in trd.trend(s, "month", complete_only=True).collect()]
+    assert sorted(got) == [D("2020-01-01"), D("2020-03-01")]
+    days = trd.trend(s, "day", complete_only=True).count()
+    assert days == 3                # a day with data is always complete
