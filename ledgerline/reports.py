@@ -204,6 +204,11 @@ def breakdown_top_categories(spark, sf_dir):
 
 # -- cohorts -------------------------------------------------------------------
 
+@report("customer_cohorts")
+def customer_cohorts(spark, sf_dir):
+    return coh.assign_cohort(_orders(spark, sf_dir))
+
+
 @report("cohort_sizes")
 def cohort_sizes(spark, sf_dir):
     return coh.cohort_size(_orders(spark, sf_dir))

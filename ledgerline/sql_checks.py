@@ -243,6 +243,11 @@ r AS (
 SELECT * FROM r WHERE rank <= 3
 """
 
+SQL["customer_cohorts"] = f"""
+WITH {ORDERS}
+SELECT customer_id, {_month('min(order_date)')} AS cohort FROM ords GROUP BY customer_id
+"""
+
 SQL["cohort_sizes"] = f"""
 WITH {ORDERS},
 fo AS (SELECT customer_id, {_month('min(order_date)')} AS cohort FROM ords GROUP BY customer_id)
