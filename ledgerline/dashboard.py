@@ -24,7 +24,7 @@ from .operators import kpi
 from .operators import trend as trd
 from .plans import sales as model
 from .session import scratch_path
-from .sources import publish, write_clean
+from .sources import publish, read_clean, write_clean
 
 
 def materialized_sales(spark: SparkSession, tables: Mapping[str, DataFrame],
@@ -32,7 +32,7 @@ def materialized_sales(spark: SparkSession, tables: Mapping[str, DataFrame],
     """Write the sales fact once (month-partitioned) and return a reader of it."""
     path = path or scratch_path(spark, "sales_fact")
     write_clean(model.sales(tables, start, end), path)
-    return spark.read.parquet(path).drop("order_month")
+    return read_clean(spark, path)
 
 
 def dashboard(spark: SparkSession, tables: Mapping[str, DataFrame], max_cohort_index: int = 12,

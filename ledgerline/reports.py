@@ -20,7 +20,7 @@ from .operators import trend as trd
 from .plans import dirty
 from .plans import sales as model
 from .session import scratch_path
-from .sources import export_csv, load, load_csv, register, write_clean
+from .sources import export_csv, load, load_csv, read_clean, register, write_clean
 
 Report = Callable[[SparkSession, str], DataFrame]
 REPORTS: dict[str, Report] = {}
@@ -102,14 +102,12 @@ def csv_raw_orders(spark, sf_dir):
 def fact_month_slice(spark, sf_dir):
     """SNK-1: the fact written partitioned by month, read back for one year.
 
-    The filter names the partition column, so only 12 month folders are
-    listed and read (``PartitionFilters`` in the plan).
+    ``read_clean`` filters the partition column as well as the date, so only
+    12 month folders are read (``PartitionFilters`` in the plan).
     """
     path = scratch_path(spark, "sales_fact")
     write_clean(_sales(spark, sf_dir), path)
-    back = spark.read.parquet(path)
-    return back.filter((F.col("order_month") >= F.lit(FACT_SLICE[0]).cast("date"))
-                       & (F.col("order_month") < F.lit(FACT_SLICE[1]).cast("date")))
+    return read_clean(spark, path, *FACT_SLICE, keep_partition_col=True)
 
 
 # -- KPIs ----------------------------------------------------------------------

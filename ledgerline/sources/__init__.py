@@ -1,8 +1,8 @@
 """Sources and sinks: Parquet tables, CSV exports, result tables."""
 
 from .csv import CORRUPT, load_csv
-from .sinks import export_csv, publish, write_clean
+from .sinks import export_csv, publish, read_clean, write_clean
 from .tables import SCHEMAS, Tables, load, read_table, register, schema
 
-__all__ = ["CORRUPT", "export_csv", "SCHEMAS", "Tables", "load", "load_csv", "publish", "read_table",
+__all__ = ["CORRUPT", "export_csv", "SCHEMAS", "Tables", "load", "load_csv", "publish", "read_clean", "read_table",
            "register", "schema", "write_clean"]

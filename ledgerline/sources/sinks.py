@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as _dt
 import os
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -58,3 +59,27 @@ def export_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",",
        .option("ignoreTrailingWhiteSpace", False)
        .csv(path))
     return path
+
+
+def _as_date(v):
+    return _dt.date.fromisoformat(v) if isinstance(v, str) else v
+
+
+def read_clean(spark: SparkSession, path: str, start=None, end=None,
+               date_col: str = "order_date", partition_col: str = "order_month",
+               keep_partition_col: bool = False) -> DataFrame:
+    """Read ``write_clean`` output for ``start <= date < end``.
+
+    The bound is applied twice: on the month partition column, which prunes
+    folders (``PartitionFilters``), and on the date itself, which trims the
+    first and last month and is pushed into the Parquet scan.
+    """
+    df = spark.read.parquet(path)
+    if start is not None:
+        s = _as_date(start)
+        df = df.filter((F.col(partition_col) >= F.lit(s.replace(day=1)))
+                       & (F.col(date_col) >= F.lit(s)))
+    if end is not None:
+        e = _as_date(end)
+        df = df.filter((F.col(partition_col) < F.lit(e)) & (F.col(date_col) < F.lit(e)))
+    return df if keep_partition_col else df.drop(partition_col)

@@ -56,3 +56,15 @@ def test_dashboard_materialized_equals_direct(spark, tmp_path):
     for name in direct:
         assert rows(direct[name]) == rows(stored[name]), name
     assert spark.read.parquet(str(tmp_path / "dash" / "kpis")).count() == 1
+
+
+def test_read_clean_prunes_and_trims(spark, tmp_path):
+    from ledgerline.sources import read_clean
+    fact = model.sales(load(spark, SF_SMALL))
+    out = str(tmp_path / "fact")
+    write_clean(fact, out)
+    part = read_clean(spark, out, "1998-03-15", "1998-05-10")
+    want = fact.filter("order_date >= DATE'1998-03-15' AND order_date < DATE'1998-05-10'")
+    assert part.count() == want.count() and part.columns == fact.columns
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(order_month" in plan
