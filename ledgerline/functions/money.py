@@ -20,10 +20,16 @@ def _col(c: str | Column) -> Column:
 
 
 def line_revenue(price: str | Column, discount: str | Column) -> Column:
-    """Net line revenue: price (2 decimals) times (1 - discount (2 decimals))."""
+    """Net line revenue: price (2 decimals) times (1 - discount (2 decimals)).
+
+    Typed so the product is exactly ``DECIMAL(18,4)``: (12,2) x (5,2) has 18
+    digits and 4 decimals, so no wider intermediate has to be checked and
+    narrowed on every row.  The value is exact either way.
+    """
     p = _col(price).cast(DecimalType(12, 2))
     d = _col(discount).cast(DecimalType(4, 2))
-    return (p * (F.lit(1) - d)).cast(AMOUNT)
+    one = F.lit(1).cast(DecimalType(3, 2))
+    return (p * (one - d)).cast(AMOUNT)
 
 
 def money_sum(c: str | Column) -> Column:
