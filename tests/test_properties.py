@@ -94,3 +94,53 @@ def test_sales_invariants(spark, make_sales, data):
     for x in sorted(monthly.collect(), key=lambda x: x["period"]):
         by_year[x["period"].year] += x["revenue"]
         assert x["ytd_revenue"] == by_year[x["period"].year]
+
+
+raw_row = st.tuples(
+    st.integers(1, 6),                                             # oid
+    st.one_of(st.none(), st.integers(1, 3)),                       # cid
+    st.sampled_from(["HIGH", " high ", "", "  ", None, "low"]),    # prio
+    st.sampled_from(["1.50", " 1.5", "n/a", "", None, "20"]),      # amt
+    st.sampled_from(["2020-01-02", "2020-13-40", " 2020-01-02 ", "", None]))  # dt
+
+
+def _py_clean(rows):
+    from decimal import Decimal, InvalidOperation
+
+    def amt(v):
+        if v is None or not v.strip():
+            return None
+        try:
+            return Decimal(v.strip()).quantize(Decimal("0.01"))
+        except InvalidOperation:
+            return None
+
+    def day(v):
+        try:
+            return dt.date.fromisoformat(v.strip()) if v is not None else None
+        except ValueError:
+            return None
+
+    def prio(v):
+        v = v.strip().upper() if v is not None else None
+        return v or None
+
+    std = {(o, c, prio(p), amt(a), day(d)) for o, c, p, a, d in rows}
+    acc, rej = [], []
+    for r in std:
+        reason = ("missing_customer" if r[1] is None else "bad_date" if r[4] is None
+                  else "bad_amount" if r[3] is None else "blank_priority" if r[2] is None else None)
+        (rej if reason else acc).append(r if not reason else r + (reason,))
+    return sorted(acc, key=str), sorted(rej, key=str)
+
+
+@SETTINGS
+@given(st.lists(raw_row, min_size=1, max_size=30))
+def test_clean_against_python(spark, data):
+    from ledgerline.operators import clean as cln
+    from ledgerline.reports import RAW_ORDER_RULES
+    raw = spark.createDataFrame(data, "oid BIGINT, cid BIGINT, prio STRING, amt STRING, dt STRING")
+    acc, rej = cln.clean(raw, RAW_ORDER_RULES)
+    want_acc, want_rej = _py_clean(data)
+    assert sorted((tuple(r) for r in acc.collect()), key=str) == want_acc
+    assert sorted((tuple(r) for r in rej.collect()), key=str) == want_rej
