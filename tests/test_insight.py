@@ -1,7 +1,6 @@
 from conftest import D, M, rows
 
 from ledgerline.operators import insight as ins
-from ledgerline.operators import trend as trd
 
 
 def test_rank_and_pareto(make_sales):
