@@ -29,10 +29,15 @@ SALES_COLUMNS = ("order_id", "customer_id", "order_date", "category", "subcatego
 
 
 def _ts(value) -> F.Column:
-    """A date bound as a TIMESTAMP_NTZ literal, comparable with the raw column."""
+    """A date bound as a TIMESTAMP_NTZ literal, comparable with the raw column.
+
+    Built from text, not from a Python ``datetime``: PySpark converts a
+    ``datetime`` through the driver process's local time zone, which need
+    not be the session's, and the bound would shift.
+    """
     if isinstance(value, str):
         value = _dt.date.fromisoformat(value)
-    return F.lit(_dt.datetime(value.year, value.month, value.day)).cast("timestamp_ntz")
+    return F.lit(f"{value.isoformat()} 00:00:00").cast("timestamp_ntz")
 
 
 def _orders_in_range(orders: DataFrame, start=None, end=None) -> DataFrame:

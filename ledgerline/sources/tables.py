@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 from collections.abc import Iterator, Mapping
 
@@ -24,7 +25,9 @@ SCHEMAS: dict[str, str] = {
 }
 
 
+@functools.lru_cache(maxsize=None)
 def schema(name: str) -> StructType:
+    """The fixed schema of ``name`` (parsed once; ``StructType`` is immutable)."""
     return StructType.fromDDL(SCHEMAS[name])
 
 

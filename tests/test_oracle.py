@@ -53,3 +53,13 @@ def test_survey_values_at_sf001(spark):
     rej = {r["reason"]: r["rows"] for r in q["clean_reject_reasons"](spark, SF_CHECK).collect()}
     assert rej == {"missing_customer": 155, "bad_date": 203, "bad_amount": 186,
                    "blank_priority": 173}
+
+
+def test_slicer_bounds_ignore_time_zones(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Pacific/Kiritimati")   # UTC+14
+    try:
+        s = E.queries()["kpi_sliced"](spark, SF_CHECK).collect()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert (s["revenue"], s["orders"]) == (M("15832061.2200"), 234)
