@@ -19,15 +19,15 @@ from ..functions import month_index, period_start, ratio
 from ..plans.ranking import group_row_number
 
 
-def _known(orders: DataFrame, customer_col: str) -> DataFrame:
-    """Orders with a customer; an order without one belongs to no cohort."""
-    return orders.filter(F.col(customer_col).isNotNull())
+def _known(orders: DataFrame, customer_col: str, date_col: str = "order_date") -> DataFrame:
+    """Orders with a customer and a date; any other order belongs to no cohort."""
+    return orders.filter(F.col(customer_col).isNotNull() & F.col(date_col).isNotNull())
 
 
 def assign_cohort(orders: DataFrame, customer_col: str = "customer_id",
                   date_col: str = "order_date") -> DataFrame:
     """COH-1: one row per customer: ``cohort`` = month of the first order."""
-    return (_known(orders, customer_col).groupBy(customer_col)
+    return (_known(orders, customer_col, date_col).groupBy(customer_col)
             .agg(period_start(F.min(date_col), "month").alias("cohort")))
 
 
@@ -49,7 +49,7 @@ def _cohorts(orders, customer_col, date_col) -> DataFrame:
     The table is one row per cohort month, so the global last month is a
     window over it, not a second scan of the orders.
     """
-    months = (_known(orders, customer_col).groupBy(customer_col)
+    months = (_known(orders, customer_col, date_col).groupBy(customer_col)
               .agg(F.collect_set(period_start(date_col, "month")).alias("_months")))
     cells = (months.select(F.array_min("_months").alias("cohort"),
                            F.explode("_months").alias("_month"))
@@ -133,9 +133,10 @@ def retention_curve(orders: DataFrame, customer_col: str = "customer_id",
 
 
 def repeat_rate(orders: DataFrame, customer_col: str = "customer_id",
-                order_col: str = "order_id") -> DataFrame:
+                order_col: str = "order_id", date_col: str = "order_date") -> DataFrame:
     """COH-7: share of ordering customers with two or more orders (one row)."""
-    per_customer = _known(orders, customer_col).groupBy(customer_col).agg(F.count_distinct(order_col).alias("_n"))
+    per_customer = (_known(orders, customer_col, date_col).groupBy(customer_col)
+                    .agg(F.count_distinct(order_col).alias("_n")))
     return (per_customer.agg(F.count(F.lit(1)).alias("customers"),
                              F.count(F.when(F.col("_n") >= 2, True)).alias("repeat_customers"))
             .withColumn("repeat_rate", ratio("repeat_customers", "customers")))
@@ -150,7 +151,8 @@ def order_seq(orders: DataFrame, customer_col: str = "customer_id",
     ``group_row_number``, so a customer with a huge share of all orders is
     numbered by several tasks.
     """
-    return group_row_number(_known(orders, customer_col), [customer_col], [F.col(date_col), F.col(order_col)],
+    return group_row_number(_known(orders, customer_col, date_col), [customer_col],
+                            [F.col(date_col), F.col(order_col)],
                             out="order_seq", num_partitions=num_partitions)
 
 
@@ -166,7 +168,7 @@ def new_vs_returning(orders: DataFrame, customer_col: str = "customer_id",
     summed per month.  Columns: ``period``, ``orders``, ``new_orders``,
     ``returning_orders``.
     """
-    per = (_known(orders, customer_col)
+    per = (_known(orders, customer_col, date_col)
            .groupBy(customer_col, period_start(date_col, "month").alias("period"))
            .agg(F.count(F.lit(1)).alias("_n")))
     first = F.min("period").over(Window.partitionBy(customer_col))
@@ -186,7 +188,8 @@ def order_gaps(orders: DataFrame, customer_col: str = "customer_id",
     comes from ``lag`` over that per-day table (at most one row per calendar
     day per customer).  Columns: ``gap_days`` (int), ``occurrences``.
     """
-    per_day = _known(orders, customer_col).groupBy(customer_col, date_col).agg(F.count(F.lit(1)).alias("_n"))
+    per_day = (_known(orders, customer_col, date_col).groupBy(customer_col, date_col)
+               .agg(F.count(F.lit(1)).alias("_n")))
     w = Window.partitionBy(customer_col).orderBy(date_col)
     gaps = per_day.withColumn("_gap", F.datediff(F.col(date_col), F.lag(date_col).over(w)))
     events = gaps.select(F.explode(F.array(

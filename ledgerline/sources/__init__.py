@@ -4,5 +4,5 @@ from .csv import CORRUPT, load_csv
 from .sinks import export_csv, publish, read_clean, write_clean
 from .tables import SCHEMAS, Tables, load, read_table, register, schema
 
-__all__ = ["CORRUPT", "export_csv", "SCHEMAS", "Tables", "load", "load_csv", "publish", "read_clean", "read_table",
-           "register", "schema", "write_clean"]
+__all__ = ["CORRUPT", "SCHEMAS", "Tables", "export_csv", "load", "load_csv", "publish",
+           "read_clean", "read_table", "register", "schema", "write_clean"]

@@ -32,7 +32,7 @@ ORDERS = """
 ords AS (
   SELECT o_orderkey AS order_id, o_custkey AS customer_id,
          CAST(o_orderdate AS DATE) AS order_date
-  FROM orders WHERE o_custkey IS NOT NULL
+  FROM orders WHERE o_custkey IS NOT NULL AND o_orderdate IS NOT NULL
 )"""
 
 

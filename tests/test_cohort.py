@@ -71,3 +71,11 @@ def test_null_customers_are_ignored(make_orders):
     o = make_orders(ORDERS + [(9, None, "2020-05-05")])
     assert coh.cohort_size(o).count() == 2
     assert coh.repeat_rate(o).collect()[0]["customers"] == 3
+
+
+def test_undated_orders_are_ignored(make_orders):
+    o = make_orders(ORDERS + [(9, 4, None), (10, 1, None)])
+    assert rows(coh.cohort_size(o)) == [(D("2020-01-01"), 2), (D("2020-02-01"), 1)]
+    assert coh.repeat_rate(o).collect()[0]["customers"] == 3
+    assert coh.order_seq(o).count() == len(ORDERS)
+    assert coh.cohort_long(o).count() == 4
