@@ -20,7 +20,7 @@ from .operators import trend as trd
 from .plans import dirty
 from .plans import sales as model
 from .session import scratch_path
-from .sources import export_csv, load, load_csv, read_clean, register, write_clean
+from .sources import export_csv, load, load_csv, publish, read_clean, register, write_clean
 
 Report = Callable[[SparkSession, str], DataFrame]
 REPORTS: dict[str, Report] = {}
@@ -110,6 +110,15 @@ def fact_month_slice(spark, sf_dir):
     return read_clean(spark, path, *FACT_SLICE, keep_partition_col=True)
 
 
+@report("published_region_sales")
+def published_region_sales(spark, sf_dir):
+    """SNK-2: a dashboard visual published as its own table, read back."""
+    path = scratch_path(spark, "visuals")
+    visual = kpi.breakdown(_sales(spark, sf_dir), ["region"])
+    target, = publish({"sales_by_region": visual}, path)
+    return spark.read.parquet(target)
+
+
 # -- KPIs ----------------------------------------------------------------------
 
 @report("kpi_totals")

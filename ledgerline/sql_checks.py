@@ -220,6 +220,8 @@ WITH {SALES}, {_breakdown('region')}
 SELECT region, revenue, orders, {_ratio('revenue', 'orders')} AS aov FROM bd
 """
 
+SQL["published_region_sales"] = SQL["breakdown_region"]
+
 SQL["breakdown_rollup"] = f"""
 WITH {SALES},
 po AS (SELECT category, region, order_id, sum(revenue) AS amount FROM sales GROUP BY ALL),
