@@ -22,7 +22,9 @@ def slice_sales(sales: DataFrame, start=None, end=None, categories=None, regions
     Filters are plain comparisons on fact columns, so Catalyst pushes them
     through the joins to the dimension scans.  For Parquet pushdown of the
     date bound, build the fact with ``plans.sales.sales(tables, start, end)``
-    as well (the fact's date is derived, the stored column is a timestamp).
+    as well (the fact's date is derived, the stored column is a timestamp),
+    or read a written fact with ``sources.read_clean(spark, path, start,
+    end)``, which also prunes the month folders.
     """
     if start is not None:
         sales = sales.filter(F.col(date_col) >= F.lit(_date(start)))
