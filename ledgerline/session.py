@@ -26,8 +26,9 @@ _DEFAULTS = {
     # order in one task.  The extra shuffle comes after map-side partial
     # aggregation and is small.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.session.timeZone": "UTC",
 }
+# No time zone is set: every operator works on dates and TIMESTAMP_NTZ
+# values, which do not depend on the session time zone.
 
 
 def tune(spark: SparkSession) -> SparkSession:
