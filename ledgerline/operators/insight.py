@@ -70,42 +70,46 @@ def pareto(sales: DataFrame, by="category", cutoff: float = 0.8,
 
 
 def seasonality(monthly: DataFrame, period_col: str = "period", value_col: str = "revenue",
-                complete_only: bool = True) -> DataFrame:
+                complete_only: bool = True, by=None) -> DataFrame:
     """INS-3: month-of-year index = revenue of that calendar month / mean month.
 
-    Input: a monthly trend (one row per month).  With ``complete_only``,
-    only years with all 12 months present count.  index =
-    12 * sum(month m) / sum(all months), one division of exact sums; 1.0 is
-    an average month.  Columns: ``month_of_year`` (int), ``revenue``,
-    ``years``, ``seasonality_index``.
+    Input: a monthly trend (one row per month, per ``by`` group if given).
+    With ``complete_only``, only years with all 12 months present (in that
+    group) count.  index = 12 * sum(month m) / sum(all months), one division
+    of exact sums; 1.0 is an average month.  Columns: the ``by`` columns,
+    ``month_of_year`` (int), ``revenue``, ``years``, ``seasonality_index``.
     """
-    m = monthly.select(F.year(period_col).alias("_year"), F.month(period_col).alias("_moy"),
+    by = as_list(by)
+    m = monthly.select(*by, F.year(period_col).alias("_year"), F.month(period_col).alias("_moy"),
                        F.col(value_col).alias("_v"))
     if complete_only:
         # Months present per year, as a window over the monthly rows: no
         # second pass over the (expensive) input.
-        k = F.size(F.collect_set("_moy").over(Window.partitionBy("_year")))
+        k = F.size(F.collect_set("_moy").over(Window.partitionBy(*by, "_year")))
         m = m.withColumn("_k", k).filter(F.col("_k") == 12).drop("_k")
-    per = m.groupBy(F.col("_moy").cast("int").alias("month_of_year")).agg(
+    per = m.groupBy(*by, F.col("_moy").cast("int").alias("month_of_year")).agg(
         F.sum("_v").cast(TOTAL).alias("revenue"), F.count(F.lit(1)).alias("years"))
-    total = Window.partitionBy()
+    total = Window.partitionBy(*by)
     return per.withColumn(
         "seasonality_index",
         ratio(F.col("revenue") * F.lit(12), F.sum("revenue").over(total)))
 
 
 def spikes(monthly: DataFrame, ratio_threshold: float = 1.1, window: int = 12,
-           period_col: str = "period", value_col: str = "revenue") -> DataFrame:
+           period_col: str = "period", value_col: str = "revenue", by=None) -> DataFrame:
     """INS-4: months whose revenue exceeds ``ratio_threshold`` x the trailing mean.
 
-    The trailing mean covers the ``window`` months before the current one;
-    a month is flagged only when the full window exists.  The comparison
-    ``value * n > trailing_sum * ratio`` is done in exact decimals.
-    Columns: ``period``, ``revenue``, ``trailing_avg`` (double), ``is_spike``.
+    The trailing mean covers the ``window`` rows before the current one
+    (per ``by`` group); a month is flagged only when the full window exists.
+    Fill the calendar first if months can be missing, so rows are months.
+    The comparison ``value * n > trailing_sum * ratio`` is done in exact
+    decimals.  Columns: the ``by`` columns, ``period``, ``revenue``,
+    ``trailing_avg`` (double), ``is_spike``.
     """
-    w = Window.orderBy(period_col).rowsBetween(-window, -1)
+    by = as_list(by)
+    w = Window.partitionBy(*by).orderBy(period_col).rowsBetween(-window, -1)
     thr = F.lit(Decimal(str(ratio_threshold)))
-    out = (monthly.select(period_col, value_col)
+    out = (monthly.select(*by, period_col, value_col)
            .withColumn("_sum", F.sum(value_col).over(w))
            .withColumn("_n", F.count(value_col).over(w)))
     return (out.withColumn("trailing_avg", ratio("_sum", "_n"))

@@ -288,6 +288,18 @@ def sales_spikes(spark, sf_dir):
     return ins.spikes(trd.trend(_sales(spark, sf_dir), "month"), SPIKE_RATIO)
 
 
+@report("seasonality_by_category")
+def seasonality_by_category(spark, sf_dir):
+    monthly = trd.trend(_sales(spark, sf_dir), "month", by="category")
+    return ins.seasonality(monthly, by="category")
+
+
+@report("spikes_by_category")
+def spikes_by_category(spark, sf_dir):
+    t = trd.trend(_sales(spark, sf_dir), "month", by="category")
+    return ins.spikes(trd.fill_calendar(t, "month", by="category"), SPIKE_RATIO, by="category")
+
+
 # -- cleaning and validation ------------------------------------------------------
 
 def _raw(spark, sf_dir):

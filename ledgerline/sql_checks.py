@@ -498,3 +498,31 @@ WITH {SALES}
 SELECT *, {_month('order_date')} AS order_month FROM sales
 WHERE order_date >= DATE '1998-01-01' AND order_date < DATE '1999-01-01'
 """
+
+
+SQL["seasonality_by_category"] = f"""
+WITH {SALES}, {_trend(_month('order_date'), 'category')},
+m AS (SELECT category, year(period) AS y, month(period) AS moy, revenue FROM trend),
+full_years AS (SELECT category, y FROM m GROUP BY category, y HAVING count(DISTINCT moy) = 12),
+per AS (
+  SELECT m.category, CAST(moy AS INTEGER) AS month_of_year,
+         CAST(sum(revenue) AS DECIMAL(28,4)) AS revenue, count(*) AS years
+  FROM m JOIN full_years f ON f.category = m.category AND f.y = m.y
+  GROUP BY 1, 2
+)
+SELECT category, month_of_year, revenue, years,
+       {_ratio('revenue * 12', 'sum(revenue) OVER (PARTITION BY category)')} AS seasonality_index
+FROM per
+"""
+
+SQL["spikes_by_category"] = f"""
+WITH {SALES}, {_trend(_month('order_date'), 'category')}, {_filled('category', 'MONTH')},
+w AS (
+  SELECT category, period, revenue, sum(revenue) OVER t AS s, count(revenue) OVER t AS n
+  FROM filled
+  WINDOW t AS (PARTITION BY category ORDER BY period ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING)
+)
+SELECT category, period, revenue, {_ratio('s', 'n')} AS trailing_avg,
+       (n = 12 AND revenue * n > s * 1.1) AS is_spike
+FROM w
+"""

@@ -37,3 +37,18 @@ def test_spikes_need_a_full_trailing_window(spark):
     assert out[D("2021-02-01")]["is_spike"] is False    # 110 is not > 1.1 * avg(100.9..)
     assert out[D("2020-06-01")]["is_spike"] is False
     assert out[D("2020-01-01")]["trailing_avg"] is None
+
+
+def test_seasonality_and_spikes_per_group(spark):
+    data = []
+    for cat, peak in (("A", 12), ("B", 6)):
+        for m in range(1, 13):
+            data.append((cat, D(f"2020-{m:02d}-01"), M(300 if m == peak else 100)))
+        data.append((cat, D("2021-01-01"), M(100)))
+    monthly = spark.createDataFrame(data, "category STRING, period DATE, revenue DECIMAL(28,4)")
+    s = {(r["category"], r["month_of_year"]): r["seasonality_index"]
+         for r in ins.seasonality(monthly, by="category").collect()}
+    assert s[("A", 12)] == 12 * 300 / 1400 and s[("B", 6)] == 12 * 300 / 1400
+    assert s[("A", 6)] == 12 * 100 / 1400
+    sp = ins.spikes(monthly, 1.1, by="category").filter("is_spike").collect()
+    assert sp == []                 # the peaks have no full 12-month history
