@@ -48,6 +48,7 @@ def fill_calendar(trend_df: DataFrame, grain: str = "month", by=None,
     """TRD-5: one row per period from the first to the last period, per group.
 
     Periods without sales get 0 in ``zero_cols`` (other measures stay null).
+    Rows whose period is null are left out.
     No join and no cross join: each group's rows are folded into one map
     (period -> measures; at most one entry per calendar period), the global
     first and last period come from a scalar subquery over those per-group
@@ -56,9 +57,12 @@ def fill_calendar(trend_df: DataFrame, grain: str = "month", by=None,
     by = as_list(by)
     step = period_step(grain)
     measures = [c for c in trend_df.columns if c not in by and c != period_col]
+    # Rows without a period cannot be placed on a calendar (and a map key
+    # cannot be null): collect_list skips the nulls produced here.
+    entry = F.when(F.col(period_col).isNotNull(),
+                   F.struct(F.col(period_col), F.struct(*measures)))
     per_group = trend_df.groupBy(*by).agg(
-        F.map_from_entries(F.collect_list(
-            F.struct(F.col(period_col), F.struct(*measures)))).alias("_cells"),
+        F.map_from_entries(F.collect_list(entry)).alias("_cells"),
         F.min(period_col).alias("_lo"), F.max(period_col).alias("_hi"))
     # Global first / last period: one scalar subquery (a global aggregate,
     # partially aggregated per task) over the per-group table, so any

@@ -94,3 +94,10 @@ def test_distributed_rank_pareto_topk_against_brute_force(spark, make_sales):
         by_region.setdefault(r["region"], []).append((-r["revenue"], r["category"]))
     want_top = sorted((reg, c) for reg, lst in by_region.items() for _, c in sorted(lst)[:3])
     assert sorted((r["region"], r["category"]) for r in top.collect()) == want_top
+
+
+def test_fill_calendar_skips_null_periods(spark):
+    t = spark.createDataFrame([(D("2020-01-01"), M(1), 1), (None, M(5), 2), (D("2020-03-01"), M(2), 1)],
+                              "period DATE, revenue DECIMAL(28,4), orders BIGINT")
+    got = rows(trd.fill_calendar(t, "month"), "period", "orders")
+    assert got == [(D("2020-01-01"), 1), (D("2020-02-01"), 0), (D("2020-03-01"), 1)]
