@@ -102,6 +102,7 @@ def spikes(monthly: DataFrame, ratio_threshold: float = 1.1, window: int = 12,
     The trailing mean covers the ``window`` rows before the current one
     (per ``by`` group); a month is flagged only when the full window exists.
     Fill the calendar first if months can be missing, so rows are months.
+    Rows without a period are not part of the series and are left out.
     The comparison ``value * n > trailing_sum * ratio`` is done in exact
     decimals.  Columns: the ``by`` columns, ``period``, ``revenue``,
     ``trailing_avg`` (double), ``is_spike``.
@@ -109,7 +110,8 @@ def spikes(monthly: DataFrame, ratio_threshold: float = 1.1, window: int = 12,
     by = as_list(by)
     w = Window.partitionBy(*by).orderBy(period_col).rowsBetween(-window, -1)
     thr = F.lit(Decimal(str(ratio_threshold)))
-    out = (monthly.select(*by, period_col, value_col)
+    out = (monthly.filter(F.col(period_col).isNotNull())
+           .select(*by, period_col, value_col)
            .withColumn("_sum", F.sum(value_col).over(w))
            .withColumn("_n", F.count(value_col).over(w)))
     return (out.withColumn("trailing_avg", ratio("_sum", "_n"))

@@ -374,7 +374,8 @@ FROM per
 SQL["sales_spikes"] = f"""
 WITH {SALES}, {_trend(_month('order_date'))},
 w AS (
-  SELECT period, revenue, sum(revenue) OVER t AS s, count(revenue) OVER t AS n FROM trend
+  SELECT period, revenue, sum(revenue) OVER t AS s, count(revenue) OVER t AS n
+  FROM trend WHERE period IS NOT NULL
   WINDOW t AS (ORDER BY period ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING)
 )
 SELECT period, revenue, {_ratio('s', 'n')} AS trailing_avg,
@@ -507,7 +508,7 @@ full_years AS (SELECT category, y FROM m GROUP BY category, y HAVING count(DISTI
 per AS (
   SELECT m.category, CAST(moy AS INTEGER) AS month_of_year,
          CAST(sum(revenue) AS DECIMAL(28,4)) AS revenue, count(*) AS years
-  FROM m JOIN full_years f ON f.category = m.category AND f.y = m.y
+  FROM m JOIN full_years f ON f.category IS NOT DISTINCT FROM m.category AND f.y = m.y
   GROUP BY 1, 2
 )
 SELECT category, month_of_year, revenue, years,
