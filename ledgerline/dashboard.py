@@ -31,8 +31,8 @@ def materialized_sales(spark: SparkSession, tables: Mapping[str, DataFrame],
                        path: str | None = None, start=None, end=None) -> DataFrame:
     """Write the sales fact once (month-partitioned) and return a reader of it."""
     path = path or scratch_path(spark, "sales_fact")
-    write_clean(model.sales(tables, start, end), path)
-    return read_clean(spark, path)
+    written = write_clean(model.sales(tables, start, end), path)
+    return read_clean(spark, path, schema=written)
 
 
 def dashboard(spark: SparkSession, tables: Mapping[str, DataFrame], max_cohort_index: int = 12,

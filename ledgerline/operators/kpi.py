@@ -57,18 +57,27 @@ def breakdown(sales: DataFrame, dims, totals: bool = False, order_col: str = "or
 
     With ``totals`` the grouping is a rollup over ``dims`` (in the given
     order): subtotals carry null in the rolled-up columns and ``level`` is
-    Spark's ``grouping_id`` (0 = finest cell, 2^n - 1 = grand total).  Lines
-    are first reduced to one row per (dims, order) so the rollup's row copies
-    (one per level) apply to a smaller input.  On empty input Spark returns
-    no rows at all, not even a grand-total row.
+    Spark's ``grouping_id`` (0 = finest cell, 2^n - 1 = grand total).  The
+    grand total always exists, as in standard SQL, even for an empty
+    selection.  Lines are first reduced to one row per (dims, order) so the rollup's row copies
+    (one per level) apply to a smaller input.
     """
     dims = as_list(dims)
     per_order = sales.groupBy(*dims, order_col).agg(F.sum(amount_col).alias("_amount"))
     if totals:
-        out = (per_order.rollup(*dims)
-               .agg(money_sum("_amount").alias("revenue"),
-                    F.count_distinct(order_col).alias("orders"),
-                    F.grouping_id().cast("int").alias("level")))
+        measures = [money_sum("_amount").alias("revenue"),
+                    F.count_distinct(order_col).alias("orders")]
+        top = (1 << len(dims)) - 1
+        # Rollup levels except the grand total: the prefixes of ``dims``.
+        prefixes = [[F.col(d) for d in dims[:i]] for i in range(len(dims), 0, -1)]
+        levels = (per_order.groupingSets(prefixes, *dims)
+                  .agg(*measures, F.grouping_id().cast("int").alias("level")))
+        # The grand total as a global aggregate: exactly one row, also when
+        # nothing is selected (a rollup over no rows returns none in Spark).
+        grand = per_order.agg(*measures).select(
+            *[F.lit(None).cast(sales.schema[d].dataType).alias(d) for d in dims],
+            "revenue", "orders", F.lit(top).alias("level"))
+        out = levels.unionByName(grand)
     else:
         out = (per_order.groupBy(*dims)
                .agg(money_sum("_amount").alias("revenue"), F.count(order_col).alias("orders")))

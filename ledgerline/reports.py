@@ -106,8 +106,8 @@ def fact_month_slice(spark, sf_dir):
     12 month folders are read (``PartitionFilters`` in the plan).
     """
     path = scratch_path(spark, "sales_fact")
-    write_clean(_sales(spark, sf_dir), path)
-    return read_clean(spark, path, *FACT_SLICE, keep_partition_col=True)
+    written = write_clean(_sales(spark, sf_dir), path)
+    return read_clean(spark, path, *FACT_SLICE, keep_partition_col=True, schema=written)
 
 
 @report("published_region_sales")

@@ -8,11 +8,12 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def write_clean(df: DataFrame, path: str, date_col: str = "order_date",
                 partition_col: str = "order_month", tie_cols: tuple[str, ...] = ("order_id",),
-                mode: str = "overwrite") -> None:
+                mode: str = "overwrite") -> StructType:
     """SNK-1: write the fact as Parquet, partitioned by month.
 
     Rows are range-partitioned on (date, tie columns) before the write: each
@@ -20,7 +21,9 @@ def write_clean(df: DataFrame, path: str, date_col: str = "order_date",
     two month folders.  Hashing on the month instead would put a whole month
     (1/80 of the data) into one task.  Readers should filter on
     ``partition_col`` as well as on ``date_col``: a filter on the date alone
-    does not prune partitions.
+    does not prune partitions.  Returns the written schema (partition column
+    included): pass it to ``read_clean``, so that even an empty result, which
+    leaves no Parquet file to infer a schema from, reads back.
     """
     out = df.withColumn(partition_col, F.trunc(F.col(date_col), "month"))
     order = [date_col, *[c for c in tie_cols if c in df.columns]]
@@ -29,6 +32,7 @@ def write_clean(df: DataFrame, path: str, date_col: str = "order_date",
         .write.mode(mode)
         .partitionBy(partition_col)
         .parquet(path))
+    return out.schema
 
 
 def publish(results: Mapping[str, DataFrame], path: str, mode: str = "overwrite") -> list[str]:
@@ -67,14 +71,15 @@ def _as_date(v):
 
 def read_clean(spark: SparkSession, path: str, start=None, end=None,
                date_col: str = "order_date", partition_col: str = "order_month",
-               keep_partition_col: bool = False) -> DataFrame:
+               keep_partition_col: bool = False, schema: StructType | None = None) -> DataFrame:
     """Read ``write_clean`` output for ``start <= date < end``.
 
     The bound is applied twice: on the month partition column, which prunes
     folders (``PartitionFilters``), and on the date itself, which trims the
     first and last month and is pushed into the Parquet scan.
     """
-    df = spark.read.parquet(path)
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    df = reader.parquet(path)
     if start is not None:
         s = _as_date(start)
         df = df.filter((F.col(partition_col) >= F.lit(s.replace(day=1)))

@@ -1,4 +1,5 @@
-"""Every report on tables with nulls in keys, dates and attributes.
+"""Every report on tables with nulls in keys, dates and attributes, and on
+empty tables.
 
 The sf0.001 tables are copied with every n-th value of selected columns set
 to null; Spark and DuckDB must still agree row for row.
@@ -46,3 +47,22 @@ def test_report_with_nulls(spark, null_dir, name):
     status, msg = compare([tuple(r) for r in df.collect()], df.columns,
                           res.fetchall(), [c[0] for c in res.description])
     assert status == "exact", msg
+
+
+@pytest.fixture(scope="module")
+def empty_dir(tmp_path_factory):
+    out = str(tmp_path_factory.mktemp("empty"))
+    for name in ("region", "nation", "customer", "part", "orders", "lineitem"):
+        t = pq.read_table(os.path.join(SF_SMALL, f"{name}.parquet"))
+        pq.write_table(t.slice(0, 0), os.path.join(out, f"{name}.parquet"))
+    return out
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_report_on_empty_tables(spark, empty_dir, name):
+    con = duck(empty_dir)
+    df = E.queries()[name](spark, empty_dir)
+    res = con.execute(E.oracle_sql()[name])
+    status, msg = compare([tuple(r) for r in df.collect()], df.columns,
+                          res.fetchall(), [c[0] for c in res.description])
+    assert status == "exact", msg
