@@ -1,6 +1,7 @@
 """Random small inputs: operators against brute-force Python, and SURVEY 5 invariants."""
 
 import datetime as dt
+import os
 from collections import defaultdict
 from decimal import Decimal
 
@@ -11,7 +12,8 @@ from ledgerline.operators import cohort as coh
 from ledgerline.operators import kpi
 from ledgerline.operators import trend as trd
 
-SETTINGS = settings(max_examples=8, deadline=None,
+# LEDGERLINE_EXAMPLES raises the number of random cases for a deeper run.
+SETTINGS = settings(max_examples=int(os.environ.get("LEDGERLINE_EXAMPLES", "8")), deadline=None,
                     suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 day0 = dt.date(2020, 1, 1)
