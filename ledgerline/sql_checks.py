@@ -139,7 +139,10 @@ FROM orders o GROUP BY 1
 SQL["kpi_totals"] = f"""
 WITH {SALES},
 per_order AS (SELECT order_id, sum(revenue) AS amount FROM sales GROUP BY order_id),
-k AS (SELECT CAST(sum(amount) AS DECIMAL(28,4)) AS revenue, count(order_id) AS orders FROM per_order)
+k AS (
+  SELECT CAST(sum(amount) AS DECIMAL(28,4)) AS revenue, count(order_id) AS orders
+  FROM per_order
+)
 SELECT revenue, orders, {_ratio('revenue', 'orders')} AS aov FROM k
 """
 
@@ -151,7 +154,10 @@ per_order AS (
     AND category IN ('PROMO') AND region IN ('ASIA')
   GROUP BY order_id
 ),
-k AS (SELECT CAST(sum(amount) AS DECIMAL(28,4)) AS revenue, count(order_id) AS orders FROM per_order)
+k AS (
+  SELECT CAST(sum(amount) AS DECIMAL(28,4)) AS revenue, count(order_id) AS orders
+  FROM per_order
+)
 SELECT revenue, orders, {_ratio('revenue', 'orders')} AS aov FROM k
 """
 
@@ -418,7 +424,8 @@ SQL["raw_orders"] = f"WITH {RAW} SELECT * FROM raw"
 SQL["clean_accepted"] = (f"WITH {RAW}, {STD} SELECT oid, cid, prio, amt, dt FROM labelled "
                          f"WHERE reject_reason IS NULL")
 SQL["clean_rejected"] = f"WITH {RAW}, {STD} SELECT * FROM labelled WHERE reject_reason IS NOT NULL"
-SQL["clean_reject_reasons"] = (f"WITH {RAW}, {STD} SELECT reject_reason AS reason, count(*) AS rows "
+SQL["clean_reject_reasons"] = (f"WITH {RAW}, {STD} "
+                               f"SELECT reject_reason AS reason, count(*) AS rows "
                                f"FROM labelled WHERE reject_reason IS NOT NULL GROUP BY 1")
 SQL["dedup_exact"] = f"WITH {RAW} SELECT DISTINCT * FROM raw"
 
@@ -466,7 +473,8 @@ SELECT * FROM orders o WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orde
 """
 
 SQL["ship_before_order"] = """
-SELECT count(*) AS rows_checked, count(CASE WHEN l.l_shipdate < o.o_orderdate THEN 1 END) AS rows_failed
+SELECT count(*) AS rows_checked,
+       count(CASE WHEN l.l_shipdate < o.o_orderdate THEN 1 END) AS rows_failed
 FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
 """
 
