@@ -36,21 +36,37 @@ def tune(spark: SparkSession) -> SparkSession:
     for key, value in _DEFAULTS.items():
         if spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
-    ensure_checkpoint_dir(spark)
+    try:
+        ensure_checkpoint_dir(spark)
+    except RuntimeError:
+        pass        # only needed by checkpointing and scratch tables, which will say so
     return spark
 
 
+def _spark_context(spark: SparkSession):
+    """The SparkContext, or None on a Spark Connect client (which has none)."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting one only if none is set.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only an unconfigured (test) session gets a fresh scratch folder.
+    as is.  Only an unconfigured local (test) session gets a fresh scratch
+    folder; a Spark Connect client without the setting gets an error.
     """
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    sc = _spark_context(spark)
+    if sc is None:
+        if configured:
+            return configured
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder")
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
     sc.setCheckpointDir(configured)
