@@ -209,6 +209,10 @@ def split(df: DataFrame, checks: Sequence[tuple[str, str]], reason_col: str = RE
 
 def label_rejects(df: DataFrame, checks: Sequence[tuple[str, str]],
                   reason_col: str = REASON) -> DataFrame:
+    """Add ``reason_col``: the first check whose predicate is true, else null.
+
+    A predicate that evaluates to null counts as passed.
+    """
     label = None
     for reason, predicate in checks:
         bad = F.coalesce(F.expr(predicate), F.lit(False))

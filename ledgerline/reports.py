@@ -47,6 +47,7 @@ PROFILE_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
 
 
 def report(name: str):
+    """Register ``fn`` under ``name`` in ``REPORTS``."""
     def deco(fn: Report) -> Report:
         REPORTS[name] = fn
         return fn
