@@ -63,3 +63,20 @@ def test_slicer_bounds_ignore_time_zones(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert (s["revenue"], s["orders"]) == (M("15832061.2200"), 234)
+
+
+@pytest.fixture
+def far_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Pacific/Kiritimati")   # UTC+14
+    yield spark
+    spark.conf.set("spark.sql.session.timeZone", old)
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_query_matches_duckdb_in_another_time_zone(far_zone, con, name):
+    df = E.queries()[name](far_zone, SF_SMALL)
+    res = con.execute(E.oracle_sql()[name])
+    status, msg = compare([tuple(r) for r in df.collect()], df.columns,
+                          res.fetchall(), [c[0] for c in res.description])
+    assert status == "exact", msg
