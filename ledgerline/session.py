@@ -51,12 +51,18 @@ def _spark_context(spark: SparkSession):
         return None
 
 
+def _is_local(master: str) -> bool:
+    """True for one-JVM masters; ``local-cluster`` has executors of its own."""
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting one only if none is set.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only an unconfigured local (test) session gets a fresh scratch
-    folder; a Spark Connect client without the setting gets an error.
+    as is.  Only an unconfigured ``local`` session (tests) gets a fresh
+    machine-local folder; any other session without the setting gets an
+    error, since its executors do not share the driver's disk.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     sc = _spark_context(spark)
@@ -68,6 +74,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     if not configured:
+        if not _is_local(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -91,7 +99,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder for intermediate tables, under the reliable checkpoint
-    folder (a shared location on a cluster, never a machine-local one)."""
+    """A fresh folder for an intermediate table, under the reliable checkpoint
+    folder (a shared location on a cluster).  It belongs to the caller, who
+    removes it with ``drop_scratch`` when the table is no longer read."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/ledgerline/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``scratch_path`` returned (no other folder)."""
+    base = ensure_checkpoint_dir(spark).rstrip("/") + "/ledgerline/"
+    if not path.startswith(base) or len(path) <= len(base) or ".." in path:
+        raise ValueError(f"not a scratch folder: {path}")
+    sc = _spark_context(spark)
+    if sc is None:
+        raise RuntimeError("scratch folders are removed by a classic session")
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
