@@ -1,0 +1,76 @@
+import hashlib
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(__file__))
+from edge_cases import edge_docs, empty_docs
+
+from ledgerline.llm import fingerprint as f
+from ledgerline.llm import queries
+
+
+def brute_force(rows):
+    """(doc_id, text) with distinct ids -> the query's columns by doc_id."""
+    rows = sorted(rows, key=lambda r: -r[0])
+    out = {}
+    for at, (i, text) in enumerate(rows):
+        follow = rows[(at + 1) % len(rows)][1]
+        tail = len(text) // 3
+        new = text[:len(text) - tail] + follow[:tail]
+        own, changed, other = f.of_text(text), f.of_text(new), f.of_text(follow)
+        out[i] = (len(text), hashlib.sha256(new.encode()).hexdigest(), str(own), str(changed),
+                  f.likeness(own, changed), f.likeness(own, other))
+    return out
+
+
+def found(df):
+    return {r.doc_id: tuple(r)[1:] for r in df.collect()}
+
+
+def test_query_equals_brute_force(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = [(r.doc_id, r.text or "") for r in
+            spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    got = found(queries.op8_fingerprints(spark, sf))
+    assert got == brute_force(docs)
+    assert sum(v[4] for v in got.values()) / len(got) > 0.6
+    assert sum(v[5] for v in got.values()) / len(got) < 0.2
+
+
+@pytest.mark.parametrize("n, slices", [(1, 4), (2, 3), (7, 1), (50, 7)])
+def test_any_number_of_slices(spark, n, slices):
+    rows = [(i * 37 % 1009 - 300, f"text {i}\nof {i % 5}" * (1 + i % 4)) for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    assert found(f.fingerprints(docs, slices)) == brute_force(rows)
+
+
+def test_sum_of_paragraphs():
+    parts = [b"one paragraph of some length", b"another one", b"", b"short", b"another one"]
+    whole = str(f.of_paragraphs(parts))
+    assert str(f.of_paragraphs(parts[::-1])) == whole
+    assert str(f.insert(f.of_paragraphs(parts[:2]), parts[2:])) == whole
+    assert str(f.delete(f.of_paragraphs([*parts, b"extra"]), [b"extra"])) == whole
+    assert str(f.of_paragraphs(parts[:4])) != whole          # a multiset, not a set
+    assert str(f.Fingerprint.parse(whole)) == whole
+    assert f.likeness(f.of_paragraphs(parts), f.Fingerprint.parse(whole)) == 1
+
+
+def test_likeness_follows_the_common_share():
+    text = "\n".join(f"paragraph {i} says {i * i} things about {i * 7919 % 1000}" for i in range(90))
+    marks = [f.of_text("\n".join(text.split("\n")[:n])) for n in (90, 60, 30)]
+    assert f.likeness(marks[0], marks[1]) > f.likeness(marks[0], marks[2]) > 0.2
+    assert abs(f.likeness(marks[0], marks[1]) - (60 / 90) ** 0.5) < 0.2
+
+
+def test_edge_rows_and_empty_table(spark):
+    docs = edge_docs(spark)
+    rows = f.fingerprints(docs, 5).collect()
+    assert len(rows) == docs.count()
+    marks = {}
+    for r in rows:
+        assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
+        marks.setdefault(r.doc_id, set()).add(r.fingerprint)
+    assert marks[1] == marks[2] != marks[3] and marks[4] == marks[5]
+    assert f.fingerprints(empty_docs(spark)).collect() == []

@@ -1,0 +1,60 @@
+import os
+import sys
+import zlib
+
+import numpy as np
+
+sys.path.insert(0, os.path.dirname(__file__))
+from edge_cases import edge_docs, empty_docs
+
+from ledgerline.llm import queries, toxicity
+
+LABELS_DDL = "doc_id BIGINT, quality INT, toxic INT"
+
+
+def test_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    rows = queries.op9_toxicity(spark, sf).collect()
+    assert len(rows) == spark.read.parquet(f"{sf}/documents.parquet").count()
+    for r in rows:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5)
+    held = [(labels[r.doc_id], r.score) for r in rows if r.held_out and r.doc_id in labels]
+    y, s = np.array([h[0] for h in held]), np.array([h[1] for h in held])
+    rank = np.argsort(np.argsort(s, kind="stable")) + 1
+    auc = (rank[y == 1].sum() - (y == 1).sum() * ((y == 1).sum() + 1) / 2) / (
+        (y == 1).sum() * (y == 0).sum())
+    assert auc > 0.8
+    assert (s[y == 0] >= 0.5).mean() < 0.03
+
+
+def test_marked_texts_are_found(spark):
+    rng = np.random.default_rng(11)
+    plain = [f"{a}{b}" for a in "ba co di mu ne po ra si".split() for b in "lan ter nos mik".split()]
+    bad = "grobblefink snarlwort".split()
+    rows, labels = [], []
+    for i in range(900):
+        words = rng.choice(plain, 60).tolist()
+        if i % 4 == 0:
+            for at in rng.integers(0, 60, 4):
+                words[at] = rng.choice(bad)
+        rows.append((i, " ".join(words)))
+        labels.append((i, 1, int(i % 4 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    got = {r.doc_id: r for r in
+           toxicity.score(docs, spark.createDataFrame(labels, LABELS_DDL)).collect()}
+    held = [i for i in got if got[i].held_out]
+    assert np.mean([got[i].predicted == (i % 4 == 0) for i in held]) > 0.95
+
+
+def test_edge_rows_and_empty_tables(spark):
+    docs = edge_docs(spark)
+    none = spark.createDataFrame([], LABELS_DDL)
+    rows = toxicity.score(docs, none).collect()
+    assert len(rows) == docs.count() and {r.score for r in rows} == {0.0}
+    some = spark.createDataFrame([(i, None, i % 2) for i in range(1, 13)] + [(1, 1, None),
+                                 (None, 1, 1), (2, 1, 1)], LABELS_DDL)
+    rows = toxicity.score(docs, some).collect()
+    assert len(rows) == docs.count() and all(0 <= r.score <= 1 for r in rows)
+    assert toxicity.score(empty_docs(spark), some).collect() == []
