@@ -5,7 +5,8 @@
    they share the total size by weight, no target above ``repeat`` times its
    source's size, the excess shared again by weight.
 3. Budgets: a source gives ``floor(target / size)`` whole rounds; the rest is a
-   budget that a subset of its documents fills.  Documents are counted by exact
+   budget that a subset of its documents fills (few documents that leave a gap
+   are taken unequally often).  Documents are counted by exact
    length; every length first gives its proportional part, then single
    documents, and bounded-knapsack dynamic programming fits the last words.
 4. Picks: within a (source, length) class the documents with the smallest
@@ -66,14 +67,23 @@ def fill(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     """How many documents of each size to take, in all near ``budget`` words
     and never above it.  ``sizes`` are distinct."""
     sizes, counts = sizes.astype(np.int64), counts.astype(np.int64)
-    took = np.zeros(len(sizes), np.int64)
     total = int((sizes * counts).sum())
     if budget <= 0 or total <= 0:
-        return took
+        return np.zeros(len(sizes), np.int64)
     if budget >= total:
         return np.where(sizes > 0, counts, 0)
-    exact = counts * (budget / total)
-    took = np.where(sizes > 0, np.floor(exact).astype(np.int64), 0)
+    exact = np.where(sizes > 0, counts * (budget / total), 0)
+    # Few documents may leave a gap: then less is given by proportion.
+    tries = []
+    for share in (1.0, 0.5, 0.0):
+        tries.append(_fill_from(sizes, counts, budget, exact, np.floor(exact * share)))
+        if int((sizes * tries[-1]).sum()) == budget:
+            break
+    return max(tries, key=lambda took: int((sizes * took).sum()))
+
+
+def _fill_from(sizes, counts, budget, exact, base) -> np.ndarray:
+    took = base.astype(np.int64)
     rest = budget - int((sizes * took).sum())
     # One more of the lengths that the rounding cut most, then of the longest.
     for i in np.argsort(-(exact - took), kind="stable"):
@@ -93,6 +103,24 @@ def fill(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     return took
 
 
+def copies(sizes: np.ndarray, counts: np.ndarray, target: float, repeat: int) -> np.ndarray:
+    """How often the documents of each size are taken in all, at most ``repeat``
+    times each, near ``target`` words: whole rounds over all documents and a
+    subset once more; where that leaves a gap, fewer rounds and more copies."""
+    total = int((sizes * counts).sum())
+    rounds = min(repeat, int(target // total)) if total else 0
+    best = None
+    for low, most in [(rounds, rounds + 1), *((r, repeat) for r in range(rounds, -1, -1))]:
+        budget, limit = round(target) - low * total, counts * (min(most, repeat) - low)
+        units = np.where(sizes > 0, low * counts + fill(sizes, limit, budget), 0)
+        gap = round(target) - int((sizes * units).sum())
+        if best is None or gap < best[0]:
+            best = gap, units
+        if gap <= 0:
+            break
+    return best[1].astype(np.int64)
+
+
 def _subset_sum(sizes: np.ndarray, counts: np.ndarray, budget: int) -> list[tuple[int, int]]:
     """Bounded knapsack: (index, number) whose sum is the largest within
     ``budget``.  Sums are bits of an integer; counts are split in powers of
@@ -134,14 +162,13 @@ def _classes(narrow: DataFrame, weights: Sequence[float], repeat: int) -> DataFr
     def fit(group: pd.DataFrame) -> pd.DataFrame:
         size, target = plan[group["src"].iloc[0]]
         group = group.sort_values("size", ignore_index=True)
-        rounds = min(repeat, int(target // size)) if size else 0
-        extra = fill(group["size"].to_numpy(), group["n"].to_numpy(),
-                     round(target - rounds * size))
-        return group.assign(source_size=size, target=target, rounds=rounds, extra=extra)
+        units = copies(group["size"].to_numpy(), group["n"].to_numpy(), target, repeat)
+        return group.assign(source_size=size, target=target, rounds=units // group["n"],
+                            extra=units % group["n"])
 
     return (narrow.groupBy("src", "size").agg(F.count(F.lit(1)).alias("n")).groupBy("src")
             .applyInPandas(fit, "src string, size long, n long, source_size long, "
-                                "target double, rounds int, extra long"))
+                                "target double, rounds long, extra long"))
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, repeat: int = REPEAT,
