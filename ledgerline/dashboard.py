@@ -23,7 +23,7 @@ from .operators import cohort as coh
 from .operators import kpi
 from .operators import trend as trd
 from .plans import sales as model
-from .session import scratch_path
+from .session import drop_scratch, scratch_path
 from .sources import publish, read_clean, write_clean
 
 
@@ -35,13 +35,43 @@ def materialized_sales(spark: SparkSession, tables: Mapping[str, DataFrame],
     return read_clean(spark, path, schema=written)
 
 
-def dashboard(spark: SparkSession, tables: Mapping[str, DataFrame], max_cohort_index: int = 12,
-              materialize: bool = True, out_path: str | None = None) -> dict[str, DataFrame]:
-    """All dashboard visuals as DataFrames (written under ``out_path`` if given)."""
-    fact = materialized_sales(spark, tables) if materialize else model.sales(tables)
+class Visuals(dict):
+    """Visual name -> DataFrame.  ``close`` removes the scratch copy of the fact
+    that the DataFrames read (none if the caller gave a path for it)."""
+
+    def __init__(self, spark: SparkSession, scratch: str | None):
+        super().__init__()
+        self._spark, self.scratch = spark, scratch
+
+    def close(self) -> None:
+        if self.scratch:
+            drop_scratch(self._spark, self.scratch)
+            self.scratch = None
+
+
+def dashboard(spark: SparkSession, tables: Mapping[str, DataFrame],
+              max_cohort_index: int | None = None, materialize: bool = True,
+              out_path: str | None = None, fact_path: str | None = None, start=None, end=None,
+              categories=None, regions=None, complete_only: bool = False) -> Visuals:
+    """All dashboard visuals as DataFrames (written under ``out_path`` if given).
+
+    Slicers (``start <= date < end``, ``categories``, ``regions``) apply to
+    every visual of sales; the cohort visuals are of all orders.  With
+    ``materialize`` the fact is written to ``fact_path``, which stays the
+    caller's, or to a scratch folder that ``close()`` removes.  The cohort
+    matrix is as wide as the data unless ``max_cohort_index`` is given;
+    ``complete_only`` ends it and the curve with the last complete month.
+    """
+    scratch = scratch_path(spark, "sales_fact") if materialize and not fact_path else None
+    if materialize:
+        fact = materialized_sales(spark, tables, fact_path or scratch, start, end)
+    else:
+        fact = model.sales(tables, start, end)
+    fact = kpi.slice_sales(fact, start, end, categories, regions)
     orders = model.orders(tables)
     monthly = trd.trend(fact, "month")
-    visuals = {
+    visuals = Visuals(spark, scratch)
+    visuals.update({
         "kpis": kpi.kpis(fact),
         "sales_by_category": kpi.breakdown(fact, ["category"]),
         "sales_by_region": kpi.breakdown(fact, ["region"]),
@@ -50,9 +80,10 @@ def dashboard(spark: SparkSession, tables: Mapping[str, DataFrame], max_cohort_i
         "trend_monthly": trd.growth(trd.fill_calendar(monthly, "month")),
         "trend_category": trd.fill_calendar(trd.trend(fact, "month", by="category"), "month",
                                             by="category"),
-        "cohort_matrix": coh.cohort_matrix(orders, max_idx=max_cohort_index),
-        "retention_curve": coh.retention_curve(orders),
-    }
+        "cohort_matrix": coh.cohort_matrix(orders, max_idx=max_cohort_index,
+                                           complete_only=complete_only),
+        "retention_curve": coh.retention_curve(orders, complete_only=complete_only),
+    })
     if out_path:
         publish(visuals, out_path)
     return visuals

@@ -11,10 +11,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.ranking import group_row_number
 from ._util import as_list
 
 REASON = "reject_reason"
@@ -46,12 +45,10 @@ def dedup_by_key(df: DataFrame, keys, order) -> DataFrame:
 
     ``order`` lists columns, each a name (ascending) or ``(name, "asc"|"desc")``.
     The remaining columns break any tie, in the same direction as the last
-    order column, so the kept row is always the same.
+    order column, so the kept row is always the same.  Nulls are smallest.
 
-    When every order column has one direction, this is a single aggregate,
-    ``max``/``min`` of a row struct, whose map-side partial step shrinks a
-    key with many copies before the shuffle.  Mixed directions use the
-    skew-safe ``group_row_number``.
+    ``row_number() = 1``: Spark plans a group limit before the shuffle, which
+    cuts a key with many copies to one row per map task.
     """
     keys = as_list(keys)
     spec = _parse_order(order)
@@ -59,19 +56,11 @@ def dedup_by_key(df: DataFrame, keys, order) -> DataFrame:
         raise ValueError("order must name at least one column")
     named = [n for n, _ in spec]
     rest = [c for c in df.columns if c not in keys and c not in named]
-    directions = {d for _, d in spec}
-    if len(directions) == 1:
-        desc = directions.pop()
-        row = F.struct(*[F.col(c) for c in named + rest])
-        pick = F.max(row) if desc else F.min(row)
-        kept = df.groupBy(*keys).agg(pick.alias("_row"))
-        return kept.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in named + rest]) \
-            .select(*df.columns)
     last_desc = spec[-1][1]
     cols = [F.col(n).desc() if d else F.col(n).asc() for n, d in spec]
     cols += [F.col(c).desc() if last_desc else F.col(c).asc() for c in rest]
-    return (group_row_number(df, keys, cols, out="_rn")
-            .filter(F.col("_rn") == 1).drop("_rn"))
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*cols))
+    return df.withColumn("_rn", first).filter(F.col("_rn") == 1).drop("_rn")
 
 
 # -- CLN-3 / CLN-4 / CLN-5: standardise, cast, nulls -------------------------------
@@ -194,14 +183,21 @@ def check_dates(child: DataFrame, parent: DataFrame, on, child_date: str, parent
 
 # -- CLN-9 / CLN-0: split and the whole pipeline -------------------------------------
 
-def split(df: DataFrame, checks: Sequence[tuple[str, str]], reason_col: str = REASON):
+def split(df: DataFrame, checks: Sequence[tuple[str, str]], reason_col: str = REASON,
+          checkpoint: bool = False):
     """CLN-9: (accepted, rejected).  ``checks`` = [(reason, SQL predicate of a bad row)].
 
     A rejected row carries the first reason whose predicate is true.  Both
-    outputs come from one labelled plan; write or checkpoint it first if
-    both are consumed, so the input is read once.
+    outputs come from one labelled plan; with ``checkpoint`` the labelled rows
+    are written to the session's reliable checkpoint folder first (eager), so
+    both read that copy, and a lost executor does not send the job back to the
+    raw input.
     """
     labelled = label_rejects(df, checks, reason_col)
+    if checkpoint:
+        from ..session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(labelled.sparkSession)
+        labelled = labelled.checkpoint(eager=True)
     accepted = labelled.filter(F.col(reason_col).isNull()).drop(reason_col)
     rejected = labelled.filter(F.col(reason_col).isNotNull())
     return accepted, rejected
@@ -250,19 +246,9 @@ def standardised(raw: DataFrame, rules: CleanRules) -> DataFrame:
 def clean(raw: DataFrame, rules: CleanRules, checkpoint: bool = False):
     """CLN-0: clean raw rows end to end; returns (accepted, rejected).
 
-    With ``checkpoint`` the labelled rows are written to the session's
-    reliable checkpoint folder first (eager), so both outputs read that copy
-    instead of re-running the cleaning, and a lost executor does not send
-    the job back to the raw input.
+    ``checkpoint`` is passed to ``split``.
     """
-    labelled = label_rejects(standardised(raw, rules), list(rules.checks))
-    if checkpoint:
-        from ..session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(labelled.sparkSession)
-        labelled = labelled.checkpoint(eager=True)
-    accepted = labelled.filter(F.col(REASON).isNull()).drop(REASON)
-    rejected = labelled.filter(F.col(REASON).isNotNull())
-    return accepted, rejected
+    return split(standardised(raw, rules), list(rules.checks), checkpoint=checkpoint)
 
 
 def reject_counts(rejected: DataFrame, reason_col: str = REASON) -> DataFrame:
@@ -275,22 +261,31 @@ def reject_counts(rejected: DataFrame, reason_col: str = REASON) -> DataFrame:
 def profile(df: DataFrame, cols=None) -> DataFrame:
     """CLN-10: per column: rows, nulls, distinct values, min and max (as text).
 
-    One small aggregate per column, combined with ``unionByName``.  Each
-    reads only its own column from a columnar source, and its exact
-    distinct count shuffles only that column's (map-side deduplicated)
-    values.  A single aggregate over all columns would instead make Spark
-    copy every row once per distinct count (``Expand``) before shuffling.
-    min / max are taken in the column's own type, then cast to text.
+    Two passes over the input, however many columns: one global aggregate for
+    counts and bounds (in the column's own type, then cast to text), and one
+    over (column, value) pairs for the exact distinct counts, which map-side
+    combining cuts to each task's distinct values before the shuffle.
     """
     cols = as_list(cols) or df.columns
-    parts = [df.agg(F.lit(c).alias("column"),
-                    F.count(F.lit(1)).alias("rows"),
-                    (F.count(F.lit(1)) - F.count(F.col(c))).alias("nulls"),
-                    F.count_distinct(F.col(c)).alias("distinct_values"),
-                    F.min(F.col(c)).cast("string").alias("min_value"),
-                    F.max(F.col(c)).cast("string").alias("max_value"))
-             for c in cols]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+
+    def value(c: str) -> Column:
+        # 0.0 and -0.0 are one value
+        v = F.col(c) + F.lit(0.0) if df.schema[c].dataType.typeName() in ("float", "double") \
+            else F.col(c)
+        return v.cast("string")
+
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), value(c).alias("value")) for c in cols])).alias("p"))
+    distinct = (pairs.select("p.*").filter(F.col("value").isNotNull()).distinct()
+                .groupBy("column").agg(F.count(F.lit(1)).alias("distinct_values")))
+    facts = df.agg(*[F.struct(
+        F.lit(c).alias("column"), F.count(F.lit(1)).alias("rows"),
+        (F.count(F.lit(1)) - F.count(F.col(c))).alias("nulls"),
+        F.min(F.col(c)).cast("string").alias("min_value"),
+        F.max(F.col(c)).cast("string").alias("max_value")).alias(f"s{i}")
+        for i, c in enumerate(cols)])
+    rows = facts.select(F.explode(F.array(*[f"s{i}" for i in range(len(cols))])).alias("s"))
+    return (rows.select("s.*").join(distinct, "column", "left")
+            .select("column", "rows", "nulls",
+                    F.coalesce("distinct_values", F.lit(0).cast("bigint")).alias("distinct_values"),
+                    "min_value", "max_value"))

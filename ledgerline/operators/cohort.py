@@ -12,11 +12,13 @@ tables (cohort x index cells, customer x day counts).
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import month_index, period_start, ratio
-from ..plans.ranking import group_row_number
+from ..plans.ranking import day_row_number
 
 
 def _known(orders: DataFrame, customer_col: str, date_col: str = "order_date") -> DataFrame:
@@ -38,9 +40,14 @@ def cohort_size(orders: DataFrame, customer_col: str = "customer_id",
             .groupBy("cohort").agg(F.count(F.lit(1)).alias("customers")))
 
 
-def _cohorts(orders, customer_col, date_col) -> DataFrame:
+def _cohorts(orders, customer_col, date_col, complete_only=False) -> DataFrame:
     """One row per cohort: ``cohort``, ``_cells`` (month index -> active
-    customers), ``cohort_size``, ``_last`` (last month with an order).
+    customers), ``cohort_size``, ``_last`` (last month of the window).
+
+    The window ends with the last month that has an order or, with
+    ``complete_only``, the last month that the data cover to its last day:
+    the cells of a partial month, and a cohort that begins in it, are left
+    out.
 
     Plan: (1) per customer, the set of active months (hash aggregate; the
     set holds at most one entry per calendar month); (2) explode to
@@ -50,23 +57,32 @@ def _cohorts(orders, customer_col, date_col) -> DataFrame:
     window over it, not a second scan of the orders.
     """
     months = (_known(orders, customer_col, date_col).groupBy(customer_col)
-              .agg(F.collect_set(period_start(date_col, "month")).alias("_months")))
-    cells = (months.select(F.array_min("_months").alias("cohort"),
+              .agg(F.collect_set(period_start(date_col, "month")).alias("_months"),
+                   F.max(date_col).alias("_day")))
+    cells = (months.select(F.array_min("_months").alias("cohort"), "_day",
                            F.explode("_months").alias("_month"))
              .groupBy("cohort", month_index("cohort", "_month").alias("month_index"))
-             .agg(F.count(F.lit(1)).alias("customers")))
+             .agg(F.count(F.lit(1)).alias("customers"), F.max("_day").alias("_day")))
     per = (cells.groupBy("cohort")
            .agg(F.map_from_entries(F.collect_list(F.struct("month_index", "customers")))
                 .alias("_cells"),
-                F.max("month_index").alias("_top")))
-    everything = Window.partitionBy()
-    return (per.withColumn("cohort_size", F.try_element_at("_cells", F.lit(0)))
-            .withColumn("_last", F.max(F.add_months("cohort", F.col("_top"))).over(everything))
-            .drop("_top"))
+                F.max("_day").alias("_day")))
+    # One row per cohort month, so windows over all of it are bounded.
+    day = F.max("_day").over(Window.partitionBy())
+    last = F.trunc(day, "month")
+    if complete_only:
+        last = F.when(F.last_day(day) == day, last).otherwise(F.add_months(last, -1))
+    out = (per.withColumn("cohort_size", F.try_element_at("_cells", F.lit(0)))
+           .withColumn("_last", last).drop("_day"))
+    if complete_only:
+        top = month_index("cohort", "_last")
+        out = (out.filter(F.col("cohort") <= F.col("_last"))
+               .withColumn("_cells", F.map_filter("_cells", lambda i, _: i <= top)))
+    return out
 
 
 def cohort_long(orders: DataFrame, dense: bool = False, customer_col: str = "customer_id",
-                date_col: str = "order_date") -> DataFrame:
+                date_col: str = "order_date", complete_only: bool = False) -> DataFrame:
     """COH-2/4/6: retention per (cohort, month index), long form.
 
     Columns: ``cohort`` (date), ``month_index`` (int, 0 = cohort month),
@@ -76,9 +92,10 @@ def cohort_long(orders: DataFrame, dense: bool = False, customer_col: str = "cus
     ``dense=False`` returns observed cells only.  ``dense=True`` adds a zero
     row for every index up to the last month in the data (cells inside the
     observation window with no active customer); cells after the last month
-    are unknown and have no row.
+    are unknown and have no row.  ``complete_only`` ends the window with the
+    last month that the data cover to its end.
     """
-    per = _cohorts(orders, customer_col, date_col)
+    per = _cohorts(orders, customer_col, date_col, complete_only)
     if dense:
         idx = F.sequence(F.lit(0), month_index("cohort", "_last"))
     else:
@@ -92,22 +109,25 @@ def cohort_long(orders: DataFrame, dense: bool = False, customer_col: str = "cus
 
 
 def cohort_matrix(orders: DataFrame, max_idx: int | None = None, indexes=None,
-                  customer_col: str = "customer_id", date_col: str = "order_date") -> DataFrame:
+                  customer_col: str = "customer_id", date_col: str = "order_date",
+                  complete_only: bool = False) -> DataFrame:
     """COH-5: retention matrix, one row per cohort, one column per index.
 
     Columns ``cohort``, ``cohort_size`` and ``m<i>`` for each index in
-    ``indexes`` (or 0..``max_idx``), fixed by the caller so the width does
-    not depend on the data.  A cell inside the observation window with no
-    activity is 0.0; a cell after the last data month is null (unknown).
-    Each cohort row already holds its cells as a map, so the wide form is a
-    projection: no pivot shuffle.
+    ``indexes`` or 0..``max_idx``; by default all the months of the data, for
+    which the first and last order date are read when the plan is built.  A
+    cell inside the observation window with no activity is 0.0; a cell after
+    the last data month is null (unknown).  Each cohort row already holds its
+    cells as a map, so the wide form is a projection: no pivot shuffle.
+    ``complete_only`` ends the window with the last month that the data cover
+    to its end.
     """
     if indexes is None:
         if max_idx is None:
-            raise ValueError("give max_idx or indexes")
+            max_idx = _horizon(orders, customer_col, date_col, complete_only)
         indexes = range(max_idx + 1)
     indexes = [int(i) for i in indexes]
-    per = _cohorts(orders, customer_col, date_col)
+    per = _cohorts(orders, customer_col, date_col, complete_only)
     horizon = month_index("cohort", "_last")
 
     def cell(i: int):
@@ -117,15 +137,30 @@ def cohort_matrix(orders: DataFrame, max_idx: int | None = None, indexes=None,
     return per.select("cohort", "cohort_size", *[cell(i) for i in indexes])
 
 
+def _horizon(orders, customer_col, date_col, complete_only) -> int:
+    """Months from the first to the last (complete) month with an order; -1 if
+    there is none."""
+    first, last = (_known(orders, customer_col, date_col)
+                   .agg(F.min(date_col), F.max(date_col)).first())
+    if first is None:
+        return -1
+    months = (last.year - first.year) * 12 + last.month - first.month
+    if complete_only and (last + _dt.timedelta(days=1)).day != 1:
+        months -= 1
+    return months
+
+
 def retention_curve(orders: DataFrame, customer_col: str = "customer_id",
-                    date_col: str = "order_date") -> DataFrame:
+                    date_col: str = "order_date", complete_only: bool = False) -> DataFrame:
     """COH-11: retention by month index across all cohorts.
 
     For index i, ``retained`` sums active customers and ``eligible`` sums the
     sizes of cohorts old enough to have an index i (right-censored cohorts
     are left out, not counted as zero).  ``retention`` = retained / eligible.
+    Without ``complete_only`` the tail of the curve is of a partial month.
     """
-    long = cohort_long(orders, dense=True, customer_col=customer_col, date_col=date_col)
+    long = cohort_long(orders, dense=True, customer_col=customer_col, date_col=date_col,
+                       complete_only=complete_only)
     return (long.groupBy("month_index")
             .agg(F.sum("customers").alias("retained"), F.sum("cohort_size").alias("eligible"),
                  F.count(F.lit(1)).alias("cohorts"))
@@ -143,17 +178,16 @@ def repeat_rate(orders: DataFrame, customer_col: str = "customer_id",
 
 
 def order_seq(orders: DataFrame, customer_col: str = "customer_id",
-              date_col: str = "order_date", order_col: str = "order_id",
-              num_partitions: int | None = None) -> DataFrame:
+              date_col: str = "order_date", order_col: str = "order_id") -> DataFrame:
     """COH-8: ``order_seq`` = 1 for a customer's first order, 2 for the next...
 
-    Ordered by date, then order id.  Uses the skew-safe
-    ``group_row_number``, so a customer with a huge share of all orders is
+    Ordered by date, then order id, then the other columns.  Numbered per
+    customer and day and shifted by the customer's earlier days
+    (``day_row_number``), so a customer with a huge share of all orders is
     numbered by several tasks.
     """
-    return group_row_number(_known(orders, customer_col, date_col), [customer_col],
-                            [F.col(date_col), F.col(order_col)],
-                            out="order_seq", num_partitions=num_partitions)
+    return day_row_number(_known(orders, customer_col, date_col), [customer_col], date_col,
+                          [order_col], out="order_seq")
 
 
 def new_vs_returning(orders: DataFrame, customer_col: str = "customer_id",

@@ -1,8 +1,8 @@
 """Insights (INS-1 ... INS-4): category ranking, Pareto share, seasonality, spikes.
 
-Ranking and Pareto shares work for any number of groups (range slices plus
-per-slice offsets, never a single-partition window).  Seasonality and
-spikes work on one row per month, a table bounded by the calendar.
+Ranking and Pareto shares work for any number of groups: slices by value plus
+per-slice offsets, never a window over the whole table.  Seasonality and spikes
+work on one row per month and group of a filled calendar.
 """
 
 from __future__ import annotations
@@ -13,33 +13,28 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import TOTAL, ratio
-from ..plans.ranking import ordered_slices
-from ._util import as_list
+from ..plans.ranking import slices_before, value_slice
+from ._util import as_list, join_null_safe
 from .kpi import breakdown
+from .trend import fill_calendar
 
 
-def rank_categories(sales: DataFrame, by="category",
-                    num_partitions: int | None = None) -> DataFrame:
+def rank_categories(sales: DataFrame, by="category") -> DataFrame:
     """INS-1: ``by`` groups ranked by revenue (1 = highest; ties share a rank).
 
-    rank = 1 + number of groups with more revenue.  The groups are
-    range-partitioned on revenue (equal revenues share a slice), ranked
-    inside each slice, and shifted by the row count of the earlier slices,
-    so no single task holds the whole table, however many groups there are.
+    rank = 1 + number of groups with more revenue: the position within the
+    group's slice of revenues, plus the number of groups in higher slices.
+    The slice is a function of the revenue alone (``value_slice``).
     """
     by = as_list(by)
-    agg = breakdown(sales, by).select(*by, "revenue")
-    sliced, offsets = ordered_slices(agg, [F.col("revenue").desc()],
-                                     num_partitions=num_partitions)
+    agg = breakdown(sales, by).select(*by, "revenue").withColumn("_slice", value_slice("revenue"))
     local = F.rank().over(Window.partitionBy("_slice").orderBy(F.col("revenue").desc()))
-    return (sliced.withColumn("_local", local)
-            .join(F.broadcast(offsets.select("_slice", "_rows_before")), "_slice")
+    return (join_null_safe(agg.withColumn("_local", local), slices_before(agg), ["_slice"])
             .select(*by, "revenue",
                     (F.col("_rows_before") + F.col("_local")).cast("int").alias("rank")))
 
 
-def pareto(sales: DataFrame, by="category", cutoff: float = 0.8,
-           num_partitions: int | None = None) -> DataFrame:
+def pareto(sales: DataFrame, by="category", cutoff: float = 0.8) -> DataFrame:
     """INS-2: cumulative revenue share, largest first; flag the core groups.
 
     A group is *core* when the groups ranked above it hold less than
@@ -47,19 +42,16 @@ def pareto(sales: DataFrame, by="category", cutoff: float = 0.8,
     the cutoff.  The test is done on exact decimals; ``share`` and
     ``cum_share`` are reported as doubles.  Ties are ordered by name.
 
-    The running total is computed per range slice and shifted by the totals
-    of the earlier slices (``ordered_slices``), so it scales to any number
-    of groups; the slice table is bounded by the partition count, which is
-    what makes its broadcast safe.
+    The running total is taken within a slice of revenues and shifted by the
+    totals of the higher slices, so it scales to any number of groups.
     """
     by = as_list(by)
-    agg = breakdown(sales, by).select(*by, "revenue")
+    agg = breakdown(sales, by).select(*by, "revenue").withColumn("_slice", value_slice("revenue"))
     order = [F.col("revenue").desc(), *[F.col(c).asc() for c in by]]
-    sliced, offsets = ordered_slices(agg, order, "revenue", num_partitions)
     run = (Window.partitionBy("_slice").orderBy(*order)
            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = (sliced.withColumn("_local", F.sum("revenue").over(run))
-           .join(F.broadcast(offsets.select("_slice", "_sum_before", "_sum_all")), "_slice")
+    out = (join_null_safe(agg.withColumn("_local", F.sum("revenue").over(run)),
+                          slices_before(agg, "revenue"), ["_slice"])
            .withColumn("_running", F.col("_sum_before") + F.col("_local")))
     cut = F.lit(Decimal(str(cutoff)))
     return (out.withColumn("share", ratio("revenue", "_sum_all"))
@@ -74,18 +66,21 @@ def seasonality(monthly: DataFrame, period_col: str = "period", value_col: str =
     """INS-3: month-of-year index = revenue of that calendar month / mean month.
 
     Input: a monthly trend (one row per month, per ``by`` group if given).
-    With ``complete_only``, only years with all 12 months present (in that
-    group) count.  index = 12 * sum(month m) / sum(all months), one division
-    of exact sums; 1.0 is an average month.  Columns: the ``by`` columns,
+    The calendar is filled first, so a month in which a group sold nothing
+    counts as zero.  With ``complete_only``, only years whose 12 months all lie
+    between the first and the last month of the whole table count, for every
+    group alike.  index = 12 * sum(month m) / sum(all months), one division of
+    exact sums; 1.0 is an average month.  Columns: the ``by`` columns,
     ``month_of_year`` (int), ``revenue``, ``years``, ``seasonality_index``.
     """
     by = as_list(by)
-    m = monthly.select(*by, F.year(period_col).alias("_year"), F.month(period_col).alias("_moy"),
-                       F.col(value_col).alias("_v"))
+    filled = fill_calendar(monthly.select(*by, period_col, value_col), "month", by=by,
+                           period_col=period_col, zero_cols=(value_col,))
+    m = filled.select(*by, F.year(period_col).alias("_year"), F.month(period_col).alias("_moy"),
+                      F.col(value_col).alias("_v"))
     if complete_only:
-        # Months present per year, as a window over the monthly rows: no
-        # second pass over the (expensive) input.
-        k = F.size(F.collect_set("_moy").over(Window.partitionBy(*by, "_year")))
+        # A filled group has a row for every month of the calendar.
+        k = F.count(F.lit(1)).over(Window.partitionBy(*by, "_year"))
         m = m.withColumn("_k", k).filter(F.col("_k") == 12).drop("_k")
     per = m.groupBy(*by, F.col("_moy").cast("int").alias("month_of_year")).agg(
         F.sum("_v").cast(TOTAL).alias("revenue"), F.count(F.lit(1)).alias("years"))

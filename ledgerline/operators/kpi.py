@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as _dt
+import re
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -65,19 +66,19 @@ def breakdown(sales: DataFrame, dims, totals: bool = False, order_col: str = "or
     dims = as_list(dims)
     per_order = sales.groupBy(*dims, order_col).agg(F.sum(amount_col).alias("_amount"))
     if totals:
-        measures = [money_sum("_amount").alias("revenue"),
-                    F.count_distinct(order_col).alias("orders")]
         top = (1 << len(dims)) - 1
-        # Rollup levels except the grand total: the prefixes of ``dims``.
-        prefixes = [[F.col(d) for d in dims[:i]] for i in range(len(dims), 0, -1)]
-        levels = (per_order.groupingSets(prefixes, *dims)
-                  .agg(*measures, F.grouping_id().cast("int").alias("level")))
-        # The grand total as a global aggregate: exactly one row, also when
-        # nothing is selected (a rollup over no rows returns none in Spark).
-        grand = per_order.agg(*measures).select(
-            *[F.lit(None).cast(sales.schema[d].dataType).alias(d) for d in dims],
-            "revenue", "orders", F.lit(top).alias("level"))
-        out = levels.unionByName(grand)
+        # One seed row without an order: a rollup over no rows returns nothing
+        # in Spark, with it there is always a grand total.  Its other groups
+        # are left out unless real rows are in them.
+        seed = sales.sparkSession.range(1).select(*[
+            F.lit(None).cast(f.dataType).alias(f.name) for f in per_order.schema],
+            F.lit(None).cast("int").alias("_real"))
+        rows = per_order.withColumn("_real", F.lit(1)).unionByName(seed)
+        out = (rows.rollup(*dims)
+               .agg(money_sum("_amount").alias("revenue"),
+                    F.count_distinct(order_col).alias("orders"),
+                    F.grouping_id().cast("int").alias("level"), F.count("_real").alias("_n"))
+               .filter((F.col("_n") > 0) | (F.col("level") == top)).drop("_n"))
     else:
         out = (per_order.groupBy(*dims)
                .agg(money_sum("_amount").alias("revenue"), F.count(order_col).alias("orders")))
@@ -85,11 +86,14 @@ def breakdown(sales: DataFrame, dims, totals: bool = False, order_col: str = "or
 
 
 def top_k(df: DataFrame, k: int, within=None, value_col: str = "revenue",
-          tie_cols=None, buckets: int | None = None) -> DataFrame:
+          tie_cols=None, buckets: int | None = None, keep_ties: bool = False) -> DataFrame:
     """BRK-4: the ``k`` rows with the largest ``value_col`` within each group.
 
-    Ties are broken by ``tie_cols`` ascending so exactly ``k`` rows per group
-    come back; ``rank`` is 1-based.
+    ``rank`` is 1-based.  By default it is a row number: ties are broken by
+    ``tie_cols`` ascending, then by every other column that can be ordered,
+    so exactly ``k`` rows per group come back, the same under any
+    partitioning.  With ``keep_ties`` it is SQL's ``rank() <= k``: rows tied
+    with the k-th all come back and share a rank.
 
     Two phases, so a group holding most of the rows never sits in one task:
     rows are salted into ``buckets`` by a hash of the tie columns and the
@@ -99,15 +103,17 @@ def top_k(df: DataFrame, k: int, within=None, value_col: str = "revenue",
     result is exact.
     """
     within = as_list(within)
-    ties = as_list(tie_cols) or [c for c in df.columns if c not in within and c != value_col
-                                 and df.schema[c].dataType.simpleString() == "string"]
-    order = [F.col(value_col).desc(), *[F.col(c).asc() for c in ties]]
+    ties = as_list(tie_cols)
+    ties += [c for c in df.columns if c not in (*within, value_col, *ties)
+             and not re.search("map<|variant", df.schema[c].dataType.simpleString())]
+    order = [F.col(value_col).desc()]
+    number = F.rank() if keep_ties else F.row_number()
+    if not keep_ties:
+        order += [F.col(c).asc() for c in ties]
     b = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salt_cols = ties or [c for c in df.columns if c not in within]
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in salt_cols]), F.lit(b))
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in ties or [value_col]]), F.lit(b))
     w1 = Window.partitionBy(*within, "_bucket").orderBy(*order)
-    candidates = (df.withColumn("_bucket", salt)
-                  .withColumn("_r", F.row_number().over(w1))
+    candidates = (df.withColumn("_bucket", salt).withColumn("_r", number.over(w1))
                   .filter(F.col("_r") <= k).drop("_r", "_bucket"))
     w2 = Window.partitionBy(*within).orderBy(*order)
-    return candidates.withColumn("rank", F.row_number().over(w2)).filter(F.col("rank") <= k)
+    return candidates.withColumn("rank", number.over(w2)).filter(F.col("rank") <= k)

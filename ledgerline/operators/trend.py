@@ -37,7 +37,10 @@ def trend(sales: DataFrame, grain: str = "month", by=None, date_col: str = "orde
            .agg(money_sum("_amount").alias("revenue"), F.count(order_col).alias("orders"),
                 F.max("_day").alias("_day")))
     if complete_only:
-        last_day = out.select(F.max("_day")).scalar()
+        # The last day, from the same aggregated periods.  The subquery reads
+        # every measure, so it needs the same shuffle as the main query and
+        # Spark runs that once.
+        last_day = out.select(F.max(F.struct("_day", "revenue", "orders")).getField("_day")).scalar()
         period_end = F.date_sub(F.col("period") + period_step(grain), 1)
         out = out.filter(period_end <= last_day)
     return out.drop("_day")
@@ -50,9 +53,10 @@ def fill_calendar(trend_df: DataFrame, grain: str = "month", by=None,
     Periods without sales get 0 in ``zero_cols`` (other measures stay null).
     Rows whose period is null are left out.
     No join and no cross join: each group's rows are folded into one map
-    (period -> measures; at most one entry per calendar period), the global
-    first and last period come from a scalar subquery over those per-group
-    rows, and ``sequence`` + ``explode`` lays the calendar out again.
+    (period -> measures; at most one entry per calendar period), and
+    ``sequence`` + ``explode`` lays the calendar out again.  Without ``by``
+    the one row has the first and last period itself; with it they come from
+    a scalar subquery over the per-group rows.
     """
     by = as_list(by)
     step = period_step(grain)
@@ -64,14 +68,19 @@ def fill_calendar(trend_df: DataFrame, grain: str = "month", by=None,
     per_group = trend_df.groupBy(*by).agg(
         F.map_from_entries(F.collect_list(entry)).alias("_cells"),
         F.min(period_col).alias("_lo"), F.max(period_col).alias("_hi"))
-    # Global first / last period: one scalar subquery (a global aggregate,
-    # partially aggregated per task) over the per-group table, so any
-    # number of groups works; Spark reuses the per-group shuffle for it.
-    bounds = per_group.select(F.struct(F.min("_lo").alias("lo"),
-                                       F.max("_hi").alias("hi"))).scalar()
+    if by:
+        # A global aggregate over the per-group table, so any number of groups
+        # works.  It reads the cells too: a subquery that needs fewer columns
+        # than the main query has a shuffle of its own, and Spark would
+        # compute the whole input twice.
+        has = F.size("_cells") >= 0
+        bounds = per_group.select(F.struct(F.min(F.when(has, F.col("_lo"))).alias("lo"),
+                                           F.max(F.when(has, F.col("_hi"))).alias("hi"))).scalar()
+        lo, hi = bounds.getField("lo"), bounds.getField("hi")
+    else:
+        lo, hi = F.col("_lo"), F.col("_hi")
     grid = per_group.select(*by, "_cells",
-                            F.explode(F.sequence(bounds.getField("lo"), bounds.getField("hi"),
-                                                 step)).alias(period_col))
+                            F.explode(F.sequence(lo, hi, step)).alias(period_col))
     cell = F.try_element_at("_cells", F.col(period_col))
     out = []
     for c in measures:

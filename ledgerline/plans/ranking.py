@@ -1,21 +1,18 @@
-"""Row numbers within groups that stay correct and balanced under skew.
+"""Ranks and running sums over tables that no single task can hold.
 
-``row_number().over(Window.partitionBy(keys).orderBy(...))`` sends every row
-of a group to one task.  If one customer holds a third of all orders, that
-task holds a third of the data.  ``group_row_number`` gives the same numbers
-without that:
+A table is cut into slices by an expression of the row alone, so every part of
+a plan that computes a row's slice gets the same one, whatever the optimiser
+prunes, reuses or re-runs:
 
-1. range-partition on (keys, order): the sampled bounds cut a hot group
-   into several contiguous slices, each in its own partition;
-2. number rows inside each (group, slice) with a window whose partition is
-   (keys, slice id) - at most one range partition of rows;
-3. count rows per (group, slice), and sum the counts of earlier slices of
-   the same group (a window over at most ``num_partitions`` rows per group);
-4. add that offset back with an equi-join on (keys, slice id).
+- ``value_slice``: a monotone function of a number (its sign, and the floor of
+  ``PER_OCTAVE`` times its base-2 logarithm).  Equal numbers share a slice and
+  larger numbers never have a smaller one.  Fineness only balances the work;
+  it cannot change an answer.
+- a calendar day of a date, for the position of rows within a key
+  (``day_row_number``).
 
-The slice id is the range partition a row landed in.  Range bounds are a
-deterministic function of the input, so a retried task computes the same
-ids; no nondeterministic row ids are used.
+Ranks and sums are taken within a slice and shifted by the counts and totals
+of the slices before it.
 """
 
 from __future__ import annotations
@@ -25,65 +22,62 @@ from pyspark.sql import functions as F
 
 from ..operators._util import as_list, join_null_safe
 
+#: Slices per doubling of the value: a slice spans 0.017 % of a value, and the
+#: table of slices stays below 4,096 rows per doubling that occurs.
+PER_OCTAVE = 4096
 
-def _sort_col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
 
+def value_slice(col: str | Column) -> Column:
+    """Slice of a number: larger numbers have larger slices; null has none."""
+    v = (F.col(col) if isinstance(col, str) else col).cast("double")
+    steps = F.floor(F.log2(F.abs(v) + 1) * F.lit(PER_OCTAVE)).cast("long")
+    return F.when(v < 0, -steps).otherwise(steps)
 
-def group_row_number(df: DataFrame, keys, order, out: str = "row_number",
-                     num_partitions: int | None = None) -> DataFrame:
-    """Add ``out`` = 1-based position of each row within its ``keys`` group.
-
-    ``order`` is a list of column names (ascending) or sort Columns; it must
-    order rows of a group totally (add a unique column as the last tie
-    breaker) for the numbering to be deterministic.
-    """
-    keys = as_list(keys)
-    order_cols = [_sort_col(c) for c in (as_list(order) if isinstance(order, str) else order)]
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sliced = (df.repartitionByRange(n, *[F.col(k) for k in keys], *order_cols)
-              .withColumn("_slice", F.spark_partition_id()))
-    local_w = Window.partitionBy(*keys, "_slice").orderBy(*order_cols)
-    numbered = sliced.withColumn("_local", F.row_number().over(local_w))
-    # Counted from the numbered rows, which are already hash-partitioned on
-    # (keys, slice): no second range shuffle, no second sampling job.
-    counts = numbered.groupBy(*keys, "_slice").agg(F.max("_local").alias("_n"))
-    before_w = (Window.partitionBy(*keys).orderBy("_slice")
-                .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select(*keys, "_slice",
-                            F.coalesce(F.sum("_n").over(before_w), F.lit(0)).alias("_before"))
-    joined = join_null_safe(numbered, offsets, [*keys, "_slice"], "inner")
-    return (joined.withColumn(out, (F.col("_before") + F.col("_local")).cast("bigint"))
-            .drop("_slice", "_local", "_before"))
 
+def slices_before(sliced: DataFrame, value_col: str | None = None) -> DataFrame:
+    """Per ``_slice``, what the slices with larger values hold.
 
-def ordered_slices(df: DataFrame, order, value_col: str | None = None,
-                   num_partitions: int | None = None):
-    """Range-partition ``df`` on ``order`` and describe the slices.
-
-    Returns ``(sliced, offsets)``.  ``sliced`` is ``df`` plus ``_slice`` (the
-    range partition of each row; slices are contiguous in ``order``, and rows
-    with equal ``order`` values always share a slice).  ``offsets`` has one
-    row per non-empty slice - at most ``num_partitions`` rows, a bound fixed
-    by configuration, not by the data - with ``_rows_before`` / ``_sum_before``
-    (rows and ``value_col`` total of all earlier slices) and ``_rows_all`` /
-    ``_sum_all`` (whole table).  A window over ``_slice`` plus these offsets
-    gives global running counts and sums without a single-partition window.
+    Columns: ``_slice``, ``_rows_before`` and, with ``value_col``,
+    ``_sum_before`` and ``_sum_all``.  One row per slice that occurs, so the
+    unpartitioned window has a bound that does not grow with the rows.  Null
+    values come last, in a slice of their own.
     """
-    order_cols = [_sort_col(c) for c in (as_list(order) if isinstance(order, str) else order)]
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sliced = df.repartitionByRange(n, *order_cols).withColumn("_slice", F.spark_partition_id())
     aggs = [F.count(F.lit(1)).alias("_rows")]
     if value_col:
         aggs.append(F.sum(value_col).alias("_sum"))
     per = sliced.groupBy("_slice").agg(*aggs)
-    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy()
+    above = (Window.orderBy(F.col("_slice").desc_nulls_last())
+             .rowsBetween(Window.unboundedPreceding, -1))
     cols = [F.col("_slice"),
-            F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_rows_before"),
-            F.sum("_rows").over(everything).alias("_rows_all")]
+            F.coalesce(F.sum("_rows").over(above), F.lit(0)).alias("_rows_before")]
     if value_col:
         zero = F.lit(0).cast(per.schema["_sum"].dataType)
-        cols += [F.coalesce(F.sum("_sum").over(before), zero).alias("_sum_before"),
-                 F.sum("_sum").over(everything).alias("_sum_all")]
-    return sliced, per.select(*cols)
+        cols += [F.coalesce(F.sum("_sum").over(above), zero).alias("_sum_before"),
+                 F.sum("_sum").over(Window.partitionBy()).alias("_sum_all")]
+    return per.select(*cols)
+
+
+def day_row_number(df: DataFrame, keys, date_col: str, order=(), out: str = "row_number"
+                   ) -> DataFrame:
+    """Add ``out`` = 1-based position of a row within ``keys`` by ``date_col``,
+    then ``order``, then all other columns.
+
+    Rows are counted per (keys, day) with map-side combining and the counts
+    summed over a key's days, a window bounded by the calendar.  Rows are
+    numbered within (keys, day) and shifted by their key's earlier days, an
+    equi-join on the same columns.  A key with a large share of all rows is
+    spread over its days.
+    """
+    keys, order = as_list(keys), as_list(order)
+    rest = [c for c in df.columns if c not in (*keys, date_col, *order)]
+    day = df.withColumn("_day", F.col(date_col).cast("date"))
+    earlier = (Window.partitionBy(*keys).orderBy("_day")
+               .rowsBetween(Window.unboundedPreceding, -1))
+    offsets = (day.groupBy(*keys, "_day").agg(F.count(F.lit(1)).alias("_n"))
+               .select(*keys, "_day",
+                       F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")))
+    within = Window.partitionBy(*keys, "_day").orderBy(date_col, *order, *rest)
+    numbered = day.withColumn("_local", F.row_number().over(within))
+    return (join_null_safe(numbered, offsets, [*keys, "_day"])
+            .withColumn(out, (F.col("_before") + F.col("_local")).cast("bigint"))
+            .drop("_day", "_before", "_local"))

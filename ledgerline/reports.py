@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .dashboard import dashboard
 from .operators import clean as cln
 from .operators import cohort as coh
 from .operators import insight as ins
@@ -28,7 +29,7 @@ REPORTS: dict[str, Report] = {}
 # Fixed report parameters (the SQL in sql_checks uses the same values).
 KPI_SLICE = {"start": "1998-01-01", "end": "1999-01-01",
              "categories": ["PROMO"], "regions": ["ASIA"]}
-MATRIX_INDEXES = (0, 1, 2, 3, 6, 12)
+VIEW_PREFIX = "ledgerline_"
 FACT_SLICE = ("1998-01-01", "1999-01-01")
 TOP_K = 3
 PARETO_CUTOFF = 0.8
@@ -73,15 +74,16 @@ def sales_fact(spark, sf_dir):
 def sql_monthly_orders(spark, sf_dir):
     """SRC-2: the tables as named views, queried with Spark SQL text."""
     t = load(spark, sf_dir)
-    register({"orders": t["orders"], "lineitem": t["lineitem"]})
-    return spark.sql("""
+    orders, lines = register({"orders": t["orders"], "lineitem": t["lineitem"]}, VIEW_PREFIX)
+    # Distinct keys first: a hot order is one row per map task before the
+    # shuffle (an existence join on the raw lines could not be split).
+    return spark.sql(f"""
         SELECT trunc(CAST(o.o_orderdate AS DATE), 'month') AS period,
                count(*) AS orders,
                count(CASE WHEN o.o_orderstatus = 'F' THEN 1 END) AS fulfilled_orders,
-               count(CASE WHEN NOT EXISTS (SELECT 1 FROM lineitem l
-                                           WHERE l.l_orderkey = o.o_orderkey)
-                          THEN 1 END) AS orders_without_lines
-        FROM orders o
+               count(CASE WHEN l.l_orderkey IS NULL THEN 1 END) AS orders_without_lines
+        FROM {orders} o
+        LEFT JOIN (SELECT DISTINCT l_orderkey FROM {lines}) l ON l.l_orderkey = o.o_orderkey
         GROUP BY 1
     """)
 
@@ -111,6 +113,14 @@ def fact_month_slice(spark, sf_dir):
     return read_clean(spark, path, *FACT_SLICE, keep_partition_col=True, schema=written)
 
 
+@report("fact_written_full")
+def fact_written_full(spark, sf_dir):
+    """SNK-1: the whole fact, written partitioned by month and read back."""
+    path = scratch_path(spark, "sales_fact")
+    written = write_clean(_sales(spark, sf_dir), path)
+    return read_clean(spark, path, keep_partition_col=True, schema=written)
+
+
 @report("published_region_sales")
 def published_region_sales(spark, sf_dir):
     """SNK-2: a dashboard visual published as its own table, read back."""
@@ -186,6 +196,19 @@ def trend_moving_avg(spark, sf_dir):
     return trd.moving_avg(t, MOVING_WINDOW)
 
 
+# -- dashboard with slicers ------------------------------------------------------
+
+@report("dashboard_sliced_trend")
+def dashboard_sliced_trend(spark, sf_dir):
+    return dashboard(spark, load(spark, sf_dir), materialize=False, **KPI_SLICE)["trend_monthly"]
+
+
+@report("dashboard_sliced_breakdown")
+def dashboard_sliced_breakdown(spark, sf_dir):
+    return dashboard(spark, load(spark, sf_dir), materialize=False, start=KPI_SLICE["start"],
+                     end=KPI_SLICE["end"])["category_region"]
+
+
 # -- breakdowns ------------------------------------------------------------------
 
 @report("breakdown_category")
@@ -234,7 +257,7 @@ def cohort_dense(spark, sf_dir):
 
 @report("cohort_matrix")
 def cohort_matrix(spark, sf_dir):
-    return coh.cohort_matrix(_orders(spark, sf_dir), indexes=MATRIX_INDEXES)
+    return coh.cohort_matrix(_orders(spark, sf_dir))
 
 
 @report("retention_curve")
@@ -242,6 +265,21 @@ def retention_curve(spark, sf_dir):
     return coh.retention_curve(_orders(spark, sf_dir))
 
 
+@report("cohort_dense_complete")
+def cohort_dense_complete(spark, sf_dir):
+    return coh.cohort_long(_orders(spark, sf_dir), dense=True, complete_only=True)
+
+
+@report("cohort_matrix_complete")
+def cohort_matrix_complete(spark, sf_dir):
+    return coh.cohort_matrix(_orders(spark, sf_dir), complete_only=True)
+
+
+@report("retention_curve_complete")
+def retention_curve_complete(spark, sf_dir):
+    return coh.retention_curve(_orders(spark, sf_dir), complete_only=True)
+
+
 @report("repeat_rate")
 def repeat_rate(spark, sf_dir):
     return coh.repeat_rate(_orders(spark, sf_dir))
@@ -252,6 +290,13 @@ def order_seq(spark, sf_dir):
     return coh.order_seq(_orders(spark, sf_dir))
 
 
+@report("order_seq_wide")
+def order_seq_wide(spark, sf_dir):
+    """COH-8 on all six columns of ``orders``."""
+    return coh.order_seq(load(spark, sf_dir)["orders"], customer_col="o_custkey",
+                         date_col="o_orderdate", order_col="o_orderkey")
+
+
 @report("new_vs_returning")
 def new_vs_returning(spark, sf_dir):
     return coh.new_vs_returning(_orders(spark, sf_dir))
@@ -269,6 +314,16 @@ def category_rank(spark, sf_dir):
     return ins.rank_categories(_sales(spark, sf_dir), "category")
 
 
+@report("customer_revenue_rank")
+def customer_revenue_rank(spark, sf_dir):
+    return ins.rank_categories(_sales(spark, sf_dir), "customer_id")
+
+
+@report("customer_pareto")
+def customer_pareto(spark, sf_dir):
+    return ins.pareto(_sales(spark, sf_dir), "customer_id", PARETO_CUTOFF)
+
+
 @report("pareto_category")
 def pareto_category(spark, sf_dir):
     return ins.pareto(_sales(spark, sf_dir), "category", PARETO_CUTOFF)
@@ -286,7 +341,8 @@ def seasonality(spark, sf_dir):
 
 @report("sales_spikes")
 def sales_spikes(spark, sf_dir):
-    return ins.spikes(trd.trend(_sales(spark, sf_dir), "month"), SPIKE_RATIO)
+    t = trd.fill_calendar(trd.trend(_sales(spark, sf_dir), "month"), "month")
+    return ins.spikes(t, SPIKE_RATIO)
 
 
 @report("seasonality_by_category")
@@ -295,6 +351,12 @@ def seasonality_by_category(spark, sf_dir):
     return ins.seasonality(monthly, by="category")
 
 
+@report("seasonality_by_brand")
+def seasonality_by_brand(spark, sf_dir):
+    monthly = trd.trend(_sales(spark, sf_dir), "month", by="subcategory")
+    return ins.seasonality(monthly, by="subcategory")
+
+
 @report("spikes_by_category")
 def spikes_by_category(spark, sf_dir):
     t = trd.trend(_sales(spark, sf_dir), "month", by="category")
@@ -338,6 +400,20 @@ def dedup_lines(spark, sf_dir):
     return cln.dedup_by_key(li, list(LINE_KEYS), [("l_shipdate", "desc")])
 
 
+@report("dedup_lines_mixed")
+def dedup_lines_mixed(spark, sf_dir):
+    li = load(spark, sf_dir)["lineitem"]
+    return cln.dedup_by_key(li, list(LINE_KEYS), [("l_shipdate", "desc"), ("l_quantity", "asc")])
+
+
+@report("split_first_reason")
+def split_first_reason(spark, sf_dir):
+    """CLN-9: both sides of the split, each row with the reason it was split by."""
+    std = cln.standardised(_raw(spark, sf_dir), RAW_ORDER_RULES)
+    accepted, rejected = cln.split(std, list(RAW_ORDER_RULES.checks))
+    return accepted.withColumn(cln.REASON, F.lit("accepted")).unionByName(rejected)
+
+
 @report("standardise_text")
 def standardise_text(spark, sf_dir):
     return cln.standardise_text(_raw(spark, sf_dir), ["prio"])

@@ -10,16 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .csv import NULL
+
 
 def write_clean(df: DataFrame, path: str, date_col: str = "order_date",
                 partition_col: str = "order_month", tie_cols: tuple[str, ...] = ("order_id",),
                 mode: str = "overwrite") -> StructType:
     """SNK-1: write the fact as Parquet, partitioned by month.
 
-    Rows are range-partitioned on (date, tie columns) before the write: each
-    task gets a contiguous, sampled slice of the calendar and writes one or
-    two month folders.  Hashing on the month instead would put a whole month
-    (1/80 of the data) into one task.  Readers should filter on
+    Rows are rebalanced on the month before the write: one shuffle, no
+    sampling pass, and AQE cuts a month that is larger than the advisory
+    partition size into several tasks and puts small months together, so each
+    month gets few files of about that size.  Readers should filter on
     ``partition_col`` as well as on ``date_col``: a filter on the date alone
     does not prune partitions.  Returns the written schema (partition column
     included): pass it to ``read_clean``, so that even an empty result, which
@@ -27,7 +29,7 @@ def write_clean(df: DataFrame, path: str, date_col: str = "order_date",
     """
     out = df.withColumn(partition_col, F.trunc(F.col(date_col), "month"))
     order = [date_col, *[c for c in tie_cols if c in df.columns]]
-    (out.repartitionByRange(*order)
+    (out.hint("rebalance", partition_col)
         .sortWithinPartitions(partition_col, *order)
         .write.mode(mode)
         .partitionBy(partition_col)
@@ -55,10 +57,10 @@ def export_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",",
 
     Spark's CSV writer trims leading and trailing spaces by default; a raw
     export must not, or the cleaning step would never see them.  Nulls are
-    written as empty fields, empty strings as ``""``.
+    written as ``\\N``, empty strings as ``""``; ``load_csv`` reads them back.
     """
     (df.write.mode(mode)
-       .option("header", header).option("sep", sep)
+       .option("header", header).option("sep", sep).option("nullValue", NULL)
        .option("ignoreLeadingWhiteSpace", False)
        .option("ignoreTrailingWhiteSpace", False)
        .csv(path))

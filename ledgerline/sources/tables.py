@@ -68,8 +68,13 @@ def load(spark: SparkSession, sf_dir: str, names=None) -> Tables:
     return Tables(spark, sf_dir, names)
 
 
-def register(tables: Mapping[str, DataFrame]) -> list[str]:
-    """SRC-2: expose each DataFrame to ``spark.sql`` as a temp view of its key."""
+def register(tables: Mapping[str, DataFrame], prefix: str = "") -> list[str]:
+    """SRC-2: expose each DataFrame to ``spark.sql`` as a temp view.
+
+    The view's name is ``prefix`` and the table's key; a view of that name is
+    replaced, so give a prefix where the session has views of its own.
+    Returns the names.
+    """
     for name, df in tables.items():
-        df.createOrReplaceTempView(name)
-    return list(tables)
+        df.createOrReplaceTempView(prefix + name)
+    return [prefix + name for name in tables]

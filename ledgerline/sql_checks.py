@@ -276,27 +276,55 @@ SELECT cohort, month_index, customers, cohort_size,
 FROM dense
 """
 
-_MATRIX_COLS = ",\n       ".join(
-    f"max(CASE WHEN month_index = {i} THEN {_ratio('customers', 'cohort_size')} END) AS m{i}"
-    for i in (0, 1, 2, 3, 6, 12))
-SQL["cohort_matrix"] = f"""
-WITH {ORDERS}, {_COHORT_CELLS}
+# The fixtures' orders span 80 months (1995-01 to 2001-08), the last one partial.
+MATRIX_MONTHS = 80
+
+#: Cells up to the last month whose last day has passed in the data.
+_COMPLETE = f"""
+complete AS (
+  SELECT dense.* FROM dense, (SELECT max(order_date) AS d FROM ords) x
+  WHERE CAST(cohort + to_months(month_index) AS DATE) <=
+        CASE WHEN last_day(d) = d THEN {_month('d')}
+             ELSE CAST({_month('d')} - INTERVAL 1 MONTH AS DATE) END
+)"""
+
+
+def _matrix(cells: str, months: int) -> str:
+    cols = ",\n       ".join(
+        f"max(CASE WHEN month_index = {i} THEN {_ratio('customers', 'cohort_size')} END) AS m{i}"
+        for i in range(months))
+    return f"""
 SELECT cohort, cohort_size,
-       {_MATRIX_COLS}
-FROM dense GROUP BY cohort, cohort_size
+       {cols}
+FROM {cells} GROUP BY cohort, cohort_size
 """
 
-SQL["retention_curve"] = f"""
-WITH {ORDERS}, {_COHORT_CELLS},
+
+def _curve(cells: str) -> str:
+    return f"""
 c AS (
   SELECT month_index, CAST(sum(customers) AS BIGINT) AS retained,
          CAST(sum(cohort_size) AS BIGINT) AS eligible, count(*) AS cohorts
-  FROM dense GROUP BY month_index
+  FROM {cells} GROUP BY month_index
 )
 SELECT month_index, retained, eligible, cohorts, {_ratio('retained', 'eligible')} AS retention
 FROM c
 """
 
+
+SQL["cohort_matrix"] = f"WITH {ORDERS}, {_COHORT_CELLS} {_matrix('dense', MATRIX_MONTHS)}"
+SQL["retention_curve"] = f"WITH {ORDERS}, {_COHORT_CELLS}, {_curve('dense')}"
+SQL["cohort_dense_complete"] = f"""
+WITH {ORDERS}, {_COHORT_CELLS}, {_COMPLETE}
+SELECT cohort, month_index, customers, cohort_size,
+       {_ratio('customers', 'cohort_size')} AS retention
+FROM complete
+"""
+SQL["cohort_matrix_complete"] = (
+    f"WITH {ORDERS}, {_COHORT_CELLS}, {_COMPLETE} {_matrix('complete', MATRIX_MONTHS - 1)}")
+SQL["retention_curve_complete"] = (
+    f"WITH {ORDERS}, {_COHORT_CELLS}, {_COMPLETE}, {_curve('complete')}")
+
 SQL["repeat_rate"] = f"""
 WITH {ORDERS},
 pc AS (SELECT customer_id, count(DISTINCT order_id) AS n FROM ords GROUP BY customer_id),
@@ -312,6 +340,12 @@ SELECT order_id, customer_id, order_date,
 FROM ords
 """
 
+SQL["order_seq_wide"] = """
+SELECT *, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)
+               AS BIGINT) AS order_seq
+FROM orders WHERE o_custkey IS NOT NULL AND o_orderdate IS NOT NULL
+"""
+
 SQL["new_vs_returning"] = f"""
 WITH {ORDERS},
 pm AS (SELECT {_month('order_date')} AS period, count(*) AS orders FROM ords GROUP BY 1),
@@ -344,6 +378,11 @@ WITH {SALES}, {_breakdown('category')}
 SELECT category, revenue, CAST(rank() OVER (ORDER BY revenue DESC) AS INTEGER) AS rank FROM bd
 """
 
+SQL["customer_revenue_rank"] = f"""
+WITH {SALES}, {_breakdown('customer_id')}
+SELECT customer_id, revenue, CAST(rank() OVER (ORDER BY revenue DESC) AS INTEGER) AS rank FROM bd
+"""
+
 
 def _pareto(by: str) -> str:
     return f"""
@@ -362,10 +401,11 @@ FROM w
 
 SQL["pareto_category"] = _pareto("category")
 SQL["pareto_brand"] = _pareto("subcategory")
+SQL["customer_pareto"] = _pareto("customer_id")
 
 SQL["seasonality"] = f"""
-WITH {SALES}, {_trend(_month('order_date'))},
-m AS (SELECT year(period) AS y, month(period) AS moy, revenue FROM trend),
+WITH {SALES}, {_trend(_month('order_date'))}, {_filled(step='MONTH')},
+m AS (SELECT year(period) AS y, month(period) AS moy, revenue FROM filled),
 full_years AS (SELECT y FROM m GROUP BY y HAVING count(DISTINCT moy) = 12),
 per AS (
   SELECT CAST(moy AS INTEGER) AS month_of_year, CAST(sum(revenue) AS DECIMAL(28,4)) AS revenue,
@@ -378,10 +418,10 @@ FROM per
 """
 
 SQL["sales_spikes"] = f"""
-WITH {SALES}, {_trend(_month('order_date'))},
+WITH {SALES}, {_trend(_month('order_date'))}, {_filled(step='MONTH')},
 w AS (
   SELECT period, revenue, sum(revenue) OVER t AS s, count(revenue) OVER t AS n
-  FROM trend WHERE period IS NOT NULL
+  FROM filled
   WINDOW t AS (ORDER BY period ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING)
 )
 SELECT period, revenue, {_ratio('s', 'n')} AS trailing_avg,
@@ -442,6 +482,24 @@ FROM (
 ) WHERE rn = 1
 """
 
+SQL["dedup_lines_mixed"] = """
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount,
+       l_tax, l_returnflag, l_linestatus, l_shipdate
+FROM (
+  SELECT *, row_number() OVER (
+           PARTITION BY l_orderkey, l_linenumber
+           ORDER BY l_shipdate DESC, l_quantity ASC, l_partkey ASC, l_suppkey ASC,
+                    l_extendedprice ASC, l_discount ASC, l_tax ASC, l_returnflag ASC,
+                    l_linestatus ASC) AS rn
+  FROM lineitem
+) WHERE rn = 1
+"""
+
+SQL["split_first_reason"] = f"""
+WITH {RAW}, {STD}
+SELECT oid, cid, prio, amt, dt, COALESCE(reject_reason, 'accepted') AS reject_reason FROM labelled
+"""
+
 SQL["standardise_text"] = f"""
 WITH {RAW} SELECT oid, cid, NULLIF(upper(trim(prio)), '') AS prio, amt, dt FROM raw
 """
@@ -495,7 +553,7 @@ SQL["profile_orders"] = _profile(("o_orderkey", "o_custkey", "o_orderstatus", "o
 
 SQL["csv_raw_orders"] = f"""
 WITH {RAW}
-SELECT oid, cid, NULLIF(prio, '') AS prio, TRY_CAST(amt AS DECIMAL(12,2)) AS amt,
+SELECT oid, cid, prio, TRY_CAST(amt AS DECIMAL(12,2)) AS amt,
        TRY_CAST(dt AS DATE) AS dt,
        (amt IS NOT NULL AND TRY_CAST(amt AS DECIMAL(12,2)) IS NULL)
          OR (dt IS NOT NULL AND TRY_CAST(dt AS DATE) IS NULL) AS malformed
@@ -509,21 +567,55 @@ WHERE order_date >= DATE '1998-01-01' AND order_date < DATE '1999-01-01'
 """
 
 
-SQL["seasonality_by_category"] = f"""
-WITH {SALES}, {_trend(_month('order_date'), 'category')},
-m AS (SELECT category, year(period) AS y, month(period) AS moy, revenue FROM trend),
-full_years AS (SELECT category, y FROM m GROUP BY category, y HAVING count(DISTINCT moy) = 12),
+SQL["fact_written_full"] = f"""
+WITH {SALES} SELECT *, {_month('order_date')} AS order_month FROM sales
+"""
+
+
+def _seasonality(by: str) -> str:
+    return f"""
+WITH {SALES}, {_trend(_month('order_date'), by)}, {_filled(by, 'MONTH')},
+m AS (SELECT {by}, year(period) AS y, month(period) AS moy, revenue FROM filled),
+full_years AS (SELECT y FROM m GROUP BY y HAVING count(DISTINCT moy) = 12),
 per AS (
-  SELECT m.category, CAST(moy AS INTEGER) AS month_of_year,
+  SELECT {by}, CAST(moy AS INTEGER) AS month_of_year,
          CAST(sum(revenue) AS DECIMAL(28,4)) AS revenue, count(*) AS years
-  FROM m JOIN full_years f ON f.category IS NOT DISTINCT FROM m.category AND f.y = m.y
-  GROUP BY 1, 2
+  FROM m WHERE y IN (SELECT y FROM full_years) GROUP BY 1, 2
 )
-SELECT category, month_of_year, revenue, years,
-       {_ratio('revenue * 12', 'sum(revenue) OVER (PARTITION BY category)')} AS seasonality_index
+SELECT {by}, month_of_year, revenue, years,
+       {_ratio('revenue * 12', f'sum(revenue) OVER (PARTITION BY {by})')} AS seasonality_index
 FROM per
 """
 
+
+SQL["seasonality_by_category"] = _seasonality("category")
+SQL["seasonality_by_brand"] = _seasonality("subcategory")
+
+_SLICE = ("order_date >= DATE '1998-01-01' AND order_date < DATE '1999-01-01'")
+SQL["dashboard_sliced_trend"] = f"""
+WITH {SALES},
+{_trend(_month('order_date'),
+        where=f"WHERE {_SLICE} AND category IN ('PROMO') AND region IN ('ASIA')")},
+{_filled(step='MONTH')},
+g AS (SELECT *, lag(revenue) OVER (ORDER BY period) AS prev_revenue FROM filled)
+SELECT period, revenue, orders, prev_revenue,
+       {_ratio('revenue - prev_revenue', 'prev_revenue')} AS growth
+FROM g
+"""
+
+SQL["dashboard_sliced_breakdown"] = f"""
+WITH {SALES},
+po AS (SELECT category, region, order_id, sum(revenue) AS amount FROM sales
+       WHERE {_SLICE} GROUP BY ALL),
+r AS (
+  SELECT category, region, CAST(sum(amount) AS DECIMAL(28,4)) AS revenue,
+         count(DISTINCT order_id) AS orders,
+         CAST(GROUPING(category, region) AS INTEGER) AS level
+  FROM po GROUP BY ROLLUP (category, region)
+)
+SELECT category, region, revenue, orders, level, {_ratio('revenue', 'orders')} AS aov FROM r
+"""
+
 SQL["spikes_by_category"] = f"""
 WITH {SALES}, {_trend(_month('order_date'), 'category')}, {_filled('category', 'MONTH')},
 w AS (
