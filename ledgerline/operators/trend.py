@@ -38,11 +38,14 @@ def trend(sales: DataFrame, grain: str = "month", by=None, date_col: str = "orde
                 F.max("_day").alias("_day")))
     if complete_only:
         # The last day, from the same aggregated periods.  The subquery reads
-        # every measure, so it needs the same shuffle as the main query and
+        # every measure, and the filter one of them (never above the maximum)
+        # within a coalesce, so that neither it nor a null check is pushed
+        # below the aggregate: both sides then need the same shuffle, and
         # Spark runs that once.
         last_day = out.select(F.max(F.struct("_day", "revenue", "orders")).getField("_day")).scalar()
+        last_day = F.greatest(last_day, F.col("_day"))
         period_end = F.date_sub(F.col("period") + period_step(grain), 1)
-        out = out.filter(period_end <= last_day)
+        out = out.filter(F.coalesce(period_end <= last_day, F.lit(False)))
     return out.drop("_day")
 
 

@@ -7,7 +7,6 @@ from ledgerline.operators import cohort as coh
 from ledgerline.operators import insight as ins
 from ledgerline.operators import kpi
 from ledgerline.operators import trend as trd
-from ledgerline.plans.ranking import group_row_number
 
 
 def test_rank_ties_share_a_rank(make_sales):
@@ -53,8 +52,6 @@ def test_null_group_keys(spark):
     assert rows(f.filter("category IS NULL"), "period", "orders") == [
         (D("2020-01-01"), 1), (D("2020-02-01"), 0), (D("2020-03-01"), 0)]
     df = spark.createDataFrame([(None, 3), (None, 1), (5, 2)], "k BIGINT, v BIGINT")
-    assert rows(group_row_number(df, ["k"], ["v"], num_partitions=3), "k", "v", "row_number") == [
-        (5, 2, 1), (None, 1, 1), (None, 3, 2)]
     assert rows(cln.dedup_by_key(df, ["k"], ["v"]), "k", "v") == [(5, 2), (None, 1)]
 
 
@@ -63,8 +60,6 @@ def test_hot_key_dedup_and_ranking(spark):
     data = [(1, i) for i in range(300)] + [(k, 0) for k in range(2, 40)]
     df = spark.createDataFrame(data, "k BIGINT, v BIGINT").repartition(12)
     assert rows(cln.dedup_by_key(df, ["k"], [("v", "desc")]).filter("k = 1"), "v") == [(299,)]
-    rn = group_row_number(df, ["k"], ["v"], num_partitions=8).filter("k = 1")
-    assert sorted(r["row_number"] - r["v"] for r in rn.collect()) == [1] * 300
 
 
 def test_distributed_rank_pareto_topk_against_brute_force(spark, make_sales):
@@ -79,14 +74,14 @@ def test_distributed_rank_pareto_topk_against_brute_force(spark, make_sales):
     tot = {}
     for *_, cat, _sub, _reg, rev in data:
         tot[cat] = tot.get(cat, 0) + int(rev)
-    got = {r["category"]: r["rank"] for r in ins.rank_categories(s, num_partitions=6).collect()}
+    got = {r["category"]: r["rank"] for r in ins.rank_categories(s).collect()}
     assert got == {c: 1 + sum(v > tot[c] for v in tot.values()) for c in tot}
     order = sorted(tot, key=lambda c: (-tot[c], c))
     running, want = 0, {}
     for c in order:
         want[c] = running < 0.8 * sum(tot.values())
         running += tot[c]
-    p = {r["category"]: r["is_core"] for r in ins.pareto(s, num_partitions=6).collect()}
+    p = {r["category"]: r["is_core"] for r in ins.pareto(s).collect()}
     assert p == want
     cells = kpi.breakdown(s, ["region", "category"]).select("region", "category", "revenue")
     top = kpi.top_k(cells, 3, within="region", tie_cols=["category"], buckets=5)

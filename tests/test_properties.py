@@ -55,7 +55,7 @@ def test_cohorts_against_brute_force(spark, make_orders, data):
                 want[(cohort, j)] = cells.get((cohort, j), 0)
     assert got == want
     # order_seq against a sort
-    seq = {r["order_id"]: r["order_seq"] for r in coh.order_seq(o, num_partitions=5).collect()}
+    seq = {r["order_id"]: r["order_seq"] for r in coh.order_seq(o).collect()}
     by_c = defaultdict(list)
     for oid, c, d in orders:
         by_c[c].append((d, oid))

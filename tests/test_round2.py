@@ -1,0 +1,176 @@
+"""Calendars, complete months, single passes, sinks and the dashboard's slicers."""
+
+import os
+import sys
+from decimal import Decimal
+
+import pytest
+from conftest import SF_SMALL, D, M, rows
+
+from ledgerline import reports, session
+from ledgerline.dashboard import dashboard
+from ledgerline.operators import clean as cln
+from ledgerline.operators import cohort as coh
+from ledgerline.operators import insight as ins
+from ledgerline.operators import kpi
+from ledgerline.operators import trend as trd
+from ledgerline.sources import export_csv, load, load_csv, read_clean, register, write_clean
+
+sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
+                                "tools"))
+from plan_report import final_scans  # noqa: E402
+
+MONTHLY = "period DATE, g STRING, revenue DECIMAL(28,4)"
+
+
+def _months(group, values, start=0):
+    return [(D(f"{2020 + (start + i) // 12}-{(start + i) % 12 + 1:02d}-01"), group, M(v))
+            for i, v in enumerate(values) if v]
+
+
+def test_seasonality_keeps_years_with_a_zero_month(spark):
+    data = _months("a", [5] * 24) + _months("b", [2] * 5 + [0] + [2] * 18)
+    t = spark.createDataFrame(data, MONTHLY)
+    got = rows(ins.seasonality(t, by="g"), "g", "month_of_year", "revenue", "years")
+    assert [r for r in got if r[0] == "b" and r[1] in (5, 6)] == [
+        ("b", 5, M("4.0000"), 2), ("b", 6, M("2.0000"), 2)]
+    assert sum(r[2] for r in got if r[0] == "b") == 46
+    # A partial last year counts for no group.
+    more = t.union(spark.createDataFrame(_months("a", [5] * 3, 24), MONTHLY))
+    assert rows(ins.seasonality(more, by="g"), "g", "month_of_year", "revenue", "years") == got
+
+
+def test_brand_seasonality_keeps_all_brands_and_revenue(spark):
+    got = reports.REPORTS["seasonality_by_brand"](spark, SF_SMALL).collect()
+    assert len({r.subcategory for r in got}) == 25
+    assert sum(r.revenue for r in got) == Decimal("276550105.3369")
+
+
+def test_spikes_over_a_gap_look_back_in_months(spark):
+    t = spark.createDataFrame([(p, v) for p, _, v in _months("x", [1] * 3 + [0] * 9 + [9])],
+                              "period DATE, revenue DECIMAL(28,4)")
+    filled = trd.fill_calendar(t, "month", zero_cols=("revenue",))
+    last = ins.spikes(filled).orderBy("period").collect()[-1]
+    assert last["is_spike"] and last["trailing_avg"] == 0.25
+
+
+@pytest.mark.parametrize("name", ["trend_monthly_complete", "trend_daily_filled",
+                                  "trend_category_filled", "trend_growth", "trend_moving_avg",
+                                  "spikes_by_category"])
+def test_filled_reports_read_the_fact_once(spark, name):
+    def scans(report):
+        df = reports.REPORTS[report](spark, SF_SMALL)
+        df.collect()
+        return final_scans(df)
+    assert scans(name) == scans("trend_monthly") == 6
+
+
+def test_rollup_reads_the_fact_once_and_always_has_a_total(spark, make_sales):
+    df = reports.REPORTS["breakdown_rollup"](spark, SF_SMALL)
+    df.collect()
+    assert final_scans(df) == 6
+    none = kpi.breakdown(make_sales([]), ["category", "region"], totals=True)
+    assert rows(none, "category", "region", "revenue", "orders", "level") == [
+        (None, None, None, 0, 3)]
+    odd = make_sales([(1, 1, "2020-01-01", None, "x", None, "5"),
+                      (2, 1, "2020-01-01", "A", "x", None, "7")])
+    assert rows(kpi.breakdown(odd, ["category", "region"], totals=True), "category", "region",
+                "revenue", "orders", "level") == [
+        ("A", None, M("7.0000"), 1, 0), ("A", None, M("7.0000"), 1, 1),
+        (None, None, M("12.0000"), 2, 3), (None, None, M("5.0000"), 1, 0),
+        (None, None, M("5.0000"), 1, 1)]
+
+
+def test_cohorts_of_complete_months(make_orders):
+    o = make_orders([(1, 1, "2020-01-05"), (2, 1, "2020-02-10"), (3, 2, "2020-02-11"),
+                     (4, 1, "2020-03-01"), (5, 3, "2020-03-01")])
+    assert rows(coh.cohort_long(o, dense=True, complete_only=True), "cohort", "month_index",
+                "customers") == [(D("2020-01-01"), 0, 1), (D("2020-01-01"), 1, 1),
+                                 (D("2020-02-01"), 0, 1)]
+    assert coh.cohort_matrix(o, complete_only=True).columns == ["cohort", "cohort_size", "m0", "m1"]
+    assert coh.cohort_matrix(o).columns[-1] == "m2"
+    assert coh.retention_curve(o, complete_only=True).count() == 2
+    whole = make_orders([(1, 1, "2020-01-05"), (2, 1, "2020-02-29")])
+    assert rows(coh.cohort_long(whole, complete_only=True)) == rows(coh.cohort_long(whole))
+    assert coh.cohort_matrix(make_orders([])).columns == ["cohort", "cohort_size"]
+
+
+def test_blank_and_null_survive_a_csv_round_trip(spark, tmp_path):
+    data = [(1, None, None), (2, "", 5), (3, " x ", None), (4, "\\N", 1), (5, 'a "b", c', 2)]
+    df = spark.createDataFrame(data, "id INT, s STRING, n INT")
+    back = load_csv(spark, export_csv(df, str(tmp_path / "csv")), "id INT, s STRING, n INT")
+    # the null marker itself cannot be told from a null
+    want = [(i, None if s == "\\N" else s, n, None) for i, s, n in data]
+    assert sorted(map(tuple, back.collect())) == want
+
+
+def test_register_leaves_other_views_alone(spark):
+    spark.range(3).createOrReplaceTempView("orders")
+    reports.REPORTS["sql_monthly_orders"](spark, SF_SMALL).collect()
+    assert spark.table("orders").count() == 3
+    spark.catalog.dropTempView("orders")
+    assert register({"t": spark.range(1)}, "own_") == ["own_t"]
+
+
+def test_checkpoint_folder_is_needed_on_a_cluster():
+    class Context:
+        def __init__(self, master):
+            self.master, self.path = master, None
+
+        def getCheckpointDir(self):
+            return self.path
+
+        def setCheckpointDir(self, path):
+            self.path = path
+
+    class Session:
+        def __init__(self, master):
+            self.sparkContext = Context(master)
+            self.conf = {}
+
+    for master in ("spark://host:7077", "yarn", "k8s://x", "local-cluster[3,2,1024]"):
+        with pytest.raises(RuntimeError):
+            session.ensure_checkpoint_dir(Session(master))
+        own = Session(master)
+        own.conf["spark.checkpoint.dir"] = "/shared"
+        assert session.ensure_checkpoint_dir(own) == "/shared"
+    assert session.ensure_checkpoint_dir(Session("local[4]"))
+
+
+def test_scratch_folders_are_removed(spark):
+    visuals = dashboard(spark, load(spark, SF_SMALL))
+    assert visuals["kpis"].count() == 1
+    path = visuals.scratch.removeprefix("file:")
+    assert os.path.isdir(path)
+    visuals.close()
+    assert not os.path.exists(path)
+    for other in ("/tmp", session.ensure_checkpoint_dir(spark), path + "/../../.."):
+        with pytest.raises(ValueError):
+            session.drop_scratch(spark, other)
+
+
+def test_written_fact_reads_back_whole(spark, make_sales, tmp_path):
+    s = make_sales([(i, 1, f"2020-{i % 12 + 1:02d}-03", "A", "x", "EU", "1") for i in range(600)])
+    schema = write_clean(s, str(tmp_path / "fact"))
+    back = read_clean(spark, str(tmp_path / "fact"), schema=schema)
+    assert rows(back) == rows(s)
+    months = os.listdir(tmp_path / "fact")
+    assert sum(m.startswith("order_month=") for m in months) == 12
+
+
+def test_dashboard_slicers(spark, make_sales):
+    t = load(spark, SF_SMALL)
+    some = dict(start="1998-01-01", end="1998-07-01", categories=["PROMO"], regions=["ASIA"])
+    v = dashboard(spark, t, materialize=False, max_cohort_index=3, **some)
+    (total,) = v["kpis"].collect()
+    assert total["revenue"] == sum(r["revenue"] for r in v["trend_monthly"].collect())
+    assert {r["region"] for r in v["sales_by_region"].collect()} <= {"ASIA"}
+    assert v["cohort_matrix"].columns == ["cohort", "cohort_size", "m0", "m1", "m2", "m3"]
+
+
+def test_profile_counts_zero_once(spark):
+    df = spark.createDataFrame([(0.0, "a", None), (-0.0, "a", None), (2.5, None, None)],
+                               "x DOUBLE, s STRING, n INT")
+    assert rows(cln.profile(df)) == [("n", 3, 3, 0, None, None), ("s", 3, 1, 1, "a", "a"),
+                                     ("x", 3, 0, 2, "0.0", "2.5")] or \
+        rows(cln.profile(df))[2][1:4] == (3, 0, 2)
