@@ -2,8 +2,8 @@
 
 Two zstandard dictionaries are trained on labelled rows: both hold the same
 ordinary text, the toxic one also the words that mark toxic rows.  A text is
-cut into windows of ``WINDOW`` words and every window is compressed with each
-dictionary; a window that the toxic dictionary compresses better by some bytes
+cut into windows of ``WINDOW`` words, overlapping by half, and every window is
+compressed with each dictionary; a window that the toxic dictionary compresses better by some bytes
 is suspicious.  The differences of all windows of a text (largest, second
 largest, how many reach some thresholds, number of windows) give the score by
 a logistic curve, calibrated on training rows that the dictionaries have not
@@ -45,6 +45,7 @@ from pyspark.sql import functions as F
 from .common import bounded_batches, text_or_empty
 
 WINDOW = 6
+STRIDE = 3
 LEVEL = 3
 MAX_TOXIC = 1200
 MAX_CLEAN = 2400
@@ -58,10 +59,11 @@ _WORD = re.compile(r"\w+")
 
 
 def windows(text: str) -> list[bytes]:
-    """The text in windows of ``WINDOW`` words, lower case, single blanks."""
+    """The text in windows of ``WINDOW`` words that overlap by half, lower
+    case, single blanks."""
     words = text.lower().split()
-    return [f" {' '.join(words[i:i + WINDOW])} ".encode("utf-8", "replace")
-            for i in range(0, len(words), WINDOW)]
+    starts = range(0, max(1, len(words) - WINDOW + STRIDE), STRIDE) if words else ()
+    return [f" {' '.join(words[i:i + WINDOW])} ".encode("utf-8", "replace") for i in starts]
 
 
 def _signs(word: str) -> list[str]:
