@@ -290,12 +290,11 @@ complete AS (
 
 
 def _matrix(cells: str, months: int) -> str:
-    cols = ",\n       ".join(
-        f"max(CASE WHEN month_index = {i} THEN {_ratio('customers', 'cohort_size')} END) AS m{i}"
-        for i in range(months))
+    cols = "".join(
+        f",\n       max(CASE WHEN month_index = {i} THEN {_ratio('customers', 'cohort_size')} END)"
+        f" AS m{i}" for i in range(months))
     return f"""
-SELECT cohort, cohort_size,
-       {cols}
+SELECT cohort, cohort_size{cols}
 FROM {cells} GROUP BY cohort, cohort_size
 """
 
@@ -312,7 +311,22 @@ FROM c
 """
 
 
-SQL["cohort_matrix"] = f"WITH {ORDERS}, {_COHORT_CELLS} {_matrix('dense', MATRIX_MONTHS)}"
+def matrix_sql(months: int, complete_only: bool = False) -> str:
+    """The retention matrix with columns m0 to m<months - 1>."""
+    if complete_only:
+        return f"WITH {ORDERS}, {_COHORT_CELLS}, {_COMPLETE} {_matrix('complete', months)}"
+    return f"WITH {ORDERS}, {_COHORT_CELLS} {_matrix('dense', months)}"
+
+
+def sql_for(name: str, columns) -> str:
+    """A report's SQL; a matrix is as wide as the ``columns`` of the result,
+    since its width follows the data."""
+    if name.startswith("cohort_matrix"):
+        return matrix_sql(len(columns) - 2, name.endswith("complete"))
+    return SQL[name]
+
+
+SQL["cohort_matrix"] = matrix_sql(MATRIX_MONTHS)
 SQL["retention_curve"] = f"WITH {ORDERS}, {_COHORT_CELLS}, {_curve('dense')}"
 SQL["cohort_dense_complete"] = f"""
 WITH {ORDERS}, {_COHORT_CELLS}, {_COMPLETE}
@@ -320,8 +334,7 @@ SELECT cohort, month_index, customers, cohort_size,
        {_ratio('customers', 'cohort_size')} AS retention
 FROM complete
 """
-SQL["cohort_matrix_complete"] = (
-    f"WITH {ORDERS}, {_COHORT_CELLS}, {_COMPLETE} {_matrix('complete', MATRIX_MONTHS - 1)}")
+SQL["cohort_matrix_complete"] = matrix_sql(MATRIX_MONTHS - 1, complete_only=True)
 SQL["retention_curve_complete"] = (
     f"WITH {ORDERS}, {_COHORT_CELLS}, {_COMPLETE}, {_curve('complete')}")
 

@@ -13,7 +13,7 @@ import pyarrow.parquet as pq
 import pytest
 from conftest import SF_SMALL
 
-import __spark_entry__ as E
+from ledgerline import reports, sql_checks
 from tools.oracle_check import compare, duck
 
 NULLED = {
@@ -39,11 +39,11 @@ def null_dir(tmp_path_factory):
     return out
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(reports.REPORTS))
 def test_report_with_nulls(spark, null_dir, name):
     con = duck(null_dir)
-    df = E.queries()[name](spark, null_dir)
-    res = con.execute(E.oracle_sql()[name])
+    df = reports.REPORTS[name](spark, null_dir)
+    res = con.execute(sql_checks.sql_for(name, df.columns))
     status, msg = compare([tuple(r) for r in df.collect()], df.columns,
                           res.fetchall(), [c[0] for c in res.description])
     assert status == "exact", msg
@@ -58,11 +58,11 @@ def empty_dir(tmp_path_factory):
     return out
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(reports.REPORTS))
 def test_report_on_empty_tables(spark, empty_dir, name):
     con = duck(empty_dir)
-    df = E.queries()[name](spark, empty_dir)
-    res = con.execute(E.oracle_sql()[name])
+    df = reports.REPORTS[name](spark, empty_dir)
+    res = con.execute(sql_checks.sql_for(name, df.columns))
     status, msg = compare([tuple(r) for r in df.collect()], df.columns,
                           res.fetchall(), [c[0] for c in res.description])
     assert status == "exact", msg

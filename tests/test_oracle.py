@@ -4,9 +4,10 @@ import pytest
 from conftest import SF_CHECK, SF_SMALL, M
 
 import __spark_entry__ as E
+from ledgerline import reports, sql_checks
 from tools.oracle_check import compare, duck
 
-NAMES = sorted(E.queries())
+NAMES = sorted(reports.REPORTS)
 
 
 @pytest.fixture(scope="module")
@@ -15,13 +16,13 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(sql_checks.SQL) == set(reports.REPORTS)
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_duckdb(spark, con, name):
-    df = E.queries()[name](spark, SF_SMALL)
-    res = con.execute(E.oracle_sql()[name])
+    df = reports.REPORTS[name](spark, SF_SMALL)
+    res = con.execute(sql_checks.SQL[name])
     status, msg = compare([tuple(r) for r in df.collect()], df.columns,
                           res.fetchall(), [c[0] for c in res.description])
     assert status == "exact", msg
@@ -34,7 +35,7 @@ def test_entry_smoke(spark):
 
 
 def test_survey_values_at_sf001(spark):
-    q = E.queries()
+    q = reports.REPORTS
     k = q["kpi_totals"](spark, SF_CHECK).collect()[0]
     assert (k["revenue"], k["orders"]) == (M("3024008727.8907"), 14743)
     s = q["kpi_sliced"](spark, SF_CHECK).collect()[0]
@@ -59,7 +60,7 @@ def test_slicer_bounds_ignore_time_zones(spark):
     old = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "Pacific/Kiritimati")   # UTC+14
     try:
-        s = E.queries()["kpi_sliced"](spark, SF_CHECK).collect()[0]
+        s = reports.REPORTS["kpi_sliced"](spark, SF_CHECK).collect()[0]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert (s["revenue"], s["orders"]) == (M("15832061.2200"), 234)
@@ -75,8 +76,8 @@ def far_zone(spark):
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_duckdb_in_another_time_zone(far_zone, con, name):
-    df = E.queries()[name](far_zone, SF_SMALL)
-    res = con.execute(E.oracle_sql()[name])
+    df = reports.REPORTS[name](far_zone, SF_SMALL)
+    res = con.execute(sql_checks.sql_for(name, df.columns))
     status, msg = compare([tuple(r) for r in df.collect()], df.columns,
                           res.fetchall(), [c[0] for c in res.description])
     assert status == "exact", msg

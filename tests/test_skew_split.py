@@ -12,10 +12,10 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
-import __spark_entry__ as E
+from ledgerline import reports, sql_checks
 from tools.oracle_check import compare, duck
 
-NAMES = sorted(E.queries())
+NAMES = sorted(reports.REPORTS)
 
 
 def _write(tmp, name, cols):
@@ -86,15 +86,15 @@ def skewy(spark):
 @pytest.mark.parametrize("name", NAMES)
 def test_exact_with_hot_keys(skewy, skewed_dir, name):
     con = duck(skewed_dir)
-    df = E.queries()[name](skewy, skewed_dir)
-    res = con.execute(E.oracle_sql()[name])
+    df = reports.REPORTS[name](skewy, skewed_dir)
+    res = con.execute(sql_checks.sql_for(name, df.columns))
     status, msg = compare([tuple(r) for r in df.collect()], df.columns,
                           res.fetchall(), [c[0] for c in res.description])
     assert status == "exact", msg
 
 
 def test_aqe_really_splits_the_hot_keys(skewy, skewed_dir):
-    df = E.queries()["kpi_totals"](skewy, skewed_dir)
+    df = reports.REPORTS["kpi_totals"](skewy, skewed_dir)
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert re.search(r"AQEShuffleRead[^\n]*skewed", plan), "no skew join split in the final plan"
