@@ -28,7 +28,7 @@ an empty result; extra columns are ignored by ``mark`` and kept by ``keep``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WHITE_CHARS, partitions, staged, text_or_empty
@@ -52,6 +52,12 @@ def _keyed(docs: DataFrame) -> DataFrame:
             .withColumn("h", F.xxhash64("norm")))
 
 
+def _sha(norm) -> Column:
+    """Digest of a normalised text.  Never null, and said to be so: a null
+    check pushed to the scan would compute every digest twice."""
+    return F.coalesce(F.sha2(norm, 256), F.lit(""))
+
+
 def entries(docs: DataFrame) -> DataFrame:
     """One row per distinct normalised text."""
     rank = F.expr(f"CAST(n_chars AS DECIMAL(10,0)) * CAST({STEP} AS DECIMAL(20,0)) - "
@@ -60,7 +66,7 @@ def entries(docs: DataFrame) -> DataFrame:
     return (_keyed(docs).groupBy("h", "norm")
             .agg(F.count(F.lit(1)).alias("group_size"), F.max("n_chars").alias("n"),
                  F.max(rank).alias("best"))
-            .select("h", F.sha2("norm", 256).alias("sha"), "group_size",
+            .select("h", _sha("norm").alias("sha"), "group_size",
                     F.nullif(best.cast("bigint"), F.lit(LAST_ID)).alias("keep_id")))
 
 
@@ -104,7 +110,7 @@ def build_index(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 def mark(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256, bucket, chain per row."""
     index = build_index(docs, capacity)
-    probe = _keyed(docs).select("doc_id", "h", F.sha2("norm", 256).alias("sha"))
+    probe = _keyed(docs).select("doc_id", "h", _sha("norm").alias("sha"))
     return (probe.join(index, ["h", "sha"])
             .select("doc_id", "keep_id", "group_size",
                     F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
@@ -117,7 +123,7 @@ def keep(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     stay = (build_index(docs, capacity)
             .select(F.col("keep_id").alias("_dedup_id"), F.col("sha").alias("_dedup_sha")))
     norm = F.translate(text_or_empty(), WHITE_CHARS, "")
-    own = docs.withColumn("_dedup_own", F.sha2(norm, 256))
+    own = docs.withColumn("_dedup_own", _sha(norm))
     return (own.join(stay, own["doc_id"].eqNullSafe(F.col("_dedup_id"))
                      & (F.col("_dedup_own") == F.col("_dedup_sha")), "left_semi")
             .dropDuplicates(["doc_id", "_dedup_own"]).drop("_dedup_own"))
