@@ -107,10 +107,13 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     edges = staged(spark, edges.distinct(), "cc-edges")
     for _ in range(rounds):
         # Large star: neighbours above a node link to the least of its closed
-        # neighbourhood.
+        # neighbourhood.  The least nodes are read from a table, so the join
+        # shuffles both sides itself and AQE can split a node with very many
+        # neighbours.
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = (both.join(least, "a").where("b > a")
+        least = staged(spark, both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")),
+                       "cc-least")
+        large = (both.where("b > a").join(least, "a")
                  .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
         # Small star: a node and its neighbours below it link to the least.
         low = large.groupBy("a").agg(F.min("b").alias("m"))
@@ -118,10 +121,12 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
                  .select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
                  .where("a > b").distinct())
         edges = staged(spark, small, "cc-edges")
-        # Done when no node below another edge's end has an edge of its own.
-        ends = edges.select(F.col("b").alias("a")).distinct()
-        many = edges.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
-        if many.join(ends, "a", "left_semi").isEmpty() and many.where("n > 1").isEmpty():
+        # Done when every node either begins one edge or only ends edges.
+        roles = (edges.select(F.explode(F.array(
+            F.struct(F.col("a").alias("node"), F.lit(1).alias("begins")),
+            F.struct(F.col("b").alias("node"), F.lit(0).alias("begins")))).alias("r"))
+            .groupBy("r.node").agg(F.sum("r.begins").alias("n"), F.min("r.begins").alias("least")))
+        if roles.where("n > 1 OR (n = 1 AND least = 0)").isEmpty():
             break
     else:
         raise RuntimeError("components did not settle")
@@ -219,12 +224,14 @@ def join(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY,
             .agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("weight")))
     sets = staged(spark, sets, "ngram-sets")
 
-    # Candidate links: a star in every bucket.
+    # Candidate links: a star in every bucket.  The least members are read from
+    # a table, so that AQE can split the join of a bucket with very many members.
     stand = signed.join(sets, (signed["doc_id"] == sets["rep"])
                         & (signed["set_key"] == sets["set_key"]), "left_semi")
     banded = stand.select(F.col("doc_id").alias("node"), F.explode("bands").alias("bucket"))
-    least = (banded.groupBy("bucket").agg(F.min("node").alias("lead"), F.max("node").alias("top"))
-             .where("lead < top").drop("top"))
+    least = staged(spark, banded.groupBy("bucket")
+                   .agg(F.min("node").alias("lead"), F.max("node").alias("top"))
+                   .where("lead < top").drop("top"), "ngram-leads")
     stars = (banded.join(least, "bucket").where("node > lead")
              .select(F.col("node").alias("a"), F.col("lead").alias("b")))
     parts = staged(spark, components(stars), "ngram-components")
