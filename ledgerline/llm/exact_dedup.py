@@ -120,13 +120,15 @@ def mark(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 def keep(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; of rows that
     repeat doc_id and text, any one."""
-    stay = (build_index(docs, capacity)
-            .select(F.col("keep_id").alias("_dedup_id"), F.col("sha").alias("_dedup_sha")))
-    norm = F.translate(text_or_empty(), WHITE_CHARS, "")
-    own = docs.withColumn("_dedup_own", _sha(norm))
-    return (own.join(stay, own["doc_id"].eqNullSafe(F.col("_dedup_id"))
-                     & (F.col("_dedup_own") == F.col("_dedup_sha")), "left_semi")
-            .dropDuplicates(["doc_id", "_dedup_own"]).drop("_dedup_own"))
+    key = ["_dedup_id", "_dedup_sha"]
+    last = F.lit(LAST_ID)
+    stay = build_index(docs, capacity).select(
+        F.coalesce("keep_id", last).alias(key[0]), F.col("sha").alias(key[1]))
+    own = docs.withColumns({
+        key[0]: F.coalesce(F.col("doc_id").cast("bigint"), last),
+        key[1]: _sha(F.translate(text_or_empty(), WHITE_CHARS, ""))})
+    # The join's partitioning serves the last step, so texts move once.
+    return own.join(stay, key, "left_semi").dropDuplicates(key).select(*docs.columns)
 
 
 #: DuckDB SQL of the query op10.
