@@ -1,23 +1,27 @@
 """Operator 9: toxicity by compression distance.
 
 Two zstandard dictionaries are trained on labelled rows: both hold the same
-ordinary text, the toxic one also the words that mark toxic rows.  A text is
-cut into windows of ``WINDOW`` words, overlapping by half, and every window is
-compressed with each dictionary; a window that the toxic dictionary compresses better by some bytes
-is suspicious.  The differences of all windows of a text (largest, second
-largest, how many reach some thresholds, number of windows) give the score by
-a logistic curve, calibrated on training rows that the dictionaries have not
-seen and shifted so that 0.5 is the threshold of best F1 there.
+ordinary text, the toxic one also the most telling words of every toxic row.  A
+text is cut into windows of ``WINDOW`` words, overlapping by half, and every
+window is compressed with each dictionary; a window that the toxic dictionary
+compresses better by some bytes is suspicious.  The beginnings of words are
+written in capitals, so that a beginning and the same letters within a word do
+not match.  The differences of all windows of a text (largest, second largest,
+how many and which share reach some thresholds, number of windows) give the
+score by a logistic curve, calibrated on training rows that the dictionaries
+have not seen and shifted so that 0.5 is the threshold of best F1 there.
 
 Training, on rows whose crc32(doc_id as text) mod 5 is not 0 and a bounded
 sample of at most about ``MAX_TOXIC`` toxic and ``MAX_CLEAN`` other rows, chosen
 by a hash of doc_id:
 
-- A marker is a word or word beginning found in at least 5 % (and three) of the
-  toxic rows and twenty times as often as in the others.  Words with a marker
-  are the toxic dictionary's own part, the commonest last (cheapest to reach).
-- Ordinary windows that still look suspicious are added to the common part of
-  both dictionaries, in some rounds, so they no longer differ.
+- A run of ``RUN`` bytes is telling if it is so much more frequent in toxic rows
+  that not one run would be so by chance; its weight is the logarithm of the
+  ratio.  There is no least share of rows, so a small language or genre has its
+  own runs.  Every toxic row gives the ``ROW_WORDS`` words of the largest weights,
+  in turns, to the toxic dictionary; the heaviest come last (cheapest to reach).
+- Ordinary windows, and in some rounds those that still look suspicious, are the
+  common part of both dictionaries, without words of a weight of ``OWN`` or more.
 
 Labels, lang, source and doc_id are no inputs of a score.
 
@@ -31,10 +35,9 @@ ignored.
 
 from __future__ import annotations
 
-import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, zip_longest
 
 import numpy as np
 import pandas as pd
@@ -49,37 +52,80 @@ STRIDE = 3
 LEVEL = 3
 MAX_TOXIC = 1200
 MAX_CLEAN = 2400
-COMMON_BYTES = 24_000
-MARKED_WORDS = 300
+COMMON_BYTES = 32_000
+MARKED_BYTES = 16_000
+ROW_WORDS = 4
 HARD_WINDOWS = 250
 ROUNDS = 3
-LEAST_SHARE, LEAST_RATIO = 0.05, 20.0
-BEGINNINGS = (4, 5, 6, 7)
-_WORD = re.compile(r"\w+")
+RUN, MOST_RUNS = 6, 3       # bytes of a run; how often one counts in a row
+OWN = 2.0
+BEGINNING = 4
+
+
+def _words(text: str) -> list[str]:
+    return [w[:BEGINNING].upper() + w[BEGINNING:] for w in text.lower().split()]
 
 
 def windows(text: str) -> list[bytes]:
     """The text in windows of ``WINDOW`` words that overlap by half, lower
-    case, single blanks."""
-    words = text.lower().split()
+    case but for the beginnings of words, single blanks."""
+    words = _words(text)
     starts = range(0, max(1, len(words) - WINDOW + STRIDE), STRIDE) if words else ()
     return [f" {' '.join(words[i:i + WINDOW])} ".encode("utf-8", "replace") for i in starts]
 
 
-def _signs(word: str) -> list[str]:
-    return [word[:k] for k in BEGINNINGS if len(word) >= k] + [word + "$"]
-
-
-def _markers(toxic: list[str], clean: list[str]) -> set[str]:
-    found = []
-    for texts in (toxic, clean):
-        n = Counter()
-        for t in texts:
-            n.update({s for w in set(_WORD.findall(t.lower())) for s in _signs(w)})
-        found.append(n)
-    least = max(3, LEAST_SHARE * len(toxic))
-    return {s for s, n in found[0].items() if n >= least
-            and n / len(toxic) >= LEAST_RATIO * (found[1][s] + 0.5) / (len(clean) + 1)}
+def _runs(part: bytes) -> np.ndarray:
+    """The runs of ``RUN`` bytes, as numbers."""
+    n = max(0, len(part) - RUN + 1)
+    return np.ndarray((n,), "<u8", part + bytes(8), strides=(1,)) & np.uint64(2 ** (8 * RUN) - 1)
+
+
+class Telling:
+    """Weights of the runs that tell toxic rows."""
+
+    def __init__(self, toxic: list[str], clean: list[str]):
+        made = [self._counts(t) for t in toxic]
+        keys, at = np.unique(np.concatenate([k for k, _ in made]), return_inverse=True)
+        n = np.bincount(at, np.concatenate([c for _, c in made]), len(keys))
+        other = np.ones(len(keys))
+        for t in clean:
+            k, c = self._counts(t)
+            at = np.minimum(np.searchsorted(keys, k), max(0, len(keys) - 1))
+            if len(keys):
+                hit = keys[at] == k
+                other[at[hit]] += c[hit]
+        expected = other * len(toxic) / len(clean)
+        weight = np.log(n / expected)
+        # Half the deviance of a Poisson count: below 1 / len(keys) by chance.
+        keep = (weight > 0) & (n * weight - (n - expected) > np.log(max(1, len(keys))))
+        self.keys, self.weights = keys[keep], weight[keep]
+        self.known: dict[bytes, float] = {}
+
+    @staticmethod
+    def _counts(text: str) -> tuple[np.ndarray, np.ndarray]:
+        k, c = np.unique(_runs(f" {' '.join(_words(text))} ".encode("utf-8", "replace")),
+                         return_counts=True)
+        return k, np.minimum(c, MOST_RUNS)
+
+    def weight(self, word: bytes) -> float:
+        """Largest weight of a run of the word (0: none is telling)."""
+        if word not in self.known:
+            runs = _runs(b" " + word + b" ")
+            at = np.searchsorted(self.keys, runs)
+            at[at == len(self.keys)] = 0
+            hit = self.keys[at] == runs if len(self.keys) else np.zeros(len(runs), bool)
+            self.known[word] = float(self.weights[at[hit]].max(initial=0.0))
+        return self.known[word]
+
+    def words(self, text: str) -> list[tuple[float, bytes]]:
+        """The ``ROW_WORDS`` words of the largest weights."""
+        words = {w.encode("utf-8", "replace") for w in _words(text)}
+        return sorted(((x, w) for w in words if (x := self.weight(w)) > 0),
+                      reverse=True)[:ROW_WORDS]
+
+    def ordinary(self, part: bytes) -> bytes:
+        """The window without words that belong to the toxic part."""
+        return b" " + b" ".join(w for w in part.split(b" ") if w and self.weight(w) < OWN) + b" "
 
 
 class Compressor:
@@ -112,8 +158,9 @@ class Pair:
         top = np.sort(gains)[::-1][:2]
         first, second = (list(top) + [0, 0])[:2]
         counts = [np.log1p((gains >= t).sum()) for t in (3, 4, 5, 6)]
+        shares = [np.log1p(20 * (gains >= t).sum() / max(len(gains), 8)) for t in (2, 3, 5)]
         return np.array([1.0, max(0, first) / 4, max(0, second) / 4, *counts,
-                         np.log1p(len(gains)) / 4])
+                         np.log1p(len(gains)) / 4, *shares])
 
 
 class Model:
@@ -152,25 +199,34 @@ def train(rows: list[tuple[str, int]]) -> Model:
     toxic, clean = [t for t, y in fit if y], [t for t, y in fit if not y]
     if not toxic or not clean:
         return nothing
-    markers = _markers(toxic, clean)
-    seen = Counter(w for t in toxic for w in set(_WORD.findall(t.lower()))
-                   if any(s in markers for s in _signs(w)))
-    words = sorted(seen, key=lambda w: (seen[w], w))[-MARKED_WORDS:]
-    marked = (" " + " ".join(words) + " ").encode("utf-8")
-    # The common part: windows of ordinary rows, a few of each.
-    some = [w for k in range(12) for t in clean for w in windows(t)[k:k + 1]]
+    telling = Telling(toxic, clean)
+    # Every toxic row gives its best word, then every one its second ...
+    picked, size = {}, 0
+    for found in chain.from_iterable(zip_longest(*map(telling.words, toxic))):
+        if found and found[1] not in picked:
+            size += len(found[1]) + 1
+            if size > MARKED_BYTES:
+                break
+            picked[found[1]] = found[0]
+    marked = b" " + b" ".join(sorted(picked, key=lambda w: (picked[w], w))) + b" "
+    # The common part: windows of ordinary rows, spread evenly over each.
+    parts = [windows(t) for t in clean]
+    each = -(-COMMON_BYTES // (len(parts) * 45))
+    some = [p[i] for p in parts if p
+            for i in np.unique(np.linspace(0, len(p) - 1, min(each, len(p))).astype(int))]
     size, common = 0, []
-    for w in some:
-        size += len(w)
+    for at in np.random.default_rng(3).permutation(len(some)):
+        size += len(some[at])
         if size > COMMON_BYTES:
             break
-        common.append(w)
-    all_clean = [w for t in clean for w in windows(t)]
+        common.append(telling.ordinary(some[at]))
+    all_clean = [w for p in parts for w in p]
     pair = Pair(b"".join(common), marked)
     for _ in range(ROUNDS):
         gains = pair.gains(all_clean)
-        hard = [all_clean[i] for i in np.argsort(-gains, kind="stable")[:HARD_WINDOWS]
-                if gains[i] >= 3]
+        worst = (telling.ordinary(all_clean[i])
+                 for i in np.argsort(-gains, kind="stable") if gains[i] >= 3)
+        hard = [w for _, w in zip(range(HARD_WINDOWS), filter(bytes.strip, worst))]
         if not hard:
             break
         common += dict.fromkeys(hard)

@@ -58,3 +58,23 @@ def test_edge_rows_and_empty_tables(spark):
     rows = toxicity.score(docs, some).collect()
     assert len(rows) == docs.count() and all(0 <= r.score <= 1 for r in rows)
     assert toxicity.score(empty_docs(spark), some).collect() == []
+
+
+def test_unseen_rows_of_every_language(spark):
+    """The whole labelled table, each fifth scored by a model that has not seen
+    it: a small language has its own evidence."""
+    sf = "/root/testdata/sf0.1"
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    rows = sorted((zlib.crc32(str(i).encode()), docs[i].text or "", int(labels[i] > 0), docs[i].lang)
+                  for i in labels if i in docs)
+    found = {}
+    for fifth in range(5):
+        model = toxicity.train([(t, y) for h, t, y, _ in rows if h % 5 != fifth])
+        for h, text, y, lang in rows:
+            if h % 5 == fifth:
+                found.setdefault((lang, y), []).append(model.score(text) >= 0.5)
+    print({k: (sum(v), len(v)) for k, v in sorted(found.items())})
+    for lang in ("de", "en", "es", "fr"):
+        assert np.mean(found[lang, 1]) > 0.5, lang
+        assert np.mean(found[lang, 0]) < 0.06, lang
