@@ -4,7 +4,10 @@ A page is cut into blocks: text that no block-level tag parts, with the
 elements it stands in.  Each block gets the log-odds of being content: a
 logistic model over its text (length, punctuation, links, tag, place), trained
 here on blocks whose elements say what they are, plus fixed evidence from the
-elements around it (article, nav, footer, comment classes ...).  The log-odds
+elements around it (article, nav, footer, comment classes ...).  Words of class,
+id and role weigh less than tags, and say nothing on html and body, on an
+element that holds an article or main, and, in a page without these, on one
+that holds most of the text.  The log-odds
 are the capacities of the block's edge to the terminal content or boilerplate;
 neighbouring blocks and siblings in the DOM are joined by smoothness edges that
 weaken with their distance in the tree.  The minimum cut, found by maximum
@@ -12,8 +15,8 @@ flow, gives every block its label.  Blocks whose own capacity outweighs all
 their smoothness edges keep their label in any minimum cut; they are settled
 first, which leaves small graphs.
 
-Elements that never hold page text (script, style, forms, head ...) are
-dropped.  Kept blocks are joined by one line feed in page order; character
+Elements that never hold page text (script, style, nav, head ...) are dropped,
+and forms with less than ``FORM_CHARS`` of text to a visible control.  Kept blocks are joined by one line feed in page order; character
 references are decoded and white space within a block becomes one space.
 
 Training reads at most about ``TRAIN_PAGES`` pages (chosen by a hash of the
@@ -53,9 +56,9 @@ _ATTR = re.compile(r"([\w:-]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp noembed noframes".split())
 DROPPED = RAW | set("head template noscript svg math iframe object canvas audio video map "
-                    "form select button datalist dialog menu nav".split()) - {"body"}
+                    "select button datalist dialog menu nav".split()) - {"body"}
 BLOCKS = set("address article aside blockquote body center dd details div dl dt fieldset "
-             "figcaption figure footer h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main ol "
+             "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main ol "
              "p pre search section summary table caption tbody td tfoot th thead tr ul".split())
 #: Start tags that end an open element of the given names.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
@@ -71,7 +74,13 @@ BAD_WORDS = set("ad ads advert advertisement advertising adverts banner breadcru
                 "taboola pagination pager discussion reactions feedback ".split())
 GOOD_WORDS = set("article articlebody content entry main mainbody post story text body".split())
 
-BAD, INSIDE, MILD = -9.0, 4.0, 1.5
+#: Words that make a name the state of a page (has-sidebar, header-fixed).
+STATE_FIRST = set("has with no without hide show".split())
+STATE_LAST = set("fixed sticky enabled disabled".split())
+CONTROLS = set("input select textarea button".split())
+
+BAD, BAD_CLASS, INSIDE, MILD = -9.0, -5.0, 4.0, 1.5
+FORM_CHARS = 200
 #: Log-odds without a training row: (bias, log length, sentence marks, link share ...).
 DEFAULT_WEIGHTS = (-2.2, 0.35, 1.0, -3.0, 0.8, 0.3, 0.0, -0.5)
 
@@ -84,37 +93,88 @@ class Block:
         self.tag, self.hint, self.inside = tag, hint, inside
 
 
-def _evidence(name: str, attrs: str, inside: bool) -> float:
-    """What an element says about the text in it, in log-odds."""
-    if name in ("article", "main"):
-        return INSIDE
+class Element:
+    """An open block-level or dropped element and what it says, in log-odds."""
+
+    __slots__ = ("name", "number", "tag", "named", "inside", "holds", "chars", "controls")
+
+    def __init__(self, name, number, attrs, inside):
+        self.name, self.number, self.inside = name, number, inside or name in ("article", "main")
+        self.tag, self.named = _evidence(name, attrs, inside)
+        # An article or main stands in it; its text; its visible controls.
+        self.holds, self.chars, self.controls = False, 0, 0
+
+
+def _name_evidence(value: str, inside: bool) -> float:
+    """What a class, id or role says."""
+    good = bad = False
+    for name in re.sub(r"([a-z])([A-Z])", r"\1-\2", value).lower().split():
+        said = [w for w in re.split(r"[^a-z]+", name) if w]
+        if len(said) > 1 and (said[0] in STATE_FIRST or said[-1] in STATE_LAST):
+            continue
+        words = set(said)
+        if words & BAD_WORDS and not (inside and words & {"article", "entry", "post"}
+                                      and words & {"header", "text"}):
+            bad = True
+        elif words & GOOD_WORDS:
+            good = True
+    return 0.0 if good and bad else BAD_CLASS if bad else MILD if good else 0.0
+
+
+def _evidence(name: str, attrs: str, inside: bool) -> tuple[float, float]:
+    """What the tag and what class, id and role say about the text in it."""
+    if name in ("html", "body"):
+        return 0.0, 0.0
     if name in ("footer", "aside", "search", "fieldset", "legend"):
-        return BAD
-    said = 0.0
+        return BAD, 0.0
+    tag = INSIDE if name in ("article", "main") else 0.0
     if name == "header":
-        said = 0.0 if inside else BAD
+        tag = 0.0 if inside else BAD
+    named = []
     if attrs and not attrs.isspace():
         for key, value in _ATTR.findall(attrs):
             key = key.lower()
             if key in ("class", "id", "role"):
-                words = set(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower()))
-                if words & BAD_WORDS and not (inside and words & {"article", "entry", "post"}
-                                              and words & {"header", "text"}):
-                    return BAD
-                if words & GOOD_WORDS:
-                    said = max(said, MILD)
-            elif key == "hidden" or key == "aria-hidden" and "true" in value.lower():
-                return BAD
-            elif key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-                return BAD
-    return said
+                named.append(_name_evidence(value.strip("\"'"), inside))
+            elif tag != INSIDE and (
+                    key == "hidden" or key == "aria-hidden" and "true" in value.lower()
+                    or key == "style" and re.search(
+                        r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
+                return BAD, 0.0
+    low, high = min(named, default=0.0), max(named, default=0.0)
+    return tag, 0.0 if low < 0 < high else low or high
+
+
+def _judge(found: list[Block], elements: dict[int, Element]) -> list[Block]:
+    """The blocks outside of forms to fill in, with their hints."""
+    muted = {e.number for e in elements.values() if e.name == "form" and not e.holds
+             and e.chars < FORM_CHARS * e.controls}
+    kept = [b for b in found if muted.isdisjoint(b.path)] if muted else found
+    most = sum(len(b.text) for b in kept) / 2
+    told = any(e.holds for e in elements.values())
+    for e in elements.values():
+        if e.named < 0 and (e.tag == INSIDE or e.holds or not told and e.chars > most):
+            e.named = 0.0
+    for b in kept:
+        around = [elements[i] for i in b.path]
+        if any(e.tag < 0 for e in around):
+            b.hint = BAD
+            continue
+        b.hint = max([max(e.tag, e.named) for e in around], default=0.0)
+        better = 0.0
+        for e in reversed(around):          # the nearest, and good names within it
+            if e.named < 0:
+                b.hint = e.named + better
+                break
+            better = max(better, e.named)
+    return kept
 
 
 def blocks(page: str) -> list[Block]:
     """The text blocks of a page, in order."""
     out: list[Block] = []
-    # Open block-level or dropped elements: name, number, evidence, inside.
-    stack: list[tuple[str, int, float, bool]] = []
+    stack: list[Element] = []               # open block-level or dropped elements
+    elements: dict[int, Element] = {}
     text: list[str] = []
     link_chars, in_link, number, muted = 0, 0, 0, 0
 
@@ -123,18 +183,18 @@ def blocks(page: str) -> list[Block]:
         if text:
             joined = " ".join(html.unescape("".join(text)).split())
             if joined:
-                hint = min([s[2] for s in stack if s[2] < 0], default=0.0) or max(
-                    [s[2] for s in stack], default=0.0)
+                for e in stack:
+                    e.chars += len(joined)
                 out.append(Block(joined, min(1.0, link_chars / len(joined)),
-                                 tuple(s[1] for s in stack), stack[-1][0] if stack else "",
-                                 hint, bool(stack) and stack[-1][3]))
+                                 tuple(e.number for e in stack), stack[-1].name if stack else "",
+                                 0.0, bool(stack) and stack[-1].inside))
             text.clear()
         link_chars = 0
 
     def close(at: int):
         nonlocal muted
-        for s in stack[at:]:
-            muted -= s[0] in DROPPED
+        for e in stack[at:]:
+            muted -= e.name in DROPPED
         del stack[at:]
 
     pos, end = 0, len(page)
@@ -158,11 +218,14 @@ def blocks(page: str) -> list[Block]:
                 if not muted or name in DROPPED:
                     flush()
                 for at in range(len(stack) - 1, -1, -1):
-                    if stack[at][0] == name:
+                    if stack[at].name == name:
                         close(at)
                         break
             continue
         attrs = m["attrs"]
+        if name in CONTROLS and not re.search(r"type\s*=\s*[\"']?hidden", attrs, re.I):
+            for e in stack:
+                e.controls += 1
         if name == "a":
             in_link = 1
         elif name == "br":
@@ -181,21 +244,24 @@ def blocks(page: str) -> list[Block]:
         if attrs.endswith("/") and name in DROPPED:
             continue
         # A block-level start tag ends an open paragraph; items end items.
-        if stack and stack[-1][0] == "p":
+        if stack and stack[-1].name == "p":
             close(len(stack) - 1)
         ends = CLOSES.get(name)
-        while ends and stack and stack[-1][0] in ends:
+        while ends and stack and stack[-1].name in ends:
             close(len(stack) - 1)
         if muted and name in ("article", "main", "body"):
             # Content cannot stand in an element that was never closed.
-            close(next(i for i, s in enumerate(stack) if s[0] in DROPPED))
-        inside = bool(stack) and stack[-1][3]
+            close(next(i for i, e in enumerate(stack) if e.name in DROPPED))
         number += 1
-        stack.append((name, number, _evidence(name, attrs, inside),
-                      inside or name in ("article", "main")))
+        new = elements[number] = Element(name, number, attrs, bool(stack) and stack[-1].inside)
+        if new.tag == INSIDE and new.named >= 0:
+            for e in stack:
+                e.holds = True
+            new.holds = True
+        stack.append(new)
         muted += name in DROPPED
     flush()
-    return out
+    return _judge(out, elements)
 
 
 def block_features(found: list[Block]) -> np.ndarray:
@@ -315,7 +381,7 @@ def fit(pages: DataFrame, train_pages: int = TRAIN_PAGES) -> np.ndarray:
         for page in htmls:
             found = blocks(page)
             x = block_features(found).astype("<f4")
-            known = [i for i, b in enumerate(found) if b.hint <= BAD or b.hint >= INSIDE]
+            known = [i for i, b in enumerate(found) if b.hint <= BAD_CLASS or b.hint >= INSIDE]
             step = max(1, -(-len(known) // TRAIN_BLOCKS))
             out.append([np.r_[x[i], np.float32(found[i].hint > 0)].tobytes()
                         for i in known[::step]])

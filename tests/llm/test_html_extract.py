@@ -98,3 +98,33 @@ def test_edge_rows_and_empty_table(spark):
     assert [(r.page_id, r.url) for r in got] == [(r[0], r[1]) for r in rows]
     assert [r.text == "" for r in got] == [True, True, False, False]
     assert h.extract(spark.createDataFrame([], ddl)).collect() == []
+
+
+SAID = " ".join(LONG.split())
+
+
+@pytest.mark.parametrize("page", [
+    f'<body class="single right-sidebar"><article><p>{LONG}</article>',
+    f'<body class="single right-sidebar"><div><p>{LONG}<p>{LONG}</div>',
+    f'<body><div class="layout has-sidebar"><div><p>{LONG}<p>{LONG}</div>'
+    f'<div class="sidebar"><p>{LONG}</p></div></div>',
+    f'<body><div id="page" class="header-fixed"><p>{LONG}<p>{LONG}</div>',
+    f'<body><div class="story legal"><p>{LONG}<p>{LONG}</div>',
+    f'<body><div class="legal"><article><p>{LONG}</article></div>',
+    f'<body><form id=aspnetForm><input type="hidden" name=state><div>Search <input></div>'
+    f'<div><p>{LONG}<p>{LONG}</div></form>',
+])
+def test_names_and_forms_around_the_whole_page(page):
+    got = h.main_text(page, WEIGHTS).split("\n")
+    assert got == [SAID] * (1 if "article" in page else 2)
+
+
+@pytest.mark.parametrize("part", [
+    f'<section id="comments"><p>{LONG}</p></section>',
+    f'<section id="comments"><article class="comment-body"><p>{LONG}</p></article></section>',
+    f'<div class="sidebar"><div class="text"><p>{LONG}</p></div></div>',
+    f'<form><p>Write to us.</p><input><textarea></textarea></form>',
+])
+def test_named_boilerplate_beside_the_article_goes(part):
+    page = f"<body class=x><div class=page><article><p>{LONG}<p>{LONG}</article>{part}</div>"
+    assert h.main_text(page, WEIGHTS).split("\n") == [SAID] * 2
