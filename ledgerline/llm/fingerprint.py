@@ -2,7 +2,7 @@
 
 Every paragraph (line) is hashed to a wide vector and a document's fingerprint
 is the sum of its paragraphs' vectors: equality lanes modulo 2^64, filled from
-a 512-bit digest of the paragraph, and likeness lanes modulo 2^16, in which
+a 512-bit digest of the paragraph, and likeness lanes modulo 2^32, in which
 each run of 16 bytes of the paragraph adds +1 or -1 to one lane.  The order of
 paragraphs does not matter, and paragraphs are inserted or deleted by adding
 or subtracting their vectors (``insert``, ``delete``).  Likeness is 1 for equal
@@ -60,13 +60,13 @@ class Fingerprint:
 
     def __str__(self) -> str:
         return (self.equal.astype("<u8").tobytes().hex()
-                + base64.b64encode(self.like.astype("<u2").tobytes()).decode())
+                + base64.b64encode(self.like.astype("<u4").tobytes()).decode())
 
     @staticmethod
     def parse(text: str) -> Fingerprint:
         cut = EQUAL_LANES * 16
         return Fingerprint(np.frombuffer(bytes.fromhex(text[:cut]), "<u8").astype(np.uint64),
-                           np.frombuffer(base64.b64decode(text[cut:]), "<u2").astype(np.uint16))
+                           np.frombuffer(base64.b64decode(text[cut:]), "<u4").astype(np.uint32))
 
 
 def of_paragraphs(paragraphs: list[bytes]) -> Fingerprint:
@@ -85,7 +85,7 @@ def of_paragraphs(paragraphs: list[bytes]) -> Fingerprint:
     mixed ^= mixed >> np.uint64(29)
     mixed *= _K1
     bins = np.bincount((mixed >> np.uint64(55)).astype(np.int64), minlength=2 * LIKE_LANES)
-    like = (bins[0::2] - bins[1::2]).astype(np.uint16)
+    like = (bins[0::2] - bins[1::2]).astype(np.uint32)
     return Fingerprint(equal, like)
 
 
@@ -104,7 +104,7 @@ def delete(mark: Fingerprint, paragraphs: list[bytes]) -> Fingerprint:
 def likeness(a: Fingerprint, b: Fingerprint) -> float:
     if np.array_equal(a.equal, b.equal) and np.array_equal(a.like, b.like):
         return 1.0
-    x, y = a.like.view(np.int16).astype(float), b.like.view(np.int16).astype(float)
+    x, y = a.like.view(np.int32).astype(float), b.like.view(np.int32).astype(float)
     size = np.sqrt((x @ x) * (y @ y))
     return float(min(0.999999, max(0.0, (x @ y) / size))) if size else 0.0
 

@@ -74,3 +74,11 @@ def test_edge_rows_and_empty_table(spark):
         marks.setdefault(r.doc_id, set()).add(r.fingerprint)
     assert marks[1] == marks[2] != marks[3] and marks[4] == marks[5]
     assert f.fingerprints(empty_docs(spark)).collect() == []
+
+
+def test_long_uniform_text_keeps_its_likeness():
+    rows = [(2, "x" * 100_000), (1, "another text follows " * 5_000)]
+    own, changed = f.of_text(rows[0][1]), f.of_text(f.edited(rows[0][1], rows[1][1])[0])
+    assert f.likeness(own, changed) > 0.8
+    part = f.of_text("x" * 70_000)
+    assert f.likeness(own, part) > 0.99 and f.likeness(own, f.Fingerprint.parse(str(part))) > 0.99
