@@ -8,15 +8,20 @@ window holds all of it.  A window's similarity with a template it holds to
 ``CONTAINMENT`` is at least ``floor`` (computed from both sizes); the number of
 one-row MinHash bands follows from it and ``RECALL``.  A window that shares a
 band with a template retrieves it, and exact containment of the template's
-n-grams in the window (share found, 0.8 or more) verifies the match.
+n-grams in the window (share found, 0.8 or more) verifies the match.  The
+n-grams found in all verified windows of a template are cut into its places: a
+new one begins where an n-gram comes again after 0.8 of the template was there,
+or farther than a window from the last.  Every place is a match, unless a
+place of another license with a higher containment overlaps it.
 
 Defined results: null and empty texts match nothing; whole texts are scanned,
-however long; ties between windows go to the earlier one; repeated rows give
+however long; places of equal containment all stay; repeated rows give
 a row each; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Mapping
 
 import numpy as np
@@ -147,10 +152,10 @@ class Scanner:
 
     def scan(self, texts: list[str]) -> list[list[tuple[int, int, int, float]]]:
         """(template, first word, words, containment) of each text's matches:
-        the best window of every template; of overlapping matches of different
+        every place of every template; of overlapping places of different
         licenses the one with the higher containment."""
         hashes, counts = word_hashes(texts)
-        best: list[dict[int, tuple[float, int, int]]] = [{} for _ in texts]
+        spans: list[list[tuple[int, int, int, float]]] = [[] for _ in texts]
         for k, steps in self.classes.items():
             grams, made = _full_shingles(hashes, counts, k)
             if not len(grams):
@@ -180,21 +185,46 @@ class Scanner:
                             found.update((step, w, t) for t in table.members.get(int(window[w]), ()))
                     least = np.minimum.reduceat(least, begin)
             places = {step: (owner, nth) for step, owner, nth, _, _ in levels}
+            hits: dict[tuple[int, int, int], list[np.ndarray]] = {}
             for step, w, t in sorted(found):
                 owner, nth = places[step]
                 doc = int(owner[w])
                 begin = int(first[doc] + nth[w] * step)
                 part = grams[begin:min(begin + 2 * step, int(first[doc] + made[doc]))]
                 hit = np.isin(part, self.grams[t])
-                share = len(np.unique(part[hit])) / len(self.grams[t])
-                if share >= self.containment and share > best[doc].get(t, (0.0,))[0]:
-                    at = np.flatnonzero(hit)
-                    best[doc][t] = (share, int(begin + at[0] - first[doc]),
-                                    int(at[-1] - at[0]) + k)
-        return [[(t, at, n, share) for t, (share, at, n) in sorted(d.items())
-                 if not any(s > share and o < at + n and at < o + m
-                            and self.names[u] != self.names[t] for u, (s, o, m) in d.items())]
-                for d in best]
+                if len(np.unique(part[hit])) / len(self.grams[t]) >= self.containment:
+                    hits.setdefault((doc, t, step), []).append(begin + np.flatnonzero(hit))
+            for (doc, t, step), at in hits.items():
+                at = np.unique(np.concatenate(at))
+                for one, last, share in self._places(at.tolist(), grams[at].tolist(), t, 2 * step):
+                    spans[doc].append((t, one - int(first[doc]), last - one + k, share))
+        return [self._strongest(sorted(d)) for d in spans]
+
+    def _places(self, at: list[int], grams: list[int], t: int, far: int):
+        """(first n-gram, last, containment) of the template's places."""
+        size, here, begin, last = len(self.grams[t]), set(), 0, 0
+        for place, gram in zip(at, grams):
+            whole = len(here) / size >= self.containment
+            if here and (place - last >= far or whole and gram in here):
+                if whole:
+                    yield begin, last, len(here) / size
+                here = set()
+            if not here:
+                begin = place
+            here.add(gram)
+            last = place
+        if len(here) / size >= self.containment:
+            yield begin, last, len(here) / size
+
+    def _strongest(self, spans: list[tuple[int, int, int, float]]):
+        """The spans that no stronger one of another license overlaps."""
+        by_start = sorted(spans, key=lambda m: m[1])
+        starts = [m[1] for m in by_start]
+        longest = max((m[2] for m in spans), default=0)
+        return [(t, at, n, share) for t, at, n, share in spans
+                if not any(s > share and o + m > at and self.names[u] != self.names[t]
+                           for u, o, m, s in by_start[bisect_left(starts, at - longest):
+                                                      bisect_left(starts, at + n)])]
 
 
 class _Table:

@@ -64,3 +64,54 @@ def test_edge_rows_and_empty_table(spark):
                for r in license_scan.licenses(docs).collect())
     assert license_scan.licenses(docs).count() == docs.count()
     assert license_scan.licenses(empty_docs(spark)).collect() == []
+
+
+def all_places(text):
+    """(license, first word, words, containment) of every place, by going
+    through the n-grams of all verified windows."""
+    out = []
+    for name, texts in license_scan.TEMPLATES.items():
+        for t in texts:
+            k = min(5, len(WORD.findall(t.lower())))
+            want, have = set(grams(t, k)), grams(text, k)
+            step = 1 << (len(want) - 1).bit_length()
+            at = sorted({j for i in range(0, len(have), step)
+                         if len(want & set(have[i:i + 2 * step])) / len(want) >= 0.8
+                         for j in range(i, min(i + 2 * step, len(have))) if have[j] in want})
+            groups = []
+            for j in at:
+                seen = {have[i] for i in groups[-1]} if groups else set()
+                again = len(seen) / len(want) >= 0.8 and have[j] in seen
+                if not groups or again or j - groups[-1][-1] >= 2 * step:
+                    groups.append([])
+                groups[-1].append(j)
+            for g in groups:
+                share = len({have[i] for i in g}) / len(want)
+                if share >= 0.8:
+                    out.append((name, g[0], g[-1] - g[0] + k, share))
+    return sorted(m for m in out if not any(
+        o[0] != m[0] and o[3] > m[3] and o[1] < m[1] + m[2] and m[1] < o[1] + o[2] for o in out))
+
+
+def places(scanner, text):
+    return sorted((scanner.names[t], at, n, share) for t, at, n, share in scanner.scan([text])[0])
+
+
+def test_every_place_of_a_template_counts():
+    scanner = license_scan.Scanner()
+    two, three = license_scan.TEMPLATES["GPL-2.0"][1], license_scan.TEMPLATES["GPL-3.0"][1]
+    text = two + " lorem ipsum" * 200 + " " + three.replace("redistribute it", "copy it")
+    assert {m[0] for m in places(scanner, text)} == {"GPL-2.0", "GPL-3.0"}
+    assert places(scanner, text) == all_places(text)
+    mit = license_scan.TEMPLATES["MIT"][2]
+    for between in (" ", " x " * 3, " x " * 70, " x " * 500):
+        text = between.join([mit] * 4 + ["All rights reserved"] * 3)
+        assert [m[0] for m in places(scanner, text)] == ["MIT"] * 4 + ["proprietary"] * 3
+        assert places(scanner, text) == all_places(text)
+
+
+def test_places_of_the_fixture_texts(spark):
+    texts = [r.text or "" for r in
+             spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    scanner = license_scan.Scanner()
+    assert [places(scanner, t) for t in texts] == [all_places(t) for t in texts]
