@@ -67,8 +67,38 @@ TEMPLATES: dict[str, list[str]] = {
         "of the GNU General Public License as published by the Free Software Foundation; either "
         "version 2 of the License, or (at your option) any later version.",
     ],
-    "LGPL-3.0": ["licensed under the GNU Lesser General Public License, version 3"],
-    "AGPL-3.0": ["licensed under the GNU Affero General Public License, version 3"],
+    "GPL-1.0": [
+        "licensed under the GNU General Public License, version 1",
+        "This program is free software; you can redistribute it and/or modify it under the terms "
+        "of the GNU General Public License as published by the Free Software Foundation; either "
+        "version 1, or (at your option) any later version.",
+    ],
+    "LGPL-3.0": [
+        "licensed under the GNU Lesser General Public License, version 3",
+        "This program is free software: you can redistribute it and/or modify it under the terms "
+        "of the GNU Lesser General Public License as published by the Free Software Foundation, "
+        "either version 3 of the License, or (at your option) any later version.",
+    ],
+    "LGPL-2.1": [
+        "licensed under the GNU Lesser General Public License, version 2.1",
+        "This library is free software; you can redistribute it and/or modify it under the terms "
+        "of the GNU Lesser General Public License as published by the Free Software Foundation; "
+        "either version 2.1 of the License, or (at your option) any later version.",
+    ],
+    "AGPL-3.0": [
+        "licensed under the GNU Affero General Public License, version 3",
+        "This program is free software: you can redistribute it and/or modify it under the terms "
+        "of the GNU Affero General Public License as published by the Free Software Foundation, "
+        "either version 3 of the License, or (at your option) any later version.",
+    ],
+    "EPL-2.0": [
+        "This program and the accompanying materials are made available under the terms of the "
+        "Eclipse Public License 2.0 which is available at",
+    ],
+    "Zlib": [
+        "This software is provided 'as-is', without any express or implied warranty. In no event "
+        "will the authors be held liable for any damages arising from the use of this software.",
+    ],
     "MPL-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a "
         "copy of the MPL was not distributed with this file, You can obtain one at",

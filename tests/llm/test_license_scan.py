@@ -115,3 +115,13 @@ def test_places_of_the_fixture_texts(spark):
              spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
     scanner = license_scan.Scanner()
     assert [places(scanner, t) for t in texts] == [all_places(t) for t in texts]
+
+
+def test_versions_have_their_own_names():
+    scanner, gpl = license_scan.Scanner(), license_scan.TEMPLATES["GPL-3.0"][1]
+    for text, name in [
+            ("licensed under the GNU Lesser General Public License, version 2.1", "LGPL-2.1"),
+            ("licensed under the GNU General Public License, version 1", "GPL-1.0"),
+            (gpl.replace("GNU", "GNU Affero"), "AGPL-3.0"),
+            (gpl.replace("GNU", "GNU Lesser"), "LGPL-3.0")]:
+        assert {m[0] for m in places(scanner, "lorem " * 9 + text + " ipsum" * 9)} == {name}
