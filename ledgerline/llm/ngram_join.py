@@ -2,7 +2,7 @@
 
 Two documents link if the Jaccard similarity of their sets of word 5-grams is
 0.8 or more.  The band count follows from the target recall: with ``ROWS`` = 7
-rows a pair at 0.8 shares one of 42 bands with probability 0.9999.
+rows a pair at 0.8 shares one of 40 bands with probability 0.9999.
 
 1. Every text becomes a set key (a digest of its whole n-gram set) and band
    hashes.  Documents with equal sets form one class member, the smallest
