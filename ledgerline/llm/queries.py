@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import (
     bpe,
+    collocations,
     exact_dedup,
     fingerprint,
     html_extract,
@@ -13,6 +14,8 @@ from . import (
     license_scan,
     mix,
     ngram_join,
+    packing,
+    spelling,
     token_count,
     toxicity,
 )
@@ -66,9 +69,22 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark(table(spark, sf_dir, "documents")).drop("bucket", "chain")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_token_counts, op3_source_mix, op4_language_id, op5_html_extraction,
-    op6_bpe_round_trip, op7_ngram_join, op8_fingerprints, op9_toxicity, op10_exact_dedup,
+    op6_bpe_round_trip, op7_ngram_join, op8_fingerprints, op9_toxicity, op10_exact_dedup, op11_collocations,
+    op12_spelling_variants, op13_best_fit_packing,
 )}
 
 #: DuckDB SQL of the queries that SQL can express.
