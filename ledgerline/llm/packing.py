@@ -23,6 +23,7 @@ empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import string
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -43,7 +44,9 @@ CAPACITY = 4096
 END = 1
 #: Characters of a text encoded at once, and bytes of ids that a task keeps.
 CHUNK = 1 << 20
-MEMO_BYTES = 64 << 20
+MEMO_BYTES = 128 << 20
+TAIL = ".,;:!?"
+ALNUM = frozenset(string.ascii_letters + string.digits)
 
 
 class WordIds(WordCounter):
@@ -75,60 +78,67 @@ class WordIds(WordCounter):
         return list(map(data.__getitem__, map(slice, [0, *cut], cut)))
 
     def _learn(self, parts: list[str]) -> None:
-        plan, pieces = [], []
-        for p in parts:
-            cut = self.special.split(p) if self.special and "<|" in p else [p]
-            names = self.special.findall(p) if len(cut) > 1 else []
-            plan.append((len(pieces), names))
-            pieces += cut
-        ids = self._pieces(pieces)
-        for part, (at, names) in zip(parts, plan):
-            made = ids[at] + b"".join(
-                np.array([self.table.special[s]], "<u4").tobytes() + ids[at + 1 + k]
-                for k, s in enumerate(names))
-            self.memo[part] = made
-            self.held += len(made) + 4 * len(part) + 200
-
-    def _some(self, text: str) -> bytes:
-        parts = text.split() if not CONTROL.search(text) else PART.findall(text)
-        if self.held > MEMO_BYTES:
-            self.memo.clear()
-            self.held = 0
-        new = set(parts).difference(self.memo)
-        if new:
-            self._learn(list(new))
-        return b"".join(map(self.memo.__getitem__, parts))
-
-    def ids(self, text: str) -> bytes:
-        """The ids of a text as little-endian unsigned 32-bit integers."""
-        if len(text) <= CHUNK:
-            return self._some(text)
-        out, begin = [], 0
-        while begin < len(text):
-            # White space ends a part, so a text may be cut there.
-            end = text.find(" ", begin + CHUNK)
-            end = len(text) if end < 0 else end
-            out.append(self._some(text[begin:end]))
-            begin = end
-        return b"".join(out)
-
-    def learn(self, texts: list[str]) -> None:
-        """Meet the new parts of short texts together."""
-        short = [t for t in texts if len(t) <= CHUNK]
+        # Punctuation after a letter or digit is a pre-token of its own, so words
+        # that differ only in it are merged once.
+        bare = [p.rstrip(TAIL) for p in parts]
+        tailed = [(p, b) for p, b in zip(parts, bare) if len(b) < len(p) and b and b[-1] in ALNUM
+                  and "<|" not in b]
+        plain = set(parts).difference(p for p, _ in tailed)
+        plain.update(b for _, b in tailed)
+        plain.update(p[len(b):] for p, b in tailed)
+        odd = {p for p in plain if "<|" in p}
+        fresh = list(plain.difference(self.memo, odd))
+        made = self._pieces(fresh) if fresh else []
+        memo = self.memo
+        memo.update(zip(fresh, made))
+        for p, b in tailed:
+            memo[p] = memo[b] + memo[p[len(b):]]
+        self.held += 2 * sum(map(len, made)) + 200 * (len(fresh) + len(tailed))
+        if odd:
+            # Special tokens stand between the pieces of a part.
+            for p in odd:
+                ids = self._pieces(self.special.split(p) if self.special else [p])
+                names = self.special.findall(p) if self.special else []
+                self.memo[p] = ids[0] + b"".join(
+                    np.array([self.table.special[s]], "<u4").tobytes() + i
+                    for s, i in zip(names, ids[1:]))
+                self.held += len(self.memo[p]) + 200
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        group: list[tuple[int, str]] = []
         size = 0
-        held: set[str] = set()
-        for t in short:
-            held.update(t.split() if not CONTROL.search(t) else PART.findall(t))
-            size += len(t)
-            if size > CHUNK:
-                self._meet(held)
-                held, size = set(), 0
-        self._meet(held)
 
-    def _meet(self, parts: set[str]) -> None:
-        new = parts.difference(self.memo)
-        if new:
-            self._learn(list(new))
+        def done():
+            # Lower case before the cut leaves fewer parts; special tokens' own
+            # case counts.
+            cut = [t.lower() if t.isascii() and "<|" not in t else t for _, t in group]
+            cut = [t.split() if not CONTROL.search(t) else PART.findall(t) for t in cut]
+            if self.held > MEMO_BYTES:
+                self.memo.clear()
+                self.held = 0
+            new = set().union(*cut).difference(self.memo)
+            if new:
+                self._learn(list(new))
+            for (i, _), parts in zip(group, cut):
+                out[i].append(b"".join(map(self.memo.__getitem__, parts)))
+            group.clear()
+
+        for i, text in enumerate(texts):
+            begin = 0
+            while begin < len(text):
+                # White space ends a part, so a long text may be cut there.
+                end = text.find(" ", begin + CHUNK) if len(text) - begin > CHUNK else -1
+                end = len(text) if end < 0 else end
+                group.append((i, text[begin:end]))
+                size += end - begin
+                begin = end
+                if size > 4 * CHUNK:
+                    done()
+                    size = 0
+        done()
+        return [b"".join(x) if len(x) != 1 else x[0] for x in out]
 
 
 def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end: int = END) -> DataFrame:
@@ -146,10 +156,9 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end: int
         last = np.array([end], "<u4").tobytes()
         for batch in batches:
             names, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            coder.learn(texts)
             out: list[tuple] = []
-            for name, text in zip(names, texts):
-                data = coder.ids(text) + last
+            for name, data in zip(names, coder.encode(texts)):
+                data += last
                 for k, at in enumerate(range(0, len(data), 4 * capacity)):
                     ids = data[at:at + 4 * capacity]
                     n = len(ids) // 4
