@@ -54,7 +54,7 @@ MAX_PHRASES = 2_000_000
 NUMBERED = 10_000
 #: Bytes of text cut into words at once, and entries of a task's buffers.
 CHUNK = 1 << 20
-BUFFER = 1 << 22
+BUFFER = 1 << 20
 
 _UPPER = bytes(range(65, 91))
 _ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -100,7 +100,7 @@ def count_words(docs: DataFrame) -> DataFrame:
                 for words in words_of(raw):
                     counter.update(words)
                 size += len(raw)
-                if size > 32 * CHUNK:
+                if size > 16 * CHUNK:
                     yield from flushed()
                     size = 0
         yield from flushed()
