@@ -1,8 +1,9 @@
 """Insights (INS-1 ... INS-4): category ranking, Pareto share, seasonality, spikes.
 
-Ranking and Pareto shares work for any number of groups: slices by value plus
-per-slice offsets, never a window over the whole table.  Seasonality and spikes
-work on one row per month and group of a filled calendar.
+Ranking and Pareto shares work for any number of groups, however many of them are
+tied: slices of distinct values or written ranges, plus offsets, never a window
+over the whole table.  Seasonality and spikes work on one row per month and group
+of a filled calendar.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import TOTAL, ratio
-from ..plans.ranking import slices_before, value_slice
+from ..plans.ranking import running_total, slices_before, value_slice
 from ._util import as_list, join_null_safe
 from .kpi import breakdown
 from .trend import fill_calendar
@@ -22,16 +23,23 @@ from .trend import fill_calendar
 def rank_categories(sales: DataFrame, by="category") -> DataFrame:
     """INS-1: ``by`` groups ranked by revenue (1 = highest; ties share a rank).
 
-    rank = 1 + number of groups with more revenue: the position within the
-    group's slice of revenues, plus the number of groups in higher slices.
-    The slice is a function of the revenue alone (``value_slice``).
+    rank = 1 + number of groups with more revenue, counted over the *distinct*
+    revenues: those above it within its slice of revenues (``value_slice``), plus
+    the groups in higher slices.  Any number of groups with one revenue is one
+    row there, and AQE can split them where they meet their rank.
     """
     by = as_list(by)
-    agg = breakdown(sales, by).select(*by, "revenue").withColumn("_slice", value_slice("revenue"))
-    local = F.rank().over(Window.partitionBy("_slice").orderBy(F.col("revenue").desc()))
-    return (join_null_safe(agg.withColumn("_local", local), slices_before(agg), ["_slice"])
-            .select(*by, "revenue",
-                    (F.col("_rows_before") + F.col("_local")).cast("int").alias("rank")))
+    agg = breakdown(sales, by).select(*by, "revenue")
+    distinct = (agg.groupBy("revenue").agg(F.count(F.lit(1)).alias("_groups"))
+                .withColumn("_slice", value_slice("revenue")))
+    above = (Window.partitionBy("_slice").orderBy(F.col("revenue").desc())
+             .rowsBetween(Window.unboundedPreceding, -1))
+    local = F.coalesce(F.sum("_groups").over(above), F.lit(0))
+    ranked = (join_null_safe(distinct.withColumn("_local", local),
+                             slices_before(distinct, rows_col="_groups"), ["_slice"])
+              .select("revenue", (F.col("_rows_before") + F.col("_local") + 1).cast("int")
+                      .alias("rank")))
+    return join_null_safe(agg, ranked, ["revenue"]).select(*by, "revenue", "rank")
 
 
 def pareto(sales: DataFrame, by="category", cutoff: float = 0.8) -> DataFrame:
@@ -42,17 +50,14 @@ def pareto(sales: DataFrame, by="category", cutoff: float = 0.8) -> DataFrame:
     the cutoff.  The test is done on exact decimals; ``share`` and
     ``cum_share`` are reported as doubles.  Ties are ordered by name.
 
-    The running total is taken within a slice of revenues and shifted by the
-    totals of the higher slices, so it scales to any number of groups.
+    The groups are written once, in ranges of (revenue, name), so the fact is
+    read once and groups of equal revenue are spread like all others; the
+    running total of a range is shifted by the totals of the ranges before it.
     """
     by = as_list(by)
-    agg = breakdown(sales, by).select(*by, "revenue").withColumn("_slice", value_slice("revenue"))
+    agg = breakdown(sales, by).select(*by, "revenue")
     order = [F.col("revenue").desc(), *[F.col(c).asc() for c in by]]
-    run = (Window.partitionBy("_slice").orderBy(*order)
-           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = (join_null_safe(agg.withColumn("_local", F.sum("revenue").over(run)),
-                          slices_before(agg, "revenue"), ["_slice"])
-           .withColumn("_running", F.col("_sum_before") + F.col("_local")))
+    out = running_total(agg, order, "revenue", "pareto")
     cut = F.lit(Decimal(str(cutoff)))
     return (out.withColumn("share", ratio("revenue", "_sum_all"))
             .withColumn("cum_share", ratio("_running", "_sum_all"))

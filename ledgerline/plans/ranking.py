@@ -10,6 +10,8 @@ prunes, reuses or re-runs:
   it cannot change an answer.
 - a calendar day of a date, for the position of rows within a key
   (``day_row_number``).
+- for running totals over rows that may be tied, ranges that are written with
+  their numbers first (``ranges``).
 
 Ranks and sums are taken within a slice and shifted by the counts and totals
 of the slices before it.
@@ -21,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators._util import as_list, join_null_safe
+from ..session import scratch_path
 
 #: Slices per doubling of the value: a slice spans 0.017 % of a value, and the
 #: table of slices stays below 4,096 rows per doubling that occurs.
@@ -34,27 +37,50 @@ def value_slice(col: str | Column) -> Column:
     return F.when(v < 0, -steps).otherwise(steps)
 
 
-def slices_before(sliced: DataFrame, value_col: str | None = None) -> DataFrame:
-    """Per ``_slice``, what the slices with larger values hold.
+def slices_before(sliced: DataFrame, rows_col: str) -> DataFrame:
+    """``_slice`` and ``_rows_before``: the sum of ``rows_col`` in the slices with
+    larger values.
 
-    Columns: ``_slice``, ``_rows_before`` and, with ``value_col``,
-    ``_sum_before`` and ``_sum_all``.  One row per slice that occurs, so the
-    unpartitioned window has a bound that does not grow with the rows.  Null
-    values come last, in a slice of their own.
+    One row per slice that occurs, so the unpartitioned window has a bound that
+    does not grow with the rows.  Null values come last, in a slice of their own.
     """
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    if value_col:
-        aggs.append(F.sum(value_col).alias("_sum"))
-    per = sliced.groupBy("_slice").agg(*aggs)
+    per = sliced.groupBy("_slice").agg(F.sum(rows_col).alias("_rows"))
     above = (Window.orderBy(F.col("_slice").desc_nulls_last())
              .rowsBetween(Window.unboundedPreceding, -1))
-    cols = [F.col("_slice"),
-            F.coalesce(F.sum("_rows").over(above), F.lit(0)).alias("_rows_before")]
-    if value_col:
-        zero = F.lit(0).cast(per.schema["_sum"].dataType)
-        cols += [F.coalesce(F.sum("_sum").over(above), zero).alias("_sum_before"),
-                 F.sum("_sum").over(Window.partitionBy()).alias("_sum_all")]
-    return per.select(*cols)
+    return per.select("_slice", F.coalesce(F.sum("_rows").over(above), F.lit(0))
+                      .alias("_rows_before"))
+
+
+def ranges(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """``df`` written to the shared scratch folder in ranges of ``order``, read
+    back with the number of its range (``_range``).
+
+    ``order`` must tell all rows apart; then ranges are about equally large
+    whatever values repeat.  The number is a written column, so everything that
+    reads it sees the same one.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    dealt = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    dealt.write.parquet(path)
+    return spark.read.schema(dealt.schema).parquet(path)
+
+
+def running_total(df: DataFrame, order: list[Column], value_col: str, name: str) -> DataFrame:
+    """``df`` with ``_running`` (the sum of ``value_col`` up to the row in ``order``)
+    and ``_sum_all``.  The offsets are one row per range, a number that follows
+    ``spark.sql.shuffle.partitions``."""
+    kept = ranges(df, order, name)
+    per = kept.groupBy("_range").agg(F.sum(value_col).alias("_sum"))
+    zero = F.lit(0).cast(per.schema["_sum"].dataType)
+    above = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = per.select("_range", F.coalesce(F.sum("_sum").over(above), zero).alias("_before"),
+                        F.sum("_sum").over(Window.partitionBy()).alias("_sum_all"))
+    within = (Window.partitionBy("_range").orderBy(*order)
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (kept.withColumn("_local", F.sum(value_col).over(within)).join(before, "_range")
+            .withColumn("_running", F.col("_before") + F.coalesce("_local", zero))
+            .drop("_range", "_local", "_before"))
 
 
 def day_row_number(df: DataFrame, keys, date_col: str, order=(), out: str = "row_number"

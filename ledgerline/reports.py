@@ -17,11 +17,15 @@ from .operators import clean as cln
 from .operators import cohort as coh
 from .operators import insight as ins
 from .operators import kpi
+from .operators import temporal as tmp
 from .operators import trend as trd
+from .operators._util import join_null_safe
+from .plans import arrivals as arr
 from .plans import dirty
 from .plans import sales as model
 from .session import scratch_path
 from .sources import export_csv, load, load_csv, publish, read_clean, register, write_clean
+from .streaming import Replay, late_windows, sessions, windowed_trend
 
 Report = Callable[[SparkSession, str], DataFrame]
 REPORTS: dict[str, Report] = {}
@@ -44,6 +48,11 @@ RAW_ORDER_RULES = cln.CleanRules(
 LINE_KEYS = ("l_orderkey", "l_linenumber")
 ORDER_DOMAIN = (cln.DomainRule("min_total", "o_totalprice", lo=5000),
                 cln.DomainRule("status", "o_orderstatus", allowed=("F", "O")))
+#: ``events`` lie in 2024, ``orders`` end in 2001: events are read 24 years
+#: earlier (8,766 days) where both meet.
+EVENT_SHIFT_DAYS = 8766
+AFTER_EVENT_DAYS = 7
+REPEAT_DAYS = 30
 PROFILE_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
 
 
@@ -457,3 +466,87 @@ def ship_before_order(spark, sf_dir):
 @report("profile_orders")
 def profile_orders(spark, sf_dir):
     return cln.profile(load(spark, sf_dir)["orders"], list(PROFILE_COLUMNS))
+
+
+# -- joins in time -------------------------------------------------------------
+
+def _timed_orders(spark, sf_dir):
+    return load(spark, sf_dir)["orders"].select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
+        F.col("o_orderdate").alias("ordered_at"))
+
+
+def _timed_events(spark, sf_dir):
+    return load(spark, sf_dir)["events"].select(
+        "event_id", F.col("user_id").alias("customer_id"), "event_type",
+        (F.col("ts") - F.expr(f"INTERVAL {EVENT_SHIFT_DAYS} DAYS")).alias("event_at"))
+
+
+@report("orders_after_event")
+def orders_after_event(spark, sf_dir):
+    """Interval join: orders within 7 days after an event of the customer."""
+    days = F.expr(f"INTERVAL {AFTER_EVENT_DAYS} DAYS")
+    spans = _timed_events(spark, sf_dir).withColumn("until", F.col("event_at") + days)
+    return tmp.interval_join(_timed_orders(spark, sf_dir), spans, "customer_id", "ordered_at",
+                             "event_at", "until", width_days=AFTER_EVENT_DAYS).drop("until")
+
+
+@report("repeat_orders_30d")
+def repeat_orders_30d(spark, sf_dir):
+    """Interval join of orders with themselves: each order and the customer's
+    orders in the 30 days after it."""
+    orders = _timed_orders(spark, sf_dir)
+    spans = orders.select("customer_id", F.col("order_id").alias("first_order_id"),
+                          F.col("ordered_at").alias("first_at"),
+                          (F.col("ordered_at") + F.expr(f"INTERVAL {REPEAT_DAYS} DAYS")).alias("until"))
+    return tmp.interval_join(orders, spans, "customer_id", "ordered_at", "first_at", "until",
+                             width_days=REPEAT_DAYS).drop("until")
+
+
+@report("orders_last_event")
+def orders_last_event(spark, sf_dir):
+    """As-of join: every order with the customer's last event before it."""
+    events = _timed_events(spark, sf_dir)
+    return tmp.asof_join(_timed_orders(spark, sf_dir), events, "customer_id", "ordered_at",
+                         "event_at", ["event_id", "event_type", "event_at"], order=["event_id"],
+                         grain="hour")
+
+
+@report("events_last_order")
+def events_last_order(spark, sf_dir):
+    """As-of join the other way: every event with the customer's last order,
+    strictly before it."""
+    events = _timed_events(spark, sf_dir)
+    return tmp.asof_join(events, _timed_orders(spark, sf_dir), "customer_id", "event_at",
+                         "ordered_at", ["order_id", "ordered_at"], order=["order_id"],
+                         inclusive=False)
+
+
+# -- streams -------------------------------------------------------------------
+
+@report("stream_event_trend")
+def stream_event_trend(spark, sf_dir):
+    """Events arrive file by file, some late: closed hours by type, with the
+    number of rows that came too late for them."""
+    events = load(spark, sf_dir)["events"]
+    replay = Replay(spark, events.schema, windowed_trend, "stream-trend")
+    late = []
+    for rows in arr.arrivals(spark, events):
+        late.append(late_windows(rows, replay.watermark))
+        replay.arrive(rows)
+    counted = late[0]
+    for more in late[1:]:
+        counted = counted.unionByName(more)
+    counted = counted.groupBy("period", "event_type").agg(F.sum("late_events").alias("late_events"))
+    return (join_null_safe(replay.table(), counted, ["period", "event_type"], "left")
+            .withColumn("late_events", F.coalesce("late_events", F.lit(0))))
+
+
+@report("stream_sessions")
+def stream_sessions(spark, sf_dir):
+    """Sessions of users from the same arrivals: state with timers."""
+    events = load(spark, sf_dir)["events"]
+    replay = Replay(spark, events.schema, sessions, "stream-sessions")
+    for rows in arr.arrivals(spark, events):
+        replay.arrive(rows)
+    return replay.table()

@@ -22,6 +22,8 @@ SCHEMAS: dict[str, str] = {
              "p_retailprice DOUBLE"),
     "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
     "region": "r_regionkey INT, r_name STRING",
+    "events": ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+               "value DOUBLE, props STRING"),
 }
 
 

@@ -640,3 +640,92 @@ SELECT category, period, revenue, {_ratio('s', 'n')} AS trailing_avg,
        (n = 12 AND revenue * n > s * 1.1) AS is_spike
 FROM w
 """
+
+# Joins in time: events are read 24 years earlier (reports.EVENT_SHIFT_DAYS).
+_EVENTS = """
+ev AS (SELECT event_id, user_id AS customer_id, event_type,
+              ts - INTERVAL 8766 DAY AS event_at FROM events),
+o AS (SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderdate AS ordered_at FROM orders)
+"""
+
+SQL["orders_after_event"] = f"""
+WITH {_EVENTS}
+SELECT o.customer_id, order_id, ordered_at, event_id, event_type, event_at
+FROM o JOIN ev ON o.customer_id = ev.customer_id
+  AND ordered_at > event_at AND ordered_at <= event_at + INTERVAL 7 DAY
+"""
+
+SQL["repeat_orders_30d"] = f"""
+WITH {_EVENTS}
+SELECT o.customer_id, o.order_id, o.ordered_at, f.order_id AS first_order_id,
+       f.ordered_at AS first_at
+FROM o JOIN o f ON o.customer_id = f.customer_id
+  AND o.ordered_at > f.ordered_at AND o.ordered_at <= f.ordered_at + INTERVAL 30 DAY
+"""
+
+
+def _asof(left: str, right: str, on: str, order: str, cols: str, key: str) -> str:
+    return f"""
+WITH {_EVENTS},
+n AS (SELECT {left}.*, row_number() OVER () AS rn FROM {left}),
+j AS (SELECT n.*, {cols}, row_number() OVER (PARTITION BY rn ORDER BY {order}) AS pick
+      FROM n LEFT JOIN {right} r ON n.customer_id = r.customer_id AND {on})
+SELECT * EXCLUDE (rn, pick) FROM j WHERE pick = 1
+"""
+
+
+SQL["orders_last_event"] = _asof(
+    "o", "ev", "r.event_at <= n.ordered_at", "r.event_at DESC, r.event_id DESC",
+    "r.event_id, r.event_type, r.event_at", "order_id")
+SQL["events_last_order"] = _asof(
+    "ev", "o", "r.ordered_at < n.event_at", "r.ordered_at DESC, r.order_id DESC",
+    "r.order_id, r.ordered_at", "event_id")
+
+# Streams: an event is late if its window (its minute) ended at or before the
+# largest time (end of a minute) of the arrivals before its own, less two hours.
+_ARRIVALS = """
+a AS (
+  SELECT *, CAST(coalesce(least(2, greatest(0, floor(
+           date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) / 10.0))), 0)
+           + CASE WHEN event_id % 50 = 0 THEN 1 ELSE 0 END AS INTEGER) AS arrival
+  FROM events WHERE ts IS NOT NULL {where}
+),
+k AS (SELECT unnest(range(0, 4)) AS arrival),
+marks AS (
+  SELECT k.arrival, (SELECT max({seen}) FROM a WHERE a.arrival < k.arrival) - INTERVAL 2 HOUR AS mark,
+         (SELECT max({seen}) FROM a) - INTERVAL 2 HOUR AS final
+  FROM k
+),
+seen AS (
+  SELECT a.*, final, date_trunc('{unit}', ts) AS period,
+         coalesce(date_trunc('{unit}', ts) + INTERVAL 1 {unit} <= date_trunc('milliseconds', mark),
+                  FALSE) AS late
+  FROM a JOIN marks USING (arrival)
+)"""
+
+SQL["stream_event_trend"] = f"""
+WITH {_ARRIVALS.format(where='', unit='hour', seen='ts')}
+SELECT period, event_type,
+       count(*) FILTER (WHERE NOT late) AS events,
+       CAST(sum(CAST(value AS DECIMAL(12,2))) FILTER (WHERE NOT late) AS DECIMAL(22,2)) AS value,
+       count(*) FILTER (WHERE late) AS late_events
+FROM seen GROUP BY period, event_type
+HAVING count(*) FILTER (WHERE NOT late) > 0 AND period + INTERVAL 1 HOUR <= max(final)
+"""
+
+SQL["stream_sessions"] = f"""
+WITH {_ARRIVALS.format(
+    where='AND user_id IS NOT NULL', unit='minute',
+    seen="date_trunc('minute', ts) + INTERVAL 1 MINUTE")},
+kept AS (SELECT * FROM seen WHERE NOT late),
+marked AS (
+  SELECT *, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 6 HOUR THEN 0 ELSE 1 END AS new
+  FROM kept WINDOW w AS (PARTITION BY user_id ORDER BY ts)
+),
+numbered AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts
+                                      ROWS UNBOUNDED PRECEDING) AS no FROM marked)
+SELECT user_id, min(ts) AS session_start, max(ts) AS session_end, count(*) AS events,
+       CAST(coalesce(sum(CAST(value AS DECIMAL(12,2))), 0) AS DECIMAL(18,2)) AS value
+FROM numbered GROUP BY user_id, no
+HAVING max(ts) + INTERVAL 6 HOUR < max(final)
+"""

@@ -21,13 +21,14 @@ NULLED = {
     "lineitem": {"l_partkey": 43, "l_discount": 47, "l_shipdate": 53, "l_extendedprice": 59},
     "customer": {"c_nationkey": 23},
     "part": {"p_type": 19, "p_brand": 17},
+    "events": {"ts": 41, "user_id": 37, "event_type": 29, "value": 31},
 }
 
 
 @pytest.fixture(scope="module")
 def null_dir(tmp_path_factory):
     out = str(tmp_path_factory.mktemp("nulls"))
-    for name in ("region", "nation", "customer", "part", "orders", "lineitem"):
+    for name in ("region", "nation", "customer", "part", "orders", "lineitem", "events"):
         t = pq.read_table(os.path.join(SF_SMALL, f"{name}.parquet"))
         for col, every in NULLED.get(name, {}).items():
             idx = pa.array(range(t.num_rows))
@@ -52,7 +53,7 @@ def test_report_with_nulls(spark, null_dir, name):
 @pytest.fixture(scope="module")
 def empty_dir(tmp_path_factory):
     out = str(tmp_path_factory.mktemp("empty"))
-    for name in ("region", "nation", "customer", "part", "orders", "lineitem"):
+    for name in ("region", "nation", "customer", "part", "orders", "lineitem", "events"):
         t = pq.read_table(os.path.join(SF_SMALL, f"{name}.parquet"))
         pq.write_table(t.slice(0, 0), os.path.join(out, f"{name}.parquet"))
     return out

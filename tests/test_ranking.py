@@ -9,7 +9,7 @@ from ledgerline.operators import clean as cln
 from ledgerline.operators import cohort as coh
 from ledgerline.operators import insight as ins
 from ledgerline.operators import kpi
-from ledgerline.plans.ranking import value_slice
+from ledgerline.plans.ranking import ranges, value_slice
 from ledgerline.plans.sales import sales
 from ledgerline.sources import load
 
@@ -88,3 +88,29 @@ def test_top_k_ties_do_not_depend_on_partitioning(spark):
         assert sorted(map(tuple, got.collect())) == want
     tied = kpi.top_k(df, 2, within="g", keep_ties=True).collect()
     assert len(tied) == 22 and {r["rank"] for r in tied if r["revenue"] == 10} == {2}
+
+
+def test_half_of_all_groups_tied(spark, make_sales):
+    """Ranks and shares by hand, and no range of the shares holds the ties."""
+    n = 2000
+    amounts = ["5" if i % 2 else str(i) for i in range(n)]
+    s = make_sales([(i, i, "2020-01-01", f"c{i:04d}", "x", "EU", a) for i, a in enumerate(amounts)])
+    order = sorted(range(n), key=lambda i: (-int(amounts[i]), f"c{i:04d}"))
+    above = {a: sum(int(b) > int(a) for b in amounts) for a in set(amounts)}
+    got = {r.category: r.rank for r in ins.rank_categories(s).collect()}
+    assert got == {f"c{i:04d}": 1 + above[a] for i, a in enumerate(amounts)}
+    total, run, want = sum(map(int, amounts)), 0, {}
+    for i in order:
+        run += int(amounts[i])
+        want[f"c{i:04d}"] = run / total
+    shares = {r.category: r.cum_share for r in ins.pareto(s).collect()}
+    assert shares == pytest.approx(want, rel=1e-12)
+    per = kpi.breakdown(s, ["category"]).select("category", "revenue")
+    # Small shuffles are merged by AQE, which would leave one range here.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        kept = ranges(per, [F.col("revenue").desc(), F.col("category").asc()], "test")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    sizes = [r["count"] for r in kept.groupBy("_range").count().collect()]
+    assert sum(sizes) == n and max(sizes) < 2 * n / len(sizes) and len(sizes) == 4

@@ -50,6 +50,15 @@ def skewed_dir(tmp_path_factory):
                            "o_orderstatus": ["F"] * n_orders, "o_totalprice": [10.0] * n_orders,
                            "o_orderdate": pa.array(odate, pa.timestamp("us")),
                            "o_orderpriority": ["1-URGENT"] * n_orders})
+    n_events = 900
+    seen = [dt.datetime(2043, 1, 1) + dt.timedelta(minutes=rnd.randrange(700 * 1440))
+            for _ in range(n_events)]
+    _write(tmp, "events", {
+        "event_id": pa.array(range(n_events), pa.int64()), "ts": pa.array(seen, pa.timestamp("us")),
+        "user_id": pa.array([7 if i % 3 == 0 else rnd.randrange(60) for i in range(n_events)],
+                            pa.int64()),
+        "event_type": [f"E{i % 4}" for i in range(n_events)], "value": [0.25 * i for i in range(n_events)],
+        "props": ["{}"] * n_events})
     n_lines = 4500
     okey = [11 if i % 3 == 0 else rnd.randrange(n_orders) for i in range(n_lines)]
     pkey = [5 if i % 3 == 1 else rnd.randrange(40) for i in range(n_lines)]
