@@ -14,7 +14,8 @@ row and whole texts.
 
 Defined results: null texts and texts without a letter are ``und`` with score
 0; so is every text if there is no training row; null labels are not learned;
-null doc_ids are not held out and not learned; repeated rows give a row each;
+null doc_ids are not held out and not learned; repeated rows give a row each; of
+languages with equal votes and probability the first by name is predicted;
 an empty table gives an empty result; extra columns are ignored by
 ``identify`` and kept by ``keep``.
 """
@@ -29,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, text_or_empty
+from .common import bounded_batches, map_rows, text_or_empty
 
 BITS = 12
 DIMS = 1 << BITS
@@ -199,15 +200,17 @@ def fit(docs: DataFrame, per_lang: int = PER_LANG, max_rows: int = MAX_ROWS) ->
     share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, want / n))])
     draw = F.expr("shiftrightunsigned(xxhash64(41, doc_id), 11)") / F.lit(float(2**53))
 
-    @F.pandas_udf("binary")
-    def packed(texts: pd.Series) -> pd.Series:
-        return pd.Series([r.astype(np.float16).tobytes() for r in features(list(texts))])
+    def start():
+        def work(cols):
+            ids, langs, texts = cols
+            return [ids, langs, [r.astype(np.float16).tobytes() for r in features(texts)]]
+        return work
 
-    bounded_batches(docs.sparkSession)
     # Text without letters teaches nothing.
-    drawn = (rows.where((draw < share[F.col("lang")]) & F.col("text").rlike(r"\p{L}"))
-             .select("doc_id", "lang", packed("text").alias("x")).collect())
-    drawn.sort(key=lambda r: (str(r.doc_id), r.lang, bytes(r.x)))
+    some = rows.where((draw < share[F.col("lang")]) & F.col("text").rlike(r"\p{L}"))
+    drawn = map_rows(some, [F.col("doc_id").cast("string").alias("doc_id"), F.col("lang"),
+                            F.col("text")], "doc_id string, lang string, x binary", start).collect()
+    drawn.sort(key=lambda r: (r.doc_id, r.lang, bytes(r.x)))
     x = np.array([np.frombuffer(r.x, np.float16) for r in drawn], np.float32)
     return Model(x.reshape(-1, DIMS), [r.lang for r in drawn])
 
@@ -215,7 +218,7 @@ def fit(docs: DataFrame, per_lang: int = PER_LANG, max_rows: int = MAX_ROWS) ->
 def predicted(docs: DataFrame, model: Model | None = None) -> Column:
     """The prediction (struct lang, score) of ``docs``' text column."""
     bounded_batches(docs.sparkSession)
-    own = model or fit(docs)
+    own = fit(docs) if model is None else model
 
     @F.pandas_udf("lang string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -228,10 +231,18 @@ def predicted(docs: DataFrame, model: Model | None = None) -> Column:
 
 def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """doc_id, held_out, lang_pred, score for every row."""
-    return (docs.select("doc_id", held_out().alias("held_out"),
-                        predicted(docs, model).alias("p"))
-            .select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"),
-                    F.col("p.score").alias("score")))
+    own = fit(docs) if model is None else model
+
+    def start():
+        def work(cols):
+            ids, held, texts = cols
+            return [ids, held, *own.predict(texts)]
+        return work
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return map_rows(docs, [F.col("doc_id"), held_out().alias("held_out"),
+                           text_or_empty().alias("text")],
+                    f"doc_id {kind}, held_out boolean, lang_pred string, score double", start)
 
 
 def keep(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
