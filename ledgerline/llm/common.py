@@ -38,6 +38,17 @@ def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def identified(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_file`` and ``_index``, which together name a row for as long
+    as its file is not written anew.  What is not just a table of files is
+    written first."""
+    plan = docs._jdf.queryExecution().analyzed().toString().strip().splitlines()
+    if len(plan) > 1 or not plan[0].startswith("Relation"):
+        docs = staged(docs.sparkSession, docs, "rows")
+    return docs.select("*", F.xxhash64("_metadata.file_path").alias("_file"),
+                       F.col("_metadata.row_index").alias("_index"))
+
+
 def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -9,18 +9,24 @@
    are taken unequally often).  Documents are counted by exact
    length; every length first gives its proportional part, then single
    documents, and bounded-knapsack dynamic programming fits the last words.
+   Where that leaves a gap, which only few or very long documents do, the sets
+   of all reachable sums are merged document by document, whatever their length;
+   they are thinned out only where they would pass ``SUMS`` entries in all.
 4. Picks: within a (source, length) class the documents with the smallest
-   seeded hashes are taken.  Classes are cut into sub-classes of about
-   ``SUB_CLASS`` rows by the hash, so no window holds a hot class.
+   seeded hashes of id and text are taken.  Classes are cut into sub-classes of
+   about ``SUB_CLASS`` rows by the hash, so no window holds a hot class; rows
+   without id are told apart by their place in their file.
 
 The table of sources is collected (one row a source, at most ``MAX_SOURCES``,
 else an error); a source's counts by length are fitted in one task and number
 at most its distinct lengths.
 
 Defined results: null text has size 0; documents of size 0 are never taken; a
-null source is a source of its own; ties in the hash go by doc_id; rows that
-repeat are separate documents; an empty table gives an empty result; extra
-columns are ignored by ``mix`` and kept by ``apply_mix``.
+null source is a source of its own; rows that repeat id, text and source are
+separate documents that are picked in any order; ids may be null, repeat and be
+of any type; an empty table gives an empty result; extra columns are ignored by
+``mix`` and kept by ``apply_mix``, which takes every row as often as planned for
+that row.
 """
 
 from __future__ import annotations
@@ -32,15 +38,17 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, staged, text_or_empty
+from .common import WORD, identified, staged, text_or_empty
 
 WEIGHTS = (1, 2, 3)
 REPEAT = 3
 SEED = 20
 MAX_SOURCES = 100_000
 SUB_CLASS = 2_000
-#: Words that the dynamic programming fits at most.
+#: Words that the dynamic programming fits as a last step.
 DP_WORDS = 1 << 16
+#: Entries that the sets of reachable sums may hold in all.
+SUMS = 1 << 23
 
 
 def targets(sizes: Sequence[int], weights: Sequence[float], repeat: int = REPEAT) -> list[float]:
@@ -79,6 +87,8 @@ def fill(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
         tries.append(_fill_from(sizes, counts, budget, exact, np.floor(exact * share)))
         if int((sizes * tries[-1]).sum()) == budget:
             break
+    else:
+        tries.append(_from_sums(sizes, counts, budget))
     return max(tries, key=lambda took: int((sizes * took).sum()))
 
 
@@ -103,6 +113,38 @@ def _fill_from(sizes, counts, budget, exact, base) -> np.ndarray:
     return took
 
 
+def _from_sums(sizes, counts, budget) -> np.ndarray:
+    """The best subset by the set of all sums up to ``budget`` that documents can
+    reach, the longest documents first; exact unless the sets are thinned."""
+    use = [i for i in np.argsort(-sizes, kind="stable") if 0 < sizes[i] <= budget and counts[i]]
+    parts = []                              # numbers of a length in powers of two
+    for i in use:
+        left, part = min(int(counts[i]), budget // int(sizes[i])), 1
+        while left:
+            parts.append((i, min(part, left)))
+            left, part = left - parts[-1][1], part * 2
+    most = max(1024, SUMS // max(1, len(parts)))
+    reach, steps = np.zeros(1, np.int64), []
+    for i, k in parts:
+        new = reach + int(sizes[i]) * k
+        steps.append((i, k, reach))
+        reach = np.union1d(reach, new[new <= budget])
+        if len(reach) > most:               # the largest sum of every part of the budget
+            slot = reach // (budget // most + 1)
+            reach = reach[np.append(slot[1:] != slot[:-1], True)]
+        if reach[-1] == budget:
+            break
+    took, at = np.zeros(len(sizes), np.int64), int(reach[-1])
+    for i, k, before in reversed(steps):
+        if before[np.searchsorted(before, at) % len(before)] != at:
+            took[i] += k
+            at -= int(sizes[i]) * k
+    rest = budget - int((sizes * took).sum())
+    for i, k in _subset_sum(sizes, counts - took, min(rest, DP_WORDS)):
+        took[i] += k
+    return took
+
+
 def copies(sizes: np.ndarray, counts: np.ndarray, target: float, repeat: int) -> np.ndarray:
     """How often the documents of each size are taken in all, at most ``repeat``
     times each, near ``target`` words: whole rounds over all documents and a
@@ -171,16 +213,18 @@ def _classes(narrow: DataFrame, weights: Sequence[float], repeat: int) -> DataFr
                                 "target double, rounds long, extra long"))
 
 
-def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, repeat: int = REPEAT,
-        seed: int = SEED) -> DataFrame:
-    """doc_id, size, source_size, target, taken for every row."""
+def _mixed(docs: DataFrame, weights: Sequence[float], repeat: int, seed: int) -> DataFrame:
+    """doc_id, size, source_size, target, taken, _file and _index for every row of
+    ``docs``, which is identified."""
     spark = docs.sparkSession
-    narrow = staged(spark, docs.select(
-        "doc_id", _source_key(),
-        F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long").alias("size")), "mix-sizes")
+    told = F.when(F.col("doc_id").isNull(), F.col("_index")).otherwise(F.lit(0))
+    rows = docs.select(
+        "doc_id", _source_key(), "_file", "_index",
+        F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long").alias("size"),
+        F.xxhash64(F.lit(seed), F.col("doc_id"), text_or_empty(), told).alias("u"))
+    narrow = staged(spark, rows, "mix-sizes")
     classes = staged(spark, _classes(narrow, weights, repeat), "mix-classes")
-    u = F.xxhash64(F.lit(seed), F.col("doc_id"))
-    rows = (narrow.join(classes, ["src", "size"]).withColumn("u", u)
+    rows = (narrow.join(classes, ["src", "size"])
             .withColumn("subs", F.ceil(F.col("n") / SUB_CLASS))
             # 31 bits of the hash, scaled to the number of sub-classes
             .withColumn("sub", F.expr("shiftright(shiftrightunsigned(u, 33) * subs, 31)")))
@@ -191,20 +235,28 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, repeat: int = REPEA
              .agg(F.count(F.lit(1)).alias("m"), F.first("extra").alias("want"))
              .select(*key, (F.col("want") - F.coalesce(F.sum("m").over(before), F.lit(0)))
                      .alias("quota")))
-    order = Window.partitionBy(*key).orderBy("u", F.col("doc_id").asc_nulls_last())
+    order = Window.partitionBy(*key).orderBy("u", "_file", "_index")
     picked = (rows.withColumn("rank", F.row_number().over(order))
               .join(quota, key, "left")
               .withColumn("pick", (F.col("rank") <= F.coalesce("quota", F.lit(0))).cast("int")))
     return picked.select("doc_id", "size", "source_size", "target",
-                         ((F.col("rounds") + F.col("pick")) * F.col("size")).alias("taken"))
+                         ((F.col("rounds") + F.col("pick")) * F.col("size")).alias("taken"),
+                         "_file", "_index")
+
+
+def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, repeat: int = REPEAT,
+        seed: int = SEED) -> DataFrame:
+    """doc_id, size, source_size, target, taken for every row."""
+    return _mixed(identified(docs), weights, repeat, seed).drop("_file", "_index")
 
 
-def apply_mix(docs: DataFrame, **how) -> DataFrame:
+def apply_mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, repeat: int = REPEAT,
+              seed: int = SEED) -> DataFrame:
     """The rows of ``docs`` that the mix takes, with all their columns, each as
-    often as it is taken.  Rows that share a doc_id are taken equally often."""
-    taken = (mix(docs, **how).where("taken > 0")
-             .groupBy(F.col("doc_id").alias("_mix_id"))
-             .agg(F.max((F.col("taken") / F.col("size")).cast("int")).alias("_mix_copies")))
-    return (docs.join(taken, docs["doc_id"].eqNullSafe(F.col("_mix_id")))
-            .withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies"))))
-            .drop("_mix_id", "_mix_copies", "_mix_copy"))
+    often as it is taken."""
+    own = identified(docs)
+    taken = (_mixed(own, weights, repeat, seed).where("taken > 0")
+             .select("_file", "_index", (F.col("taken") / F.col("size")).cast("int").alias("_copies")))
+    return (own.join(taken, ["_file", "_index"])
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+            .select(*docs.columns))

@@ -41,6 +41,62 @@ def test_fill_equals_the_best_subset(classes, share):
         assert (sizes * took).sum() >= budget - rest + max(reach)
 
 
+def best_sum(lengths, budget):
+    reach = {0}
+    for n in lengths:
+        reach |= {r + n for r in reach if r + n <= budget}
+    return max(reach)
+
+
+@pytest.mark.parametrize("lengths, budget", [
+    ([60_000, 80_000, 100_000], 160_000), ([100_000, 150_001, 170_003], 320_004),
+    ([66_000, 132_000, 300_000, 7], 198_007), ([400_000] * 5 + [399_999], 1_999_999)])
+def test_few_long_documents_fit_exactly(lengths, budget):
+    sizes, counts = np.unique(lengths, return_counts=True)
+    took = mix.fill(sizes, counts, budget)
+    assert (took <= counts).all() and (sizes * took).sum() == best_sum(lengths, budget)
+
+
+def test_random_sources_of_long_documents_equal_the_best_subset():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        lengths = rng.integers(66_000, 400_001, rng.integers(3, 7)).tolist()
+        budget = int(rng.uniform(0, 1) * sum(lengths))
+        sizes, counts = np.unique(lengths, return_counts=True)
+        took = mix.fill(sizes, counts, budget)
+        assert (took >= 0).all() and (took <= counts).all()
+        assert (sizes * took).sum() == best_sum(lengths, budget)
+
+
+def test_thinned_sums_stay_near(monkeypatch):
+    monkeypatch.setattr(mix, "SUMS", 1)             # 1,024 sums at a time
+    rng = np.random.default_rng(4)
+    sizes = np.unique(rng.integers(200_000, 900_000, 60)) * 2
+    counts = rng.integers(1, 4, len(sizes))
+    budget = int((sizes * counts).sum() * 0.37) | 1
+    took = mix.fill(sizes, counts, budget)
+    assert (took <= counts).all() and 0 < budget - (sizes * took).sum() < 0.001 * budget
+
+
+def test_rows_without_id_are_taken_one_by_one(spark):
+    """300 rows without id: the mix takes as many words as the plan says."""
+    rows = [(None, "a b c d e f g h i j k l " if i % 2 else f"w{i} x y", "s") for i in range(300)]
+    rows += [(i, "p q r", "t") for i in range(40)] + [(7, "p q r", "t"), (7, "another text", "t")]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, source STRING")
+    plan, out = mix.mix(docs).collect(), mix.apply_mix(docs).collect()
+    assert sum(r.taken for r in plan) == sum(len(r.text.split()) for r in out)
+    size = {s: sum(len(t.split()) for _, t, q in rows if q == s) for s in "st"}
+    want = mix.targets([size["s"], size["t"]], [1, 2])
+    for s, target in zip("st", want):
+        assert abs(sum(len(r.text.split()) for r in out if r.source == s) - target) <= 3
+
+
+def test_ids_of_any_type(spark):
+    docs = spark.createDataFrame([("a", "x y", "s"), ("b", "x", "t"), (None, "x z", "s")],
+                                 "doc_id STRING, text STRING, source STRING")
+    assert {r.doc_id for r in mix.mix(docs).collect()} == {"a", "b", None}
+
+
 def check(rows, sources):
     """Sizes, targets and totals of a mix; ``sources`` maps doc_id to source."""
     taken, size = {}, {}
