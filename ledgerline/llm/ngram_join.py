@@ -5,15 +5,16 @@ Two documents link if the Jaccard similarity of their sets of word 5-grams is
 rows a pair at 0.8 shares one of 40 bands with probability 0.9999.
 
 1. Every text becomes a set key (a digest of its whole n-gram set) and band
-   hashes.  Documents with equal sets form one class member, the smallest
-   doc_id stands for them (pre-aggregated, so a hot text is one row).
+   hashes.  Documents with equal sets are one node, whatever their ids
+   (pre-aggregated, so a hot text is one row).
 2. Shuffle on band hashes: each bucket links its members to its smallest one,
    a star, so a bucket of n members gives n - 1 rows and not all pairs.
 3. Connected components of these candidate links (large-star / small-star
    rounds on a shared table) bound where links can be: every pair that shares
    a band lies in one component.
 4. Texts of candidates are dealt by component, components above ``WHOLE``
-   members by pairs of blocks of about ``BLOCK``; a task builds the full n-gram
+   members or twice ``GRAMS`` n-grams by pairs of blocks of about ``BLOCK``
+   members and ``GRAMS`` n-grams; a task builds the full n-gram
    sets and verifies *all* pairs of its group exactly.  No pair is emitted:
    out come each member's number of links and its verified class in the group.
 5. Classes of block pairs are connected once more.
@@ -25,11 +26,11 @@ costs m / BLOCK copies of each text, the price of exact links in it.
 
 Defined results: null texts and texts without a word have an empty set, link to
 nothing and are their own class; texts of fewer than five words have one n-gram
-of all their words; null doc_ids take no part (class_id null, no links); rows
-that repeat a doc_id are copies of each other if their texts agree, else the
-documents of that id share a class row; ties go to the smaller doc_id; an empty
-table gives an empty result; extra columns are ignored by ``join`` and kept by
-``keep``.
+of all their words; every row counts by its own text, so rows that repeat a
+doc_id may be of different classes, and rows without id link like others (their
+class_id is the smallest id of the class, null if it has none); ids may be of any
+type that has an order; ties go to the smaller doc_id; an empty table gives an
+empty result; extra columns are ignored by ``join`` and kept by ``keep``.
 """
 
 from __future__ import annotations
@@ -42,8 +43,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, map_rows, partitions, staged, text_or_empty
-from .shingles import band_shape, minhash_functions, mixed, shingle_hashes, word_hashes
+from .common import bounded_batches, identified, map_rows, partitions, staged, text_or_empty
+from .shingles import band_shape, gram_sets, minhash_functions, mixed
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -52,13 +53,7 @@ ROWS = 7
 SEED = 71
 WHOLE = 512
 BLOCK = 256
-
-
-def _sets(texts: list[str], words: int) -> list[np.ndarray]:
-    """The sorted set of n-gram hashes of each text."""
-    hashes, counts = shingle_hashes(*word_hashes(texts), words)
-    ends = np.cumsum(counts)
-    return [np.unique(hashes[a:b]) for a, b in zip(ends - counts, ends)]
+GRAMS = 2_000_000
 
 
 def _key(grams: np.ndarray) -> str | None:
@@ -66,24 +61,26 @@ def _key(grams: np.ndarray) -> str | None:
 
 
 def _signatures(docs: DataFrame, words: int, rows: int, bands: int) -> DataFrame:
-    """doc_id, set_key (null: empty set), bands (one 64-bit key each)."""
+    """doc_id, _file, _index, set_key (null: empty set), grams (its size), bands
+    (one 64-bit key each) and row (a number of its own) for identified ``docs``."""
     def start():
         a, b = minhash_functions(rows * bands, SEED)
         salt = mixed(np.arange(1, bands + 1, dtype=np.uint64))
 
         def work(cols):
-            ids, texts = cols
-            keys, buckets = [], []
+            *ids, texts = cols
+            keys, sizes, buckets = [], [], []
             for begin in range(0, len(texts), 64):
-                for grams in _sets(texts[begin:begin + 64], words):
+                for grams in gram_sets(texts[begin:begin + 64], words):
                     keys.append(_key(grams))
+                    sizes.append(len(grams))
                     if not len(grams):
                         buckets.append(None)
                         continue
-                    x = (grams >> np.uint64(32)).astype(np.uint32)
                     least = np.full(rows * bands, 2**32 - 1, np.uint32)
-                    for at in range(0, len(x), 256):
-                        part = x[at:at + 256, None] * a
+                    for at in range(0, len(grams), 256):
+                        x = (grams[at:at + 256] >> np.uint64(32)).astype(np.uint32)
+                        part = x[:, None] * a
                         part += b
                         part ^= part >> np.uint32(15)
                         np.minimum(least, part.min(axis=0), out=least)
@@ -91,12 +88,14 @@ def _signatures(docs: DataFrame, words: int, rows: int, bands: int) -> DataFrame
                     for row in least.reshape(bands, rows).T.astype(np.uint64):
                         key = mixed(key ^ row)
                     buckets.append(key.view(np.int64).tolist())
-            return [ids, keys, buckets]
+            return [*ids, keys, sizes, buckets]
         return work
 
-    return map_rows(docs, [F.col("doc_id").cast("long").alias("doc_id"),
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return map_rows(docs, [F.col("doc_id"), F.col("_file"), F.col("_index"),
                            text_or_empty().alias("text")],
-                    "doc_id long, set_key string, bands array<long>", start)
+                    f"doc_id {kind}, _file long, _index long, set_key string, grams long, "
+                    "bands array<long>", start).withColumn("row", F.monotonically_increasing_id())
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -139,7 +138,7 @@ def _verify(texts: list[str], weights: np.ndarray, block: np.ndarray, cross: boo
     """(links by member, least member of its linked class): all pairs of a
     group, or with ``cross`` those of different blocks."""
     n = len(texts)
-    sets = _sets(texts, words)
+    sets = gram_sets(texts, words)
     sizes = np.array([len(s) for s in sets], np.int64)
     flat, owner = np.concatenate(sets), np.repeat(np.arange(n), sizes)
     order = np.argsort(flat, kind="stable")
@@ -175,26 +174,15 @@ def _verified(members: DataFrame, words: int, similarity: float) -> DataFrame:
     """Run ``_verify`` on every group of (comp, i, j); rows (node, root, links, whole)."""
     schema = "node long, root long, links long, whole boolean"
 
-    def group(rows) -> list:
-        # One text per node: of rows that repeat an id, the one of the class.
-        by_node = {}
-        for node, weight, block, key, text in rows:
-            if node not in by_node and _key(_sets([text], words)[0]) == key:
-                by_node[node] = (weight, block, text)
-        nodes = sorted(by_node)
-        return [(k, *by_node[k]) for k in nodes]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, at = [], None
         types = [pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
 
         def done():
-            rows = group(held)
-            if not rows:
-                return None
-            nodes = np.array([r[0] for r in rows])
-            links, root = _verify([r[3] for r in rows], np.array([r[1] for r in rows], np.int64),
-                                  np.array([r[2] for r in rows]), at[1] != at[2], words, similarity)
+            nodes, weights, block, texts = zip(*held)
+            nodes = np.array(nodes)
+            links, root = _verify(texts, np.array(weights, np.int64), np.array(block),
+                                  at[1] != at[2], words, similarity)
             made = [nodes, nodes[root], links.astype(np.int64), np.full(len(nodes), at[1] < 0)]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(made, types)],
                                               names=["node", "root", "links", "whole"])
@@ -202,33 +190,34 @@ def _verified(members: DataFrame, words: int, similarity: float) -> DataFrame:
         for batch in batches:
             for comp, i, j, *row in zip(*(c.to_pylist() for c in batch.columns)):
                 if (comp, i, j) != at:
-                    if held and (out := done()):
-                        yield out
+                    if held:
+                        yield done()
                     held, at = [], (comp, i, j)
                 held.append(row)
-        if held and (out := done()):
-            yield out
+        if held:
+            yield done()
 
-    return (members.select("comp", "i", "j", "node", "weight", "block", "set_key", "text")
+    return (members.select("comp", "i", "j", "node", "weight", "block", "text")
             .mapInArrow(run, schema))
 
 
-def join(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY,
-         recall: float = RECALL, rows: int = ROWS) -> DataFrame:
-    """doc_id, class_id, n_links for every row of ``docs``."""
+def _classes(docs: DataFrame, words: int, similarity: float, recall: float, rows: int
+             ) -> tuple[DataFrame, DataFrame]:
+    """(signatures of all rows; set_key, root, class_id, n_links of every set)."""
     spark = docs.sparkSession
     bounded_batches(spark)
     bands = band_shape(similarity, recall, rows)
     signed = staged(spark, _signatures(docs, words, rows, bands), "ngram-signatures")
-    sets = (signed.where("set_key IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_key")
-            .agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("weight")))
+    # A node is a different set; the first row that has it stands for it.
+    sets = (signed.where("set_key IS NOT NULL").groupBy("set_key")
+            .agg(F.min("row").alias("node"), F.min("doc_id").alias("rep"),
+                 F.count(F.lit(1)).alias("weight")))
     sets = staged(spark, sets, "ngram-sets")
 
     # Candidate links: a star in every bucket.  The least members are read from
     # a table, so that AQE can split the join of a bucket with very many members.
-    stand = signed.join(sets, (signed["doc_id"] == sets["rep"])
-                        & (signed["set_key"] == sets["set_key"]), "left_semi")
-    banded = stand.select(F.col("doc_id").alias("node"), F.explode("bands").alias("bucket"))
+    stand = signed.join(sets.select("node"), F.col("row") == F.col("node"))
+    banded = stand.select("node", F.explode("bands").alias("bucket"))
     least = staged(spark, banded.groupBy("bucket")
                    .agg(F.min("node").alias("lead"), F.max("node").alias("top"))
                    .where("lead < top").drop("top"), "ngram-leads")
@@ -237,17 +226,21 @@ def join(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY,
     parts = staged(spark, components(stars), "ngram-components")
 
     # Groups to verify: whole components, or pairs of blocks of large ones.
-    size = parts.groupBy("root").agg(F.count(F.lit(1)).alias("m"))
-    blocks = F.when(F.col("m") > WHOLE, F.ceil(F.col("m") / BLOCK)).otherwise(F.lit(1))
+    at = signed.select(F.col("row").alias("node"), "_file", "_index", "grams")
+    own = sets.select("node", "weight").join(at, "node")
+    parts = parts.join(own, "node")
+    size = parts.groupBy("root").agg(F.count(F.lit(1)).alias("m"), F.sum("grams").alias("g"))
+    blocks = F.when((F.col("m") > WHOLE) | (F.col("g") > 2 * GRAMS),
+                    F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("g") / GRAMS))
+                    ).otherwise(F.lit(1))
     placed = (parts.join(size, "root").withColumn("nb", blocks.cast("int"))
               .withColumn("block", F.expr("CAST(pmod(xxhash64(node), nb) AS INT)"))
               .withColumn("other", F.explode(F.expr("sequence(0, nb - 1)")))
-              .select("node", F.col("root").alias("comp"), "block",
+              .select("node", F.col("root").alias("comp"), "block", "weight", "_file", "_index",
                       F.expr("IF(nb = 1, -1, least(block, other))").alias("i"),
                       F.expr("IF(nb = 1, -1, greatest(block, other))").alias("j")))
-    own = sets.select(F.col("rep").alias("node"), "set_key", "weight")
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), text_or_empty().alias("text"))
-    dealt = (texts.join(placed.join(own, "node"), "node")
+    texts = docs.select("_file", "_index", text_or_empty().alias("text"))
+    dealt = (texts.join(placed, ["_file", "_index"])
              .repartition(partitions(spark), "comp", "i", "j")
              .sortWithinPartitions("comp", "i", "j", "node"))
     checked = staged(spark, _verified(dealt, words, similarity), "ngram-links")
@@ -258,23 +251,35 @@ def join(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY,
         F.col("node").alias("a"), F.col("root").alias("b"))
     if not open_.isEmpty():
         settled = settled.union(components(open_))
-    found = (links.join(settled, "node", "left")
-             .select(F.col("node").alias("rep"), "links", F.coalesce("root", "node").alias("root")))
-    by_set = (sets.join(found, "rep", "left")
-              .select(F.col("set_key"), F.coalesce("root", "rep").alias("class_id"),
-                      (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
+    found = links.join(settled, "node", "left")
+    rooted = staged(spark, sets.join(found, "node", "left").select(
+        "set_key", "rep", F.coalesce("root", "node").alias("root"),
+        (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "ngram-classes")
+    names = rooted.groupBy("root").agg(F.min("rep").alias("class_id"))
+    return signed, rooted.drop("rep").join(names, "root")
+
+
+def join(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY,
+         recall: float = RECALL, rows: int = ROWS) -> DataFrame:
+    """doc_id, class_id, n_links for every row of ``docs``."""
+    signed, by_set = _classes(identified(docs), words, similarity, recall, rows)
     return (signed.select("doc_id", "set_key").join(by_set, "set_key", "left")
-            .select("doc_id",
-                    F.when(F.col("doc_id").isNotNull(),
-                           F.coalesce("class_id", "doc_id")).alias("class_id"),
-                    F.when(F.col("doc_id").isNotNull(), F.coalesce("n_links", F.lit(0)))
-                    .otherwise(F.lit(0)).cast("long").alias("n_links")))
-
-
-def keep(docs: DataFrame, **how) -> DataFrame:
-    """One document of each class stays, the one with the smallest doc_id;
-    rows with a null doc_id stay."""
-    stay = (join(docs, **how).where("doc_id = class_id")
-            .select(F.col("doc_id").alias("_ngram_id")).distinct())
-    named = docs.join(stay, docs["doc_id"].cast("long") == F.col("_ngram_id"), "left_semi")
-    return named.unionByName(docs.where(F.col("doc_id").isNull()))
+            .select("doc_id", F.when(F.col("set_key").isNull(), F.col("doc_id"))
+                    .otherwise(F.col("class_id")).alias("class_id"),
+                    F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
+
+
+def keep(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY,
+         recall: float = RECALL, rows: int = ROWS) -> DataFrame:
+    """One row of each class stays, with all its columns: the first with the
+    smallest doc_id, or the first of a class without ids.  Rows without a word
+    all stay."""
+    own = identified(docs)
+    signed, by_set = _classes(own, words, similarity, recall, rows)
+    best = (signed.select("doc_id", "row", "set_key").join(by_set, "set_key")
+            .where(F.col("doc_id").eqNullSafe(F.col("class_id")))
+            .groupBy("root").agg(F.min("row").alias("row")))
+    place = signed.select("row", "_file", "_index", "set_key")
+    stay = (place.where("set_key IS NULL").select("_file", "_index")
+            .union(place.join(best.select("row"), "row").select("_file", "_index")))
+    return own.join(stay, ["_file", "_index"], "left_semi").select(*docs.columns)

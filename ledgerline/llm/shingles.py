@@ -7,11 +7,17 @@ all texts, so there is no Python work per word.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
 import numpy as np
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 2**64)
 _IN_WORD = np.array([b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 for b in range(256)])
+#: Characters hashed together, and where a longer text may be cut.
+PIECE = 1 << 20
+_GAP = re.compile(r"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]")
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -72,6 +78,67 @@ def shingle_hashes(words: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.nd
     return out, made
 
 
+def gram_sets(texts: list[str], k: int) -> list[np.ndarray]:
+    """The sorted set of shingle hashes of each text.
+
+    Texts are hashed together up to ``PIECE`` characters; a longer one is read
+    in pieces that end between words, the last k - 1 words carried on, so what
+    is held grows with its different shingles only.
+    """
+    out: list[np.ndarray] = []
+    group: list[str] = []
+    size = 0
+
+    def done():
+        hashes, counts = shingle_hashes(*word_hashes(group), k)
+        ends = np.cumsum(counts)
+        out.extend(np.unique(hashes[a:b]) for a, b in zip(ends - counts, ends))
+        group.clear()
+
+    for text in texts:
+        if len(text) > PIECE:
+            if group:
+                done()
+                size = 0
+            out.append(_long_set(text, k))
+            continue
+        group.append(text)
+        size += len(text)
+        if size > PIECE:
+            done()
+            size = 0
+    if group:
+        done()
+    return out
+
+
+def pieces(text: str) -> Iterator[str]:
+    """``text`` in pieces of about ``PIECE`` characters, cut where no word is."""
+    begin = 0
+    while begin < len(text):
+        end = min(begin + PIECE, len(text))
+        if end < len(text):
+            gap = _GAP.search(text, end)
+            end = gap.start() if gap else len(text)
+        yield text[begin:end]
+        begin = end
+
+
+def _long_set(text: str, k: int) -> np.ndarray:
+    held, found, total = np.zeros(0, np.uint64), [], 0
+    for piece in pieces(text):
+        words, _ = word_hashes([piece])
+        total += len(words)
+        held = np.concatenate([held, words])
+        if len(held) >= k:
+            made, _ = shingle_hashes(held, np.array([len(held)]), k)
+            found.append(np.unique(made))
+            held = held[len(held) - k + 1:]
+    if not found:
+        return np.unique(shingle_hashes(held, np.array([len(held)]), k)[0])
+    return np.unique(np.concatenate(found))
+
+
 def _ramp(counts: np.ndarray) -> np.ndarray:
     """0, 1, ... within each count."""
     total = int(counts.sum())

@@ -96,6 +96,7 @@ def test_edge_rows_and_empty_table(spark):
     assert [(r.class_id, r.n_links) for r in got if r.doc_id is None] == [(None, 0)] * 2
     kept = ngram_join.keep(docs)
     assert kept.columns == docs.columns
+    assert sum(r.doc_id is None for r in kept.collect()) == 2
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id) == sorted(
         i for i, (c, _) in brute_force([r for r in rows if r[0] is not None]).items() if i == c)
     repeated = ngram_join.join(edge_docs(spark).where("doc_id = 12")).collect()
@@ -104,6 +105,46 @@ def test_edge_rows_and_empty_table(spark):
     assert ngram_join.keep(empty_docs(spark)).collect() == []
 
 
+BASE = " ".join(f"w{i}" for i in range(100))
+
+
+def test_repeated_and_missing_ids_lose_no_link_and_no_clean_row(spark):
+    """Every row counts by its own text: B shares an id with a near copy of A."""
+    near = [BASE.replace("w50 ", f"x{k} ") for k in range(3)]
+    clean = " ".join(f"b{i}" for i in range(80))
+    rows = [(1, BASE, "A"), (2, near[0], "A'"), (2, clean, "B"), (3, clean + " and more words here "
+            + " ".join(f"c{i}" for i in range(80)), "C"), (3, near[1], "A''"), (None, near[2], "A3"),
+            (None, clean.replace("b9 ", "q "), "B'"), (None, "only one of its kind, no id", "D")]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, name STRING")
+    named = sorted((r.doc_id, r.class_id, r.n_links) for r in ngram_join.join(docs).collect()
+                   if r.doc_id is not None)
+    assert named == [(1, 1, 3), (2, 1, 3), (2, 2, 1), (3, 1, 3), (3, 3, 0)]
+    lost = sorted((r.class_id or 0, r.n_links) for r in ngram_join.join(docs).collect()
+                  if r.doc_id is None)
+    assert lost == [(0, 0), (1, 3), (2, 1)]
+    assert sorted(r.name for r in ngram_join.keep(docs).collect()) == ["A", "B", "C", "D"]
+
+
+def test_ids_of_any_type(spark):
+    docs = spark.createDataFrame([("b", BASE), ("a", BASE + " w"), ("c", "x")],
+                                 "doc_id STRING, text STRING")
+    assert joined(ngram_join.join(docs)) == {"a": ("a", 1), "b": ("a", 1), "c": ("c", 0)}
+
+
+def test_blocks_by_size_of_the_texts(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "GRAMS", 400)
+    rows = family(40)
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    assert joined(ngram_join.join(docs)) == brute_force(rows)
+
+
+def test_long_texts_in_pieces_give_the_same_sets(monkeypatch):
+    texts = ["one two, three é four five six " * 30, "", "a b", "x" * 900, "日本 語 " * 100]
+    whole = [g.tolist() for g in shingles.gram_sets(texts, 5)]
+    monkeypatch.setattr(shingles, "PIECE", 40)
+    assert [g.tolist() for g in shingles.gram_sets(texts, 5)] == whole
+
+
 def test_word_hashes_are_words():
     hashes, counts = shingles.word_hashes(["Aa bb, aa", "", "bb-AA ½é", "?"])
     assert counts.tolist() == [3, 0, 3, 0]
