@@ -82,3 +82,35 @@ def test_long_uniform_text_keeps_its_likeness():
     assert f.likeness(own, changed) > 0.8
     part = f.of_text("x" * 70_000)
     assert f.likeness(own, part) > 0.99 and f.likeness(own, f.Fingerprint.parse(str(part))) > 0.99
+
+
+@pytest.mark.parametrize("slices", [1, 2, 8, 40])
+def test_rows_without_id_are_cut_into_slices(spark, slices):
+    """A third of the rows has no id, a third one id: every row is once in the
+    chain, in descending order of ids, and no slice holds a third."""
+    rows = [(None if i % 3 == 0 else 500 if i % 3 == 1 else i, f"text number {i} " * (1 + i % 3))
+            for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    got = f.fingerprints(docs, slices).collect()
+    assert sorted((r.doc_id or -1, r.n_chars) for r in got) == sorted(
+        (i or -1, len(t)) for i, t in rows)
+    # The edited text's tail names the next row: every row is next to exactly one.
+    marks = {str(f.of_text(t)): t for _, t in rows}
+    assert len(marks) == 900 and {r.fingerprint for r in got} == set(marks)
+    ends = {}
+    for i, t in rows:
+        for j, u in rows:
+            ends.setdefault(hashlib.sha256(f.edited(t, u)[0].encode()).hexdigest(), set()).add((i, t, j))
+    sizes = [len(p) for p in f.following_pairs(docs, slices).rdd.glom().collect()]
+    assert sum(sizes) >= 900 and (slices < 8 or max(sizes) <= 3 * 900 / slices + 30)
+    for r in got:
+        known = {j for i, t, j in ends[r.edited_sha256] if i == r.doc_id}
+        if r.doc_id is not None and r.doc_id != 500:
+            lower = max((j for j, _ in rows if j is not None and j < r.doc_id), default=None)
+            assert lower in known
+
+
+def test_ids_must_be_integers(spark):
+    docs = spark.createDataFrame([("a", "b")], "doc_id STRING, text STRING")
+    with pytest.raises(TypeError, match="integer"):
+        f.fingerprints(docs)
