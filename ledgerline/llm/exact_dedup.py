@@ -3,40 +3,48 @@
 Texts are equal when they are identical after the ASCII white space is
 deleted.  Everything is DataFrame work:
 
-1. Entries.  Rows are grouped by (hash, normalised text), so copies meet in
-   map-side aggregates before any shuffle and texts are compared byte by byte.
-   Each distinct text becomes one narrow entry (hash, digest, group size,
-   longest original, its smallest doc_id) in a table on the shared folder.
-2. Directory.  Slots are the leading 16 bits of the hash.  The directory
-   doubles (depth 0, 1, 2 ...) as long as a bucket holds more than
-   ``capacity`` entries; only overfull buckets split.  It has at most 65,536
-   rows, so it may be broadcast; a bucket that is still overfull at full depth
-   stays as it is and is only slower.
-3. Owners.  Each bucket, a contiguous range of hashes, is handled by one
-   owner task, which chains entries whose hashes collide and writes them
-   sorted to the shared folder.  Different texts with the same hash *and*
-   digest end the job with an error instead of being merged.
-4. Probe.  Rows look up their entry by (hash, digest); a hot entry's rows are
-   split by AQE's skew join, the index side being one row.
+1. Keys.  Every text is normalised and hashed once, into a table on the shared
+   folder (row, doc_id, length, normalised text, hash, digest).
+2. Directory.  A slot is the leading bits of the hash.  The directory doubles as
+   long as a bucket holds more than ``capacity`` different hashes, and only
+   overfull buckets split, so a bucket is named by as few leading bits as it
+   needs.  Its depth follows the number of texts, without a limit: the first
+   depth tried leaves buckets of about eight times the capacity, the last ones of
+   a thirty-second.
+3. Owners.  The directory routes every row to its bucket.  Copies meet under
+   (bucket, hash, text): they are combined before the shuffle, and equal means
+   equal byte by byte.  The owner of a bucket, a range of hashes, chains the
+   entries whose hashes collide and writes them to the shared folder.  Different
+   texts with the same hash *and* digest end the job with an error instead of
+   being merged.
+4. Probe.  Rows go through the directory to their bucket and look up their chain
+   there by (hash, digest); a hot entry's rows are split by AQE's skew join, the
+   index side being one row.
 
 Of equal texts the row with the most code points, then the smallest doc_id,
 stays.  Defined results: null text counts as empty, so do texts of white space
-only (one group); null doc_ids come last; rows that repeat doc_id and text get
-the same values each (``keep`` then leaves one of them); an empty table gives
-an empty result; extra columns are ignored by ``mark`` and kept by ``keep``.
+only (one group); doc_ids are integers (else an error), null ones come last;
+rows that repeat doc_id and text get the same values each (``keep`` then leaves
+one of them); an empty table gives an empty result; extra columns are ignored
+by ``mark`` and kept by ``keep``.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from .common import WHITE_CHARS, partitions, staged, text_or_empty
+from .common import WHITE_CHARS, identified, partitions, staged, text_or_empty
 
-#: Leading bits of the hash that the directory may use: at most 65,536 slots.
-MAX_DEPTH = 16
-#: Entries of a bucket before it splits.
+#: Different hashes of a bucket before it splits.
 CAPACITY = 512
+#: Depths tried below and above the one at which buckets are just full.
+BELOW, ABOVE = 3, 5
+#: A directory of at most 2 to the power of this many slots is broadcast.
+SMALL = 16
 #: doc_id that stands for null: comes last.
 LAST_ID = 2**63 - 1
 #: Above twice any doc_id: (n_chars, doc_id) in one number, so that the best
@@ -44,74 +52,93 @@ LAST_ID = 2**63 - 1
 STEP = "20000000000000000000"
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    text = text_or_empty()
-    return (docs.select(F.col("doc_id"), text.alias("text"))
-            .select("doc_id", F.char_length("text").alias("n_chars"),
-                    F.translate("text", WHITE_CHARS, "").alias("norm"))
-            .withColumn("h", F.xxhash64("norm")))
-
-
 def _sha(norm) -> Column:
-    """Digest of a normalised text.  Never null, and said to be so: a null
-    check pushed to the scan would compute every digest twice."""
+    """Digest of a normalised text, never null."""
     return F.coalesce(F.sha2(norm, 256), F.lit(""))
 
 
-def entries(docs: DataFrame) -> DataFrame:
-    """One row per distinct normalised text."""
-    rank = F.expr(f"CAST(n_chars AS DECIMAL(10,0)) * CAST({STEP} AS DECIMAL(20,0)) - "
-                  f"CAST(coalesce(CAST(doc_id AS BIGINT), {LAST_ID}) AS DECIMAL(19,0))")
-    best = F.expr(f"CAST(n AS DECIMAL(10,0)) * CAST({STEP} AS DECIMAL(20,0)) - best")
-    return (_keyed(docs).groupBy("h", "norm")
-            .agg(F.count(F.lit(1)).alias("group_size"), F.max("n_chars").alias("n"),
-                 F.max(rank).alias("best"))
-            .select("h", _sha("norm").alias("sha"), "group_size",
-                    F.nullif(best.cast("bigint"), F.lit(LAST_ID)).alias("keep_id")))
+def keys(docs: DataFrame) -> DataFrame:
+    """row, _file, _index, doc_id, n_chars, norm, h, sha of identified ``docs``,
+    written once."""
+    if not isinstance(docs.schema["doc_id"].dataType, IntegralType):
+        raise TypeError("doc_id must be an integer")
+    text = docs.select("doc_id", "_file", "_index", text_or_empty().alias("text"))
+    norm = text.select("doc_id", "_file", "_index", F.char_length("text").alias("n_chars"),
+                       F.translate("text", WHITE_CHARS, "").alias("norm"))
+    return staged(docs.sparkSession, norm.select(
+        F.monotonically_increasing_id().alias("row"), "*", F.xxhash64("norm").alias("h"),
+        _sha("norm").alias("sha")), "dedup-keys")
+
+
+def _slot(depth: int) -> Column:
+    return F.expr(f"shiftrightunsigned(h, {64 - depth})")
 
 
-def directory(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """slot, depth, bucket: the depth at which each slot's bucket first fits.
+def directory(found: DataFrame, capacity: int = CAPACITY) -> tuple[DataFrame, int]:
+    """(slot, bucket of every slot that occurs; bits of a slot).
 
     Depth d has 2^d buckets; a slot's bucket at depth d is the one that its
-    first d bits name.  ``bucket`` numbers the buckets of all depths.
+    first d bits name, and its bucket is that of the first depth at which it
+    holds at most ``capacity`` hashes.  ``bucket`` numbers the buckets of all
+    depths.  No window holds more than the slots of one bucket of the first
+    depth tried, a number that does not grow.
     """
-    slots = found.groupBy(_slot().alias("slot")).agg(F.count(F.lit(1)).alias("n"))
-    depths = slots.withColumn("depth", F.explode(F.sequence(F.lit(0), F.lit(MAX_DEPTH))))
-    prefix = F.expr(f"shiftright(slot, {MAX_DEPTH} - depth)")
+    number = found.agg(F.approx_count_distinct("h")).first()[0]
+    full = max(0, math.ceil(math.log2(max(1, number) / capacity)))
+    last, first = min(63, full + ABOVE), max(0, full - BELOW)
+    slots = (found.select("h").distinct().groupBy(_slot(last).alias("slot"))
+             .agg(F.count(F.lit(1)).alias("n")))
+    depths = slots.withColumn("depth", F.explode(F.sequence(F.lit(first), F.lit(last))))
+    prefix = F.expr(f"shiftright(slot, {last} - depth)")
     load = F.sum("n").over(Window.partitionBy("depth", "prefix"))
-    fits = (F.col("load") <= capacity) | (F.col("depth") == MAX_DEPTH)
+    fits = (F.col("load") <= capacity) | (F.col("depth") == last)
+    named = F.expr(f"shiftleft(1L, depth) + shiftright(slot, {last} - depth)")
     return (depths.withColumn("prefix", prefix).withColumn("load", load).where(fits)
             .groupBy("slot").agg(F.min("depth").alias("depth"))
-            .withColumn("bucket", F.expr(
-                f"shiftleft(1, depth) + shiftright(slot, {MAX_DEPTH} - depth)")))
-
-
-def _slot():
-    return F.expr(f"CAST(shiftrightunsigned(h, {64 - MAX_DEPTH}) AS INT)")
-
-
-def build_index(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """The index: bucket, chain, h, sha, group_size, keep_id on the shared folder."""
-    spark = docs.sparkSession
-    found = staged(spark, entries(docs), "dedup-entries")
-    slots = F.broadcast(directory(found, capacity))     # at most 2^16 rows
-    owned = (found.withColumn("slot", _slot()).join(slots, "slot")
-             .drop("slot", "depth").repartition(partitions(spark), "bucket"))
-    chain = Window.partitionBy("bucket", "h").orderBy("sha")
-    same = F.lag("sha").over(chain) == F.col("sha")
-    index = (owned.withColumn("chain", F.row_number().over(chain)).withColumn("same", same)
-             .withColumn("chain", F.when(F.col("same"), F.raise_error(
-                 F.lit("two texts share their hash and digest")).cast("int"))
-                 .otherwise(F.col("chain"))).drop("same"))
-    return staged(spark, index, "dedup-index")
+            .select("slot", named.alias("bucket")), last)
+
+
+class Index:
+    """The written index of ``docs``: ``rows`` (their keys), ``directory`` and
+    ``entries`` (bucket, chain, h, sha, group_size, keep_id)."""
+
+    def __init__(self, docs: DataFrame, capacity: int = CAPACITY):
+        spark = docs.sparkSession
+        self.rows = keys(docs)
+        slots, self.depth = directory(self.rows, capacity)
+        self.directory = staged(spark, slots, "dedup-directory")
+        rank = F.expr(f"CAST(n_chars AS DECIMAL(10,0)) * CAST({STEP} AS DECIMAL(20,0)) - "
+                      f"CAST(coalesce(CAST(doc_id AS BIGINT), {LAST_ID}) AS DECIMAL(19,0))")
+        best = F.expr(f"CAST(n AS DECIMAL(10,0)) * CAST({STEP} AS DECIMAL(20,0)) - best")
+        # The digest follows from the text; as a key it keeps the aggregate a hash one.
+        met = (self.routed().groupBy("bucket", "h", "sha", "norm")
+               .agg(F.count(F.lit(1)).alias("group_size"), F.max("n_chars").alias("n"),
+                    F.max(rank).alias("best"))
+               .select("bucket", "h", "sha", "group_size",
+                       F.nullif(best.cast("bigint"), F.lit(LAST_ID)).alias("keep_id")))
+        owned = met.repartition(partitions(spark), "bucket")
+        chain = Window.partitionBy("bucket", "h").orderBy("sha")
+        same = F.lag("sha").over(chain) == F.col("sha")
+        self.entries = staged(spark, owned.withColumn("chain", F.row_number().over(chain))
+                              .withColumn("same", same)
+                              .withColumn("chain", F.when(F.col("same"), F.raise_error(
+                                  F.lit("two texts share their hash and digest")).cast("int"))
+                                  .otherwise(F.col("chain"))).drop("same"), "dedup-index")
+
+    def routed(self) -> DataFrame:
+        """The rows with the bucket that the directory names."""
+        slots = F.broadcast(self.directory) if self.depth <= SMALL else self.directory
+        return self.rows.withColumn("slot", _slot(self.depth)).join(slots, "slot").drop("slot")
+
+    def probed(self) -> DataFrame:
+        """row, doc_id and the entry of every row, from its bucket."""
+        own = self.routed().select("row", "doc_id", "bucket", "h", "sha")
+        return own.join(self.entries, ["bucket", "h", "sha"])
 
 
 def mark(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256, bucket, chain per row."""
-    index = build_index(docs, capacity)
-    probe = _keyed(docs).select("doc_id", "h", _sha("norm").alias("sha"))
-    return (probe.join(index, ["h", "sha"])
+    return (Index(identified(docs), capacity).probed()
             .select("doc_id", "keep_id", "group_size",
                     F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
                     F.col("sha").alias("text_sha256"), "bucket", "chain"))
@@ -119,16 +146,13 @@ def mark(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 def keep(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; of rows that
-    repeat doc_id and text, any one."""
-    key = ["_dedup_id", "_dedup_sha"]
-    last = F.lit(LAST_ID)
-    stay = build_index(docs, capacity).select(
-        F.coalesce("keep_id", last).alias(key[0]), F.col("sha").alias(key[1]))
-    own = docs.withColumns({
-        key[0]: F.coalesce(F.col("doc_id").cast("bigint"), last),
-        key[1]: _sha(F.translate(text_or_empty(), WHITE_CHARS, ""))})
-    # The join's partitioning serves the last step, so texts move once.
-    return own.join(stay, key, "left_semi").dropDuplicates(key).select(*docs.columns)
+    repeat doc_id and text, the first."""
+    own = identified(docs)
+    index = Index(own, capacity)
+    first = (index.probed().where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
+             .groupBy("bucket", "h", "chain").agg(F.min("row").alias("row")).select("row"))
+    stay = index.rows.join(first, "row").select("_file", "_index")
+    return own.join(stay, ["_file", "_index"], "left_semi").select(*docs.columns)
 
 
 #: DuckDB SQL of the query op10.
