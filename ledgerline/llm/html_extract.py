@@ -16,7 +16,7 @@ their smoothness edges keep their label in any minimum cut; they are settled
 first, which leaves small graphs.
 
 Elements that never hold page text (script, style, nav, head ...) are dropped,
-and forms with less than ``FORM_CHARS`` of text to a visible control.  Kept blocks are joined by one line feed in page order; character
+without cutting a sentence that they stand in, and forms with less than ``FORM_CHARS`` of text to a visible control.  Kept blocks are joined by one line feed in page order; character
 references are decoded and white space within a block becomes one space.
 
 Training reads at most about ``TRAIN_PAGES`` pages (chosen by a hash of the
@@ -24,8 +24,9 @@ html) and ``TRAIN_BLOCKS`` blocks of each.
 
 Defined results: null or empty html and pages without content give the empty
 text; broken markup is read as far as it goes (unclosed elements end with the
-page, stray end tags are ignored); pages of any length are read whole;
-repeated rows give a row each; an empty table gives an empty result; extra
+page, stray end tags are ignored); pages of any length and nesting are read
+whole, in time and memory that grow with their length; a block whose two labels
+cost the same is boilerplate; repeated rows give a row each; an empty table gives an empty result; extra
 columns are ignored.
 """
 
@@ -55,8 +56,10 @@ _ATTR = re.compile(r"([\w:-]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 #: Elements by their part in the page.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp noembed noframes".split())
-DROPPED = RAW | set("head template noscript svg math iframe object canvas audio video map "
-                    "select button datalist dialog menu nav".split()) - {"body"}
+#: Dropped elements that may stand within a sentence, and those that end a block.
+INLINE = RAW | set("template noscript svg iframe object canvas audio video map select button "
+                   "datalist annotation annotation-xml".split())
+DROPPED = INLINE | set("head dialog menu nav".split())
 BLOCKS = set("address article aside blockquote body center dd details div dl dt fieldset "
              "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main ol "
              "p pre search section summary table caption tbody td tfoot th thead tr ul".split())
@@ -74,6 +77,15 @@ BAD_WORDS = set("ad ads advert advertisement advertising adverts banner breadcru
                 "taboola pagination pager discussion reactions feedback ".split())
 GOOD_WORDS = set("article articlebody content entry main mainbody post story text body".split())
 
+#: Words of BAD_WORDS that may also be a subject: in a compound they
+#: count as its last word or beside words of layout (search-box, not search-theory).
+SUBJECTS = set("ad alert banner copyright discussion feedback header legal login notice notices "
+               "promotion reactions recommended related reply replies respond search share sharing "
+               "skip social sponsor subscription disclaimer".split())
+LAYOUT = set("area bar block bottom box button buttons col column container content footer form "
+             "frame group icons inner input item items label left link links list main menu nav "
+             "outer page panel placement post posts primary right row secondary section sidebar "
+             "slot space text title top unit widget wrap wrapper".split())
 #: Words that make a name the state of a page (has-sidebar, header-fixed).
 STATE_FIRST = set("has with no without hide show".split())
 STATE_LAST = set("fixed sticky enabled disabled".split())
@@ -86,23 +98,47 @@ DEFAULT_WEIGHTS = (-2.2, 0.35, 1.0, -3.0, 0.8, 0.3, 0.0, -0.5)
 
 
 class Block:
-    __slots__ = ("text", "link", "path", "tag", "hint", "inside")
+    __slots__ = ("text", "link", "element", "tag", "hint", "inside")
 
-    def __init__(self, text, link, path, tag, hint, inside):
-        self.text, self.link, self.path = text, link, path
-        self.tag, self.hint, self.inside = tag, hint, inside
+    def __init__(self, text, link, element):
+        self.text, self.link, self.element = text, link, element
+        self.tag, self.inside = (element.name, element.inside) if element else ("", False)
+        self.hint = 0.0
 
 
 class Element:
     """An open block-level or dropped element and what it says, in log-odds."""
 
-    __slots__ = ("name", "number", "tag", "named", "inside", "holds", "chars", "controls")
+    __slots__ = ("name", "parent", "number", "depth", "tag", "named", "inside", "holds", "chars",
+                 "controls", "state")
 
-    def __init__(self, name, number, attrs, inside):
-        self.name, self.number, self.inside = name, number, inside or name in ("article", "main")
+    def __init__(self, name, parent, number, attrs):
+        self.name, self.parent, self.number = name, parent, number
+        self.depth = parent.depth + 1 if parent else 1
+        inside = parent is not None and parent.inside
+        self.inside = inside or name in ("article", "main")
         self.tag, self.named = _evidence(name, attrs, inside)
         # An article or main stands in it; its text; its visible controls.
         self.holds, self.chars, self.controls = False, 0, 0
+        # What it and the elements around it say: see ``_carry``.
+        self.state = None
+
+
+def _comments(word: str) -> bool:
+    """commentlist, usercomments ... but not commentary."""
+    return (word.startswith("comment") and not word.startswith(("commentar", "commentat"))
+            or word.endswith(("comment", "comments")))
+
+
+def _bad(said: list[str]) -> bool:
+    """A name of these words is one of boilerplate."""
+    for k, word in enumerate(said):
+        if word in BAD_WORDS or _comments(word):
+            others = [w for w in said if w != word]
+            if (word not in SUBJECTS or k + 1 == len(said)
+                    or all(w in LAYOUT or w in BAD_WORDS for w in others)):
+                return True
+    return False
 
 
 def _name_evidence(value: str, inside: bool) -> float:
@@ -113,8 +149,8 @@ def _name_evidence(value: str, inside: bool) -> float:
         if len(said) > 1 and (said[0] in STATE_FIRST or said[-1] in STATE_LAST):
             continue
         words = set(said)
-        if words & BAD_WORDS and not (inside and words & {"article", "entry", "post"}
-                                      and words & {"header", "text"}):
+        if _bad(said) and not (inside and words & {"article", "entry", "post"}
+                               and words & {"header", "text"}):
             bad = True
         elif words & GOOD_WORDS:
             good = True
@@ -145,28 +181,41 @@ def _evidence(name: str, attrs: str, inside: bool) -> tuple[float, float]:
     return tag, 0.0 if low < 0 < high else low or high
 
 
-def _judge(found: list[Block], elements: dict[int, Element]) -> list[Block]:
-    """The blocks outside of forms to fill in, with their hints."""
-    muted = {e.number for e in elements.values() if e.name == "form" and not e.holds
-             and e.chars < FORM_CHARS * e.controls}
-    kept = [b for b in found if muted.isdisjoint(b.path)] if muted else found
+def _carry(e: Element, lost: bool) -> tuple:
+    """(muted by a form, a tag speaks against it, the best evidence, the nearest
+    bad name, the best name within that), from those of the parent."""
+    muted, bad, high, low, better = e.parent.state if e.parent else (False, False, 0.0, 0.0, 0.0)
+    if e.named < 0:
+        low, better = e.named, 0.0
+    else:
+        better = max(better, e.named)
+    return muted or lost, bad or e.tag < 0, max(high, e.tag, e.named), low, better
+
+
+def _judge(found: list[Block], elements: list[Element]) -> list[Block]:
+    """The blocks outside of forms to fill in, with their hints.  ``elements`` are
+    in page order, parents first."""
+    told = False
+    for e in reversed(elements):            # children before their parents
+        told = told or e.holds
+        if e.parent:
+            e.parent.chars += e.chars
+            e.parent.controls += e.controls
+            e.parent.holds = e.parent.holds or e.holds
+    lost = {e.number for e in elements if e.name == "form" and not e.holds
+            and e.chars < FORM_CHARS * e.controls}
+    for e in elements:
+        e.state = (bool(e.parent and e.parent.state[0]) or e.number in lost,)
+    kept = [b for b in found if not (b.element and b.element.state[0])]
     most = sum(len(b.text) for b in kept) / 2
-    told = any(e.holds for e in elements.values())
-    for e in elements.values():
+    for e in elements:
         if e.named < 0 and (e.tag == INSIDE or e.holds or not told and e.chars > most):
             e.named = 0.0
+        e.state = _carry(e, e.number in lost)
     for b in kept:
-        around = [elements[i] for i in b.path]
-        if any(e.tag < 0 for e in around):
-            b.hint = BAD
-            continue
-        b.hint = max([max(e.tag, e.named) for e in around], default=0.0)
-        better = 0.0
-        for e in reversed(around):          # the nearest, and good names within it
-            if e.named < 0:
-                b.hint = e.named + better
-                break
-            better = max(better, e.named)
+        if b.element:
+            _, bad, high, low, better = b.element.state
+            b.hint = BAD if bad else low + better if low else high
     return kept
 
 
@@ -174,27 +223,29 @@ def blocks(page: str) -> list[Block]:
     """The text blocks of a page, in order."""
     out: list[Block] = []
     stack: list[Element] = []               # open block-level or dropped elements
-    elements: dict[int, Element] = {}
+    elements: list[Element] = []
+    opened: dict[str, int] = {}             # open elements by name
+    dropped: list[int] = []                 # places of dropped elements on the stack
     text: list[str] = []
-    link_chars, in_link, number, muted = 0, 0, 0, 0
+    link_chars, in_link = 0, 0
 
     def flush():
         nonlocal link_chars
         if text:
             joined = " ".join(html.unescape("".join(text)).split())
             if joined:
-                for e in stack:
-                    e.chars += len(joined)
+                if stack:
+                    stack[-1].chars += len(joined)
                 out.append(Block(joined, min(1.0, link_chars / len(joined)),
-                                 tuple(e.number for e in stack), stack[-1].name if stack else "",
-                                 0.0, bool(stack) and stack[-1].inside))
+                                 stack[-1] if stack else None))
             text.clear()
         link_chars = 0
 
     def close(at: int):
-        nonlocal muted
         for e in stack[at:]:
-            muted -= e.name in DROPPED
+            opened[e.name] -= 1
+        while dropped and dropped[-1] >= at:
+            dropped.pop()
         del stack[at:]
 
     pos, end = 0, len(page)
@@ -204,62 +255,64 @@ def blocks(page: str) -> list[Block]:
         name = m["name"]
         if name is None:
             raw = m[0]
-            if raw[0] != "<" or raw == "<":
-                if not muted:
-                    text.append(raw)
-                    if in_link:
-                        link_chars += len(raw)
+            if (raw[0] != "<" or raw == "<") and not dropped:
+                text.append(raw)
+                if in_link:
+                    link_chars += len(raw)
             continue
         name = name.lower()
         if m["end"]:
             if name == "a":
                 in_link = 0
             if name in BLOCKS or name in DROPPED:
-                if not muted or name in DROPPED:
+                if not dropped:
                     flush()
-                for at in range(len(stack) - 1, -1, -1):
-                    if stack[at].name == name:
-                        close(at)
-                        break
+                if opened.get(name):
+                    at = len(stack) - 1
+                    while stack[at].name != name:
+                        at -= 1
+                    close(at)
             continue
         attrs = m["attrs"]
-        if name in CONTROLS and not re.search(r"type\s*=\s*[\"']?hidden", attrs, re.I):
-            for e in stack:
-                e.controls += 1
+        if name in CONTROLS and stack and not re.search(r"type\s*=\s*[\"']?hidden", attrs, re.I):
+            stack[-1].controls += 1
         if name == "a":
             in_link = 1
         elif name == "br":
             text.append(" ")
-        elif name == "hr":
+        elif name == "hr" and not dropped:
             flush()
         if name in VOID or (name not in BLOCKS and name not in DROPPED):
             if name == "img" or name == "input":
                 text.append(" ")
             continue
-        flush()
+        # An element within a sentence that is dropped does not cut it.
+        if name not in INLINE and not dropped:
+            flush()
         if name in RAW:
             stop = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, pos)
             pos = stop.end() if stop else end
             continue
         if attrs.endswith("/") and name in DROPPED:
             continue
-        # A block-level start tag ends an open paragraph; items end items.
-        if stack and stack[-1].name == "p":
-            close(len(stack) - 1)
-        ends = CLOSES.get(name)
-        while ends and stack and stack[-1].name in ends:
-            close(len(stack) - 1)
-        if muted and name in ("article", "main", "body"):
+        if name not in INLINE:
+            # A block-level start tag ends an open paragraph; items end items.
+            if stack and stack[-1].name == "p":
+                close(len(stack) - 1)
+            ends = CLOSES.get(name)
+            while ends and stack and stack[-1].name in ends:
+                close(len(stack) - 1)
+        if dropped and name in ("article", "main", "body"):
             # Content cannot stand in an element that was never closed.
-            close(next(i for i, e in enumerate(stack) if e.name in DROPPED))
-        number += 1
-        new = elements[number] = Element(name, number, attrs, bool(stack) and stack[-1].inside)
-        if new.tag == INSIDE and new.named >= 0:
-            for e in stack:
-                e.holds = True
-            new.holds = True
+            close(dropped[0])
+            flush()
+        new = Element(name, stack[-1] if stack else None, len(elements), attrs)
+        elements.append(new)
+        new.holds = new.tag == INSIDE and new.named >= 0
+        if name in DROPPED:
+            dropped.append(len(stack))
+        opened[name] = opened.get(name, 0) + 1
         stack.append(new)
-        muted += name in DROPPED
     flush()
     return _judge(out, elements)
 
@@ -274,13 +327,16 @@ def block_features(found: list[Block]) -> np.ndarray:
 
 
 def _distance(a: Block, b: Block) -> int:
-    """Steps between two blocks in the tree of block-level elements."""
-    same = 0
-    for x, y in zip(a.path, b.path):
-        if x != y:
-            break
-        same += 1
-    return len(a.path) + len(b.path) - 2 * same
+    """Steps between two blocks in the tree of block-level elements.  From block
+    to block in page order these are at most two for every element."""
+    x, y, steps = a.element, b.element, 0
+    while x is not y:
+        if y is None or x is not None and x.depth >= y.depth:
+            x = x.parent
+        else:
+            y = y.parent
+        steps += 1
+    return steps
 
 
 def smoothness(found: list[Block]) -> list[tuple[int, int, float]]:
@@ -289,7 +345,7 @@ def smoothness(found: list[Block]) -> list[tuple[int, int, float]]:
     for i, b in enumerate(found):
         if i:
             edges.append((i - 1, i, 2.0 / (1 + _distance(found[i - 1], b))))
-        parent = b.path[:-1]
+        parent = b.element.parent.number if b.element and b.element.parent else -1
         j = last.get(parent)
         if j is not None and j < i - 1:
             edges.append((j, i, 0.7))

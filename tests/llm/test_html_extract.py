@@ -1,5 +1,7 @@
 import itertools
 import re
+import time
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -128,3 +130,60 @@ def test_names_and_forms_around_the_whole_page(page):
 def test_named_boilerplate_beside_the_article_goes(part):
     page = f"<body class=x><div class=page><article><p>{LONG}<p>{LONG}</article>{part}</div>"
     assert h.main_text(page, WEIGHTS).split("\n") == [SAID] * 2
+
+
+def article(inner, name=""):
+    return f'<body><div class="page {name}"><p>{LONG}</p>{inner}<p>{LONG}</p></div></body>'
+
+
+@pytest.mark.parametrize("inner, said", [
+    ("<p>One half,<svg><path d=x /><title>t</title></svg> other half of it, as said.</p>",
+     "One half, other half of it, as said."),
+    ("<p>One half,<script>var a = '<p>';</script> other half of it, as said.</p>",
+     "One half, other half of it, as said."),
+    ("<p>One half, <button><div>Copy</div></button>other half of it, as said.</p>",
+     "One half, other half of it, as said."),
+    ("<p>One half, <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math>, "
+     "other half of it, as said.</p>", "One half, x=1, other half of it, as said."),
+])
+def test_dropped_elements_do_not_cut_a_sentence(inner, said):
+    assert h.main_text(f"<article><p>{LONG}</p>{inner}<p>{LONG}</p></article>", WEIGHTS).split(
+        "\n") == [SAID, said, SAID]
+
+
+@pytest.mark.parametrize("part", [
+    f'<ol class=commentlist><li><p>{LONG}</p></li></ol>',
+    f'<div class=usercomments><p>{LONG}</p></div>',
+    f'<div class="search-box"><p>{LONG}</p></div>',
+    f'<div class="ad-slot"><p>{LONG}</p></div>',
+    f'<div class="related-posts"><p>{LONG}</p></div>',
+    f'<div id="social-share"><p>{LONG}</p></div>',
+])
+def test_boilerplate_names_go(part):
+    page = f"<body><div class=page><div><p>{LONG}<p>{LONG}</div>{part}</div>"
+    assert h.main_text(page, WEIGHTS).split("\n") == [SAID] * 2
+
+
+@pytest.mark.parametrize("name", ["search-theory", "social-science", "commentary", "legal-history"])
+def test_subjects_are_no_boilerplate(name):
+    page = (f"<body><div><p>{LONG}<p>{LONG}<p>{LONG}<p>{LONG}</div>"
+            f'<div class="{name}"><p>{LONG}<p>{LONG}</div>')
+    assert h.main_text(page, WEIGHTS).split("\n") == [SAID] * 6
+
+
+@pytest.mark.parametrize("page", [
+    "<div>word " * 31_000,                                              # 310 KB, never closed
+    "<div>" * 20_000 + "</p></li>" * 20_000 + f"<article><p>{LONG}",      # stray end tags
+    "<div><nav><article>word</nav> " * 8_000,
+    "<ul><li>a <ul>" * 15_000, "<form><input>" * 15_000, "<p>x <b>" * 30_000])
+def test_deep_and_broken_pages_take_linear_time_and_memory(page):
+    tracemalloc.start()
+    begin = time.process_time()
+    h.main_text(page, WEIGHTS)
+    taken, (_, most) = time.process_time() - begin, tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert taken < 10 and most < 100 * 2**20            # traced, about five times slower
+
+
+def test_equal_costs_are_boilerplate():
+    assert h.min_cut([0.0, 0.0], [(0, 1, 1.0)]) == [False, False]
