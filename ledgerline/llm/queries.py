@@ -29,7 +29,7 @@ def vocabulary(name: str) -> str:
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.licenses(table(spark, sf_dir, "documents")).drop("matches")
+    return license_scan.licenses(table(spark, sf_dir, "documents"))
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
