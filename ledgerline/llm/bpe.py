@@ -8,14 +8,17 @@ after the other; decoding looks up the bytes of every id.
 
 Defined results: null and empty texts encode to no ids and decode to the empty
 text; the special token's string inside a text is its one id, as the library's
-default; texts of any length are encoded whole; repeated rows each give their
+default; texts of any length are encoded whole, a megabyte at a time; ties between
+pairs of equal rank are applied from the left; repeated rows each give their
 row; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import codecs
 import hashlib
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import regex
@@ -25,13 +28,16 @@ from pyspark.sql import functions as F
 from .common import map_rows, text_or_empty
 from .merges import MergeTable, byte_alphabet, merge_words
 
-#: Units whose ids one task keeps.
-MEMO = 400_000
+#: Bytes of units and ids that one task keeps.
+MEMO_BYTES = 128 << 20
+#: Characters of a text encoded at once, and ids decoded at once.
+CHUNK = 1 << 20
 #: Fixed value: how byte-level vocabularies of this kind cut text.
 PRE_TOKEN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
              r"|\s+(?!\S)|\s+")
 #: White space other than blank and line feed; Python's, which holds the pattern's.
 ODD = re.compile(r"[^\S \n]")
+BLANK = re.compile(r"[^\s] (?=[^\s])")
 
 
 class ByteBpe:
@@ -51,6 +57,7 @@ class ByteBpe:
         names = sorted(self.table.special, key=len, reverse=True)
         self.special = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
         self.memo: dict[str, bytes] = {}
+        self.held = 0
 
     def _merge(self, words: list[str]) -> tuple[bytes, np.ndarray]:
         """The ids of all words as bytes, and where each word's end."""
@@ -82,6 +89,8 @@ class ByteBpe:
         unit_end = np.cumsum(np.fromiter(map(len, spaced), np.int64, len(spaced)))
         cut = ends[np.searchsorted(word_end, unit_end)].tolist()
         self.memo.update(zip(units, map(data.__getitem__, map(slice, [0, *cut], cut))))
+        # A string takes up to four bytes a character, an entry about 200 beside.
+        self.held += 4 * sum(map(len, units)) + len(data) + 200 * len(units)
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         """Ids of texts that have no units, special tokens set in between."""
@@ -103,10 +112,31 @@ class ByteBpe:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        group: list[tuple[int, str]] = []
+        size = 0
+
+        def done():
+            for (i, _), ids in zip(group, self._encode([t for _, t in group])):
+                out[i].append(ids)
+            group.clear()
+
+        for i, text in enumerate(texts):
+            for piece in _pieces(text):
+                group.append((i, piece))
+                size += len(piece)
+                if size > 4 * CHUNK:
+                    done()
+                    size = 0
+        done()
+        return [b"".join(x) if len(x) != 1 else x[0] for x in out]
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         cut = [self._units(t) for t in texts]
         memo = self.memo
-        if len(memo) > MEMO:
+        if self.held > MEMO_BYTES:
             memo.clear()
+            self.held = 0
         new = list(set().union(*[c for c in cut if c]).difference(memo))
         if new:
             self._learn(new)
@@ -115,9 +145,29 @@ class ByteBpe:
         return [next(odd) if parts is None else b"".join(map(memo.__getitem__, parts))[4:]
                 for parts in cut]
 
+    def decoded(self, ids: bytes) -> Iterator[str]:
+        """The text of ids, piece by piece."""
+        reader = codecs.getincrementaldecoder("utf-8")("replace")
+        for at in range(0, len(ids), 4 * CHUNK):
+            found = np.frombuffer(ids[at:at + 4 * CHUNK], "<u4").tolist()
+            yield reader.decode(b"".join(map(self.pieces.__getitem__, found)))
+        yield reader.decode(b"", True)
+
     def decode(self, ids: bytes) -> str:
-        found = map(self.pieces.__getitem__, np.frombuffer(ids, "<u4").tolist())
-        return b"".join(found).decode("utf-8", "replace")
+        return "".join(self.decoded(ids))
+
+
+def _pieces(text: str) -> Iterator[str]:
+    """A text in pieces of about ``CHUNK`` characters, cut before a single blank
+    between two words, where a pre-token ends."""
+    begin = 0
+    while len(text) - begin > CHUNK:
+        gap = BLANK.search(text, begin + CHUNK)
+        if not gap:
+            break
+        yield text[begin:gap.start() + 1]
+        begin = gap.start() + 1
+    yield text[begin:]
 
 
 def _mapped(docs: DataFrame, vocabulary: str, extra: str, columns) -> DataFrame:
@@ -147,6 +197,13 @@ def digests(docs: DataFrame, vocabulary: str) -> DataFrame:
     def columns(bpe, coded):
         return [[len(c) // 4 for c in coded],
                 [hashlib.sha256(c).hexdigest() for c in coded],
-                [hashlib.sha256(bpe.decode(c).encode("utf-8")).hexdigest() for c in coded]]
+                [digest(bpe.decoded(c)) for c in coded]]
+
+    def digest(parts):
+        out = hashlib.sha256()
+        for part in parts:
+            out.update(part.encode("utf-8"))
+        return out.hexdigest()
+
     return _mapped(docs, vocabulary,
                    "n_tokens long, ids_sha256 string, decoded_sha256 string", columns)

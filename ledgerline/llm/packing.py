@@ -38,13 +38,10 @@ from pyspark.sql.types import _parse_datatype_string
 
 from .common import bounded_batches, staged, text_or_empty
 from .merges import merge_words
-from .token_count import CONTROL, PART, WordCounter, lower
+from .token_count import WordCounter, cut, groups, lower
 
 CAPACITY = 4096
 END = 1
-#: Characters of a text encoded at once, and bytes of ids that a task keeps.
-CHUNK = 1 << 20
-MEMO_BYTES = 128 << 20
 TAIL = ".,;:!?"
 ALNUM = frozenset(string.ascii_letters + string.digits)
 
@@ -55,7 +52,6 @@ class WordIds(WordCounter):
     def __init__(self, path: str):
         super().__init__(path)
         self.memo: dict[str, bytes] = {}
-        self.held = 0
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
         """The ids of every piece: merged together, a line each."""
@@ -107,37 +103,13 @@ class WordIds(WordCounter):
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         out: list[list[bytes]] = [[] for _ in texts]
-        group: list[tuple[int, str]] = []
-        size = 0
-
-        def done():
+        for group in groups(texts):
             # Lower case before the cut leaves fewer parts; special tokens' own
             # case counts.
-            cut = [t.lower() if t.isascii() and "<|" not in t else t for _, t in group]
-            cut = [t.split() if not CONTROL.search(t) else PART.findall(t) for t in cut]
-            if self.held > MEMO_BYTES:
-                self.memo.clear()
-                self.held = 0
-            new = set().union(*cut).difference(self.memo)
-            if new:
-                self._learn(list(new))
-            for (i, _), parts in zip(group, cut):
-                out[i].append(b"".join(map(self.memo.__getitem__, parts)))
-            group.clear()
-
-        for i, text in enumerate(texts):
-            begin = 0
-            while begin < len(text):
-                # White space ends a part, so a long text may be cut there.
-                end = text.find(" ", begin + CHUNK) if len(text) - begin > CHUNK else -1
-                end = len(text) if end < 0 else end
-                group.append((i, text[begin:end]))
-                size += end - begin
-                begin = end
-                if size > 4 * CHUNK:
-                    done()
-                    size = 0
-        done()
+            parts = [cut(t.lower() if t.isascii() and "<|" not in t else t) for _, t in group]
+            self.meet(parts)
+            for (i, _), own in zip(group, parts):
+                out[i].append(b"".join(map(self.memo.__getitem__, own)))
         return [b"".join(x) if len(x) != 1 else x[0] for x in out]
 
 

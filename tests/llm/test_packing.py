@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 sys.path.insert(0, os.path.dirname(__file__))
 from edge_cases import DOCS_DDL, ROWS, edge_docs, empty_docs
 
-from ledgerline.llm import packing, queries
+from ledgerline.llm import packing, queries, token_count
 
 FILE = public_tokenizers.path("word_bpe_49k.json")
 LIB, CODER = Tokenizer.from_file(FILE), packing.WordIds(FILE)
@@ -55,8 +55,8 @@ def test_long_texts_are_cut_at_blanks(monkeypatch):
     text = " ".join(f"word{i} Häuser {i}" for i in range(500))
     want = CODER.encode([text, "a"])
     assert list(np.frombuffer(want[0], "<u4")) == lib_ids(text)[:-1]
-    monkeypatch.setattr(packing, "CHUNK", 50)
-    monkeypatch.setattr(packing, "MEMO_BYTES", 100)
+    monkeypatch.setattr(token_count, "CHUNK", 50)
+    monkeypatch.setattr(token_count, "MEMO_BYTES", 100)
     assert packing.WordIds(FILE).encode([text, "a"]) == want
 
 

@@ -1,6 +1,7 @@
 import hashlib
 import os
 import sys
+import unicodedata
 
 import numpy as np
 import public_tokenizers
@@ -77,3 +78,40 @@ def test_edge_rows_and_empty_table(spark):
         ((r[0], r[1] or "") for r in ROWS), key=key)
     assert token_count.count_tokens(empty_docs(spark), WORD_FILE).collect() == []
     assert bpe.digests(empty_docs(spark), BYTE_FILE).collect() == []
+
+
+def test_every_code_point():
+    """All characters, alone and in words: tokens, ids and decoding."""
+    lone = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000
+            and unicodedata.category(chr(c)) != "Cn"]
+    texts = [f"a{c} {c}b{c}" for c in lone]
+    enc = [e.ids for e in WORD_LIB.encode_batch(texts, add_special_tokens=False)]
+    assert [t for t, n, e in zip(texts, COUNTER.counts(texts), enc) if n != len(e)] == []
+    ids = [e.ids for e in BYTE_LIB.encode_batch(texts, add_special_tokens=False)]
+    got = CODER.encode(texts)
+    assert [t for t, a, b in zip(texts, got, ids) if a != np.array(b, "<u4").tobytes()] == []
+
+
+def test_long_texts_in_pieces_and_small_memories(monkeypatch):
+    texts = [" ".join(ODD) * 3, "word after word, " * 40, "x " + "y" * 300 + " z", "", "a  b\n\nc d " * 9]
+    monkeypatch.setattr(bpe, "CHUNK", 7)
+    monkeypatch.setattr(token_count, "CHUNK", 7)
+    monkeypatch.setattr(bpe, "MEMO_BYTES", 500)
+    monkeypatch.setattr(token_count, "MEMO_BYTES", 500)
+    got = bpe.ByteBpe(BYTE_FILE).encode(texts)
+    assert got == [lib_ids(t) for t in texts]
+    assert [CODER.decode(g) for g in got] == texts
+    assert token_count.WordCounter(WORD_FILE).counts(texts) == [lib_count(t) for t in texts]
+
+
+def test_memories_are_bounded_by_bytes():
+    """Many long units, of 200 Chinese characters each."""
+    rng = np.random.default_rng(1)
+    lines = ["".join(map(chr, rng.integers(0x4E00, 0x9FA5, 200))) for _ in range(3000)]
+    coder, counter = bpe.ByteBpe(BYTE_FILE), token_count.WordCounter(WORD_FILE)
+    for at in range(0, 3000, 500):
+        coder.encode(["\n".join(lines[at:at + 500])])
+        counter.counts(["\n".join(lines[at:at + 500])])
+    for memo, held in ((coder.memo, coder.held), (counter.memo, counter.held)):
+        real = sum(sys.getsizeof(k) + sys.getsizeof(v) for k, v in memo.items())
+        assert len(memo) >= 3000 and 0.5 * real < held < 4 * real
