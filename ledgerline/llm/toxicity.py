@@ -13,7 +13,8 @@ have not seen and shifted so that 0.5 is the threshold of best F1 there.
 
 Training, on rows whose crc32(doc_id as text) mod 5 is not 0 and a bounded
 sample of at most about ``MAX_TOXIC`` toxic and ``MAX_CLEAN`` other rows, chosen
-by a hash of doc_id:
+by a hash of doc_id, of a text longer than ``TEXT_CHARS`` characters that many in
+``SLICES`` evenly spread slices:
 
 - A run of ``RUN`` bytes is telling if it is so much more frequent in toxic rows
   that not one run would be so by chance; its weight is the logarithm of the
@@ -28,8 +29,8 @@ Labels, lang, source and doc_id are no inputs of a score.
 Defined results: null and empty texts have no window and get the score of no
 evidence; without a training row of both kinds every score is 0; texts are
 scored whole; null doc_ids are scored, not held out and not learned from;
-documents may have no label, a label or several (the largest counts); repeated
-rows give a row each; an empty table gives an empty result; extra columns are
+documents may have no label, a label or several (the largest counts); rows with
+equal texts have equal scores; repeated rows give a row each; an empty table gives an empty result; extra columns are
 ignored.
 """
 
@@ -60,6 +61,8 @@ ROUNDS = 3
 RUN, MOST_RUNS = 6, 3       # bytes of a run; how often one counts in a row
 OWN = 2.0
 BEGINNING = 4
+#: Characters of a training text; a longer one gives as many slices, spread evenly.
+TEXT_CHARS, SLICES = 32_768, 8
 
 
 def _words(text: str) -> list[str]:
@@ -262,8 +265,12 @@ def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC,
     draw = F.expr("shiftrightunsigned(xxhash64(47, doc_id), 11)") / F.lit(float(2**53))
     # At most about max_toxic + max_clean narrow rows.
     drawn = F.broadcast(known.where(draw < share))
+    long, each = F.char_length("text"), TEXT_CHARS // SLICES
+    sliced = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(SLICES - 1)), lambda i: F.substring(
+        F.col("text"), (i * ((long - each) / (SLICES - 1)) + 1).cast("int"), F.lit(each))), " ")
     rows = (docs.select("doc_id", text_or_empty().alias("text")).join(drawn, "doc_id")
-            .select("doc_id", "text", "toxic").collect())
+            .select("doc_id", F.when(long > TEXT_CHARS, sliced).otherwise(F.col("text")).alias("text"),
+                    "toxic").collect())
     rows.sort(key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.text))
     return train([(r.text, r.toxic) for r in rows])
 

@@ -48,6 +48,25 @@ def test_marked_texts_are_found(spark):
     assert np.mean([got[i].predicted == (i % 4 == 0) for i in held]) > 0.95
 
 
+def test_training_texts_are_bounded(spark, monkeypatch):
+    """Very long training texts go to the driver in slices; labels may have extra
+    columns with clashing names."""
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda rows: seen.extend(rows) or toxicity.Model(
+        b"", b"", np.zeros(0)))
+    long = " ".join(f"word{i}" for i in range(60_000))
+    docs = spark.createDataFrame([(i, long if i % 2 else "short text") for i in range(1, 13)],
+                                 "doc_id BIGINT, text STRING")
+    labels = spark.createDataFrame([(i, i % 2, "x", "y", 0.5) for i in range(1, 13)],
+                                   "doc_id BIGINT, toxic INT, text STRING, lang STRING, score DOUBLE")
+    rows = toxicity.score(docs, labels).collect()
+    assert len(rows) == 12 and {r.score for r in rows} == {0.0}
+    texts = {t for t, _ in seen}
+    assert "short text" in texts and max(map(len, texts)) <= toxicity.TEXT_CHARS + toxicity.SLICES
+    sliced = max(texts, key=len)
+    assert sliced.startswith("word0 word1 ") and sliced.endswith("word59999")
+
+
 def test_edge_rows_and_empty_tables(spark):
     docs = edge_docs(spark)
     none = spark.createDataFrame([], LABELS_DDL)
