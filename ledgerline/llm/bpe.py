@@ -170,6 +170,13 @@ def _pieces(text: str) -> Iterator[str]:
     yield text[begin:]
 
 
+def _digest(parts: Iterator[str]) -> str:
+    out = hashlib.sha256()
+    for part in parts:
+        out.update(part.encode("utf-8"))
+    return out.hexdigest()
+
+
 def _mapped(docs: DataFrame, vocabulary: str, extra: str, columns) -> DataFrame:
     def start():
         bpe = ByteBpe(vocabulary)
@@ -191,19 +198,23 @@ def encode_decode(docs: DataFrame, vocabulary: str) -> DataFrame:
     return _mapped(docs, vocabulary, "ids array<int>, decoded string", columns)
 
 
+def encoded(docs: DataFrame, vocabulary: str) -> DataFrame:
+    """doc_id, n_tokens, ids (array of int), ids_sha256, decoded_sha256: the tokens
+    with the digests that tell whether they decode to the text."""
+    def columns(bpe, coded):
+        return [[len(c) // 4 for c in coded], [np.frombuffer(c, "<i4") for c in coded],
+                [hashlib.sha256(c).hexdigest() for c in coded],
+                [_digest(bpe.decoded(c)) for c in coded]]
+    return _mapped(docs, vocabulary, "n_tokens long, ids array<int>, ids_sha256 string, "
+                                     "decoded_sha256 string", columns)
+
+
 def digests(docs: DataFrame, vocabulary: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256: the digests of what
     ``encode_decode`` returns, taken in the task that made it."""
     def columns(bpe, coded):
         return [[len(c) // 4 for c in coded],
                 [hashlib.sha256(c).hexdigest() for c in coded],
-                [digest(bpe.decoded(c)) for c in coded]]
-
-    def digest(parts):
-        out = hashlib.sha256()
-        for part in parts:
-            out.update(part.encode("utf-8"))
-        return out.hexdigest()
-
+                [_digest(bpe.decoded(c)) for c in coded]]
     return _mapped(docs, vocabulary,
                    "n_tokens long, ids_sha256 string, decoded_sha256 string", columns)

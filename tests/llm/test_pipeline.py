@@ -57,6 +57,9 @@ def test_every_stage_against_brute_force(spark):
     want = sorted((r.doc_id, len(library.encode(r.text, add_special_tokens=False).ids),
                    hashlib.sha256(r.text.encode()).hexdigest()) for r in mixed.collect())
     assert sorted((r.doc_id, r.n_tokens, r.decoded_sha256) for r in coded) == want
+    ids = {r.doc_id: r.ids for r in coded}
+    assert all(ids[r.doc_id] == library.encode(r.text, add_special_tokens=False).ids
+               for r in mixed.collect())
     run = corpus_pipeline.run(spark, SF).collect()
     assert sorted((r.doc_id, r.n_tokens, r.decoded_sha256) for r in run) == want
 
