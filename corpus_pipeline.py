@@ -25,7 +25,7 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of similar documents the one with the smallest id stays."""
+    """Of each class of similar documents the row with the smallest id stays."""
     return ngram_join.keep(docs)
 
 
@@ -36,8 +36,9 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """BPE encoding and decoding of what the mix took."""
-    return bpe.digests(docs, vocabulary("byte_bpe_50k.json"))
+    """BPE encoding of what the mix took: its tokens, with the digests that tell
+    whether they decode to the text."""
+    return bpe.encoded(docs, vocabulary("byte_bpe_50k.json"))
 
 
 STAGES = [
