@@ -43,3 +43,26 @@ def raw_orders(orders: DataFrame) -> DataFrame:
                           amt.alias("amt"), dt.alias("dt"),
                           F.explode(F.array_repeat(F.lit(0), copies)).alias("_copy"))
             .drop("_copy"))
+
+
+# Fixed values of the rules of raw events (FIXTURES.md).
+CUT_PROPS_EVERY = 61
+TEXT_VALUE_EVERY = 53
+EXTRA_KEY_EVERY = 47
+NULL_VALUE_EVERY = 43
+LIST_PROPS_EVERY = 41
+
+
+def raw_events(events: DataFrame) -> DataFrame:
+    """``event_id`` and ``props`` with broken documents, a value of another type, a
+    further key, a null value and a list instead of an object."""
+    k, p = F.col("event_id"), F.col("props")
+    inner = F.substring(p, F.lit(2), F.length(p) - 2)
+    props = (F.when(k % CUT_PROPS_EVERY == 0, F.substring(p, F.lit(1), F.length(p) - 1))
+             .when(k % TEXT_VALUE_EVERY == 0, F.lit('{"k": "many"}'))
+             .when(k % EXTRA_KEY_EVERY == 0,
+                   F.concat(F.lit('{"source": "app", "deep": {"a": 1}, '), inner, F.lit("}")))
+             .when(k % NULL_VALUE_EVERY == 0, F.lit('{"k": null}'))
+             .when(k % LIST_PROPS_EVERY == 0, F.lit("[1, 2]"))
+             .otherwise(p))
+    return events.select("event_id", props.alias("props"))

@@ -17,6 +17,9 @@ from .operators import clean as cln
 from .operators import cohort as coh
 from .operators import insight as ins
 from .operators import kpi
+from .operators import reconcile as rec
+from .operators import semistruct as semi
+from .operators import sketch as sk
 from .operators import temporal as tmp
 from .operators import trend as trd
 from .operators._util import join_null_safe
@@ -24,7 +27,17 @@ from .plans import arrivals as arr
 from .plans import dirty
 from .plans import sales as model
 from .session import scratch_path
-from .sources import export_csv, load, load_csv, publish, read_clean, register, write_clean
+from .sources import (
+    FactStore,
+    export_csv,
+    history,
+    load,
+    load_csv,
+    publish,
+    read_clean,
+    register,
+    write_clean,
+)
 from .streaming import Replay, late_windows, sessions, windowed_trend
 
 Report = Callable[[SparkSession, str], DataFrame]
@@ -550,3 +563,121 @@ def stream_sessions(spark, sf_dir):
     for rows in arr.arrivals(spark, events):
         replay.arrive(rows)
     return replay.table()
+
+
+# -- mergeable sketches --------------------------------------------------------
+
+@report("customers_by_month_sketched")
+def customers_by_month_sketched(spark, sf_dir):
+    """Distinct customers from daily states, merged to months: the exact count and
+    whether the estimate is within 5 % of it (three standard errors), or one."""
+    orders = _orders(spark, sf_dir).where("customer_id IS NOT NULL AND order_date IS NOT NULL")
+    path = scratch_path(spark, "customer_states")
+    month = F.trunc("order_date", "month").alias("period")
+    sk.distinct_states(orders, "order_date", "customer_id").write.parquet(path)
+    merged = sk.merge_distinct(spark.read.parquet(path).select(month, "state"), "period")
+    exact = orders.groupBy(month).agg(F.count_distinct("customer_id").alias("customers"))
+    return (sk.distinct_estimate(merged, "estimate").join(exact, "period")
+            .select("period", "customers",
+                    (F.abs(F.col("estimate") - F.col("customers"))
+                     <= F.greatest(F.lit(1), 0.05 * F.col("customers"))).alias("within_bound")))
+
+
+@report("order_value_quantiles_sketched")
+def order_value_quantiles_sketched(spark, sf_dir):
+    """Median and 95 % order value from monthly states, merged to years: whether
+    the ranks of both are within 2 % of what they should be."""
+    orders = (load(spark, sf_dir)["orders"].where("o_orderdate IS NOT NULL AND o_totalprice IS NOT NULL")
+              .select(F.trunc(F.col("o_orderdate").cast("date"), "month").alias("period"),
+                      F.col("o_totalprice").alias("amount")))
+    path = scratch_path(spark, "value_states")
+    sk.quantile_states(orders, "period", "amount").write.parquet(path)
+    year = F.year("period").alias("year")
+    merged = sk.merge_quantiles(spark.read.parquet(path).select(year, "state"), "year")
+    values = sk.quantiles(merged, {"q50": 0.5, "q95": 0.95})
+
+    def near(col, share):
+        # The rank is a range where values repeat.
+        low = F.count(F.when(F.col("amount") < F.col(col), 1)) / F.count(F.lit(1))
+        high = F.count(F.when(F.col("amount") <= F.col(col), 1)) / F.count(F.lit(1))
+        return (low - 0.02 <= share) & (high + 0.02 >= share)
+
+    return (orders.select(year, "amount").join(values, "year").groupBy("year")
+            .agg(F.count(F.lit(1)).alias("orders"), near("q50", 0.5).alias("median_within_bound"),
+                 near("q95", 0.95).alias("p95_within_bound")))
+
+
+# -- bag operations ------------------------------------------------------------
+
+def _typed_raw(spark, sf_dir):
+    text = cln.standardise_text(_raw(spark, sf_dir), list(RAW_ORDER_RULES.text))
+    return cln.cast_safe(text, RAW_ORDER_RULES.casts)
+
+
+def _accepted(spark, sf_dir):
+    return cln.clean(_raw(spark, sf_dir), RAW_ORDER_RULES)[0]
+
+
+@report("raw_minus_clean")
+def raw_minus_clean(spark, sf_dir):
+    """The raw rows that cleaning took away, copies counted."""
+    return rec.bag_except(_typed_raw(spark, sf_dir), _accepted(spark, sf_dir))
+
+
+@report("raw_and_clean")
+def raw_and_clean(spark, sf_dir):
+    """The rows that are in both, copies counted."""
+    return rec.bag_intersect(_typed_raw(spark, sf_dir), _accepted(spark, sf_dir))
+
+
+@report("raw_clean_reconciled")
+def raw_clean_reconciled(spark, sf_dir):
+    return rec.reconcile(_typed_raw(spark, sf_dir), _accepted(spark, sf_dir))
+
+
+# -- semi-structured values ----------------------------------------------------
+
+def _raw_events(spark, sf_dir):
+    return dirty.raw_events(load(spark, sf_dir)["events"])
+
+
+@report("event_props_typed")
+def event_props_typed(spark, sf_dir):
+    """The properties of events as typed columns; broken documents are quarantined."""
+    good, bad = semi.parse_json(_raw_events(spark, sf_dir), "props",
+                                {"k": "bigint", "source": "string"})
+    return (good.withColumn("props", F.lit(None).cast("string"))
+            .withColumn("reject_reason", F.lit(None).cast("string"))
+            .unionByName(bad, allowMissingColumns=True))
+
+
+@report("event_props_keys")
+def event_props_keys(spark, sf_dir):
+    return semi.key_profile(_raw_events(spark, sf_dir), "props")
+
+
+# -- incremental fact ----------------------------------------------------------
+
+def _two_batches(spark, sf_dir):
+    """The fact loaded in two batches, of which the second holds every seventh order
+    of 1998, and the first batch once more."""
+    fact = _sales(spark, sf_dir)
+    late = (F.year("order_date") == 1998) & (F.col("order_id") % 7 == 0)
+    store = FactStore(spark, scratch_path(spark, "fact_store"), fact.schema)
+    first = fact.where(~late)
+    store.add(first, "first")
+    store.add(fact.where(late), "late")
+    store.add(first, "first")
+    return store
+
+
+@report("fact_two_batches")
+def fact_two_batches(spark, sf_dir):
+    """The whole fact, read back after an incremental load."""
+    return _two_batches(spark, sf_dir).read()
+
+
+@report("fact_batch_history")
+def fact_batch_history(spark, sf_dir):
+    """Which batch wrote how many months."""
+    return history(_two_batches(spark, sf_dir))

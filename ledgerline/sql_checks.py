@@ -729,3 +729,74 @@ SELECT user_id, min(ts) AS session_start, max(ts) AS session_end, count(*) AS ev
 FROM numbered GROUP BY user_id, no
 HAVING max(ts) + INTERVAL 6 HOUR < max(final)
 """
+
+SQL["customers_by_month_sketched"] = f"""
+WITH {ORDERS}
+SELECT {_month('order_date')} AS period, count(DISTINCT customer_id) AS customers,
+       TRUE AS within_bound
+FROM ords GROUP BY 1
+"""
+
+SQL["order_value_quantiles_sketched"] = """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS orders,
+       TRUE AS median_within_bound, TRUE AS p95_within_bound
+FROM orders WHERE o_orderdate IS NOT NULL AND o_totalprice IS NOT NULL GROUP BY 1
+"""
+
+_BAGS = f"""
+WITH {RAW}, {STD},
+l AS (SELECT oid, cid, NULLIF(upper(trim(prio)), '') AS prio,
+             TRY_CAST(trim(amt) AS DECIMAL(12,2)) AS amt, TRY_CAST(trim(dt) AS DATE) AS dt FROM raw),
+r AS (SELECT oid, cid, prio, amt, dt FROM labelled WHERE reject_reason IS NULL)"""
+SQL["raw_minus_clean"] = f"{_BAGS} SELECT * FROM l EXCEPT ALL SELECT * FROM r"
+SQL["raw_and_clean"] = f"{_BAGS} SELECT * FROM l INTERSECT ALL SELECT * FROM r"
+SQL["raw_clean_reconciled"] = f"""{_BAGS}
+SELECT (SELECT count(*) FROM l) AS left_rows, (SELECT count(*) FROM r) AS right_rows,
+       (SELECT count(*) FROM (SELECT * FROM l INTERSECT ALL SELECT * FROM r)) AS common_rows,
+       (SELECT count(*) FROM (SELECT * FROM l EXCEPT ALL SELECT * FROM r)) AS only_left,
+       (SELECT count(*) FROM (SELECT * FROM r EXCEPT ALL SELECT * FROM l)) AS only_right
+"""
+
+_PROPS = """
+e AS (
+  SELECT event_id,
+         CASE WHEN event_id % 61 = 0 THEN left(props, length(props) - 1)
+              WHEN event_id % 53 = 0 THEN '{"k": "many"}'
+              WHEN event_id % 47 = 0
+                THEN '{"source": "app", "deep": {"a": 1}, ' || substr(props, 2, length(props) - 2) || '}'
+              WHEN event_id % 43 = 0 THEN '{"k": null}'
+              WHEN event_id % 41 = 0 THEN '[1, 2]'
+              ELSE props END AS props
+  FROM events
+),
+ok AS (SELECT event_id, CASE WHEN json_valid(props) AND json_type(props) = 'OBJECT'
+                             THEN props END AS obj, props FROM e)"""
+SQL["event_props_typed"] = f"""
+WITH {_PROPS}
+SELECT event_id, TRY_CAST(json_extract_string(obj, '$.k') AS BIGINT) AS k,
+       json_extract_string(obj, '$.source') AS source,
+       CASE WHEN obj IS NULL THEN props END AS props,
+       CASE WHEN obj IS NULL AND props IS NOT NULL THEN 'broken_json' END AS reject_reason
+FROM ok
+"""
+SQL["event_props_keys"] = f"""
+WITH {_PROPS},
+p AS (SELECT unnest(json_keys(obj)) AS key, obj FROM ok WHERE obj IS NOT NULL),
+v AS (SELECT key, json_extract_string(obj, '$.' || key) AS value FROM p)
+SELECT key, count(*) AS rows, count(*) FILTER (WHERE value IS NULL) AS nulls,
+       count(*) FILTER (WHERE TRY_CAST(value AS DECIMAL(38,9)) IS NOT NULL) AS numbers,
+       count(*) FILTER (WHERE value IS NOT NULL AND TRY_CAST(value AS DECIMAL(38,9)) IS NULL) AS texts,
+       count(DISTINCT value) AS distinct_values
+FROM v GROUP BY key
+"""
+
+SQL["fact_two_batches"] = f"WITH {SALES} SELECT * FROM sales WHERE order_date IS NOT NULL"
+SQL["fact_batch_history"] = f"""
+WITH {SALES},
+b AS (SELECT {_month('order_date')} AS m,
+             CASE WHEN year(order_date) = 1998 AND order_id % 7 = 0 THEN 2 ELSE 1 END AS version
+      FROM sales WHERE order_date IS NOT NULL)
+SELECT CAST(v AS BIGINT) AS version, CASE v WHEN 1 THEN 'first' ELSE 'late' END AS batch,
+       (SELECT count(DISTINCT m) FROM b WHERE version = v) AS months_written
+FROM (SELECT unnest([1, 2]) AS v)
+"""

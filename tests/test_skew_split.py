@@ -58,7 +58,7 @@ def skewed_dir(tmp_path_factory):
         "user_id": pa.array([7 if i % 3 == 0 else rnd.randrange(60) for i in range(n_events)],
                             pa.int64()),
         "event_type": [f"E{i % 4}" for i in range(n_events)], "value": [0.25 * i for i in range(n_events)],
-        "props": ["{}"] * n_events})
+        "props": ['{"k": %d}' % (i % 5) for i in range(n_events)]})
     n_lines = 4500
     okey = [11 if i % 3 == 0 else rnd.randrange(n_orders) for i in range(n_lines)]
     pkey = [5 if i % 3 == 1 else rnd.randrange(40) for i in range(n_lines)]

@@ -1,0 +1,177 @@
+"""Mergeable sketches, bag operations, JSON values and the incremental fact."""
+
+import datetime as dt
+import os
+import random
+from collections import Counter
+
+import pytest
+
+from ledgerline.operators import reconcile as rec
+from ledgerline.operators import semistruct as semi
+from ledgerline.operators import sketch as sk
+from ledgerline.sources import FactStore, history
+
+
+# -- sketches --------------------------------------------------------------------
+
+def test_merged_distinct_states_are_near_the_exact_counts(spark):
+    df = spark.range(200_000).selectExpr("id % 50 AS day", "(id * 7919) % 30011 AS v")
+    df = df.union(spark.range(100).selectExpr("id % 50 AS day", "CAST(null AS BIGINT) AS v"))
+    states = sk.distinct_states(df, "day", "v")
+    whole = sk.distinct_estimate(sk.merge_distinct(states)).first()[0]
+    assert abs(whole - 30_011) <= 0.05 * 30_011
+    halves = sk.merge_distinct(states.selectExpr("day < 25 AS half", "state"), "half")
+    exact = {r.half: r.n for r in df.selectExpr("day < 25 AS half", "v").groupBy("half")
+             .agg({"v": "count"}).selectExpr("half", "`count(v)` AS n").collect()}
+    assert set(exact) == {True, False}
+    distinct = {r.half: r.n for r in df.selectExpr("day < 25 AS half", "v").distinct()
+                .where("v IS NOT NULL").groupBy("half").count().withColumnRenamed("count", "n").collect()}
+    for r in sk.distinct_estimate(halves).collect():
+        assert abs(r.distinct_values - distinct[r.half]) <= 0.05 * distinct[r.half]
+    direct = sk.distinct_estimate(sk.distinct_states(df, [], "v")).first()[0]
+    assert abs(direct - whole) <= 0.05 * whole
+
+
+def test_merged_quantiles_keep_their_rank_error(spark):
+    df = spark.range(100_000).selectExpr("id % 80 AS month", "CAST((id * 7919) % 99991 AS DOUBLE) AS v")
+    states = sk.quantile_states(df, "month", "v")
+    got = sk.quantiles(sk.merge_quantiles(states), {"q50": 0.5, "q95": 0.95}).first()
+    values = sorted(r.v for r in df.collect())
+    for value, share in ((got.q50, 0.5), (got.q95, 0.95)):
+        rank = sum(v <= value for v in values) / len(values)
+        assert abs(rank - share) <= 0.02
+
+
+def test_sketches_of_nothing(spark):
+    none = spark.createDataFrame([], "g INT, v DOUBLE")
+    assert sk.distinct_estimate(sk.merge_distinct(sk.distinct_states(none, "g", "v"), "g")).collect() == []
+    assert sk.quantiles(sk.quantile_states(none, "g", "v"), {"q": 0.5}).collect() == []
+    nulls = spark.createDataFrame([(1, None)], "g INT, v DOUBLE")
+    assert sk.quantile_states(nulls, "g", "v").collect() == []
+    assert sk.distinct_estimate(sk.distinct_states(nulls, "g", "v")).first()[1] == 0
+
+
+# -- bags ------------------------------------------------------------------------
+
+@pytest.mark.parametrize("block", [10_000, 3])
+def test_bags_equal_counting(spark, monkeypatch, block):
+    """With nulls, and one row that is half of all."""
+    monkeypatch.setattr(rec, "BLOCK", block)
+    rnd = random.Random(1)
+    row = lambda: (None, "hot") if rnd.random() < 0.5 else (      # noqa: E731
+        rnd.choice([None, 1, 2]), rnd.choice([None, "a", "b"]))
+    left, right = [row() for _ in range(200)], [row() for _ in range(150)]
+    ddl = "x INT, y STRING"
+    a, b = spark.createDataFrame(left, ddl), spark.createDataFrame(right, ddl).select("y", "x")
+    want = Counter(left) - Counter(right)
+    assert Counter(map(tuple, rec.bag_except(a, b).collect())) == want
+    both = Counter(left) & Counter(right)
+    assert Counter(map(tuple, rec.bag_intersect(a, b).collect())) == both
+    only = Counter(right) - Counter(left)
+    assert tuple(rec.reconcile(a, b).first()) == (
+        200, 150, sum(both.values()), sum(want.values()), sum(only.values()))
+    assert rec.bag_except(a, b).exceptAll(a.exceptAll(b.select("x", "y"))).isEmpty()
+
+
+def test_bags_of_other_columns_are_an_error(spark):
+    with pytest.raises(ValueError, match="different columns"):
+        rec.bag_except(spark.range(1), spark.range(1).toDF("other"))
+
+
+def test_bags_need_no_join(spark):
+    df = spark.range(10)
+    plan = rec.bag_except(df, df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+
+
+# -- JSON ------------------------------------------------------------------------
+
+DOCS = [(1, '{"k": 5}'), (2, '{"k": "x"}'), (3, '{"k": null, "z": [1, 2]}'), (4, '{"k": 7'), (5, "[1]"),
+        (6, None), (7, '  {"k": 1.5, "deep": {"a": "}"}} '), (8, ""), (9, "{}"), (10, '{"k": 9, "k2": "é"}'),
+        (11, "nonsense }")]
+
+
+def test_json_is_typed_or_quarantined(spark):
+    df = spark.createDataFrame(DOCS, "id INT, props STRING")
+    good, bad = semi.parse_json(df, "props", {"k": "int", "z": "string"})
+    assert {r.id: (r.k, r.z) for r in good.collect()} == {
+        1: (5, None), 2: (None, None), 3: (None, "[1,2]"), 6: (None, None), 7: (None, None),
+        9: (None, None), 10: (9, None)}
+    assert {r.id: (r.props, r.reject_reason) for r in bad.collect()} == {
+        i: (p, semi.BROKEN) for i, p in DOCS if i in (4, 5, 8, 11)}
+
+
+def test_keys_are_profiled(spark):
+    df = spark.createDataFrame(DOCS * 2, "id INT, props STRING")
+    got = {r.key: (r.rows, r.nulls, r.numbers, r.texts, r.distinct_values)
+           for r in semi.key_profile(df, "props").collect()}
+    assert got == {"k": (10, 2, 6, 2, 4), "z": (2, 0, 0, 2, 1), "deep": (2, 0, 0, 2, 1),
+                   "k2": (2, 0, 0, 2, 1)}
+
+
+# -- incremental fact ------------------------------------------------------------
+
+FACT = "order_id BIGINT, order_date DATE, revenue INT"
+
+
+def fact(spark, rows):
+    return spark.createDataFrame([(i, None if d is None else dt.date.fromisoformat(d), v)
+                                  for i, d, v in rows], FACT)
+
+
+def content(store):
+    return sorted((r.order_id, r.order_date.isoformat(), r.revenue) for r in store.read().collect())
+
+
+def files(path):
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns
+            for d, _, names in os.walk(path) for f in names if f.endswith(".parquet") and "/data/" in d}
+
+
+def test_batches_rewrite_only_their_months(spark, tmp_path):
+    first = fact(spark, [(1, "2020-01-05", 1), (1, "2020-01-05", 2), (2, "2020-01-09", 3),
+                         (3, "2020-02-01", 4), (4, None, 9)])
+    store = FactStore(spark, str(tmp_path / "s"), first.schema)
+    assert content(store) == [] and store.read().columns == first.columns
+    assert store.add(first, "a") == [dt.date(2020, 1, 1), dt.date(2020, 2, 1)]
+    before = files(tmp_path)
+    # A late order of February, and order 1 again with another line.
+    late = fact(spark, [(5, "2020-02-20", 5), (6, "2020-03-01", 6)])
+    assert store.add(late, "b") == [dt.date(2020, 2, 1), dt.date(2020, 3, 1)]
+    after = files(tmp_path)
+    assert all(after[f] == t for f, t in before.items())
+    january = [f for f in store._state()[2].values() if "2020-01-01" in f]
+    assert len(january) == 1 and any(f.startswith(january[0].removeprefix("file:")) for f in before)
+    store.add(fact(spark, [(1, "2020-01-05", 7)]), "c")
+    assert content(store) == [(1, "2020-01-05", 7), (2, "2020-01-09", 3), (3, "2020-02-01", 4),
+                              (5, "2020-02-20", 5), (6, "2020-03-01", 6)]
+    assert [r.order_id for r in store.read(dt.date(2020, 2, 10), dt.date(2020, 3, 1)).collect()] == [5]
+    assert sorted(map(tuple, history(store).collect())) == [(1, "a", 2), (2, "b", 2), (3, "c", 1)]
+
+
+def test_a_repeated_batch_and_a_killed_write_change_nothing(spark, tmp_path, monkeypatch):
+    rows = fact(spark, [(1, "2020-01-05", 1), (2, "2020-01-06", 2)])
+    store = FactStore(spark, str(tmp_path / "s"), rows.schema)
+    store.add(rows, "a")
+    state, kept = content(store), files(tmp_path)
+    assert store.add(rows, "a") == [] and files(tmp_path) == kept
+    with monkeypatch.context() as m:
+        m.setattr(FactStore, "_commit", lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
+        with pytest.raises(RuntimeError, match="killed"):
+            store.add(fact(spark, [(1, "2020-01-05", 99)]), "b")
+    again = FactStore(spark, str(tmp_path / "s"), rows.schema)
+    assert content(again) == state
+    again.add(fact(spark, [(1, "2020-01-05", 99)]), "b")
+    assert content(again) == [(1, "2020-01-05", 99), (2, "2020-01-06", 2)]
+
+
+def test_two_batches_equal_one_load(spark, tmp_path):
+    rnd = random.Random(2)
+    rows = [(i, f"2020-{rnd.randrange(1, 13):02d}-{rnd.randrange(1, 28):02d}", i % 7) for i in range(300)]
+    one, two = (FactStore(spark, str(tmp_path / n), fact(spark, rows).schema) for n in "xy")
+    one.add(fact(spark, rows), "all")
+    two.add(fact(spark, rows[::2]), "even")
+    two.add(fact(spark, rows[1::2]), "odd")
+    two.add(fact(spark, []), "none")
+    assert content(one) == content(two) == sorted(rows)
