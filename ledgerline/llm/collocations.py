@@ -267,9 +267,13 @@ def _joined(batch: pa.RecordBatch, pad: int) -> np.ndarray:
 
 
 def sweep(codes: DataFrame, make, whole: bool, grow: bool, least: int) -> DataFrame:
-    """One pass of a trie over the texts: rows (kind 0, phrase, 0, count) of its
-    phrases and, with ``grow``, rows (kind 1, phrase, next word, count up to
-    ``least``) of the candidates one word longer."""
+    """One pass of a trie over the texts: rows (grown: false, phrase, n) of its
+    phrases and, with ``grow``, rows (grown: true, phrase, next) of the candidates
+    one word longer that occur ``least`` times.
+
+    Both travel as one number, below zero for a phrase, so that the many
+    candidates of a large corpus are narrow rows.
+    """
     bounded_batches(codes.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,19 +281,15 @@ def sweep(codes: DataFrame, make, whole: bool, grow: bool, least: int) -> DataFr
         counts = np.zeros(n, np.int64)
         grown: list[np.ndarray] = []
 
-        def rows(kind, phrase, nxt, number):
+        def rows(keys, number):
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(phrase), kind, np.int32)), pa.array(phrase.astype(np.int64)),
-                 pa.array(nxt.astype(np.int64)), pa.array(number.astype(np.int64))],
-                ["kind", "phrase", "next", "n"])
+                [pa.array(keys, pa.int64()), pa.array(number, pa.int64())], ["key", "n"])
 
         def flushed():
             keys, number = np.unique(np.concatenate(grown), return_counts=True)
             grown.clear()
             for b in range(0, len(keys), BUFFER // 8):
-                part = keys[b:b + BUFFER // 8]
-                yield rows(1, part >> 32, part & 0xFFFFFFFF,
-                           np.minimum(number[b:b + BUFFER // 8], least))
+                yield rows(keys[b:b + BUFFER // 8], np.minimum(number[b:b + BUFFER // 8], least))
 
         for batch in batches:
             text = _joined(batch, trie.length + 1)
@@ -316,11 +316,14 @@ def sweep(codes: DataFrame, make, whole: bool, grow: bool, least: int) -> DataFr
         if grown:
             yield from flushed()
         hit = np.flatnonzero(counts)
-        yield rows(0, hit, np.zeros(len(hit), np.int64), counts[hit])
+        yield rows(-1 - hit, counts[hit])
 
-    return (codes.mapInArrow(run, "kind int, phrase long, next long, n long")
-            .groupBy("kind", "phrase", "next").agg(F.sum("n").alias("n"))
-            .where(f"kind = 0 OR n >= {least}"))
+    grown = F.col("key") >= 0
+    return (codes.mapInArrow(run, "key long, n long")
+            .groupBy("key").agg(F.sum("n").alias("n")).where(f"key < 0 OR n >= {least}")
+            .select(grown.alias("grown"), "n",
+                    F.when(grown, F.shiftright("key", 32)).otherwise(-1 - F.col("key")).alias("phrase"),
+                    F.col("key").bitwiseAND(0xFFFFFFFF).alias("next")))
 
 
 class _Words:
@@ -395,11 +398,11 @@ def mined(docs: DataFrame, least: int = LEAST, longest: int = LONGEST,
         for more in parts[1:]:
             found = found.union(more)
         if level > 1:
-            levels.append(found.where("kind = 0").select("w", F.col("n").alias("f"))
+            levels.append(found.where("NOT grown").select("w", F.col("n").alias("f"))
                           .where(F.col("f") >= least))
         if not grow:
             break
-        longer = staged(spark, found.where("kind = 1").select(
+        longer = staged(spark, found.where("grown").select(
             F.concat("w", F.array(F.col("next").cast("int"))).alias("w")), "phrase-candidates")
         known = longer.count()
         if not known:
