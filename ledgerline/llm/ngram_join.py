@@ -54,10 +54,14 @@ SEED = 71
 WHOLE = 512
 BLOCK = 256
 GRAMS = 2_000_000
+#: Grams that verification lays side by side at once.
+SLICE = 1 << 20
 
 
 def _key(grams: np.ndarray) -> str | None:
-    return hashlib.blake2b(grams.tobytes(), digest_size=16).hexdigest() if len(grams) else None
+    if not len(grams):
+        return None
+    return hashlib.blake2b(np.ascontiguousarray(grams), digest_size=16).hexdigest()
 
 
 def _signatures(docs: DataFrame, words: int, rows: int, bands: int) -> DataFrame:
@@ -133,27 +137,40 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots)
 
 
-def _verify(texts: list[str], weights: np.ndarray, block: np.ndarray, cross: bool,
-            words: int, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """(links by member, least member of its linked class): all pairs of a
-    group, or with ``cross`` those of different blocks."""
-    n = len(texts)
-    sets = gram_sets(texts, words)
-    sizes = np.array([len(s) for s in sets], np.int64)
-    flat, owner = np.concatenate(sets), np.repeat(np.arange(n), sizes)
+def _count_common(common: np.ndarray, sets: list[np.ndarray], width: int = 4096) -> None:
+    """Add to ``common`` how many grams each two of the sorted ``sets`` share."""
+    n = len(sets)
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(n), list(map(len, sets)))
+    if not len(flat):
+        return
     order = np.argsort(flat, kind="stable")
     flat, owner = flat[order], owner[order]
     new = np.r_[True, flat[1:] != flat[:-1]]
     gram = np.cumsum(new) - 1
     shared = np.bincount(gram)[gram] > 1
     owner, gram = owner[shared], np.cumsum(new & shared)[shared] - 1
-    common = np.zeros((n, n), np.float32)
-    width = 4096
     for begin in range(0, int(gram[-1]) + 1 if len(gram) else 0, width):
         a, b = np.searchsorted(gram, [begin, begin + width])
         part = np.zeros((n, width), np.float32)
         part[owner[a:b], gram[a:b] - begin] = 1
         common += part @ part.T
+
+
+def _verify(texts: list[str], weights: np.ndarray, block: np.ndarray, cross: bool,
+            words: int, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """(links by member, least member of its linked class): all pairs of a
+    group, or with ``cross`` those of different blocks."""
+    n = len(texts)
+    sets = gram_sets(texts, words)
+    sizes = np.array([len(s) for s in sets], np.int64)
+    common = np.zeros((n, n))
+    # Sets are sorted, so ranges of hashes are slices of them; about ``SLICE``
+    # grams are laid side by side at once.
+    ranges = -(-int(sizes.sum()) // SLICE)
+    bounds = [int(2**64 * i / ranges) for i in range(1, ranges)]
+    cuts = [np.r_[0, np.searchsorted(s, np.array(bounds, np.uint64)), len(s)] for s in sets]
+    for i in range(ranges):
+        _count_common(common, [s[c[i]:c[i + 1]] for s, c in zip(sets, cuts)])
     both = sizes[:, None] + sizes[None, :] - common
     linked = (common > 0) & (common >= similarity * both - 1e-9)
     np.fill_diagonal(linked, False)

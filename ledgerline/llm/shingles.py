@@ -125,18 +125,36 @@ def pieces(text: str) -> Iterator[str]:
 
 
 def _long_set(text: str, k: int) -> np.ndarray:
-    held, found, total = np.zeros(0, np.uint64), [], 0
+    held, found = np.zeros(0, np.uint64), []
     for piece in pieces(text):
         words, _ = word_hashes([piece])
-        total += len(words)
         held = np.concatenate([held, words])
         if len(held) >= k:
             made, _ = shingle_hashes(held, np.array([len(held)]), k)
             found.append(np.unique(made))
-            held = held[len(held) - k + 1:]
+            held = held[len(held) - k + 1:].copy()
     if not found:
         return np.unique(shingle_hashes(held, np.array([len(held)]), k)[0])
-    return np.unique(np.concatenate(found))
+    return _merged(found)
+
+
+def _merged(parts: list[np.ndarray]) -> np.ndarray:
+    """The sorted set of all ``parts``, which are used up: one copy is held, and
+    sorted and thinned where it lies."""
+    out, at = np.empty(sum(map(len, parts)), np.uint64), 0
+    while parts:
+        part = parts.pop()
+        out[at:at + len(part)] = part
+        at += len(part)
+    out.sort()
+    kept = 0
+    for begin in range(0, len(out), PIECE):
+        part = out[begin:begin + PIECE].copy()
+        fresh = np.r_[not kept or part[0] != out[kept - 1], part[1:] != part[:-1]]
+        part = part[fresh]
+        out[kept:kept + len(part)] = part
+        kept += len(part)
+    return out[:kept]
 
 
 def _ramp(counts: np.ndarray) -> np.ndarray:

@@ -150,3 +150,23 @@ def test_word_hashes_are_words():
     assert counts.tolist() == [3, 0, 3, 0]
     assert hashes[0] == hashes[2] == hashes[4] and hashes[1] == hashes[3]
     assert len(set(hashes.tolist())) == 3
+
+
+def test_slices_of_hashes_count_like_the_whole(monkeypatch):
+    texts = [t for _, t in family(30)]
+    ones = np.ones(len(texts), np.int64)
+    links, root = ngram_join._verify(texts, ones, 0 * ones, False, 5, 0.8)
+    assert links.sum() > 50
+    for size in (1, 7, 500):
+        monkeypatch.setattr(ngram_join, "SLICE", size)
+        again = ngram_join._verify(texts, ones, 0 * ones, False, 5, 0.8)
+        assert (again[0] == links).all() and (again[1] == root).all()
+
+
+@pytest.mark.parametrize("piece", [1, 3, 1000])
+def test_parts_merge_to_one_sorted_set(monkeypatch, piece):
+    monkeypatch.setattr(shingles, "PIECE", piece)
+    rng = np.random.default_rng(4)
+    parts = [np.unique(rng.integers(0, 60, n, dtype=np.uint64)) for n in (0, 5, 40, 80, 1)]
+    want = sorted(set(np.concatenate(parts).tolist()))
+    assert shingles._merged(parts).tolist() == want
