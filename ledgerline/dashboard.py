@@ -56,7 +56,10 @@ def dashboard(spark: SparkSession, tables: Mapping[str, DataFrame],
     """All dashboard visuals as DataFrames (written under ``out_path`` if given).
 
     Slicers (``start <= date < end``, ``categories``, ``regions``) apply to
-    every visual of sales; the cohort visuals are of all orders.  With
+    every visual of sales.  The cohort visuals are of the customers of the
+    regions whose first category is in ``categories``, with all their orders:
+    dates do not reach them, as a cut history would move customers to later
+    cohorts.  With
     ``materialize`` the fact is written to ``fact_path``, which stays the
     caller's, or to a scratch folder that ``close()`` removes.  The cohort
     matrix is as wide as the data unless ``max_cohort_index`` is given;
@@ -68,7 +71,7 @@ def dashboard(spark: SparkSession, tables: Mapping[str, DataFrame],
     else:
         fact = model.sales(tables, start, end)
     fact = kpi.slice_sales(fact, start, end, categories, regions)
-    orders = model.orders(tables)
+    orders = model.cohort_orders(tables, regions, categories)
     monthly = trd.trend(fact, "month")
     visuals = Visuals(spark, scratch)
     visuals.update({

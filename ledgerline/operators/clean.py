@@ -164,11 +164,13 @@ def check_dates(child: DataFrame, parent: DataFrame, on, child_date: str, parent
 
     With ``summary`` one row: ``rows_checked`` (child rows with a parent) and
     ``rows_failed``; otherwise the failing child rows.  Only the key and
-    date columns of the parent are read.
+    date columns of the parent are read.  A child row is checked once: where
+    parent rows share a key, against the latest of their dates.
     """
     pairs = _pairs(on)
-    p = parent.select(*[F.col(b).alias(f"_p_{b}") for _, b in pairs],
-                      F.col(parent_date).alias("_p_date"))
+    # One row a key; the join reuses the aggregate's partitioning.
+    p = (parent.groupBy(*[F.col(b).alias(f"_p_{b}") for _, b in pairs])
+         .agg(F.max(parent_date).alias("_p_date")))
     cond = None
     for a, b in pairs:
         c = child[a] == p[f"_p_{b}"]

@@ -87,17 +87,53 @@ def sales(tables: Mapping[str, DataFrame], start=None, end=None) -> DataFrame:
     customer, nation and region all exist.  Money measures use this fact, so
     orders without lines do not count.
     """
+    return (product_lines(tables)
+            .join(region_orders(tables, start, end), "order_id")
+            .select(*SALES_COLUMNS))
+
+
+def product_lines(tables: Mapping[str, DataFrame], *extra: str) -> DataFrame:
+    """Lines with their product: order_id, revenue, category, subcategory and the
+    ``extra`` columns of ``lineitem``."""
     lines = tables["lineitem"].select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("part_id"),
-        line_revenue("l_extendedprice", "l_discount").alias("revenue"))
+        line_revenue("l_extendedprice", "l_discount").alias("revenue"), *extra)
     product = tables["part"].select(F.col("p_partkey").alias("part_id"),
                                     F.col("p_type").alias("category"),
                                     F.col("p_brand").alias("subcategory"))
-    ords = orders(tables, start, end).join(customer_region(tables), "customer_id")
-    return (lines.join(product, "part_id")
-            .join(ords, "order_id")
-            .select(*SALES_COLUMNS))
+    return lines.join(product, "part_id").drop("part_id")
+
+
+def region_orders(tables: Mapping[str, DataFrame], start=None, end=None) -> DataFrame:
+    """Orders with their customer's region."""
+    return orders(tables, start, end).join(customer_region(tables), "customer_id")
+
+
+def first_category(sales_df: DataFrame) -> DataFrame:
+    """customer_id, category: the category that brought the most revenue in the
+    customer's first order of the fact (ties: the smaller order, then name).
+
+    Two hash aggregates with a partial step; no customer's orders meet in a task.
+    """
+    per = (sales_df.where("customer_id IS NOT NULL AND order_date IS NOT NULL")
+           .groupBy("customer_id", "order_date", "order_id", "category")
+           .agg(money_sum("revenue").alias("revenue")))
+    first = F.min(F.struct("order_date", "order_id", (-F.col("revenue")).alias("less"), "category"))
+    return per.groupBy("customer_id").agg(first.alias("f")).select("customer_id", "f.category")
+
+
+def cohort_orders(tables: Mapping[str, DataFrame], regions=None, categories=None) -> DataFrame:
+    """The orders of the customers of ``regions`` whose first category is one of
+    ``categories`` (all their orders: a cohort is a slice of customers)."""
+    found = orders(tables)
+    if regions is not None:
+        own = customer_region(tables).where(F.col("region").isin(list(regions)))
+        found = found.join(own.select("customer_id"), "customer_id", "left_semi")
+    if categories is not None:
+        own = first_category(sales(tables)).where(F.col("category").isin(list(categories)))
+        found = found.join(own.select("customer_id"), "customer_id", "left_semi")
+    return found.select("order_id", "customer_id", "order_date")
 
 
 def order_grain(sales_df: DataFrame, keys=("order_id",)) -> DataFrame:

@@ -28,6 +28,7 @@ from .plans import dirty
 from .plans import sales as model
 from .session import scratch_path
 from .sources import (
+    BucketedFact,
     FactStore,
     export_csv,
     history,
@@ -46,6 +47,7 @@ REPORTS: dict[str, Report] = {}
 # Fixed report parameters (the SQL in sql_checks uses the same values).
 KPI_SLICE = {"start": "1998-01-01", "end": "1999-01-01",
              "categories": ["PROMO"], "regions": ["ASIA"]}
+COHORT_SLICE = {"regions": ["ASIA"], "categories": ["PROMO", "ECONOMY"]}
 VIEW_PREFIX = "ledgerline_"
 FACT_SLICE = ("1998-01-01", "1999-01-01")
 TOP_K = 3
@@ -302,6 +304,18 @@ def retention_curve_complete(spark, sf_dir):
     return coh.retention_curve(_orders(spark, sf_dir), complete_only=True)
 
 
+@report("cohort_dense_sliced")
+def cohort_dense_sliced(spark, sf_dir):
+    """Cohorts of the customers of one region with one first category."""
+    return coh.cohort_long(model.cohort_orders(load(spark, sf_dir), **COHORT_SLICE), dense=True)
+
+
+@report("dashboard_sliced_retention")
+def dashboard_sliced_retention(spark, sf_dir):
+    return dashboard(spark, load(spark, sf_dir), materialize=False, max_cohort_index=0,
+                     **COHORT_SLICE)["retention_curve"]
+
+
 @report("repeat_rate")
 def repeat_rate(spark, sf_dir):
     return coh.repeat_rate(_orders(spark, sf_dir))
@@ -681,3 +695,17 @@ def fact_two_batches(spark, sf_dir):
 def fact_batch_history(spark, sf_dir):
     """Which batch wrote how many months."""
     return history(_two_batches(spark, sf_dir))
+
+
+# -- bucketed fact -------------------------------------------------------------
+
+@report("fact_bucketed")
+def fact_bucketed(spark, sf_dir):
+    """The whole fact from lines and orders that are stored bucketed on the order:
+    the join has no shuffle."""
+    t = load(spark, sf_dir)
+    spread = ["l_linenumber", "l_suppkey", "l_shipdate"]
+    stored = ["order_id", "revenue", "category", "subcategory"]
+    store = BucketedFact(spark, model.product_lines(t, *spread), model.region_orders(t),
+                         spread, stored=stored)
+    return store.joined().select(*model.SALES_COLUMNS)

@@ -800,3 +800,36 @@ SELECT CAST(v AS BIGINT) AS version, CASE v WHEN 1 THEN 'first' ELSE 'late' END
        (SELECT count(DISTINCT m) FROM b WHERE version = v) AS months_written
 FROM (SELECT unnest([1, 2]) AS v)
 """
+
+SQL["fact_bucketed"] = f"WITH {SALES} SELECT * FROM sales"
+
+# Orders of the customers of a region whose first order brought most in a category.
+_SLICED_ORDERS = f"""
+{SALES},
+first_order AS (
+  SELECT customer_id, category,
+         row_number() OVER (PARTITION BY customer_id ORDER BY order_date, order_id,
+                            -amount ASC NULLS FIRST, category ASC NULLS FIRST) AS place
+  FROM (SELECT customer_id, order_date, order_id, category, sum(revenue) AS amount
+        FROM sales WHERE order_date IS NOT NULL GROUP BY ALL)
+),
+ords AS (
+  SELECT o_orderkey AS order_id, o_custkey AS customer_id,
+         CAST(o_orderdate AS DATE) AS order_date
+  FROM orders
+  WHERE o_orderdate IS NOT NULL
+    AND o_custkey IN (SELECT customer_id FROM first_order
+                      WHERE place = 1 AND category IN ('PROMO', 'ECONOMY'))
+    AND o_custkey IN (SELECT c_custkey FROM customer
+                      JOIN nation ON n_nationkey = c_nationkey
+                      JOIN region ON r_regionkey = n_regionkey WHERE r_name = 'ASIA')
+)"""
+
+SQL["cohort_dense_sliced"] = f"""
+WITH {_SLICED_ORDERS}, {_COHORT_CELLS}
+SELECT cohort, month_index, customers, cohort_size,
+       {_ratio('customers', 'cohort_size')} AS retention
+FROM dense
+"""
+
+SQL["dashboard_sliced_retention"] = f"WITH {_SLICED_ORDERS}, {_COHORT_CELLS}, {_curve('dense')}"
