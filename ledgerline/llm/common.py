@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import scratch_path
+from ..session import drop_scratch, scratch_path
 
 #: Character class of the ASCII white space that separates words.
 WHITE = r"\x20\x09-\x0D"
@@ -30,10 +31,31 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+#: Scratch folders written in the open ``scratch_tables`` blocks, innermost last.
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[list[str]]:
+    """Removes the scratch tables that operators write within the block when it
+    ends, also by an error.  Results read these tables: write them out, or
+    collect them, before.  Blocks may be nested; each removes its own."""
+    held: list[str] = []
+    _SCOPES.append(held)
+    try:
+        yield held
+    finally:
+        _SCOPES.pop()
+        for path in held:
+            drop_scratch(spark, path)
+
+
 def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back: cuts the
     lineage, and a lost executor costs no recomputation of what is written."""
     path = scratch_path(spark, name)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
