@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
@@ -21,6 +22,9 @@ WORD = rf"[^{WHITE}]+"
 #: texts must fit a Python worker beside its working arrays.
 BATCH_ROWS = 1000
 BATCH_BYTES = 16 * 2**20
+#: Characters of a long text that are worked on at once.
+PIECE_CHARS = 1 << 18
+_SPACE = re.compile(r"\s")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +35,20 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def text_pieces(text: str, size: int = PIECE_CHARS, most: int | None = None) -> Iterator[str]:
+    """``text`` in pieces of at least ``size`` characters but for the last, each
+    cut before white space; with ``most``, a piece without any is cut there."""
+    begin = 0
+    while len(text) - begin > size:
+        until = len(text) if most is None else min(len(text), begin + most)
+        gap = _SPACE.search(text, begin + size, until)
+        end = gap.start() if gap else until
+        yield text[begin:end]
+        begin = end
+    if begin < len(text):
+        yield text[begin:]
+
+
 #: Scratch folders written in the open ``scratch_tables`` blocks, innermost last.
 _SCOPES: list[list[str]] = []
 

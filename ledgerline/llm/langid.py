@@ -10,7 +10,8 @@ Learning uses the text and label of training rows only: those with a label and
 crc32(doc_id as text) mod 4 other than 2.  The sample is bounded: at most about
 ``PER_LANG`` rows a language and ``MAX_ROWS`` in all, chosen by a hash of
 doc_id; three quarters train, one quarter calibrates.  Prediction covers every
-row and whole texts.
+row and whole texts, which are read a piece at a time: the trigrams of all pieces,
+those across a cut included, are counted together.
 
 Defined results: null texts and texts without a letter are ``und`` with score
 0; so is every text if there is no training row; null labels are not learned;
@@ -30,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, map_rows, text_or_empty
+from .common import PIECE_CHARS, bounded_batches, map_rows, text_or_empty, text_pieces
 
 BITS = 12
 DIMS = 1 << BITS
@@ -72,20 +73,40 @@ def features(texts: list[str]) -> np.ndarray:
     """One row a text: square roots of trigram shares, so rows have length 1."""
     out = np.zeros((len(texts), DIMS), np.float32)
     for row, text in zip(out, texts):
-        raw = (" " + text.lower() + " ").encode("utf-8").translate(_KEPT)
-        raw = b" ".join(raw.split())
-        if len(raw) < 1:
-            continue
-        b = np.frombuffer(b" " + raw + b" ", np.uint8).astype(np.uint32)
-        at = (b[:-2] * np.uint32(0x9E3779B1) ^ b[1:-1] * np.uint32(0x85EBCA6B)
-              ^ b[2:] * np.uint32(0xC2B2AE35))
-        at ^= at >> np.uint32(15)
-        at *= np.uint32(0x2C1B3C6D)
-        n = np.bincount(at >> np.uint32(32 - BITS), minlength=DIMS)
-        row[:] = np.sqrt(n / n.sum())
+        n = np.zeros(DIMS, np.int64)
+        for part in _kept(text):
+            n += _trigrams(part)
+        if n.any():
+            row[:] = np.sqrt(n / n.sum())
     return out
 
 
+def _kept(text: str) -> Iterator[bytes]:
+    """The lower-cased words between single blanks, piece by piece; each part
+    begins with the last two bytes before it, so every trigram is in one part."""
+    held, blank = b"", True
+    for piece in text_pieces(text, PIECE_CHARS, 2 * PIECE_CHARS):
+        raw = piece.lower().encode("utf-8").translate(_KEPT)
+        words = b" ".join(raw.split())
+        if words:
+            held += (b" " if blank or raw[:1] == b" " else b"") + words
+            yield held
+            held, blank = held[-2:], False
+        blank = blank or raw[-1:] == b" "
+    if held:
+        yield held + b" "
+
+
+def _trigrams(part: bytes) -> np.ndarray:
+    """Counts of hashed trigrams."""
+    b = np.frombuffer(part, np.uint8).astype(np.uint32)
+    at = (b[:-2] * np.uint32(0x9E3779B1) ^ b[1:-1] * np.uint32(0x85EBCA6B)
+          ^ b[2:] * np.uint32(0xC2B2AE35))
+    at ^= at >> np.uint32(15)
+    at *= np.uint32(0x2C1B3C6D)
+    return np.bincount(at >> np.uint32(32 - BITS), minlength=DIMS)
+
+
 def _svm(x: np.ndarray, y: np.ndarray, c: float = 30.0, rounds: int = 150) -> np.ndarray:
     """Weights (bias last) of a linear machine with squared hinge loss, the
     classes weighted alike; accelerated gradient descent."""

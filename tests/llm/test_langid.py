@@ -1,5 +1,6 @@
 import os
 import sys
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -67,3 +68,21 @@ def test_edge_rows_and_empty_table(spark):
     assert langid.identify(empty_docs(spark)).collect() == []
     unlabelled = docs.withColumn("lang", docs["lang"].substr(9, 9)).replace("", None, ["lang"])
     assert {r.lang_pred for r in langid.identify(unlabelled).collect()} == {"und"}
+
+
+def test_long_texts_are_read_in_pieces(monkeypatch):
+    """Pieces change no feature, and a very long text needs little memory."""
+    rng = np.random.default_rng(8)
+    said = ["Der  Hund", "\t", "la casa,", "ΑΣ", "don't", "日本語の文", "12", "é", "x" * 90, " ", "\n"]
+    texts = [" ".join(rng.choice(said, n)) for n in rng.integers(0, 80, 60)] + ["", " ", "日本" * 400]
+    whole = langid.features(texts)
+    for size in (100, 333):
+        monkeypatch.setattr(langid, "PIECE_CHARS", size)
+        assert np.array_equal(langid.features(texts), whole)
+    monkeypatch.undo()
+    for text in ("el perro y la casa " * 400_000, "日本語" * 2_000_000):
+        tracemalloc.start()
+        assert langid.features([text]).any()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 64 * 2**20
