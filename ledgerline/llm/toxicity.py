@@ -28,7 +28,7 @@ Labels, lang, source and doc_id are no inputs of a score.
 
 Defined results: null and empty texts have no window and get the score of no
 evidence; without a training row of both kinds every score is 0; texts are
-scored whole; null doc_ids are scored, not held out and not learned from;
+scored whole, their windows made a piece at a time; null doc_ids are scored, not held out and not learned from;
 documents may have no label, a label or several (the largest counts); rows with
 equal texts have equal scores; repeated rows give a row each; an empty table gives an empty result; extra columns are
 ignored.
@@ -46,7 +46,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, text_or_empty
+from .common import bounded_batches, text_or_empty, text_pieces
 
 WINDOW = 6
 STRIDE = 3
@@ -72,9 +72,24 @@ def _words(text: str) -> list[str]:
 def windows(text: str) -> list[bytes]:
     """The text in windows of ``WINDOW`` words that overlap by half, lower
     case but for the beginnings of words, single blanks."""
-    words = _words(text)
-    starts = range(0, max(1, len(words) - WINDOW + STRIDE), STRIDE) if words else ()
-    return [f" {' '.join(words[i:i + WINDOW])} ".encode("utf-8", "replace") for i in starts]
+    return list(chain.from_iterable(window_blocks(text)))
+
+
+def window_blocks(text: str) -> Iterator[list[bytes]]:
+    """The windows of a text, a piece of it at a time."""
+    words: list[str] = []
+    some = False
+
+    def made(starts: range) -> list[bytes]:
+        return [f" {' '.join(words[i:i + WINDOW])} ".encode("utf-8", "replace") for i in starts]
+
+    for piece in text_pieces(text):
+        if whole := range(0, len(words) - WINDOW + 1, STRIDE):
+            yield made(whole)
+            words, some = words[whole[-1] + STRIDE:], True
+        words += _words(piece)
+    if words:
+        yield made(range(0, max(0 if some else 1, len(words) - WINDOW + STRIDE), STRIDE))
 
 
 def _runs(part: bytes) -> np.ndarray:
@@ -157,13 +172,15 @@ class Pair:
         return self.ordinary.lengths(parts) - self.toxic.lengths(parts)
 
     def evidence(self, text: str) -> np.ndarray:
-        gains = self.gains(windows(text))
-        top = np.sort(gains)[::-1][:2]
-        first, second = (list(top) + [0, 0])[:2]
-        counts = [np.log1p((gains >= t).sum()) for t in (3, 4, 5, 6)]
-        shares = [np.log1p(20 * (gains >= t).sum() / max(len(gains), 8)) for t in (2, 3, 5)]
-        return np.array([1.0, max(0, first) / 4, max(0, second) / 4, *counts,
-                         np.log1p(len(gains)) / 4, *shares])
+        top, by_gain = np.zeros(2, np.int64), np.zeros(7, np.int64)
+        for parts in window_blocks(text):
+            gains = self.gains(parts)
+            top = np.sort(np.concatenate([top, gains]))[:-3:-1]
+            by_gain += np.bincount(np.clip(gains, 0, 6), minlength=7)
+        reach = by_gain[::-1].cumsum()[::-1]        # windows that gain 0, 1, ... at least
+        counts = [np.log1p(reach[t]) for t in (3, 4, 5, 6)]
+        shares = [np.log1p(20 * reach[t] / max(reach[0], 8)) for t in (2, 3, 5)]
+        return np.array([1.0, top[0] / 4, top[1] / 4, *counts, np.log1p(reach[0]) / 4, *shares])
 
 
 class Model:

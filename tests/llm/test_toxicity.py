@@ -1,5 +1,6 @@
 import os
 import sys
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -97,3 +98,29 @@ def test_unseen_rows_of_every_language(spark):
     for lang in ("de", "en", "es", "fr"):
         assert np.mean(found[lang, 1]) > 0.5, lang
         assert np.mean(found[lang, 0]) < 0.06, lang
+
+
+def test_long_texts_are_read_in_pieces(monkeypatch):
+    """Windows and evidence do not depend on where a text is cut into pieces, and
+    a very long text needs little memory."""
+    rng = np.random.default_rng(9)
+    said = ["the", "dog", " ", "\n", "SNARLwort", "grobblefink", "ΑΣ", "日本語", "a" * 30]
+    texts = [" ".join(rng.choice(said, n)) for n in range(0, 60)]
+    pair = toxicity.Pair(b" the dog house " * 40, b" GROBblefink SNARlwort ")
+    whole = [(toxicity.windows(t), pair.evidence(t)) for t in texts]
+    for n, (parts, _) in enumerate(whole):
+        words = toxicity._words(texts[n])
+        starts = range(0, max(1, len(words) - 3), 3) if words else ()
+        assert parts == [f" {' '.join(words[i:i + 6])} ".encode() for i in starts]
+    cut = toxicity.text_pieces
+    for size in (1, 10, 64):
+        monkeypatch.setattr(toxicity, "text_pieces", lambda text: cut(text, size))
+        for text, (parts, found) in zip(texts, whole):
+            assert toxicity.windows(text) == parts
+            assert np.array_equal(pair.evidence(text), found)
+    monkeypatch.undo()
+    tracemalloc.start()
+    pair.evidence("the dog and a grobblefink " * 100_000)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 32 * 2**20
