@@ -7,6 +7,7 @@ equivalent DuckDB SQL for each name.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,7 @@ from .operators._util import join_null_safe
 from .plans import arrivals as arr
 from .plans import dirty
 from .plans import sales as model
-from .session import scratch_path
+from .session import scratch_path, set_defaults
 from .sources import (
     BucketedFact,
     FactStore,
@@ -72,10 +73,19 @@ PROFILE_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
 
 
 def report(name: str):
-    """Register ``fn`` under ``name`` in ``REPORTS``."""
+    """Register ``fn`` under ``name`` in ``REPORTS``.
+
+    A report sets what it relies on (``session.set_defaults``) in a session that
+    has no value of its own, as reports also run in sessions nobody tuned.
+    """
     def deco(fn: Report) -> Report:
-        REPORTS[name] = fn
-        return fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            set_defaults(spark)
+            return fn(spark, sf_dir)
+
+        REPORTS[name] = run
+        return run
     return deco
 
 
@@ -395,8 +405,10 @@ def seasonality_by_brand(spark, sf_dir):
 
 @report("spikes_by_category")
 def spikes_by_category(spark, sf_dir):
-    t = trd.trend(_sales(spark, sf_dir), "month", by="category")
-    return ins.spikes(trd.fill_calendar(t, "month", by="category"), SPIKE_RATIO, by="category")
+    t = (trd.trend(_sales(spark, sf_dir), "month", by="category")
+         .select("period", "category", "revenue"))
+    filled = trd.fill_calendar(t, "month", by="category", zero_cols=("revenue",))
+    return ins.spikes(filled, SPIKE_RATIO, by="category")
 
 
 # -- cleaning and validation ------------------------------------------------------
