@@ -62,10 +62,13 @@ def breakdown(sales: DataFrame, dims, totals: bool = False, order_col: str = "or
     grand total always exists, as in standard SQL, even for an empty
     selection.  Lines are first reduced to one row per (dims, order) so the rollup's row copies
     (one per level) apply to a smaller input.
+
+    Without ``totals`` it is one aggregate, so Spark leaves the row per (dims,
+    order) out of the plan where a caller reads no ``orders`` or ``aov``.
     """
     dims = as_list(dims)
-    per_order = sales.groupBy(*dims, order_col).agg(F.sum(amount_col).alias("_amount"))
     if totals:
+        per_order = sales.groupBy(*dims, order_col).agg(F.sum(amount_col).alias("_amount"))
         top = (1 << len(dims)) - 1
         # One seed row without an order: a rollup over no rows returns nothing
         # in Spark, with it there is always a grand total.  Its other groups
@@ -80,8 +83,9 @@ def breakdown(sales: DataFrame, dims, totals: bool = False, order_col: str = "or
                     F.grouping_id().cast("int").alias("level"), F.count("_real").alias("_n"))
                .filter((F.col("_n") > 0) | (F.col("level") == top)).drop("_n"))
     else:
-        out = (per_order.groupBy(*dims)
-               .agg(money_sum("_amount").alias("revenue"), F.count(order_col).alias("orders")))
+        out = (sales.groupBy(*dims)
+               .agg(money_sum(amount_col).alias("revenue"),
+                    F.count_distinct(order_col).alias("orders")))
     return out.withColumn("aov", ratio("revenue", "orders"))
 
 

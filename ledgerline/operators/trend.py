@@ -21,21 +21,19 @@ def trend(sales: DataFrame, grain: str = "month", by=None, date_col: str = "orde
     """TRD-1/2/3/4: revenue and distinct orders per period (and group).
 
     Output: ``period`` (date), the ``by`` columns, ``revenue`` (decimal),
-    ``orders`` (bigint).  Two hash aggregates, both with map-side partial
-    aggregation: first to (period, group, order), then to (period, group).
-    This is the plan Spark would pick for ``count(DISTINCT order_id)``,
-    written out so the order-level step is explicit.
+    ``orders`` (bigint).  For ``count(DISTINCT order_id)`` Spark plans two
+    hash aggregates, both with map-side partial aggregation: first to (period,
+    group, order), then to (period, group).  The order-level step is not in the
+    plan where a caller reads no ``orders``.
 
     ``complete_only`` drops periods that end after the last day with data
     (a partial last month would otherwise look like a collapse).  The last
     day comes from the aggregated periods, through a scalar subquery.
     """
     by = as_list(by)
-    per_order = (sales.groupBy(period_start(date_col, grain).alias("period"), *by, order_col)
-                 .agg(F.sum(amount_col).alias("_amount"), F.max(date_col).alias("_day")))
-    out = (per_order.groupBy("period", *by)
-           .agg(money_sum("_amount").alias("revenue"), F.count(order_col).alias("orders"),
-                F.max("_day").alias("_day")))
+    out = (sales.groupBy(period_start(date_col, grain).alias("period"), *by)
+           .agg(money_sum(amount_col).alias("revenue"),
+                F.count_distinct(order_col).alias("orders"), F.max(date_col).alias("_day")))
     if complete_only:
         # The last day, from the same aggregated periods.  The subquery reads
         # every measure, and the filter one of them (never above the maximum)
