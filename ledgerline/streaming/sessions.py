@@ -15,29 +15,36 @@ from ._time import as_clock, as_instant
 MINUTE = 60_000_000
 
 
+#: Groups of users that share a state.  A checkpoint keeps the number it began with.
+BUCKETS = 2048
+
+
 def merged(spans: np.ndarray, gap: int) -> np.ndarray:
-    """Rows (first, last, events, cents) joined where one begins within ``gap``
-    of another's end; in order of time."""
-    spans = spans[np.argsort(spans[:, 0], kind="stable")]
-    ends = np.maximum.accumulate(spans[:, 1])
-    new = np.r_[True, spans[1:, 0] - ends[:-1] > gap] if len(spans) else np.zeros(0, bool)
-    at = np.flatnonzero(new)
-    if not len(at):
+    """Rows (user, first, last, events, cents) of one user joined where one begins
+    within ``gap`` of another's end; in order of user and time."""
+    if not len(spans):
         return spans
-    return np.stack([spans[at, 0], np.maximum.reduceat(spans[:, 1], at),
-                     np.add.reduceat(spans[:, 2], at), np.add.reduceat(spans[:, 3], at)], axis=1)
+    spans = spans[np.lexsort((spans[:, 1], spans[:, 0]))]
+    ends = pd.Series(spans[:, 2]).groupby(spans[:, 0]).cummax().to_numpy()
+    at = np.flatnonzero(np.r_[True, (spans[1:, 0] != spans[:-1, 0])
+                              | (spans[1:, 1] - ends[:-1] > gap)])
+    return np.stack([spans[at, 0], spans[at, 1], np.maximum.reduceat(spans[:, 2], at),
+                     np.add.reduceat(spans[:, 3], at), np.add.reduceat(spans[:, 4], at)], axis=1)
 
 
-def sessions(events: DataFrame, gap_minutes: int = 360, delay: str = "2 hours") -> DataFrame:
+def sessions(events: DataFrame, gap_minutes: int = 360, delay: str = "2 hours",
+             buckets: int = BUCKETS) -> DataFrame:
     """user_id, session_start, session_end, events, value of every session.
 
     A session ends when a user does nothing for ``gap_minutes``.  Every batch of
     rows is first combined to one row per (user, minute), before the shuffle, so
-    the state of a hot user sees far fewer rows than it has events.  The state
-    holds a user's open sessions; a session is written, and its state dropped,
-    when the watermark (the end of the largest minute of earlier batches less
-    ``delay``) shows that no event can still extend it, by a timer if the user
-    sends nothing more.  Events of minutes that the watermark has reached are
+    the state of a hot user sees far fewer rows than it has events.  A state
+    holds the open sessions of the users of one bucket (``buckets`` by a hash of
+    the user), so a batch calls Python once a bucket and not once a user; raise
+    ``buckets`` for more than some ten million users with open sessions.  A
+    session is written, and leaves the state, when the watermark (the end of the
+    largest minute of earlier batches less ``delay``) shows that no event can
+    still extend it, by a timer if no user of the bucket sends anything more.  Events of minutes that the watermark has reached are
     dropped as late.  Rows without user or ``ts`` have no session.
     """
     gap = gap_minutes * MINUTE
@@ -55,31 +62,29 @@ def sessions(events: DataFrame, gap_minutes: int = 360, delay: str = "2 hours")
                        F.coalesce(cents, F.lit(0)).alias("cents"))
                .mapInPandas(combined, "user_id long, minute long, first long, last long, "
                                       "n long, cents long")
+               .withColumn("bucket", F.pmod(F.xxhash64("user_id"), F.lit(buckets)))
                .withColumn("seen", F.timestamp_micros((F.col("minute") + 1) * MINUTE))
                .withWatermark("seen", delay))
 
     def step(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held = [np.frombuffer(state.get[0], np.int64).reshape(-1, 4)] if state.exists else []
+        held = [np.frombuffer(state.get[0], np.int64).reshape(-1, 5)] if state.exists else []
         for pdf in rows:
-            held.append(pdf[["first", "last", "n", "cents"]].to_numpy(np.int64))
-        spans = merged(np.concatenate(held), gap) if held else np.zeros((0, 4), np.int64)
+            held.append(pdf[["user_id", "first", "last", "n", "cents"]].to_numpy(np.int64))
+        spans = merged(np.concatenate(held), gap) if held else np.zeros((0, 5), np.int64)
         # Events still to come are not before the watermark, a full minute.
         known = state.getCurrentWatermarkMs() * 1000
-        over = spans[:, 1] + gap < known
+        over = spans[:, 2] + gap < known
         if over.all():
             state.remove()
         else:
             open_ = spans[~over]
             state.update((open_.tobytes(),))
-            first = int(open_[:, 1].min()) + gap
+            first = int(open_[:, 2].min()) + gap
             state.setTimeoutTimestamp((first // MINUTE + 1) * MINUTE // 1000 - 1)
-        done = spans[over]
-        yield pd.DataFrame({
-            "user_id": np.full(len(done), key[0]),
-            "first": done[:, 0], "last": done[:, 1], "events": done[:, 2], "cents": done[:, 3]})
+        yield pd.DataFrame(spans[over], columns=["user_id", "first", "last", "events", "cents"])
 
     out = "user_id long, first long, last long, events long, cents long"
-    return (minutes.groupBy("user_id")
+    return (minutes.groupBy("bucket")
             .applyInPandasWithState(step, out, "open binary", "append",
                                     GroupStateTimeout.EventTimeTimeout)
             .select("user_id", as_clock("first").alias("session_start"),

@@ -106,3 +106,29 @@ def test_a_hot_user_in_any_order_of_arrival(spark, parts):
             own.append([m])
     assert session_rows(replay.table()) == sorted(
         (u, s[0], s[-1], len(s), float(len(s))) for u, own in want.items() for s in own)
+
+
+def test_users_of_one_bucket_keep_their_own_sessions(spark):
+    """One state for all users gives the sessions of a state for each."""
+    rnd = random.Random(7)
+    rows = [(i, rnd.randrange(3000), rnd.randrange(30), "a", 1.0) for i in range(900)]
+    rows += [(i + 1000, m, 30 + i, "a", 2.0) for i, m in enumerate([0, 60, 121, 3000])]
+    got, states = [], []
+    for buckets in (1, 100_000):
+        replay = Replay(spark, schema("events"),
+                        lambda s, b=buckets: sessions(s, 60, "30 minutes", b), "test-sessions")
+        for k in range(3):
+            replay.arrive(batch(spark, [r for r in rows if k * 1000 <= r[1] < (k + 1) * 1000]))
+            states.append(replay.state_rows)
+        replay.arrive(batch(spark, [(9999, 50_000, 99, "a", 1.0)]))
+        states.append(replay.state_rows)
+        got.append(session_rows(replay.table()))
+    assert got[0] == got[1] and sum(r[3] for r in got[0]) >= 890
+    assert states[:4] == [1, 1, 1, 1] and max(states[4:7]) > 10
+
+
+def test_a_batch_has_no_more_states_than_buckets(spark):
+    """The calls of the state function, and so its time, do not grow with the users."""
+    replay = Replay(spark, schema("events"), lambda s: sessions(s, buckets=8), "test-sessions")
+    replay.arrive(batch(spark, [(i, i % 60, i, "a", 1.0) for i in range(300)]))
+    assert replay.state_rows == 8
