@@ -17,9 +17,10 @@ into words at blanks and tabs.  Everything is counted per language.
 4. Scores, the drop of phrases inside longer ones and the ranks are joins and a
    grouped limit over the counted phrases, in exact decimals.
 
-A task holds one dictionary of about ``MAX_WORDS`` words or one trie of about
-``MAX_PHRASES`` phrases; where there are more, they are cut by code and every
-cut costs one more pass over the texts or their codes.
+A task and the driver hold one dictionary of at most ``MAX_WORDS`` words or one
+trie of at most ``MAX_STATES`` states and ``MAX_PHRASES`` phrases; where there are
+more, they are cut by code, phrases also within a first word, and every cut costs
+one more pass over the texts or their codes.
 
 Defined results: null texts have no words; a null language is ``und`` (together
 with texts that say so); null doc_ids count like others, repeated rows each;
@@ -36,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, staged, text_or_empty
@@ -50,6 +51,10 @@ SCALE = 2_000_000
 #: Words of one dictionary and phrases of one trie in a task.
 MAX_WORDS = 1_000_000
 MAX_PHRASES = 2_000_000
+#: States of one trie, counted as if its phrases shared none but the first word.
+MAX_STATES = 4_000_000
+#: Nodes that look for places in a trie at once.
+PLACED = 1 << 16
 #: Code points (words) numbered in one window.
 NUMBERED = 10_000
 #: Bytes of text cut into words at once, and entries of a task's buffers.
@@ -143,6 +148,7 @@ def coded(docs: DataFrame, words: DataFrame, total: int) -> DataFrame:
     cuts = max(1, math.ceil(total / MAX_WORDS))
     for k in range(cuts):
         low, high = k * total // cuts, (k + 1) * total // cuts
+        sent = part = run = None        # the driver holds the words of one cut
         part = words.where((F.col("code") > low) & (F.col("code") <= high)).select(
             "lang", F.col("word").cast("binary").alias("word"), "code").toArrow()
         # Columns, not rows, go with the function: they are small to send.
@@ -175,39 +181,41 @@ def coded(docs: DataFrame, words: DataFrame, total: int) -> DataFrame:
 
 
 class Trie:
-    """A double-array trie over phrases of equal length.
+    """A double-array trie over sorted, different phrases of equal length.
 
     A first word with code ``low + c`` is slot ``c + 1`` below the root (slot 0).
-    Every further word is ``digits`` steps over the base-256 digits of its code:
-    from slot ``s`` digit ``d`` leads to ``base[s] + d`` if ``check`` there is
-    ``s``.  ``phrase`` holds the number of the phrase that a slot accepts.
+    Every further word is ``digits`` steps over the base-256 digits of its code,
+    the highest first: from slot ``s`` digit ``d`` leads to ``base[s] + d`` if
+    ``check`` there is ``s``.  Where a phrase ends ``base`` holds its number.
     """
 
     def __init__(self, phrases: np.ndarray, low: int, high: int, digits: int):
         self.low, self.high, self.digits = low, high, digits
         n, self.length = phrases.shape
         first = high - low
-        # Logical nodes: 0 to first - 1 are the first words.
+        # Logical nodes: 0 to first - 1 are the first words; those below them are
+        # the runs of rows that begin alike, so a node's children are neighbours.
         parent, digit, made = [], [], first
-        at = phrases[:, 0].astype(np.int64) - low
+        at = (phrases[:, 0] - low).astype(np.int32)
+        new = np.diff(at, prepend=-1) != 0
         for p in range(1, self.length):
-            for d in range(digits):
-                key = at * 256 + (phrases[:, p].astype(np.int64) >> 8 * d & 255)
-                nodes, at = np.unique(key, return_inverse=True)
-                parent.append(nodes >> 8)
-                digit.append(nodes & 255)
-                at = at + made
-                made += len(nodes)
-        parent = np.concatenate(parent) if parent else np.zeros(0, np.int64)
-        digit = np.concatenate(digit) if digit else np.zeros(0, np.int64)
+            for d in reversed(range(digits)):
+                step = (phrases[:, p] >> 8 * d & 255).astype(np.uint8)
+                new[1:] |= step[1:] != step[:-1]
+                parent.append(at[new])
+                digit.append(step[new])
+                at = np.cumsum(new, dtype=np.int32) + np.int32(made - 1)
+                made += len(parent[-1])
+        parent = np.concatenate(parent) if parent else np.zeros(0, np.int32)
+        digit = np.concatenate(digit) if digit else np.zeros(0, np.uint8)
         base, size = _place(parent, digit, made, first + 1)
-        slot = np.concatenate([np.arange(1, first + 1), base[parent] + digit])
-        self.base, self.check = np.zeros(size, np.int32), np.full(size, -1, np.int32)
-        self.base[slot] = base
+        slot = np.concatenate([np.arange(1, first + 1, dtype=np.int32), base[parent] + digit])
+        self.check = np.full(size, -1, np.int32)
         self.check[slot[:first]] = 0
         self.check[slot[first:]] = slot[parent]
-        self.phrase = np.full(size, -1, np.int32)
-        self.phrase[slot[at]] = np.arange(n)
+        self.base = np.zeros(size, np.int32)
+        self.base[slot] = base
+        self.base[slot[at]] = np.arange(n, dtype=np.int32)
 
     def positions(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(position, phrase number) of every place of ``codes`` where a phrase
@@ -218,46 +226,72 @@ class Trie:
             word = codes[at + p]
             live = word > 0
             at, state, word = at[live], state[live], word[live]
-            for d in range(self.digits):
+            for d in reversed(range(self.digits)):
                 to = self.base[state] + (word >> 8 * d & 255)
                 live = self.check[to] == state
                 at, state, word = at[live], to[live], word[live]
-        return at, self.phrase[state]
+        return at, self.base[state]
 
 
 def _place(parent: np.ndarray, digit: np.ndarray, nodes: int, start: int) -> tuple[np.ndarray, int]:
-    """Base of every node such that no two children share a slot, and the size.
+    """Base of every node such that no two children share a slot, and the size;
+    ``parent`` is sorted.
 
-    Nodes with many children get 256 slots of their own; the others try places
-    in a common region, all at the same time, until each has one.
+    Nodes with many children get 256 slots each.  Those with 2 to 15 try places
+    behind these, ``PLACED`` at a time and the larger ones first, until each has
+    one; the fewer children, the fuller the slots may be.  Only children take
+    what is left free.
     """
-    base = np.zeros(nodes, np.int64)
-    counts = np.bincount(parent, minlength=nodes)
-    large = np.flatnonzero(counts >= 16)
-    base[large] = start + 256 * np.arange(len(large))
-    start += 256 * len(large)
-    own = counts[parent] < 16
-    parent, digit = parent[own], digit[own]
-    region = 4 * len(parent) + 256
-    taken = np.zeros(region + 256, bool)
+    base = np.zeros(nodes, np.int32)
+    other = np.ones(len(parent), bool)
+    other[1:] = parent[1:] != parent[:-1]
+    begin = np.flatnonzero(other).astype(np.int32)
+    count = np.diff(begin, append=np.int32(len(parent)))
+    owner = parent[begin]
+    large = np.flatnonzero(count >= 16)
+    base[owner[large]] = start + 256 * np.arange(len(large))
+    blocks = 256 * len(large)
+    sizes, held = [], 0
+    for least, most, filled in ((8, 15, 0.25), (4, 7, 0.4), (2, 3, 0.6)):
+        found = np.flatnonzero((count >= least) & (count <= most)).astype(np.int32)
+        held += int(count[found].sum())
+        sizes.append((found, most, max([256, math.ceil(held / filled), *(x[2] for x in sizes)])))
+    # The last 256 are for steps beyond the last child, the first 255 for those
+    # of an only child with a high digit.
+    region = max(blocks + sizes[-1][2], len(parent)) + 512
+    taken = np.zeros(region, bool)
+    for b in range(0, len(large), PLACED // 256):
+        some = large[b:b + PLACED // 256]
+        rows = np.repeat(np.arange(b, b + len(some)) * 256, count[some])
+        taken[rows + digit[_ranges(begin[some], count[some])]] = True
+    claim = np.zeros(region, np.int32)
     rng = np.random.Generator(np.random.PCG64(11))
-    order = np.argsort(parent, kind="stable")
-    parent, digit = parent[order], digit[order]
-    while len(parent):
-        owners, group = np.unique(parent, return_inverse=True)
-        tried = rng.integers(0, region, len(owners))
-        want = tried[group] + digit
-        # Of those that want a slot, the first node has it.
-        _, first = np.unique(want, return_index=True)
-        good = np.zeros(len(want), bool)
-        good[first] = True
-        good &= ~taken[want]
-        fits = np.bincount(group[~good], minlength=len(owners)) == 0
-        taken[want[fits[group]]] = True
-        base[owners[fits]] = start + tried[fits]
-        left = ~fits[group]
-        parent, digit = parent[left], digit[left]
-    return base, start + region + 256
+    for left, most, places in sizes:
+        while len(left):
+            failed = []
+            for b in range(0, len(left), PLACED // most):
+                some = left[b:b + PLACED // most]
+                tried = blocks + rng.integers(0, places, len(some), dtype=np.int32)
+                group = np.repeat(np.arange(len(some), dtype=np.int32), count[some])
+                want = tried[group] + digit[_ranges(begin[some], count[some])]
+                # Of those that want a slot, one has it.
+                claim[want] = group
+                good = (claim[want] == group) & ~taken[want]
+                fits = np.bincount(group[~good], minlength=len(some)) == 0
+                taken[want[fits[group]]] = True
+                base[owner[some[fits]]] = start + tried[fits]
+                failed.append(some[~fits])
+            left = np.concatenate(failed)
+    single = np.flatnonzero(count == 1).astype(np.int32)
+    free = np.flatnonzero(~taken[255:region - 256])[:len(single)].astype(np.int32) + 255
+    base[owner[single]] = start + free - digit[begin[single]]
+    return base, start + region
+
+
+def _ranges(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The numbers from each ``begin`` on, ``count`` of them, one after the other."""
+    before = np.cumsum(count) - count
+    return np.arange(int(count.sum())) + np.repeat(begin - before, count)
 
 
 def _joined(batch: pa.RecordBatch, pad: int) -> np.ndarray:
@@ -306,9 +340,10 @@ def sweep(codes: DataFrame, make, whole: bool, grow: bool, least: int) -> DataFr
                     nxt = part[at + trie.length]
                     after = part[at + 1]
                     # The phrase without its first word must be a candidate too,
-                    # if this trie knows phrases with that first word.
+                    # if this trie knows all phrases with that first word: at its
+                    # ends others may know some.
                     safe = found[at + 1] if whole else (
-                        found[at + 1] | (after < trie.low) | (after >= trie.high))
+                        found[at + 1] | (after <= trie.low) | (after >= trie.high - 1))
                     use = here & (nxt > 0) & safe
                     grown.append(phrase[use].astype(np.int64) << 32 | nxt[use])
                     if sum(map(len, grown)) > BUFFER:
@@ -339,20 +374,36 @@ class _Words:
         return at, codes[at] - np.int32(self.low)
 
 
-def _shards(phrases: DataFrame, total: int, words: int, most: int) -> list[tuple[int, int]]:
-    """Ranges of first words such that each holds about ``most`` phrases."""
-    if total <= most:
-        return [(1, words + 1)]
-    step = max(1, words // 4096)
-    per = (phrases.groupBy(F.floor((F.col("w")[0] - 1) / step).alias("b"))
-           .agg(F.count(F.lit(1)).alias("n")).orderBy("b").collect())       # at most 4,097 rows
-    out, low, held = [], 1, 0
-    for r in per:
-        if held and held + r.n > most:
-            out.append((low, int(r.b) * step + 1))
-            low, held = int(r.b) * step + 1, 0
-        held += r.n
-    return [*out, (low, words + 1)]
+def in_order(df: DataFrame, name: str, key: str) -> DataFrame:
+    """``df`` with the dense column ``name`` (from 0 on) in the order of ``key``:
+    sorted parts are written, parts start where the last ended."""
+    at = F.col("_at")
+    dealt = staged(df.sparkSession, df.orderBy(key).select(
+        F.monotonically_increasing_id().alias("_at"), "*"), "phrase-sorted").withColumn(
+        "_part", F.shiftright(at, 33))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    start = (dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+             .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")))
+    return (dealt.join(start, "_part")
+            .withColumn(name, F.col("_start") + at.bitwiseAND((1 << 33) - 1))
+            .drop("_part", "_start", "_at"))
+
+
+def _cuts(total: int, most: int) -> list[tuple[int, int]]:
+    """Ranges of phrase numbers of at most ``most`` each."""
+    cuts = max(1, math.ceil(total / most))
+    return [(k * total // cuts, (k + 1) * total // cuts) for k in range(cuts)]
+
+
+def trie_of(phrases: DataFrame, begin: int, end: int, level: int, digits: int) -> Trie:
+    """The trie of the phrases with the numbers ``begin`` to ``end - 1``."""
+    own = phrases.select("id", "w").toArrow()
+    flat = np.empty((end - begin, level), np.int32)
+    for part in own.to_batches():
+        flat[part.column(0).to_numpy() - begin] = (
+            part.column(1).flatten().to_numpy().reshape(-1, level))
+    del own
+    return Trie(flat, int(flat[0, 0]), int(flat[-1, 0]) + 1, digits)
 
 
 def mined(docs: DataFrame, least: int = LEAST, longest: int = LONGEST,
@@ -372,26 +423,21 @@ def mined(docs: DataFrame, least: int = LEAST, longest: int = LONGEST,
     phrases, known, levels = None, total, [grams]
     for level in range(1, longest + 1):
         parts, grow = [], level < longest
-        shards = _shards(phrases, known, total, max_phrases) if level > 1 else [(1, total + 1)]
-        for low, high in shards:
+        most = max(1, min(max_phrases, MAX_STATES // (digits * max(1, level - 1))))
+        cuts = _cuts(known, most) if level > 1 else [(0, total)]
+        for begin, end in cuts:
             if level == 1:
-                make = lambda high=high: (_Words(1, high), high - 1)        # noqa: E731
+                make = lambda n=total: (_Words(1, n + 1), n)                # noqa: E731
                 back = words.select((F.col("code") - 1).alias("phrase"),
                                     F.array(F.col("code").cast("int")).alias("w"))
             else:
-                own = (phrases.where((F.col("w")[0] >= low) & (F.col("w")[0] < high))
-                       .select("id", "w").toArrow().sort_by("id"))
-                ids = own.column("id").to_numpy()
-                flat = np.asarray(own.column("w").combine_chunks().flatten()).reshape(-1, level)
-                trie = Trie(flat, low, high, digits)
-                make = lambda trie=trie, n=len(ids): (trie, n)              # noqa: E731
-                start = int(ids[0]) if len(ids) else 0
-                if len(shards) > 1:
-                    # Numbers of a cut are positions among its sorted ids.
-                    back = numbered_back(spark, ids, phrases)
-                else:
-                    back = phrases.select((F.col("id") - start).alias("phrase"), "w")
-            found = staged(spark, sweep(texts, make, len(shards) == 1, grow, least),
+                own = phrases.where((F.col("id") >= begin) & (F.col("id") < end))
+                make = None             # the driver holds one trie
+                trie = trie_of(own, begin, end, level, digits)
+                make = lambda trie=trie, n=end - begin: (trie, n)           # noqa: E731
+                del trie
+                back = own.select((F.col("id") - begin).alias("phrase"), "w")
+            found = staged(spark, sweep(texts, make, len(cuts) == 1, grow, least),
                            "phrase-counts")
             parts.append(found.join(back, "phrase"))
         found = parts[0]
@@ -407,7 +453,7 @@ def mined(docs: DataFrame, least: int = LEAST, longest: int = LONGEST,
         known = longer.count()
         if not known:
             break
-        phrases = staged(spark, numbered(longer, "id", known, "w"), "phrase-numbered")
+        phrases = staged(spark, in_order(longer, "id", "w"), "phrase-numbered")
     out = levels[0]
     for more in levels[1:]:
         out = out.union(more)
@@ -415,12 +461,6 @@ def mined(docs: DataFrame, least: int = LEAST, longest: int = LONGEST,
                   "phrase-words"), staged(spark, out, "phrase-grams")
 
 
-def numbered_back(spark: SparkSession, ids: np.ndarray, phrases: DataFrame) -> DataFrame:
-    """phrase (position in ``ids``) and w of the phrases of one cut."""
-    place = spark.createDataFrame(pa.table({"phrase": np.arange(len(ids)), "id": ids}))
-    return phrases.join(place, "id").select("phrase", "w")
-
-
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP,
                  max_phrases: int = MAX_PHRASES) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the best phrases of each language."""

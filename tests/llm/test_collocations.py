@@ -1,6 +1,7 @@
 import os
 import re
 import sys
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -99,6 +100,42 @@ def test_trie_finds_every_phrase(phrases, text):
     assert list(zip(at.tolist(), number.tolist())) == want
 
 
+def test_a_trie_takes_few_bytes_a_state():
+    """The driver builds the trie of a cut, and every task holds a copy."""
+    n, length, digits = 60_000, 4, 3
+    codes = np.random.default_rng(3).integers(1, 2_000_001, (n, length), dtype=np.int32)
+    phrases = np.unique(codes, axis=0)
+    low, high = int(phrases[0, 0]), int(phrases[-1, 0]) + 1
+    states = len(phrases) * digits * (length - 1)
+    tracemalloc.start()
+    trie = col.Trie(phrases, low, high, digits)
+    kept, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert kept < 12 * (states + high - low) and most < 36 * (states + high - low)
+    text = np.concatenate([np.c_[phrases, np.zeros(len(phrases), np.int32)].ravel(), np.zeros(4, np.int32)])
+    at, number = trie.positions(text)
+    assert (at == np.arange(len(phrases)) * (length + 1)).all() and (number == np.arange(len(phrases))).all()
+
+
+def test_phrases_of_one_first_word_are_cut(spark, monkeypatch):
+    """A trie holds no more than it may, however many phrases begin alike."""
+    rows = [(f"a b{i} c{i % 7} a b{i}", "en") for i in range(40) for _ in range(2)]
+    docs = spark.createDataFrame([(i, t, lang, "s", 0) for i, (t, lang) in enumerate(rows)], DOCS_DDL)
+    want, made, trie_of = brute(rows, 2), [], col.trie_of
+
+    def recorded(*args):
+        made.append((args[3], args[2] - args[1]))
+        return trie_of(*args)
+
+    monkeypatch.setattr(col, "trie_of", recorded)
+    assert result(col.collocations(docs, least=2, max_phrases=50)) == want
+    assert max(n for _, n in made) <= 50 and sum(level == 2 for level, _ in made) > 1
+    made.clear()
+    monkeypatch.setattr(col, "MAX_STATES", 90)
+    assert result(col.collocations(docs, least=2)) == want
+    assert max(n * (level - 1) for level, n in made) <= 90
+
+
 def test_a_text_is_cut_at_blanks_only(monkeypatch):
     raw = "the cat. the  dog\tran".encode()
     whole = [w for part in col.words_of(raw) for w in part if w]
